@@ -13,6 +13,11 @@ from dugout.operators.pitch_search import filter_rows, value_filter
 from dugout.plans.registry import Board, board
 
 PLACEHOLDER_ID = "999999"
+# Fixed names: parameters that shape the page and not the rows, and parameters whose column
+# has another name.
+DISPLAY_PARAMS = {"showColumn", "minSplit", "splitYear", "custom_col", "year_pair", "csv"}
+PARAM_COLUMNS = {"gameType": "game_type", "gameType[]": "game_type", "pitcher_throws": "pitcher_hand"}
+BOUND_COLUMNS = {"exchange": "exchange_2b"}
 ID_COLUMNS = ("player_id", "id", "pitcher_id")
 
 
@@ -98,6 +103,27 @@ def regroup_seasons(
     )
 
 
+def _other_filters(df: DataFrame, spec: Board, filters: dict[str, Any]) -> DataFrame:
+    """Equality filters, secondary ``min_<column>`` floors and ``<column>_min/_max`` ends."""
+    out = df
+    for name, value in filters.items():
+        if value is None or name in DISPLAY_PARAMS:
+            continue
+        column = PARAM_COLUMNS.get(name, name)
+        base, _, end = name.rpartition("_")
+        bound = BOUND_COLUMNS.get(base, base)
+        if column in df.columns:
+            out = filter_rows(out, **{column: value})
+        elif name.startswith("min_") and name[4:] in df.columns:
+            out = out.where(number(df, name[4:]) >= float(value))
+        elif end in ("min", "max") and bound in df.columns:
+            test = number(df, bound)
+            out = out.where(test >= float(value) if end == "min" else test <= float(value))
+        else:
+            raise ValueError(f"board {spec.slug!r} has no column for the filter {name!r}")
+    return out
+
+
 def leaderboard(
     df: DataFrame,
     slug: str,
@@ -135,7 +161,7 @@ def leaderboard(
         out = player_rows(out, player_id)
     least = filters.pop(spec.min_param, None) if spec.min_param else None
     least = min_n if min_n is not None else least
-    out = filter_rows(out, **{k: v for k, v in filters.items() if k in out.columns})
+    out = _other_filters(out, spec, filters)
     if spec.season == "range" and "year" in out.columns:
         keys = [c for c in ("id", "side", "type") if c in out.columns]
         labels = [c for c in ("name",) if c in out.columns]
