@@ -67,7 +67,7 @@ def moment(timecode: str | Column) -> Column:
     """A timecode (``YYYYMMDD_HHMMSS``) as a zone-less timestamp."""
     if isinstance(timecode, Column):
         return timecode
-    return F.to_timestamp(F.lit(timecode), F.lit(TIMECODE)).cast("timestamp_ntz")
+    return F.to_timestamp(F.lit(timecode), TIMECODE).cast("timestamp_ntz")
 
 
 def feed_at(df: DataFrame, game: str, ts: str, timecode: str | Column | None = None) -> DataFrame:

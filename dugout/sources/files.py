@@ -39,9 +39,14 @@ def with_row_order(df: DataFrame, out: str = "row_order") -> DataFrame:
     return df.select("*", place.alias(out))
 
 
-def read_register(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
+def read_register(
+    spark: SparkSession,
+    path: str,
+    columns: Sequence[str] | None = None,
+    shards: str = "people-*.csv",
+) -> DataFrame:
     """The player register from its shards; empty and header-only shards add nothing."""
-    return with_row_order(read_csv(spark, f"{path}/people-*.csv", columns))
+    return with_row_order(read_csv(spark, f"{path}/{shards}", columns))
 
 
 def read_bodies(spark: SparkSession, path: str) -> DataFrame:

@@ -30,12 +30,13 @@ def zoned(df: DataFrame, ts: str) -> DataFrame:
 
 
 def latest(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
-    """The row with the largest ``order`` per key.
+    """One row per key, the one with the largest ``order``; a single combining pass.
 
-    The largest value is a numeric hash aggregate; whole rows are joined back to it.
+    A micro-batch must be read once only, which rules out joining it to its own maxima.
     """
-    top = df.groupBy(*keys).agg(F.max(order).alias(order))
-    return df.join(top, [*keys, order])
+    rest = [c for c in df.columns if c not in keys]
+    newest = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), order).alias("_row"))
+    return newest.select(*[F.col(c) if c in keys else F.col(f"_row.{c}") for c in df.columns])
 
 
 def run_to_table(stream: DataFrame, reduce_batch, table: str, checkpoint: str, mode: str = "append"):
