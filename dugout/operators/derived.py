@@ -228,16 +228,19 @@ def pitch_tempo(
     order: Sequence[str] = (),
     limit: int = GROUP_LIMIT,
 ) -> DataFrame:
-    """Mean seconds between a player's successive pitches of a game."""
+    """Mean seconds between a player's successive pitches of a game.
+
+    Gaps add up as whole microseconds, so the mean does not depend on the order of rows.
+    """
 
     def build(w: WindowSpec) -> dict[str, Column]:
-        seconds = F.timestamp_diff("MICROSECOND", F.lag(ts).over(w), F.col(ts)) / 1e6
-        return {"_gap": seconds}
+        return {"_gap": F.timestamp_diff("MICROSECOND", F.lag(ts).over(w), F.col(ts))}
 
     keys = list(dict.fromkeys([*game, player]))
     gaps = look_back(df.select(*keys, ts, *order), keys, [ts, *order], 1, build, limit)
     return gaps.groupBy(player).agg(
-        _count().alias("pitches"), F.avg("_gap").alias("avg_time_between_pitches")
+        _count().alias("pitches"),
+        (F.try_divide(F.sum("_gap"), F.count("_gap")) / 1e6).alias("avg_time_between_pitches"),
     )
 
 

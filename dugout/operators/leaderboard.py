@@ -40,7 +40,10 @@ def scan_board(spark: SparkSession, root: str, slug: str) -> DataFrame:
 
 def id_column(df: DataFrame) -> str:
     """First present of player_id, id, pitcher_id."""
-    return next(c for c in ID_COLUMNS if c in df.columns)
+    found = next((c for c in ID_COLUMNS if c in df.columns), None)
+    if found is None:
+        raise ValueError(f"the board has none of {ID_COLUMNS} to find a player by")
+    return found
 
 
 def player_rows(df: DataFrame, player_id: int | str) -> DataFrame:

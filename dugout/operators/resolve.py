@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dugout.functions.text import strip
+from dugout.session import shuffle_partitions
 from dugout.sources import codes
 
 MATCH_CUTOFF = 0.6
@@ -106,7 +107,8 @@ def suggest(misses: DataFrame, value: str, candidates: Sequence[str], out: str =
     """Adds the closest candidate at or above the cut-off, else NULL.
 
     Meant for distinct misses. The candidates are a fixed list and travel with the
-    function; equal scores go to the candidate that sorts last.
+    function; equal scores go to the candidate that sorts last. Scoring is long work on few
+    bytes, so the rows are spread over all tasks first.
     """
     pool = list(dict.fromkeys(candidates))
 
@@ -115,7 +117,8 @@ def suggest(misses: DataFrame, value: str, candidates: Sequence[str], out: str =
         found = (difflib.get_close_matches(t, pool, n=1, cutoff=MATCH_CUTOFF) if t else [] for t in texts)
         return pd.Series([f[0] if f else None for f in found], dtype=object)
 
-    return misses.withColumn(out, closest(F.col(value)))
+    spread = misses.repartition(shuffle_partitions(misses.sparkSession), value)
+    return spread.withColumn(out, closest(F.col(value)))
 
 
 def label(df: DataFrame, code: str, table: str, out: str, side: str = "pitch") -> DataFrame:

@@ -37,7 +37,9 @@ class Query:
 
 
 QUERIES: dict[str, Query] = {}
-PLACES = 6
+# Doubles are compared at six places; the same half-even step on both engines, and + 0 turns
+# a negative zero into zero.
+SCALE = 1e6
 
 
 def query(sql: str | None = None, doubles: str = ""):
@@ -46,13 +48,15 @@ def query(sql: str | None = None, doubles: str = ""):
     def add(run: Run) -> Run:
         checked = sql
         if sql and doubles:
-            rounded = ", ".join(f'round("{c}", {PLACES}) + 0e0 AS "{c}"' for c in doubles.split())
+            rounded = ", ".join(
+                f'round_even("{c}" * {SCALE}, 0) / {SCALE} + 0e0 AS "{c}"' for c in doubles.split()
+            )
             checked = f"SELECT * REPLACE ({rounded}) FROM ({sql}) AS result"
 
         def rounding(spark: SparkSession, sf_dir: str) -> DataFrame:
             df = run(spark, sf_dir)
             return df.withColumns(
-                {c: F.round(F.col(c), PLACES) + F.lit(0.0) for c in doubles.split()}
+                {c: F.rint(F.col(c) * SCALE) / SCALE + F.lit(0.0) for c in doubles.split()}
             )
 
         QUERIES[run.__name__] = Query(rounding if doubles else run, checked)
@@ -150,23 +154,23 @@ SPIN_SQL = with_pitches(f"""
 l1 AS (SELECT *, nullif(sqrt(i_spinx*i_spinx + i_spiny*i_spiny + i_spinz*i_spinz), 0) AS spin_rate,
     60.5e0 - i_release_extension AS release_pos_y FROM i),
 l2 AS (SELECT *, i_vy0*i_vy0 + i_ay*(release_pos_y - 50e0)*2 AS d1 FROM l1),
-l3 AS (SELECT *, CASE WHEN d1 >= 0 AND i_ay <> 0 THEN (-i_vy0 - sqrt(greatest(d1, 0)))/i_ay END AS tR FROM l2),
+l3 AS MATERIALIZED (SELECT *, CASE WHEN d1 >= 0 AND i_ay <> 0 THEN (-i_vy0 - sqrt(greatest(d1, 0)))/i_ay END AS tR FROM l2),
 l4 AS (SELECT *, i_vx0 + i_ax*tR AS vxR, i_vy0 + i_ay*tR AS vyR, i_vz0 + i_az*tR AS vzR FROM l3),
 l5 AS (SELECT *, vyR*vyR - i_ay*(release_pos_y - 17e0/12e0)*2 AS d2 FROM l4),
-l6 AS (SELECT *, CASE WHEN d2 >= 0 AND i_ay <> 0 THEN (-vyR - sqrt(greatest(d2, 0)))/i_ay END AS tF FROM l5),
+l6 AS MATERIALIZED (SELECT *, CASE WHEN d2 >= 0 AND i_ay <> 0 THEN (-vyR - sqrt(greatest(d2, 0)))/i_ay END AS tF FROM l5),
 l7 AS (SELECT *, (vxR*2 + i_ax*tF)/2 AS vxbar, (vyR*2 + i_ay*tF)/2 AS vybar, (vzR*2 + i_az*tF)/2 AS vzbar FROM l6),
-l8 AS (SELECT *, nullif(sqrt(vxbar*vxbar + vybar*vybar + vzbar*vzbar), 0) AS vbar FROM l7),
+l8 AS MATERIALIZED (SELECT *, nullif(sqrt(vxbar*vxbar + vybar*vybar + vzbar*vzbar), 0) AS vbar FROM l7),
 l9 AS (SELECT *, vxbar/vbar AS vx_hat, vybar/vbar AS vy_hat, vzbar/vbar AS vz_hat,
     i_spinx/spin_rate AS wx_hat, i_spiny/spin_rate AS wy_hat, i_spinz/spin_rate AS wz_hat FROM l8),
 l10 AS (SELECT *, -(i_ax*vx_hat + i_ay*vy_hat + (i_az + 32.174e0)*vz_hat) AS aD,
     wy_hat*vz_hat - wz_hat*vy_hat AS c_x, wz_hat*vx_hat - wx_hat*vz_hat AS c_y, wx_hat*vy_hat - wy_hat*vx_hat AS c_z FROM l9),
-l11 AS (SELECT *, i_ax + aD*vx_hat AS aTx, i_ay + aD*vy_hat AS aTy, i_az + aD*vz_hat + 32.174e0 AS aTz,
+l11 AS MATERIALIZED (SELECT *, i_ax + aD*vx_hat AS aTx, i_ay + aD*vy_hat AS aTy, i_az + aD*vz_hat + 32.174e0 AS aTz,
     nullif(sqrt(c_x*c_x + c_y*c_y + c_z*c_z), 0) AS spin_eff, spin_rate*9.125e0/(vbar*720) AS S FROM l10),
 l12 AS (SELECT *, nullif(sqrt(aTx*aTx + aTy*aTy + aTz*aTz), 0) AS "aT",
     aTx*5e-1*(tF*tF)*12e0 AS MTx, aTz*5e-1*(tF*tF)*12e0 AS MTz,
     c_x/spin_eff AS aLx_hat, c_y/spin_eff AS aLy_hat, c_z/spin_eff AS aLz_hat, S*spin_eff AS eff_S,
     pow(S, 1.401e0)*0.4152e0/(pow(S, 1.401e0) + pow(0.1904e0, 1.401e0))*spin_eff AS CL FROM l11),
-l13 AS (SELECT *, aTx/"aT" AS aTx_hat, aTy/"aT" AS aTy_hat, aTz/"aT" AS aTz_hat, sqrt(MTx*MTx + MTz*MTz) AS MT,
+l13 AS MATERIALIZED (SELECT *, aTx/"aT" AS aTx_hat, aTy/"aT" AS aTy_hat, aTz/"aT" AS aTz_hat, sqrt(MTx*MTx + MTz*MTz) AS MT,
     degrees(atan2(aLz_hat, aLx_hat)) AS phiL, 0.005383e0*CL*(vbar*vbar) AS aM FROM l12),
 l14 AS (SELECT *, degrees(atan2(aTz_hat, aTx_hat)) AS phiT,
     aTx_hat*aLx_hat + aTy_hat*aLy_hat + aTz_hat*aLz_hat AS L_align, aM/"aT" AS M_prop,
@@ -765,8 +769,8 @@ def year_pair_board(spark, sf):
     return derived.year_pair_changes(yearly(spark, sf), "o_custkey", ["price", "games"], 1996, 1999)
 
 
-TEMPO_SQL = """SELECT user_id, count(*) AS pitches, avg(gap) AS avg_time_between_pitches FROM
-    (SELECT user_id, date_diff('microsecond', lag(ts) OVER (PARTITION BY user_id, event_type ORDER BY ts), ts) / 1e6 AS gap FROM events)
+TEMPO_SQL = """SELECT user_id, count(*) AS pitches, sum(gap)::DOUBLE / count(gap) / 1e6 AS avg_time_between_pitches FROM
+    (SELECT user_id, date_diff('microsecond', lag(ts) OVER (PARTITION BY user_id, event_type ORDER BY ts), ts) AS gap FROM events)
     GROUP BY user_id"""
 
 
