@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from dugout.functions.spin import axis_to_clock
 from dugout.functions.text import null_to_blank, number
+from dugout.operators.grouping import sums_with_labels
 from dugout.operators.pitch_search import search_pitches
 
 # Fixed list of averaged metrics, in output order.
@@ -49,10 +50,6 @@ def aggregate_arsenal(
     one. ``usage_pct`` exists only when ``pitcher`` is a group key. Means skip blank and
     junk cells; a metric column the table lacks has a NULL mean, as has the tilt of a
     missing axis.
-
-    Name and hand join the keys of the first aggregation, so its buffers are plain numbers
-    and it stays a hash aggregate that combines before the shuffle; a second aggregation
-    over those few rows picks the first name and hand.
     """
     group_by = list(group_by)
     carried = [c for c in CARRIED if c in df.columns and c not in group_by]
@@ -64,19 +61,11 @@ def aggregate_arsenal(
         pitch_order(df).alias("_order") if order is None else order.alias("_order"),
         *[numbers[m].alias(f"_{m}") for m in present],
     )
-    parts = rows.groupBy(*group_by, *carried).agg(
-        F.count(F.lit(1)).alias("n_pitches"),
-        F.min("_order").alias("_order"),
-        *[F.sum(f"_{m}").alias(f"_{m}") for m in present],
-        *[F.count(f"_{m}").alias(f"_n_{m}") for m in present],
-    )
-    grouped = parts
-    if carried:
-        rank = F.struct("_order", *carried)
-        grouped = parts.groupBy(*group_by).agg(
-            *[F.min_by(c, rank).alias(c) for c in carried],
-            *[F.sum(c).alias(c) for c in parts.columns if c not in (*group_by, *carried, "_order")],
-        )
+    sums = {"n_pitches": F.lit(1).cast("long")}
+    for m in present:
+        sums[f"_{m}"] = F.col(f"_{m}")
+        sums[f"_n_{m}"] = F.col(f"_{m}").isNotNull().cast("long")
+    grouped = sums_with_labels(rows, group_by, carried, "_order", sums)
     head = [*group_by, *carried, "n_pitches"]
     if "pitcher" in group_by:
         grouped = add_usage(grouped, narrow=set(group_by) <= NARROW_KEYS)

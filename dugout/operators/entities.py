@@ -73,8 +73,9 @@ def moment(timecode: str | Column) -> Column:
 def feed_at(df: DataFrame, game: str, ts: str, timecode: str | Column | None = None) -> DataFrame:
     """Per game the snapshot in force at a timecode (the latest one without)."""
     seen = df if timecode is None else df.where(F.col(ts) <= moment(timecode))
-    latest = seen.groupBy(game).agg(F.max(ts).alias(ts))
-    return seen.join(latest, [game, ts])
+    rest = [c for c in df.columns if c != game]
+    latest = seen.groupBy(game).agg(F.max_by(F.struct(*rest), ts).alias("_row"))
+    return latest.select(*[F.col(c) if c == game else F.col(f"_row.{c}") for c in df.columns])
 
 
 def feed_between(df: DataFrame, ts: str, start: str | Column, end: str | Column) -> DataFrame:
@@ -99,16 +100,14 @@ def feed_at_probes(
     """For each probe row the body in force at its own time, NULL before the first.
 
     Both sides are stacked and the body is carried forward in time order, so no pair of
-    probe and snapshot is ever formed, however many a game has. Probes at one game and
-    time share an answer; a snapshot at that very time counts.
+    probe and snapshot is ever formed, however many a game has, and one shuffle does. A
+    snapshot at the very time of a probe counts.
     """
-    times = probes.select(game, F.col(ts).alias("_at")).distinct()
-    marks = times.select(game, "_at", F.lit(None).cast(feeds.schema[body].dataType).alias("_body"), F.lit(1).alias("_side"))
-    shots = feeds.select(game, F.col(ts).alias("_at"), F.col(body).alias("_body"), F.lit(0).alias("_side"))
-    stacked = shots.unionByName(marks)
+    marks = probes.select(game, F.col(ts).alias("_at"), F.lit(1).alias("_side"), probe)
+    shots = feeds.select(game, F.col(ts).alias("_at"), F.lit(0).alias("_side"), F.col(body).alias("_body"))
+    stacked = marks.unionByName(shots, allowMissingColumns=True)
     filled = fill_forward(stacked, [game], ["_at", "_side"], "_body", out, limit)
-    answers = filled.where("_side = 1").select(game, F.col("_at").alias(ts), out)
-    return probes.select(game, ts, probe).join(answers, [game, ts], "left")
+    return filled.where("_side = 1").select(game, F.col("_at").alias(ts), probe, out)
 
 
 def nested_rows(df: DataFrame, payload: str, path: str, fields: Mapping[str, str], keep: Sequence[str] = ()) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dugout.functions.text import null_to_blank, number, spin_season
+from dugout.operators.grouping import sums_with_labels
 from dugout.operators.pitch_search import filter_rows, value_filter
 from dugout.plans.registry import Board, board
 
@@ -26,10 +27,15 @@ def board_path(root: str, slug: str) -> str:
 
 
 def land_board(df: DataFrame, root: str, slug: str) -> str:
-    """Writes a board table, partitioned by season so a season query reads one folder."""
+    """Writes a board table, partitioned by season so a season query reads one folder.
+
+    The rebalance hint gives each season few files and splits a season that is too big.
+    """
     path = board_path(root, slug)
-    writer = df.write.mode("overwrite")
-    (writer.partitionBy("year") if "year" in df.columns else writer).parquet(path)
+    if "year" in df.columns:
+        df.hint("rebalance", F.col("year")).write.mode("overwrite").partitionBy("year").parquet(path)
+    else:
+        df.write.mode("overwrite").parquet(path)
     return path
 
 
@@ -94,15 +100,17 @@ def regroup_seasons(
     Labels come from the latest season. Everything numeric combines before the shuffle.
     """
     n = number(df, weight)
-
-    def weighted(m: str) -> Column:
+    totals = {f"_s_{c}": number(df, c) for c in sums}
+    for m in means:
         x = number(df, m)
-        return F.try_divide(F.sum(n * x), F.sum(F.when(x.isNotNull(), n))).alias(m)
-
-    return df.groupBy(*keys).agg(
-        *[F.max_by(c, year).alias(c) for c in labels],
-        *[F.sum(number(df, c)).alias(c) for c in sums],
-        *[weighted(m) for m in means],
+        totals[f"_x_{m}"] = n * x
+        totals[f"_n_{m}"] = F.when(x.isNotNull(), n)
+    grouped = sums_with_labels(df, keys, labels, year, totals, newest=True)
+    return grouped.select(
+        *keys,
+        *labels,
+        *[F.col(f"_s_{c}").alias(c) for c in sums],
+        *[F.try_divide(f"_x_{m}", f"_n_{m}").alias(m) for m in means],
     )
 
 

@@ -8,7 +8,8 @@ even size, checkpointed so slice numbers stay fixed if executors are lost, and w
 slice by slice; what crosses a slice border is carried by a small table with at most two
 rows per slice border. Both ways give the same rows.
 
-The order columns must be unique within a key.
+The order columns must be unique within a key (``fill_forward``: rows that carry a value).
+``limit=None`` states that groups are small by nature and skips the measuring pass.
 """
 
 from __future__ import annotations
@@ -31,6 +32,11 @@ def group_peak(df: DataFrame, keys: Sequence[str]) -> int:
     return top["n"] or 0
 
 
+def is_hot(df: DataFrame, keys: Sequence[str], limit: int | None) -> bool:
+    """Whether some key has more rows than one task should hold."""
+    return limit is not None and group_peak(df, keys) > limit
+
+
 def sliced(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Rows range-partitioned on key and order, numbered by slice, reliably checkpointed."""
     spark = df.sparkSession
@@ -63,16 +69,19 @@ def running_total(
     order: Sequence[str],
     value: Column,
     out: str,
-    limit: int = GROUP_LIMIT,
+    limit: int | None = GROUP_LIMIT,
 ) -> DataFrame:
     """Inclusive running sum of ``value`` per key."""
-    if group_peak(df, keys) <= limit:
-        upto = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-        return df.withColumn(out, F.sum(value).over(upto))
-    return _running_total_sliced(sliced(df, keys, order), keys, order, value, out).drop(SLICE)
+    if is_hot(df, keys, limit):
+        return total_over_slices(sliced(df, keys, order), keys, order, value, out).drop(SLICE)
+    upto = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    return df.withColumn(out, F.sum(value).over(upto))
 
 
-def _running_total_sliced(slices, keys, order, value, out) -> DataFrame:
+def total_over_slices(
+    slices: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, out: str
+) -> DataFrame:
+    """The running sum on rows that are already cut into slices."""
     inner = (
         Window.partitionBy(SLICE, *keys)
         .orderBy(*order)
@@ -86,31 +95,25 @@ def _running_total_sliced(slices, keys, order, value, out) -> DataFrame:
     )
 
 
-def position(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str, limit: int = GROUP_LIMIT
-) -> DataFrame:
-    """1-based row number per key."""
-    return running_total(df, keys, order, F.lit(1).cast("long"), out, limit)
-
-
 def look_back(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
     back: int,
     build: Callable[[WindowSpec], dict[str, Column]],
-    limit: int = GROUP_LIMIT,
+    limit: int | None = GROUP_LIMIT,
 ) -> DataFrame:
     """Window columns that look at most ``back`` rows back: lags, rolling means.
 
     Hot keys: exact positions cut each key into blocks; the last ``back`` rows of a block
     are repeated at the head of the next one, and dropped again after the window.
     """
-    if group_peak(df, keys) <= limit:
+    if not is_hot(df, keys, limit):
         spec = Window.partitionBy(*keys).orderBy(*order)
         return df.withColumns(build(spec))
     block = max(back, limit)
-    placed = position(df, keys, order, POSITION, limit)
+    one = F.lit(1).cast("long")
+    placed = total_over_slices(sliced(df, keys, order), keys, order, one, POSITION).drop(SLICE)
     number = F.floor((F.col(POSITION) - 1) / block)
     tail = (F.col(POSITION) - 1) % block >= block - back
     own = F.struct(number.alias("_block"), F.lit(False).alias("_repeat"))
@@ -131,10 +134,10 @@ def fill_forward(
     order: Sequence[str],
     value: str,
     out: str,
-    limit: int = GROUP_LIMIT,
+    limit: int | None = GROUP_LIMIT,
 ) -> DataFrame:
     """Latest non-null ``value`` at or before each row of its key."""
-    if group_peak(df, keys) <= limit:
+    if not is_hot(df, keys, limit):
         upto = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumn(out, F.last(value, ignorenulls=True).over(upto))
     slices = sliced(df, keys, order)

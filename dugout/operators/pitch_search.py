@@ -1,7 +1,7 @@
 """Pitch search: date span, player role, level, team, game, matchup, multi-value filters.
 
 Everything here is a conjunction of column predicates, so it prunes partitions of a table
-laid out by ``level`` and ``game_date`` and is pushed into the Parquet scan.
+laid out by ``level`` and year and is pushed into the Parquet scan.
 """
 
 from __future__ import annotations
@@ -12,13 +12,17 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from dugout.functions.spin import SPIN_INPUTS
+from dugout.functions.text import number, parse_date
 from dugout.operators.resolve import team_code
 
 ROLES = {"pitcher": "pitcher", "batter": "batter"}
 LEVELS = ("mlb", "milb")
 SIDES = ("any", "home", "away")
 DAILY_CAP = 30_000
+LAYOUT_YEAR = "pitch_year"
 
 # Fixed names: filter keys of the remote search form and the pitch column each one tests.
 FILTER_COLUMNS = {
@@ -108,6 +112,8 @@ def search_pitches(
     role = ROLES[choose(player_type, "player_type", ROLES)]
     choose(level, "level", LEVELS)
     conditions = [F.col("game_date").between(F.lit(start), F.lit(end))]
+    if LAYOUT_YEAR in df.columns:
+        conditions.append(F.col(LAYOUT_YEAR).between(start.year, end.year))
     if "level" in df.columns:
         conditions.append(F.col("level") == level)
     lookup = {"pitcher": "pitchers_lookup[]", "batter": "batters_lookup[]"}[role]
@@ -165,6 +171,39 @@ def search_team(
     return search_pitches(df.where(on_side), start_date, end_date, level=level, **filters)
 
 
+# Fixed names: numeric columns of a pitch row that the operators read.
+PITCH_NUMBERS = (
+    "release_speed", "release_spin_rate", "effective_speed", "release_extension", "release_pos_x",
+    "release_pos_z", "pfx_x", "pfx_z", "plate_x", "plate_z", "launch_speed", "launch_angle",
+    "spin_axis", "bat_speed", "swing_length", "miss_distance", "attack_angle",
+    "attack_direction", "swing_path_tilt", "intercept_ball_minus_batter_pos_x_inches",
+    "intercept_ball_minus_batter_pos_y_inches", "arm_angle", "api_break_z_with_gravity",
+    "api_break_x_arm", "api_break_x_batter_in", "hyper_speed", *SPIN_INPUTS,
+)
+
+
+def typed_pitches(df: DataFrame) -> DataFrame:
+    """Text pitch rows with dates and numbers parsed, so later queries need not."""
+    numbers = {c: number(df, c) for c in dict.fromkeys(PITCH_NUMBERS) if c in df.columns}
+    out = df.withColumns(numbers)
+    if "game_date" in df.columns and isinstance(df.schema["game_date"].dataType, T.StringType):
+        out = out.withColumn("game_date", parse_date("game_date"))
+    return out
+
+
+def land_pitches(df: DataFrame, path: str) -> None:
+    """Writes typed pitches in folders per level and year, files ordered by date.
+
+    Rows are range-partitioned on date and game, so files are even whatever the busiest day
+    holds, and each covers a narrow span of dates: a date search prunes the year folders
+    and skips the other files and row groups by their statistics.
+    """
+    order = ["level", "game_date", "game_pk"]
+    typed = typed_pitches(df).withColumn(LAYOUT_YEAR, F.year("game_date"))
+    ranged = typed.repartitionByRange(*order).sortWithinPartitions(*order)
+    ranged.write.mode("append").partitionBy("level", LAYOUT_YEAR).parquet(path)
+
+
 def capped_days(df: DataFrame, cap: int = DAILY_CAP) -> DataFrame:
     """Days at or above the source's row cap, which may have lost rows at the source."""
     keys = [k for k in ("level", "game_date") if k in df.columns]

@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 from dugout.operators.ordered import GROUP_LIMIT, group_peak, running_total
 
 
+BROADCAST_ROWS = 100_000
+
+
 def unpivot_stats(
     df: DataFrame, ids: Sequence[str], stats: Sequence[str], name: str = "category", value: str = "value"
 ) -> DataFrame:
@@ -29,11 +32,14 @@ def leaders(
     top: int,
     descending: bool = True,
     rank: str = "rank",
+    groups: int | None = None,
 ) -> DataFrame:
     """Rows ranked within ``top`` per group, ties kept (1, 1, 3, ...).
 
     The cut-off table holds at most ``top`` distinct values per group and is built from
     per-value counts; the rows themselves are only filtered and joined, never gathered.
+    Where the caller knows how many ``groups`` there are at most, that table has a proven
+    size and is broadcast, which spares the rows a shuffle.
     """
     counts = df.groupBy(*by, value).agg(F.count(F.lit(1)).alias("_n"))
     direction = F.desc(value) if descending else F.asc(value)
@@ -42,14 +48,21 @@ def leaders(
     above = w.rowsBetween(Window.unboundedPreceding, -1)
     cut = best.withColumn(rank, (F.coalesce(F.sum("_n").over(above), F.lit(0)) + 1).cast("long"))
     cut = cut.where(F.col(rank) <= top).select(*by, value, rank)
-    return df.join(cut, [*by, value])
+    return df.join(_bounded(cut, groups, top), [*by, value])
+
+
+def _bounded(table: DataFrame, groups: int | None, rows: int) -> DataFrame:
+    """``table`` marked for broadcast if ``groups`` times ``rows`` bounds it well enough."""
+    if groups is not None and groups * rows <= BROADCAST_ROWS:
+        return F.broadcast(table)
+    return table
 
 
-def high_low(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
+def high_low(df: DataFrame, by: Sequence[str], value: str, groups: int | None = None) -> DataFrame:
     """Rows holding the highest or lowest value per group, tagged ``high`` / ``low``."""
     ends = df.groupBy(*by).agg(F.max(value).alias("high"), F.min(value).alias("low"))
     marks = ends.unpivot(list(by), ["high", "low"], "record", value)
-    return df.join(marks, [*by, value])
+    return df.join(_bounded(marks, groups, 2), [*by, value])
 
 
 def page(

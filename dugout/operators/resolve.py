@@ -138,8 +138,9 @@ def outside_table(df: DataFrame, code: str, table: str, side: str = "pitch") ->
 
 def best_player(people: DataFrame, by: Sequence[Column], player_id: str, active: str) -> DataFrame:
     """Per key the active player with the largest id, else the largest id of all."""
-    best = F.max(F.struct(F.coalesce(F.col(active), F.lit(False)), F.col(player_id)))
-    return people.groupBy(*by).agg(best[player_id].alias("_best"))
+    ident = F.col(player_id)
+    best = F.coalesce(F.max(F.when(F.col(active), ident)), F.max(ident))
+    return people.groupBy(*by).agg(best.alias("_best"))
 
 
 def resolve_players(

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dugout.operators.ordered import GROUP_LIMIT, running_total
+from dugout.operators.ordered import GROUP_LIMIT, is_hot, running_total, sliced, total_over_slices
 
 # Fixed names: streak types as (flag, side) and spans.
 STREAK_TYPES = {
@@ -29,23 +29,33 @@ def islands(
 ) -> DataFrame:
     """Runs of consecutive rows with ``flag``: length, first and last order value, current.
 
-    A run is named by the number of misses before it, a running total; the runs and the
-    misses per key are then plain grouped counts, whatever the size of a key.
+    A run is named by the number of misses before it, a running total; runs are then plain
+    grouped counts, whatever the size of a key. The current run is the one after the key's
+    last miss. For ordinary keys all of it happens in the one shuffle on the key.
     """
-    start = order[0]
     rows = df.select(*keys, *order, F.coalesce(flag, F.lit(False)).alias("_hit"))
     miss = F.when(F.col("_hit"), 0).otherwise(1).cast("long")
-    numbered = running_total(rows, keys, order, miss, "_run", limit)
-    runs = numbered.groupBy(*keys, "_run").agg(
-        F.count_if("_hit").alias("length"),
-        F.min(F.when(F.col("_hit"), F.col(start))).alias("started"),
-        F.max(F.when(F.col("_hit"), F.col(start))).alias("ended"),
-    )
-    last = rows.groupBy(*keys).agg(F.count_if(~F.col("_hit")).alias("_last"))
+    if not is_hot(rows, keys, limit):
+        runs = _runs(running_total(rows, keys, order, miss, "_run", None), keys, order[0])
+        last = F.max("_run").over(Window.partitionBy(*keys))
+        found = runs.withColumn("is_current", F.col("_run") == last)
+        return found.where("length > 0").drop("_run")
+    slices = sliced(rows, keys, order)
+    runs = _runs(total_over_slices(slices, keys, order, miss, "_run"), keys, order[0])
+    last = slices.groupBy(*keys).agg(F.sum(miss).alias("_last"))
     found = runs.where("length > 0").join(last, list(keys))
     return found.withColumn("is_current", F.col("_run") == F.col("_last")).drop("_run", "_last")
 
 
+def _runs(numbered: DataFrame, keys: Sequence[str], start: str) -> DataFrame:
+    when_hit = F.when(F.col("_hit"), F.col(start))
+    return numbered.groupBy(*keys, "_run").agg(
+        F.count_if("_hit").alias("length"),
+        F.min(when_hit).alias("started"),
+        F.max(when_hit).alias("ended"),
+    )
+
+
 def streaks(
     games: DataFrame,
     streak_type: str,

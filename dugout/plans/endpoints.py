@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dugout.operators import entities
+from dugout.operators.pitch_search import multi_value
 from dugout.operators.ranking import high_low, leaders, page
 from dugout.sources.codes import code_table
 
@@ -151,6 +152,12 @@ def column_of(param: str, columns: list[str]) -> str | None:
     return next((t for t in tries if t in columns), None)
 
 
+def _category_bound(given: dict[str, Any]) -> int | None:
+    """How many leader categories an answer can have: those asked for."""
+    asked = given.get("leaderCategories")
+    return None if asked is None else len(multi_value(asked))
+
+
 def query_endpoint(
     name: str,
     df: DataFrame,
@@ -209,7 +216,8 @@ def query_endpoint(
     if name in LEADERS:
         if "leaderCategories" in given:
             out = entities.entity_filter(out, **{category: given["leaderCategories"]})
-        out = leaders(out, [category], value, int(given.get("limit", DEFAULT_LEADERS)))
+        top = int(given.get("limit", DEFAULT_LEADERS))
+        out = leaders(out, [category], value, top, groups=_category_bound(given))
     elif name == "get_high_low":
         stat = (columns or {}).get("sortStat", given.get("sortStat", value))
         out = high_low(out, list(key), stat)

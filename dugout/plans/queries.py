@@ -863,9 +863,12 @@ def park_factor_board(spark, sf):
 )
 def board_all_views(spark, sf):
     def build():
-        return [F.count(F.lit(1)).alias("n"), F.avg(text.to_float("launch_speed")).alias("speed")]
+        return [F.count(F.lit(1)).alias("n"), F.avg("_speed").alias("speed")]
 
-    return derived.all_views(pitches(spark, sf), list(derived.VIEWS), build)
+    # Parsed before the rows are repeated once per view.
+    keys = [k for k in derived.VIEWS.values() if k]
+    rows = pitches(spark, sf).select(*keys, text.to_float("launch_speed").alias("_speed"))
+    return derived.all_views(rows, list(derived.VIEWS), build)
 
 
 ROLLING_SQL = """SELECT o_orderkey, o_custkey, o_orderdate, o_totalprice, avg(o_totalprice) OVER
@@ -930,7 +933,7 @@ LONG_SQL = f"""SELECT o_custkey, category, round(value, 2) AS value FROM ({STATS
     "value",
 )
 def stat_leaders(spark, sf):
-    return ranking.leaders(long_stats(spark, sf), ["category"], "value", 10)
+    return ranking.leaders(long_stats(spark, sf), ["category"], "value", 10, groups=3)
 
 
 @query(
@@ -939,7 +942,7 @@ def stat_leaders(spark, sf):
     "value",
 )
 def high_low_records(spark, sf):
-    return ranking.high_low(long_stats(spark, sf), ["category"], "value")
+    return ranking.high_low(long_stats(spark, sf), ["category"], "value", groups=3)
 
 
 @query(f"SELECT o_custkey, round(total, 2) AS total FROM ({STATS_SQL}) ORDER BY total DESC, o_custkey LIMIT 25 OFFSET 50")
@@ -1318,3 +1321,16 @@ def stream_of_increments(spark, sf):
     feeds.follow_windows(event_stream(spark, sf), "user_id", "ts", "1 day", f"{home}/table", f"{home}/state")
     now = feeds.current_windows(spark, f"{home}/table", "user_id")
     return now.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "first_ts", "last_ts")})
+
+
+@query(
+    with_pitches(f"""SELECT game_pk, pitcher, pitch_type, {num('release_speed')} AS release_speed, level, game_date FROM p
+        WHERE game_date BETWEEN DATE '1998-05-01' AND DATE '1998-05-31' AND level = 'mlb'""")
+)
+def landed_pitches(spark, sf):
+    """Pitches landed typed, by level and year, then searched there."""
+    path = shared_path(spark, "pitches")
+    rows = pitches(spark, sf).select("game_pk", "pitcher", "pitch_type", "release_speed", "level", "game_date")
+    pitch_search.land_pitches(rows, path)
+    found_rows = pitch_search.search_pitches(spark.read.parquet(path), "1998-05-01", "1998-05-31")
+    return found_rows.select(*rows.columns)
