@@ -11,6 +11,7 @@ from dugout.functions.spin import axis_to_clock
 from dugout.functions.text import null_to_blank, number
 from dugout.operators.grouping import sums_with_labels
 from dugout.operators.pitch_search import search_pitches
+from dugout.session import shared_dir
 
 # Fixed list of averaged metrics, in output order.
 ARSENAL_METRICS = (
@@ -87,13 +88,16 @@ def aggregate_arsenal(
 def add_usage(grouped: DataFrame, narrow: bool) -> DataFrame:
     """Share of the pitcher's pitches per group, from the grouped rows.
 
-    With few groups per pitcher a window on the grouped rows does; with arbitrary keys a
-    pitcher may own many groups, so totals are aggregated and joined back instead.
+    With few groups per pitcher a window on the grouped rows does. With arbitrary keys a
+    pitcher may own many groups, so totals are aggregated and joined back; the grouped
+    rows are checkpointed for that, else the pitches would be read once for each side.
     """
     share = (F.lit(100.0) * F.col("n_pitches") / F.col("_total")).alias("usage_pct")
     if narrow:
         totals = F.sum("n_pitches").over(Window.partitionBy("pitcher"))
         return grouped.withColumn("_total", totals).select(*grouped.columns, share)
+    shared_dir(grouped.sparkSession)
+    grouped = grouped.checkpoint()
     totals = grouped.groupBy("pitcher").agg(F.sum("n_pitches").alias("_total"))
     return grouped.join(totals, "pitcher").select(*grouped.columns, share)
 

@@ -8,13 +8,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, WindowSpec
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from dugout.functions.spin import add_spin_columns, axis_to_clock
+from dugout.functions.spin import SPIN_INPUTS, add_spin_columns, axis_to_clock
 from dugout.functions.text import number
 from dugout.operators.ordered import GROUP_LIMIT, look_back
 from dugout.operators.ranking import percentiles
+from dugout.session import shared_dir
 from dugout.sources.codes import EVENT_GROUPS
 
 BARREL = 6
@@ -145,9 +146,14 @@ def percentile_board(
     year: str = "year",
     limit: int = GROUP_LIMIT,
 ) -> DataFrame:
-    """Season means per player as 0-100 percentiles within the season."""
+    """Season means per player as 0-100 percentiles within the season.
+
+    The means, one row per player and season, are checkpointed: measuring and ranking them
+    then costs no further pass over the pitches.
+    """
     means = metric_means(df, [year, player], metrics, prefix="")
-    return percentiles(means, [year], metrics, limit=limit)
+    shared_dir(df.sparkSession)
+    return percentiles(means.checkpoint(), [year], metrics, limit=limit)
 
 
 def arsenal_stats(
@@ -251,7 +257,8 @@ def pitch_tempo(
 def active_spin(df: DataFrame, by: Sequence[str] = ("pitcher", "pitch_type")) -> DataFrame:
     """Active-spin share from the spin physics, with spin rate and speed."""
     speed = number(df, "release_speed").alias("_speed")
-    solved = add_spin_columns(df.select(*by, speed, *_spin_inputs(df)), ("spin_rate", "spin_eff"))
+    inputs = [c for c in SPIN_INPUTS if c in df.columns]
+    solved = add_spin_columns(df.select(*by, speed, *inputs), ("spin_rate", "spin_eff"))
     return solved.groupBy(*by).agg(
         F.count("spin_eff").alias("n_pitches"),
         (100 * F.avg("spin_eff")).alias("active_spin"),
@@ -260,12 +267,6 @@ def active_spin(df: DataFrame, by: Sequence[str] = ("pitcher", "pitch_type")) ->
     )
 
 
-def _spin_inputs(df: DataFrame) -> list[str]:
-    from dugout.functions.spin import SPIN_INPUTS
-
-    return [c for c in SPIN_INPUTS if c in df.columns]
-
-
 def pitch_movement(
     df: DataFrame,
     pitch_type: str | None,
@@ -363,8 +364,6 @@ def rolling_days(
     Rows are first reduced to one per player and day, so a window group holds at most as
     many rows as the calendar has days.
     """
-    from pyspark.sql import Window
-
     daily = df.groupBy(player, F.col(day).cast("date").alias("day")).agg(
         F.sum(metric).alias("_sum"), F.count(metric).alias("_n")
     )
