@@ -32,8 +32,11 @@ Run = Callable[[SparkSession, str], DataFrame]
 
 @dataclass(frozen=True)
 class Query:
+    """``run`` rounds its doubles for the comparison, ``raw`` is the query alone."""
+
     run: Run
     sql: str | None
+    raw: Run
 
 
 QUERIES: dict[str, Query] = {}
@@ -59,7 +62,7 @@ def query(sql: str | None = None, doubles: str = ""):
                 {c: F.rint(F.col(c) * SCALE) / SCALE + F.lit(0.0) for c in doubles.split()}
             )
 
-        QUERIES[run.__name__] = Query(rounding if doubles else run, checked)
+        QUERIES[run.__name__] = Query(rounding if doubles else run, checked, run)
         return run
 
     return add
