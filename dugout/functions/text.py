@@ -54,7 +54,9 @@ def to_float(c: Column | str) -> Column:
 
 
 def number(df: DataFrame, name: str) -> Column:
-    """Column ``name`` as double: parsed when it is text, cast when it is already typed."""
+    """Column ``name`` as double: parsed when text, cast when typed, NULL when absent."""
+    if name not in df.columns:
+        return F.lit(None).cast("double")
     return number_of(df.schema[name].dataType, F.col(name))
 
 
@@ -95,6 +97,12 @@ def parse_date(c: Column | str) -> Column:
     )
 
 
+def day_of(df: DataFrame, name: str) -> Column:
+    """Column ``name`` as date: parsed when it is text, so blanks and junk give NULL."""
+    text = isinstance(df.schema[name].dataType, T.StringType)
+    return parse_date(name) if text else F.col(name).cast("date")
+
+
 def format_date(c: Column | str) -> Column:
     """Any accepted date text as ``MM/DD/YYYY``; other text comes back trimmed, unchanged."""
     s = strip(c)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dugout.functions.spin import axis_to_clock
-from dugout.functions.text import null_to_blank, number
+from dugout.functions.text import day_of, null_to_blank, number
 from dugout.operators.grouping import sums_with_labels
 from dugout.operators.pitch_search import search_pitches
 from dugout.session import shared_dir
@@ -34,8 +34,8 @@ def pitch_order(df: DataFrame) -> Column:
     if "row_order" in df.columns:
         return F.col("row_order").cast("long")
     if {"game_date", "game_pk"} <= set(df.columns):
-        day = F.unix_date(F.col("game_date").cast("date")).cast("long")
-        return day * 10_000_000_000 + F.col("game_pk").cast("long")
+        day = F.unix_date(day_of(df, "game_date")).cast("long")
+        return day * 10_000_000_000 + F.col("game_pk").try_cast("long")
     return F.lit(0).cast("long")
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from dugout.functions.spin import SPIN_INPUTS, add_spin_columns, axis_to_clock
-from dugout.functions.text import number
+from dugout.functions.text import day_of, number
 from dugout.operators.ordered import GROUP_LIMIT, look_back
 from dugout.operators.ranking import percentiles
 from dugout.session import shared_dir
@@ -44,7 +44,7 @@ def _percent(part: Column, whole: Column) -> Column:
 
 
 def with_season(df: DataFrame, day: str = "game_date", out: str = "year") -> DataFrame:
-    return df.withColumn(out, F.year(day))
+    return df.withColumn(out, F.year(day_of(df, day)))
 
 
 def view_key(view: str, columns: dict[str, str] | None = None) -> list[str]:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dugout.functions.spin import SPIN_INPUTS
-from dugout.functions.text import number, parse_date
+from dugout.functions.text import day_of, number
 from dugout.operators.resolve import team_code
 
 ROLES = {"pitcher": "pitcher", "batter": "batter"}
@@ -111,7 +111,9 @@ def search_pitches(
         raise ValueError(f"start_date {start} is after end_date {end}")
     role = ROLES[choose(player_type, "player_type", ROLES)]
     choose(level, "level", LEVELS)
-    conditions = [F.col("game_date").between(F.lit(start), F.lit(end))]
+    typed = isinstance(df.schema["game_date"].dataType, T.DateType)
+    day = F.col("game_date") if typed else day_of(df, "game_date")
+    conditions = [day.between(F.lit(start), F.lit(end))]
     if LAYOUT_YEAR in df.columns:
         conditions.append(F.col(LAYOUT_YEAR).between(start.year, end.year))
     if "level" in df.columns:
@@ -186,9 +188,7 @@ def typed_pitches(df: DataFrame) -> DataFrame:
     """Text pitch rows with dates and numbers parsed, so later queries need not."""
     numbers = {c: number(df, c) for c in dict.fromkeys(PITCH_NUMBERS) if c in df.columns}
     out = df.withColumns(numbers)
-    if "game_date" in df.columns and isinstance(df.schema["game_date"].dataType, T.StringType):
-        out = out.withColumn("game_date", parse_date("game_date"))
-    return out
+    return out.withColumn("game_date", day_of(df, "game_date")) if "game_date" in df.columns else out
 
 
 def land_pitches(df: DataFrame, path: str) -> None:

@@ -41,7 +41,8 @@ def leaders(
     Where the caller knows how many ``groups`` there are at most, that table has a proven
     size and is broadcast, which spares the rows a shuffle.
     """
-    counts = df.groupBy(*by, value).agg(F.count(F.lit(1)).alias("_n"))
+    known = df.where(F.col(value).isNotNull())
+    counts = known.groupBy(*by, value).agg(F.count(F.lit(1)).alias("_n"))
     direction = F.desc(value) if descending else F.asc(value)
     w = Window.partitionBy(*by).orderBy(direction) if by else Window.orderBy(direction)
     best = counts.withColumn("_place", F.row_number().over(w)).where(F.col("_place") <= top)

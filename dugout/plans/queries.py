@@ -1314,7 +1314,7 @@ def stream_of_changes(spark, sf):
     rows = event_stream(spark, sf).select("event_id", "ts", "user_id", "value")
     feeds.follow_changes(rows, ["user_id"], "ts", f"{home}/table", f"{home}/state")
     now = feeds.current_versions(spark, f"{home}/table", ["user_id"], "ts")
-    return now.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    return feeds.zoneless(now, "ts")
 
 
 @query("""SELECT date_trunc('day', ts)::TIMESTAMP AS window_start, user_id, count(*) AS n, min(ts) AS first_ts, max(ts) AS last_ts
@@ -1323,7 +1323,7 @@ def stream_of_increments(spark, sf):
     home = shared_path(spark, "windows")
     feeds.follow_windows(event_stream(spark, sf), "user_id", "ts", "1 day", f"{home}/table", f"{home}/state")
     now = feeds.current_windows(spark, f"{home}/table", "user_id")
-    return now.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "first_ts", "last_ts")})
+    return feeds.zoneless(now, "window_start", "first_ts", "last_ts")
 
 
 @query(

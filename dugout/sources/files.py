@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from dugout.functions.text import as_col
 
 CSV_OPTIONS = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
-HTML_START = r"^(?i)(<!doctype|<html)"
+HTML_START = r"^\s*(?i:<!doctype|<html)"
 NESTED = (T.StructType, T.ArrayType, T.MapType, T.VariantType)
 
 
@@ -56,7 +56,7 @@ def read_bodies(spark: SparkSession, path: str) -> DataFrame:
 
 
 def is_html(body: Column | str) -> Column:
-    return F.ltrim(F.regexp_replace(as_col(body), "^\\s+", "")).rlike(HTML_START)
+    return as_col(body).rlike(HTML_START)
 
 
 def split_html(df: DataFrame, body: str) -> tuple[DataFrame, DataFrame]:

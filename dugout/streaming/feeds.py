@@ -25,8 +25,17 @@ def landing_stream(spark: SparkSession, path: str, schema: T.StructType, glob: s
 
 
 def zoned(df: DataFrame, ts: str) -> DataFrame:
-    """Watermarks need zoned timestamps; zone-less ones are read in the session zone."""
-    return df.withColumn(ts, F.col(ts).cast("timestamp"))
+    """Watermarks need zoned timestamps; zone-less ones are taken as UTC in any session."""
+    if not isinstance(df.schema[ts].dataType, T.TimestampNTZType):
+        return df
+    local = F.convert_timezone(F.lit("UTC"), F.current_timezone(), F.col(ts))
+    return df.withColumn(ts, local.cast("timestamp"))
+
+
+def zoneless(df: DataFrame, *columns: str) -> DataFrame:
+    """The way back: zoned timestamps as zone-less UTC ones."""
+    utc = {c: F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.col(c).cast("timestamp_ntz")) for c in columns}
+    return df.withColumns(utc)
 
 
 def latest(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:

@@ -331,3 +331,17 @@ def test_merge_sports_keeps_every_asked_sport(spark):
     df = spark.createDataFrame([(1, "a"), (11, "b"), (99, "c")], "sport_id int, who string")
     got = sorted((r["sport_id"], r["who"]) for r in entities.merge_sports(df, (1, 11, 12), ["who"]).collect())
     assert got == [(1, "a"), (11, "b"), (12, None)]
+
+
+def test_text_pitch_rows_with_blank_dates(spark):
+    rows = [("745001", "2024-06-01", "1", "FF"), ("", "", "1", "FF"), ("745002", "06/02/2024", "1", "FF")]
+    df = spark.createDataFrame(rows, "game_pk string, game_date string, pitcher string, pitch_type string")
+    assert pitch_search.search_pitches(df, "2024-06-01", "2024-06-30").count() == 2
+    assert arsenal.aggregate_arsenal(df).first()["n_pitches"] == 3
+    assert sorted(str(r["year"]) for r in derived.with_season(df).collect()) == ["2024", "2024", "None"]
+
+
+def test_leaders_ignore_missing_values(spark):
+    df = spark.createDataFrame([("a", None), ("a", 2), ("a", 1)], "cat string, v int")
+    got = ranking.leaders(df, ["cat"], "v", 1, descending=False).collect()
+    assert [(r["v"], r["rank"]) for r in got] == [(1, 1)]

@@ -25,3 +25,12 @@ def test_runs_without_sql(spark, small, name):
 
 def test_entry(spark):
     assert entry(spark).count() > 0
+
+
+@pytest.mark.parametrize("name", ["stream_of_changes", "stream_of_increments", "timecodes", "feed_at_many_times"])
+def test_any_session_zone(spark, small, con, name):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        assert compare(queries()[name](spark, small), con, SQLS[name]) == ""
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
