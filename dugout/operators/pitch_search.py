@@ -60,10 +60,10 @@ def choose(value: str, name: str, allowed) -> str:
 
 
 def multi_value(value: Any) -> list[str]:
-    """``"FF|SL|"`` , ``"FF,SL"`` or a list to its values; empty parts are dropped."""
+    """``"FF|SL|"`` or a list to its values; empty parts are dropped, commas are text."""
     if isinstance(value, (list, tuple, set)):
         return [str(v) for v in value]
-    return [v for v in str(value).replace(",", "|").split("|") if v]
+    return [v for v in str(value).split("|") if v]
 
 
 def value_filter(df: DataFrame, name: str, value: Any) -> Column:

@@ -142,6 +142,7 @@ SHAPING = {
     "timecode", "startTimecode", "endTimecode", "updatedSince", "startSeason", "endSeason",
     "leaderCategories", "names", "appContext", "useLatestGames", "withGameTypeDates",
 }
+SHAPED_TEXT = {"fields"}
 DEFAULT_LEADERS = 5
 
 
@@ -152,6 +153,12 @@ def column_of(param: str, columns: list[str]) -> str | None:
     return next((t for t in tries if t in columns), None)
 
 
+def _listed(param: str, value: Any) -> Any:
+    """Plural parameters take a list or its comma-joined text."""
+    plural = param.endswith("s") and param not in ("activeStatus", "allStarStatus")
+    return value.split(",") if plural and isinstance(value, str) else value
+
+
 def _category_bound(given: dict[str, Any]) -> int | None:
     """How many leader categories an answer can have: those asked for."""
     asked = given.get("leaderCategories")
@@ -186,7 +193,7 @@ def query_endpoint(
     unknown = set(params) - allowed
     if unknown:
         raise ValueError(f"{name} does not take {sorted(unknown)}; it takes {sorted(allowed)}")
-    given = {p: v for p, v in params.items() if v is not None}
+    given = {p: _listed(p, v) if p not in SHAPED_TEXT else v for p, v in params.items() if v is not None}
     out = df
     for param, wanted in given.items():
         if param in SHAPING:

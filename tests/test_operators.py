@@ -47,7 +47,7 @@ def test_arsenal_missing_key_and_first_row(spark):
 
 def test_search_arguments(spark, thrown):
     days = thrown.withColumn("game_date", F.lit("2024-06-01").cast("date"))
-    assert pitch_search.search_pitches(days, "2024-06-01", "2024-06-07", hfPT="FF,SL").count() == 5
+    assert pitch_search.search_pitches(days, "2024-06-01", "2024-06-07", hfPT="FF|SL|").count() == 5
     assert pitch_search.search_pitches(days, "2024-05-26", "2024-06-01", player_id=1, hfPT="SL|").count() == 2
     assert pitch_search.search_pitches(days, "2024-06-02", "2024-06-07").count() == 0
     for bad in (("2024-6-1", "2024-06-02"), ("2024-06-02", "2024-06-01")):
@@ -341,6 +341,15 @@ def test_text_pitch_rows_with_blank_dates(spark):
     assert sorted(str(r["year"]) for r in derived.with_season(df).collect()) == ["2024", "2024", "None"]
 
 
+def test_commas_are_text_in_pitch_filters(spark):
+    df = spark.createDataFrame([("Lee, Ann", "FF"), ("Lee", "SL")], "player_name string, pitch_type string")
+    assert pitch_search.filter_rows(df, player_name="Lee, Ann").count() == 1
+    assert pitch_search.filter_rows(df, pitch_type="FF|SL|").count() == 2
+    people = spark.createDataFrame([(1,), (2,), (3,)], "person_id int")
+    assert endpoints.query_endpoint("get_people", people, personIds="1,2").count() == 2
+    assert endpoints.query_endpoint("get_people", people, personIds=[3]).count() == 1
+
+
 def test_leaders_ignore_missing_values(spark):
     df = spark.createDataFrame([("a", None), ("a", 2), ("a", 1)], "cat string, v int")
     got = ranking.leaders(df, ["cat"], "v", 1, descending=False).collect()
