@@ -40,15 +40,16 @@ def to_float(c: Column | str) -> Column:
     """Number in a text cell; blank and junk give NULL, ``"0"`` gives 0.0.
 
     The JVM parser also takes a trailing type letter (``93.4d``) and hex floats, which are
-    junk here; digit-group underscores (``1_000``) are valid here and unknown to it. Only
+    junk here; digit-group underscores (``1_000``) and a signed ``nan`` are valid here and
+    unknown to it. Only
     cells with such a letter pay for the full pattern, and blank is tested first because a
     failed parse costs an exception per cell.
     """
     cell = as_col(c)
-    plain = F.replace(cell, F.lit("_"), F.lit(""))
+    plain = F.regexp_replace(cell, "_|[+-](?=[nN])", "")
     return (
         F.when(cell == "", None)
-        .when(~cell.rlike("[_dDfFxX]"), cell.try_cast("double"))
+        .when(~cell.rlike("[_dDfFxXnN]"), cell.try_cast("double"))
         .when(cell.rlike(NUMBER), plain.try_cast("double"))
     )
 

@@ -139,3 +139,36 @@ def test_name_text(spark):
     assert [r[0] for r in df.select(text.full_name("f", "l")).collect()] == ["mike trout", "trout", ""]
     assert df.where(text.name_matches("E TRO", "f", "l")).count() == 1
     assert df.select(F.count_if(text.blank_to_null("f").isNull())).first()[0] == 2
+
+
+def test_to_float_agrees_with_python_on_random_cells(spark):
+    import random
+
+    random.seed(5)
+    parts = ["0", "1", "42", ".", "e", "E", "+", "-", "_", " ", "d", "f", "x", "inf", "nan", "Infinity", "1_0", "\t", "NaN"]
+    cells = sorted({"".join(random.choices(parts, k=random.randint(1, 5))) for _ in range(4000)})
+
+    def python(cell):
+        try:
+            return float(cell)
+        except ValueError:
+            return None
+
+    got = one_column(spark, cells, text.to_float("c"))
+    wrong = [
+        (c, g, python(c)) for c, g in zip(cells, got, strict=True) if repr(g) != repr(python(c))
+    ]
+    assert wrong == []
+
+
+def test_clock_agrees_with_python_on_many_axes(spark):
+    def python(axis):
+        total = axis % 360.0 / 360.0 * 12 * 60
+        hour = int(total // 60) % 12 or 12
+        minute = round(total - (total // 60) * 60)
+        if minute == 60:
+            hour, minute = hour % 12 + 1, 0
+        return f"{hour}:{minute:02d}"
+
+    axes = [i * 0.25 - 400 for i in range(4000)]
+    assert one_column(spark, axes, spin.axis_to_clock("c"), "double") == [python(a) for a in axes]
