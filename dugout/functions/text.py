@@ -43,14 +43,16 @@ def to_float(c: Column | str) -> Column:
     junk here; digit-group underscores (``1_000``) and a signed ``nan`` are valid here and
     unknown to it. Only
     cells with such a letter pay for the full pattern, and blank is tested first because a
-    failed parse costs an exception per cell.
+    failed parse costs an exception per cell. The one accepted spelling the JVM still
+    fails on is the signed ``nan``. The expression is kept short: it is compiled once per
+    column, and long generated methods start slowly.
     """
     cell = as_col(c)
-    plain = F.regexp_replace(cell, "_|[+-](?=[nN])", "")
+    plain = F.replace(cell, F.lit("_"), F.lit(""))
     return (
         F.when(cell == "", None)
         .when(~cell.rlike("[_dDfFxXnN]"), cell.try_cast("double"))
-        .when(cell.rlike(NUMBER), plain.try_cast("double"))
+        .when(cell.rlike(NUMBER), F.coalesce(plain.try_cast("double"), F.lit(float("nan"))))
     )
 
 
