@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dugout.llm import language, mixing, packing, quality, sharding, token_counts
+from dugout.llm import html_text, language, mixing, packing, quality, sharding, token_counts
 
 # Folder of the vocabulary files; None asks the installed package that holds them.
 VOCABULARIES = os.environ.get("TOKENIZER_DIR")
@@ -43,6 +43,10 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op4_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op5_jump_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     sharded = sharding.shard(documents(spark, sf_dir), SHARDS)
     return sharded.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
@@ -66,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_best_fit_packing,
         op2_language_id,
+        op4_html_main_text,
         op5_jump_sharding,
         op6_divergence_rules,
         op9_token_counts,
