@@ -8,10 +8,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dugout.llm import html_text, language, mixing, packing, quality, sharding, token_counts
+from dugout.llm import embedding_dedup, html_text, language, mixing, packing, quality, sharding, token_counts
 
 # Folder of the vocabulary files; None asks the installed package that holds them.
 VOCABULARIES = os.environ.get("TOKENIZER_DIR")
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 SEQUENCE = 2048
 TOKEN_LIMIT = 512
 SHARDS = 40
@@ -26,6 +27,8 @@ def vocabulary(name: str) -> str:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    # Workers started by this session find the package even where it is not installed.
+    spark.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -56,6 +59,10 @@ def op6_divergence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(documents(spark, sf_dir))
 
 
+def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"), TOKEN_LIMIT)
 
@@ -73,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op4_html_main_text,
         op5_jump_sharding,
         op6_divergence_rules,
+        op8_embedding_near_dedup,
         op9_token_counts,
         op10_pivotal_mix,
     )
