@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dugout.llm import language, mixing, packing, quality
+from dugout.llm import jaccard_join, language, mixing, packing, quality
 from dugout.llm.common import written
 from dugout.llm.queries import SEQUENCE, documents, vocabulary
 
@@ -26,6 +26,11 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.keep(docs)
 
 
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of similar ones."""
+    return jaccard_join.keep_one(docs)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as their source's target asks for."""
     return mixing.apply_mix(docs)
@@ -40,6 +45,7 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 STAGES: list[tuple[str, Stage]] = [
     ("language_id", language_id),
     ("quality_rules", quality_rules),
+    ("near_copies", near_copies),
     ("mix_sources", mix_sources),
     ("pack_sequences", pack_sequences),
 ]

@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dugout.llm import embedding_dedup, html_text, language, mixing, packing, quality, sharding, token_counts
+from dugout.llm import embedding_dedup, html_text, jaccard_join, language, licenses, mixing, packing, quality, sharding, token_counts
+from dugout.llm.sql import SQL
 
 # Folder of the vocabulary files; None asks the installed package that holds them.
 VOCABULARIES = os.environ.get("TOKENIZER_DIR")
@@ -46,6 +47,10 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(documents(spark, sf_dir))
+
+
 def op4_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
@@ -59,6 +64,10 @@ def op6_divergence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(documents(spark, sf_dir))
 
 
+def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.similar_groups(documents(spark, sf_dir))
+
+
 def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
@@ -77,13 +86,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_best_fit_packing,
         op2_language_id,
+        op3_license_scan,
         op4_html_main_text,
         op5_jump_sharding,
         op6_divergence_rules,
+        op7_ngram_jaccard_join,
         op8_embedding_near_dedup,
         op9_token_counts,
         op10_pivotal_mix,
     )
 }
 
-SQL: dict[str, str] = {}
+__all__ = ["QUERIES", "SQL"]
