@@ -125,7 +125,7 @@ class Landed:
         return self.convert_id("bbref", "mlbam", bbref)
 
     def get_leaderboard(self, slug: str, year: Any = None, player_id: Any = None, **params: Any) -> DataFrame:
-        """A landed board; boards kept as HTML pages give one row per page with its JSON."""
+        """A landed board; boards kept as HTML pages give the rows of their embedded arrays."""
         spec = board(slug)
         if spec.json_var is None:
             landed = leaderboard.scan_board(self.spark, f"{self.root}/boards", slug)
@@ -133,8 +133,13 @@ class Landed:
         variable = HOT_STOVE_VARS[params.get("side", "batter")] if slug == "hot-stove" else spec.json_var
         pages = self.spark.read.parquet(f"{self.root}/pages/{spec.slug}")
         wanted = {"year": year, **params}
-        rows = pitch_search.filter_rows(pages, **{k: v for k, v in wanted.items() if k in pages.columns})
-        return files.embedded_json(rows, "html", variable)
+        wanted = {k: v for k, v in wanted.items() if v is not None and k != "side"}
+        if player_id is not None:
+            wanted["player_id"] = player_id
+        if absent := sorted(set(wanted) - set(pages.columns)):
+            raise ValueError(f"pages of {slug!r} have no column for {absent}")
+        rows = pitch_search.filter_rows(pages, **wanted)
+        return leaderboard.page_rows(files.embedded_json(rows, "html", variable), spec)
 
     def __getattr__(self, name: str):
         if name not in BOARD_CALLS:

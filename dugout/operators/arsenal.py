@@ -11,7 +11,6 @@ from dugout.functions.spin import axis_to_clock
 from dugout.functions.text import day_of, null_to_blank, number
 from dugout.operators.grouping import sums_with_labels
 from dugout.operators.pitch_search import search_pitches
-from dugout.session import shared_dir
 
 # Fixed list of averaged metrics, in output order.
 ARSENAL_METRICS = (
@@ -21,7 +20,7 @@ ARSENAL_METRICS = (
 )
 CARRIED = ("player_name", "p_throws")
 # Columns whose distinct values per pitcher are few by nature.
-NARROW_KEYS = {"pitcher", "pitch_type", *CARRIED}
+NARROW_KEYS = {"pitcher", "pitch_type", "p_throws"}
 
 
 def group_key(df: DataFrame, name: str) -> Column:
@@ -69,7 +68,7 @@ def aggregate_arsenal(
     grouped = sums_with_labels(rows, group_by, carried, "_order", sums)
     head = [*group_by, *carried, "n_pitches"]
     if "pitcher" in group_by:
-        grouped = add_usage(grouped, narrow=set(group_by) <= NARROW_KEYS)
+        grouped = add_usage(grouped, rows, narrow=set(group_by) <= NARROW_KEYS)
         head.append("usage_pct")
     means = grouped.select(
         *head,
@@ -85,21 +84,19 @@ def aggregate_arsenal(
     return means
 
 
-def add_usage(grouped: DataFrame, narrow: bool) -> DataFrame:
-    """Share of the pitcher's pitches per group, from the grouped rows.
+def add_usage(grouped: DataFrame, rows: DataFrame, narrow: bool) -> DataFrame:
+    """Share of the pitcher's pitches per group.
 
     With few groups per pitcher a window on the grouped rows does. With arbitrary keys a
-    pitcher may own many groups, so totals are aggregated and joined back; the grouped
-    rows are checkpointed for that, else the pitches would be read once for each side.
+    pitcher may own many groups, so totals come from a second scan, which reads the pitcher's
+    column alone, and are joined.
     """
     share = (F.lit(100.0) * F.col("n_pitches") / F.col("_total")).alias("usage_pct")
     if narrow:
         totals = F.sum("n_pitches").over(Window.partitionBy("pitcher"))
         return grouped.withColumn("_total", totals).select(*grouped.columns, share)
-    shared_dir(grouped.sparkSession)
-    grouped = grouped.checkpoint()
-    totals = grouped.groupBy("pitcher").agg(F.sum("n_pitches").alias("_total"))
-    return grouped.join(totals, "pitcher").select(*grouped.columns, share)
+    totals = rows.groupBy(F.col("pitcher").alias("_pitcher")).agg(F.count(F.lit(1)).alias("_total"))
+    return grouped.join(totals, F.col("pitcher") == F.col("_pitcher")).select(*grouped.columns, share)
 
 
 def pitcher_arsenal(

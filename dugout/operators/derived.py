@@ -26,11 +26,12 @@ BAT_COLUMNS = (
     "bat_speed", "swing_length", "miss_distance", "attack_angle", "attack_direction",
     "swing_path_tilt",
 )
+# The team views read columns that ``with_teams`` adds.
 VIEWS = {
     "batter": "batter",
     "pitcher": "pitcher",
-    "batting-team": "away_team",
-    "pitching-team": "home_team",
+    "batting-team": "batting_team",
+    "pitching-team": "pitching_team",
     "league": None,
 }
 
@@ -47,6 +48,23 @@ def with_season(df: DataFrame, day: str = "game_date", out: str = "year") -> Dat
     return df.withColumn(out, F.year(day_of(df, day)))
 
 
+def with_teams(df: DataFrame, half: str = "inning_topbot") -> DataFrame:
+    """Adds ``batting_team`` and ``pitching_team``: the away team bats in the top half.
+
+    Refuses rows without a half-inning column; a half that is neither gives NULL teams.
+    """
+    if half not in df.columns:
+        raise ValueError(f"team views need the half-inning column {half!r}")
+    top, bottom = F.lower(half) == "top", F.lower(half).isin("bot", "bottom")
+    away, home = F.col("away_team"), F.col("home_team")
+    return df.withColumns(
+        {
+            "batting_team": F.when(top, away).when(bottom, home),
+            "pitching_team": F.when(top, home).when(bottom, away),
+        }
+    )
+
+
 def view_key(view: str, columns: dict[str, str] | None = None) -> list[str]:
     """Grouping columns of a board view; the league view has none."""
     known = {**VIEWS, **(columns or {})}
@@ -69,7 +87,10 @@ def exit_velocity(df: DataFrame, by: Sequence[str]) -> DataFrame:
 
 
 def observed_stats(df: DataFrame, by: Sequence[str], events: str = "events") -> DataFrame:
-    """Plate appearances, balls in play, batting average and slugging from event codes."""
+    """Plate appearances, balls in play, batting average and slugging from event codes.
+
+    Sacrifices are balls in play, but not at-bats.
+    """
     event = F.col(events)
     known = [e for g in ("hits", "outs", "walks_hbp", "errors") for e in EVENT_GROUPS[g]]
     bases = F.lit(0)
@@ -79,7 +100,7 @@ def observed_stats(df: DataFrame, by: Sequence[str], events: str = "events") ->
     strikeout = event.isin("strikeout", "strikeout_double_play", "strikeout_triple_play")
     sums = df.where(event.isin(*known)).groupBy(*by).agg(
         _count().alias("pa"),
-        F.count_if(at_bat & ~strikeout).alias("bip"),
+        F.count_if(~event.isin(*EVENT_GROUPS["walks_hbp"]) & ~strikeout).alias("bip"),
         F.count_if(at_bat).alias("ab"),
         F.count_if(event.isin(*EVENT_GROUPS["hits"])).alias("hits"),
         F.sum(bases).alias("total_bases"),

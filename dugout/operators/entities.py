@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from dugout.functions.text import TIMECODE, as_col, format_timecode
 from dugout.operators.ordered import GROUP_LIMIT, fill_forward
 from dugout.operators.pitch_search import value_filter
+from dugout.operators.ranking import page
 
 
 def entity_filter(df: DataFrame, **filters: Any) -> DataFrame:
@@ -52,15 +53,15 @@ def as_of_date(df: DataFrame, keys: Sequence[str], column: str, on: Any) -> Data
 
 
 def changed_since(
-    df: DataFrame, updated: str, since: Any, limit: int | None = None, offset: int = 0
+    df: DataFrame, updated: str, since: Any, limit: int | None = None, offset: int = 0, ties: Sequence[str] = ()
 ) -> DataFrame:
-    """Rows updated at or after a time; paging needs the order by time."""
+    """Rows updated at or after a time; pages go by time, then ``ties``, which a page needs."""
     rows = df.where(F.col(updated) >= F.lit(since).cast(df.schema[updated].dataType))
     if limit is None and not offset:
         return rows
-    ordered = rows.orderBy(updated)
-    ordered = ordered.offset(offset) if offset else ordered
-    return ordered if limit is None else ordered.limit(limit)
+    if not ties:
+        raise ValueError("pages of changes need a tie key, or they may overlap")
+    return page(rows, updated, ties, limit, offset, descending=False)
 
 
 def moment(timecode: str | Column) -> Column:
@@ -71,16 +72,23 @@ def moment(timecode: str | Column) -> Column:
 
 
 def feed_at(df: DataFrame, game: str, ts: str, timecode: str | Column | None = None) -> DataFrame:
-    """Per game the snapshot in force at a timecode (the latest one without)."""
+    """Per game the snapshot in force at a timecode (the latest one without).
+
+    The time comes first, from a small hash aggregate, then the snapshot by a join: bodies do
+    not pass through aggregation buffers. Snapshots of one game and time count as one.
+    """
     seen = df if timecode is None else df.where(F.col(ts) <= moment(timecode))
-    rest = [c for c in df.columns if c != game]
-    latest = seen.groupBy(game).agg(F.max_by(F.struct(*rest), ts).alias("_row"))
-    return latest.select(*[F.col(c) if c == game else F.col(f"_row.{c}") for c in df.columns])
+    newest = seen.groupBy(F.col(game).alias("_game")).agg(F.max(ts).alias("_newest"))
+    rows = seen.join(newest, F.col(game).eqNullSafe(F.col("_game")) & (F.col(ts) == F.col("_newest")))
+    return rows.drop("_game", "_newest").dropDuplicates([game, ts])
 
 
-def feed_between(df: DataFrame, ts: str, start: str | Column, end: str | Column) -> DataFrame:
-    """Snapshots after one timecode, up to another."""
-    return df.where((F.col(ts) > moment(start)) & (F.col(ts) <= moment(end)))
+def feed_between(
+    df: DataFrame, ts: str, start: str | Column | None = None, end: str | Column | None = None
+) -> DataFrame:
+    """Snapshots after one timecode, up to another; either may be left open."""
+    after = F.lit(True) if start is None else F.col(ts) > moment(start)
+    return df.where(after if end is None else after & (F.col(ts) <= moment(end)))
 
 
 def feed_timecodes(df: DataFrame, game: str, ts: str, out: str = "timecode") -> DataFrame:
@@ -99,15 +107,20 @@ def feed_at_probes(
 ) -> DataFrame:
     """For each probe row the body in force at its own time, NULL before the first.
 
-    Both sides are stacked and the body is carried forward in time order, so no pair of
-    probe and snapshot is ever formed, however many a game has, and one shuffle does. A
-    snapshot at the very time of a probe counts.
+    Both sides are stacked and the snapshot's time is carried forward in time order, so no
+    pair of probe and snapshot is ever formed, however many a game has; the body then joins by
+    game and time. A snapshot at the very time of a probe counts; one without a body does not.
     """
     marks = probes.select(game, F.col(ts).alias("_at"), F.lit(1).alias("_side"), probe)
-    shots = feeds.select(game, F.col(ts).alias("_at"), F.lit(0).alias("_side"), F.col(body).alias("_body"))
+    known = feeds.where(F.col(body).isNotNull())
+    shots = known.select(game, F.col(ts).alias("_at"), F.lit(0).alias("_side"), F.col(ts).alias("_shot"))
     stacked = marks.unionByName(shots, allowMissingColumns=True)
-    filled = fill_forward(stacked, [game], ["_at", "_side"], "_body", out, limit)
-    return filled.where("_side = 1").select(game, F.col("_at").alias(ts), probe, out)
+    filled = fill_forward(stacked, [game], ["_at", "_side"], "_shot", "_from", limit)
+    bodies = known.select(F.col(game).alias("_game"), F.col(ts).alias("_ts"), F.col(body).alias(out))
+    bodies = bodies.dropDuplicates(["_game", "_ts"])
+    at = F.col(game).eqNullSafe(F.col("_game")) & (F.col("_from") == F.col("_ts"))
+    rows = filled.where("_side = 1").join(bodies, at, "left")
+    return rows.select(game, F.col("_at").alias(ts), probe, out)
 
 
 def nested_rows(df: DataFrame, payload: str, path: str, fields: Mapping[str, str], keep: Sequence[str] = ()) -> DataFrame:

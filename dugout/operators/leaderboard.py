@@ -164,8 +164,9 @@ def leaderboard(
     if type is not None and not spec.drop_type:
         if spec.views and type not in spec.views:
             raise ValueError(f"{type!r} is not a view of {spec.slug!r}: {spec.views}")
-        if "type" in out.columns:
-            out = out.where(F.col("type") == type)
+        if "type" not in out.columns:
+            raise ValueError(f"board {spec.slug!r} has no column for the view {type!r}")
+        out = out.where(F.col("type") == type)
     if spec.slug == "percentile-rankings":
         out = drop_placeholder(out)
     if player_id is not None:
@@ -193,5 +194,19 @@ def leaderboard(
         return out.where(qualifier)
     column = weight or spec.min_column
     if column is None or column not in out.columns:
-        raise ValueError(f"{spec.slug!r} has no count column for {spec.min_param!r}")
+        raise ValueError(f"{spec.slug!r} has no count column for {spec.min_param!r}; pass weight='<column>'")
     return out.where(number(out, column) >= float(least))
+
+
+def page_rows(pages: DataFrame, spec: Board, json: str = "json") -> DataFrame:
+    """The array in each page as rows, one per element, with the board's columns as text.
+
+    Boards without stated columns give the element itself as ``row``. Pages without an array
+    give no rows; ``<json>_status`` on the pages says why.
+    """
+    kept = [c for c in pages.columns if c not in (json, f"{json}_status", "html", *spec.columns)]
+    rows = pages.select(*kept, F.explode(F.try_variant_get(json, "$", "array<variant>")).alias("row"))
+    if not spec.columns:
+        return rows
+    fields = [F.try_variant_get("row", f"$.{c}", "string").alias(c) for c in spec.columns]
+    return rows.select(*kept, *fields)

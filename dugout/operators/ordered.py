@@ -3,10 +3,11 @@
 A window partition is one task's work, so a key holding a large share of all rows would
 put that share on one executor. Each function here first measures the largest key with a
 count that combines before the shuffle. Below ``limit`` rows per key a plain window is
-the cheapest plan. Above it the rows are range-partitioned on (key, order) into slices of
-even size, checkpointed so slice numbers stay fixed if executors are lost, and worked on
-slice by slice; what crosses a slice border is carried by a small table with at most two
-rows per slice border. Both ways give the same rows.
+the cheapest plan. The rows of the keys above it, and only those, are range-partitioned on
+(key, order) into slices of even size, checkpointed so slice numbers stay fixed if executors
+are lost, and worked on slice by slice; what crosses a slice border is carried by a small
+table with at most two rows per slice border. Both ways give the same rows, for NULL keys too.
+The limit counts rows: carry wide columns (payload bodies) beside, and join them after.
 
 The order columns must be unique within a key (``fill_forward``: rows that carry a value).
 ``limit=None`` states that groups are small by nature and skips the measuring pass.
@@ -15,26 +16,53 @@ The order columns must be unique within a key (``fill_forward``: rows that carry
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from dugout.session import shared_dir, shuffle_partitions
+from dugout.session import shared_dir, shared_path, shuffle_partitions
 
 GROUP_LIMIT = 2_000_000
 SLICE = "_slice"
 POSITION = "_position"
 
 
-def group_peak(df: DataFrame, keys: Sequence[str]) -> int:
-    """Rows of the largest key group; one number reaches the driver."""
-    top = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("n")).first()
-    return top["n"] or 0
+def same(left: Sequence[str], right: Sequence[str]) -> Column:
+    """Join condition under which NULL keys meet, as they do in a window."""
+    return reduce(lambda a, b: a & b, [F.col(x).eqNullSafe(F.col(y)) for x, y in zip(left, right, strict=True)])
 
 
-def is_hot(df: DataFrame, keys: Sequence[str], limit: int | None) -> bool:
-    """Whether some key has more rows than one task should hold."""
-    return limit is not None and group_peak(df, keys) > limit
+def split_hot(df: DataFrame, keys: Sequence[str], limit: int | None) -> tuple[DataFrame, DataFrame | None]:
+    """(rows of ordinary keys, rows of keys with more than ``limit`` rows or None).
+
+    Runs a counting job at once; the hot keys, at most rows / limit of them, are written to the
+    shared folder, so the count runs once.
+    """
+    if limit is None:
+        return df, None
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > limit)
+    names = [f"_hot{i}" for i in range(len(keys))]
+    path = shared_path(df.sparkSession, "hot-keys")
+    counts.select(*[F.col(k).alias(n) for k, n in zip(keys, names, strict=True)]).write.parquet(path)
+    hot = df.sparkSession.read.parquet(path)
+    if hot.isEmpty():
+        return df, None
+    return df.join(hot, same(keys, names), "left_anti"), df.join(hot, same(keys, names), "left_semi")
+
+
+def both_ways(
+    df: DataFrame,
+    keys: Sequence[str],
+    limit: int | None,
+    plain: Callable[[DataFrame], DataFrame],
+    hot: Callable[[DataFrame], DataFrame],
+) -> DataFrame:
+    """``plain`` on the rows of ordinary keys and ``hot`` on those of hot ones."""
+    ordinary, rest = split_hot(df, keys, limit)
+    if rest is None:
+        return plain(ordinary)
+    return plain(ordinary).unionByName(hot(rest))
 
 
 def sliced(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -60,7 +88,10 @@ def _borders(slices: DataFrame, keys: Sequence[str], local: Column, carry: str,
 
 
 def _join_borders(slices: DataFrame, borders: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return slices.join(F.broadcast(borders), [*keys, SLICE], "left")
+    names = [f"_border{i}" for i in range(len(keys) + 1)]
+    all_keys = [*keys, SLICE]
+    renamed = borders.withColumnsRenamed(dict(zip(all_keys, names, strict=True)))
+    return slices.join(F.broadcast(renamed), same(all_keys, names), "left").drop(*names)
 
 
 def running_total(
@@ -72,10 +103,14 @@ def running_total(
     limit: int | None = GROUP_LIMIT,
 ) -> DataFrame:
     """Inclusive running sum of ``value`` per key."""
-    if is_hot(df, keys, limit):
-        return total_over_slices(sliced(df, keys, order), keys, order, value, out).drop(SLICE)
     upto = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumn(out, F.sum(value).over(upto))
+    return both_ways(
+        df,
+        keys,
+        limit,
+        lambda rows: rows.withColumn(out, F.sum(value).over(upto)),
+        lambda rows: total_over_slices(sliced(rows, keys, order), keys, order, value, out).drop(SLICE),
+    )
 
 
 def total_over_slices(
@@ -108,10 +143,17 @@ def look_back(
     Hot keys: exact positions cut each key into blocks; the last ``back`` rows of a block
     are repeated at the head of the next one, and dropped again after the window.
     """
-    if not is_hot(df, keys, limit):
-        spec = Window.partitionBy(*keys).orderBy(*order)
-        return df.withColumns(build(spec))
-    block = max(back, limit)
+    spec = Window.partitionBy(*keys).orderBy(*order)
+    return both_ways(
+        df,
+        keys,
+        limit,
+        lambda rows: rows.withColumns(build(spec)),
+        lambda rows: _look_back_in_blocks(rows, keys, order, back, build, max(back, limit)),
+    )
+
+
+def _look_back_in_blocks(df, keys, order, back: int, build, block: int) -> DataFrame:
     one = F.lit(1).cast("long")
     placed = total_over_slices(sliced(df, keys, order), keys, order, one, POSITION).drop(SLICE)
     number = F.floor((F.col(POSITION) - 1) / block)
@@ -137,9 +179,17 @@ def fill_forward(
     limit: int | None = GROUP_LIMIT,
 ) -> DataFrame:
     """Latest non-null ``value`` at or before each row of its key."""
-    if not is_hot(df, keys, limit):
-        upto = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-        return df.withColumn(out, F.last(value, ignorenulls=True).over(upto))
+    upto = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    return both_ways(
+        df,
+        keys,
+        limit,
+        lambda rows: rows.withColumn(out, F.last(value, ignorenulls=True).over(upto)),
+        lambda rows: _fill_over_slices(rows, keys, order, value, out),
+    )
+
+
+def _fill_over_slices(df: DataFrame, keys, order, value: str, out: str) -> DataFrame:
     slices = sliced(df, keys, order)
     inner = (
         Window.partitionBy(SLICE, *keys)
@@ -153,3 +203,21 @@ def fill_forward(
     joined = _join_borders(slices, borders, keys)
     here = F.last(value, ignorenulls=True).over(inner)
     return joined.withColumn(out, F.coalesce(here, F.col("_before"))).drop(SLICE, "_before")
+
+
+def numbered(df: DataFrame, order: Sequence[Column], out: str = POSITION) -> DataFrame:
+    """Adds each row's place (from 1) in the total order ``order``; no task holds all rows.
+
+    Rows are range-partitioned in that order, checkpointed, and numbered slice by slice on
+    top of the counts of the slices before.
+    """
+    spark = df.sparkSession
+    shared_dir(spark)
+    ranged = df.repartitionByRange(shuffle_partitions(spark), *order)
+    slices = ranged.withColumn(SLICE, F.spark_partition_id()).checkpoint()
+    before = Window.orderBy("_of").rowsBetween(Window.unboundedPreceding, -1)
+    counts = slices.groupBy(F.col(SLICE).alias("_of")).agg(F.count(F.lit(1)).alias("_n"))
+    starts = counts.select("_of", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    inner = F.row_number().over(Window.partitionBy(SLICE).orderBy(*order))
+    placed = slices.withColumn(out, inner).join(F.broadcast(starts), F.col(SLICE) == F.col("_of"))
+    return placed.withColumn(out, F.col(out) + F.col("_before")).select(*df.columns, out)

@@ -78,9 +78,15 @@ def _all(conditions: list[Column]) -> Column:
 
 
 def filter_rows(df: DataFrame, **filters: Any) -> DataFrame:
-    """Equality or membership per named column; ``None`` and thresholds of 0 mean no filter."""
+    """Equality or membership per named column; ``None`` and thresholds of 0 mean no filter.
+
+    Thresholds count a group's rows, which a row filter does not know, so they are refused;
+    ``search_pitches`` applies ``min_pitches`` itself.
+    """
     out = df
     for key, value in filters.items():
+        if key in THRESHOLDS and value is not None and float(value) > 0:
+            raise ValueError(f"the threshold {key!r} cannot be applied here")
         if value is None or key in FORM_KNOBS or key in THRESHOLDS:
             continue
         column = FILTER_COLUMNS.get(key, key)
@@ -121,7 +127,8 @@ def search_pitches(
     lookup = {"pitcher": "pitchers_lookup[]", "batter": "batters_lookup[]"}[role]
     if player_id is not None and lookup not in filters:
         conditions.append(value_filter(df, role, player_id))
-    dateless = {k: v for k, v in filters.items() if k not in ("game_date_gt", "game_date_lt")}
+    own = ("game_date_gt", "game_date_lt", "min_pitches")
+    dateless = {k: v for k, v in filters.items() if k not in own}
     out = filter_rows(df.where(_all(conditions)), **dateless)
     least = int(filters.get("min_pitches") or 0)
     if least > 0:

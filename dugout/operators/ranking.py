@@ -11,10 +11,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from dugout.operators.ordered import GROUP_LIMIT, group_peak, running_total
-
+from dugout.operators.ordered import GROUP_LIMIT, numbered, running_total, same
 
 BROADCAST_ROWS = 100_000
+TOP_SLICES = 64
+PAGE_ROWS = 100_000
 
 
 def unpivot_stats(
@@ -29,32 +30,53 @@ def leaders(
     df: DataFrame,
     by: Sequence[str],
     value: str,
-    top: int,
+    top: int | None = None,
     descending: bool = True,
     rank: str = "rank",
     groups: int | None = None,
 ) -> DataFrame:
-    """Rows ranked within ``top`` per group, ties kept (1, 1, 3, ...).
+    """Rows ranked within ``top`` per group (all of them without), ties kept (1, 1, 3, ...).
 
     The cut-off table holds at most ``top`` distinct values per group and is built from
     per-value counts; the rows themselves are only filtered and joined, never gathered.
-    Where the caller knows how many ``groups`` there are at most, that table has a proven
-    size and is broadcast, which spares the rows a shuffle.
+    A group's values are first cut to ``top`` in each of a fixed number of slices, so a
+    category with many values is not sorted in one task. Without ``top``, ranks are running totals
+    over the values, cut into slices where a group is hot; ``value`` must then be a number.
+    Where the caller knows how many ``groups`` there are at most, the cut-off table has a
+    proven size and is broadcast, which spares the rows a shuffle.
     """
     known = df.where(F.col(value).isNotNull())
     counts = known.groupBy(*by, value).agg(F.count(F.lit(1)).alias("_n"))
-    direction = F.desc(value) if descending else F.asc(value)
-    w = Window.partitionBy(*by).orderBy(direction) if by else Window.orderBy(direction)
-    best = counts.withColumn("_place", F.row_number().over(w)).where(F.col("_place") <= top)
-    above = w.rowsBetween(Window.unboundedPreceding, -1)
-    cut = best.withColumn(rank, (F.coalesce(F.sum("_n").over(above), F.lit(0)) + 1).cast("long"))
-    cut = cut.where(F.col(rank) <= top).select(*by, value, rank)
-    return df.join(_bounded(cut, groups, top), [*by, value])
-
-
-def _bounded(table: DataFrame, groups: int | None, rows: int) -> DataFrame:
+    if top is None:
+        step = F.col(value) * (-1 if descending else 1)
+        upto = running_total(counts.withColumn("_step", step), by, ["_step"], F.col("_n"), "_upto")
+        cut = upto.withColumn(rank, (F.col("_upto") - F.col("_n") + 1).cast("long")).select(*by, value, rank)
+    else:
+        direction = F.desc(value) if descending else F.asc(value)
+        slices = Window.partitionBy(*by, "_slice").orderBy(direction)
+        few = (
+            counts.withColumn("_slice", F.pmod(F.xxhash64(value), F.lit(TOP_SLICES)))
+            .withColumn("_place", F.row_number().over(slices))
+            .where(F.col("_place") <= top)
+        )
+        w = Window.partitionBy(*by).orderBy(direction) if by else Window.orderBy(direction)
+        best = few.withColumn("_place", F.row_number().over(w)).where(F.col("_place") <= top)
+        above = w.rowsBetween(Window.unboundedPreceding, -1)
+        cut = best.withColumn(rank, (F.coalesce(F.sum("_n").over(above), F.lit(0)) + 1).cast("long"))
+        cut = cut.where(F.col(rank) <= top).select(*by, value, rank)
+    return _join_groups(known, _bounded(cut, groups, top), [*by, value], rank)
+
+
+def _join_groups(df: DataFrame, table: DataFrame, keys: Sequence[str], *extra: str) -> DataFrame:
+    """``df`` with ``extra`` from ``table``, groups that are NULL included."""
+    names = [f"_key{i}" for i in range(len(keys))]
+    side = table.withColumnsRenamed(dict(zip(keys, names, strict=True)))
+    return df.join(side, same(keys, names)).select(*df.columns, *extra)
+
+
+def _bounded(table: DataFrame, groups: int | None, rows: int | None) -> DataFrame:
     """``table`` marked for broadcast if ``groups`` times ``rows`` bounds it well enough."""
-    if groups is not None and groups * rows <= BROADCAST_ROWS:
+    if groups is not None and rows is not None and groups * rows <= BROADCAST_ROWS:
         return F.broadcast(table)
     return table
 
@@ -62,8 +84,8 @@ def _bounded(table: DataFrame, groups: int | None, rows: int) -> DataFrame:
 def high_low(df: DataFrame, by: Sequence[str], value: str, groups: int | None = None) -> DataFrame:
     """Rows holding the highest or lowest value per group, tagged ``high`` / ``low``."""
     ends = df.groupBy(*by).agg(F.max(value).alias("high"), F.min(value).alias("low"))
-    marks = ends.unpivot(list(by), ["high", "low"], "record", value)
-    return df.join(_bounded(marks, groups, 2), [*by, value])
+    marks = ends.unpivot(list(by), ["high", "low"], "record", value).where(F.col(value).isNotNull())
+    return _join_groups(df, _bounded(marks, groups, 2), [*by, value], "record")
 
 
 def page(
@@ -74,11 +96,20 @@ def page(
     offset: int = 0,
     descending: bool = True,
 ) -> DataFrame:
-    """One page of sorted rows; ``ties`` makes the order total so pages never overlap."""
-    ordered = df.orderBy(F.desc(sort) if descending else F.asc(sort), *ties)
-    if offset:
-        ordered = ordered.offset(offset)
-    return ordered if limit is None else ordered.limit(limit)
+    """One page of sorted rows; ``ties`` makes the order total so pages never overlap.
+
+    A page that ends within ``PAGE_ROWS`` rows comes from each task's first rows. A deeper or
+    open one is cut by place, so that no task gathers what lies before or after it.
+    """
+    order = [F.desc(sort) if descending else F.asc(sort), *[F.asc(t) for t in ties]]
+    if not offset and limit is None:
+        return df.orderBy(*order)
+    if limit is not None and offset + limit <= PAGE_ROWS:
+        ordered = df.orderBy(*order)
+        return (ordered.offset(offset) if offset else ordered).limit(limit)
+    placed = numbered(df, order, "_place").where(F.col("_place") > offset)
+    wanted = placed if limit is None else placed.where(F.col("_place") <= offset + limit)
+    return wanted.orderBy("_place").drop("_place")
 
 
 def percentiles(
@@ -90,20 +121,12 @@ def percentiles(
 ) -> DataFrame:
     """0-100 percentile of each metric within its group; NULL metrics get NULL.
 
-    Plain windows sharing one shuffle while the largest group fits one task; otherwise ranks are read
-    off running totals over distinct values, cut into slices.
+    Ranks are read off running totals over distinct values, whatever a group's size; groups
+    with more than ``limit`` distinct values are cut into slices.
     """
-    small = group_peak(df, by) <= limit
     out = df
     for m in metrics:
-        if small:
-            group = Window.partitionBy(*by)
-            below = F.rank().over(group.orderBy(F.asc_nulls_last(m))) - 1
-            size = F.count(m).over(group)
-            share = F.when(size == 1, F.lit(0.0)).otherwise(100 * (below / (size - 1)))
-            out = out.withColumn(m + suffix, F.when(F.col(m).isNotNull(), share))
-        else:
-            out = _percentile_by_counts(out, by, m, m + suffix, limit)
+        out = _percentile_by_counts(out, by, m, m + suffix, limit)
     return out
 
 
@@ -115,11 +138,11 @@ def _percentile_by_counts(df: DataFrame, by, metric: str, out: str, limit: int)
     )
     upto = running_total(counts, by, [metric], F.col("_n"), "_upto", limit)
     size = counts.groupBy(*by).agg(F.sum("_n").alias("_size"))
-    ranked = upto.join(size, list(by)).select(
-        *by,
-        metric,
-        F.when(F.col("_size") == 1, F.lit(0.0))
-        .otherwise(100 * ((F.col("_upto") - F.col("_n")) / (F.col("_size") - 1)))
-        .alias(out),
+    share = F.when(F.col("_size") == 1, F.lit(0.0)).otherwise(
+        100 * ((F.col("_upto") - F.col("_n")) / (F.col("_size") - 1))
     )
-    return df.join(ranked, [*by, metric], "left").select(*df.columns, out)
+    ranked = _join_groups(upto, size, list(by), "_size").withColumn(out, share)
+    names = [f"_key{i}" for i in range(len(by) + 1)]
+    keys = [*by, metric]
+    side = ranked.select(*[F.col(k).alias(n) for k, n in zip(keys, names, strict=True)], out)
+    return df.join(side, same(keys, names), "left").select(*df.columns, out)

@@ -1,4 +1,4 @@
-"""Free text to codes: teams, pitch types, hands, team ids, players; labels; suggestions.
+"""Free text to codes: teams, pitch types, hands, team ids, players; labels.
 
 Each resolver is a left equi-join with a fixed alias table (broadcast, under 200 rows). A
 spelling owned by several codes goes to the one listed first.
@@ -9,12 +9,10 @@ from __future__ import annotations
 import difflib
 from collections.abc import Iterable, Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dugout.functions.text import strip
-from dugout.session import shuffle_partitions
 from dugout.sources import codes
 
 MATCH_CUTOFF = 0.6
@@ -103,24 +101,6 @@ def unresolved(df: DataFrame, text: str, kind: str) -> DataFrame:
     return counted.where(F.length(strip("value")) > 0)
 
 
-def suggest(misses: DataFrame, value: str, candidates: Sequence[str], out: str = "suggestion") -> DataFrame:
-    """Adds the closest candidate at or above the cut-off, else NULL.
-
-    Meant for distinct misses. The candidates are a fixed list and travel with the
-    function; equal scores go to the candidate that sorts last. Scoring is long work on few
-    bytes, so the rows are spread over all tasks first.
-    """
-    pool = list(dict.fromkeys(candidates))
-
-    @F.pandas_udf("string")
-    def closest(texts: pd.Series) -> pd.Series:
-        found = (difflib.get_close_matches(t, pool, n=1, cutoff=MATCH_CUTOFF) if t else [] for t in texts)
-        return pd.Series([f[0] if f else None for f in found], dtype=object)
-
-    spread = misses.repartition(shuffle_partitions(misses.sparkSession), value)
-    return spread.withColumn(out, closest(F.col(value)))
-
-
 def label(df: DataFrame, code: str, table: str, out: str, side: str = "pitch") -> DataFrame:
     """Adds the label of a code; unknown codes give NULL."""
     dim = codes.code_table(df.sparkSession, table, side).select(

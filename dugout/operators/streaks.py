@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dugout.operators.ordered import GROUP_LIMIT, is_hot, running_total, sliced, total_over_slices
+from dugout.operators.ordered import GROUP_LIMIT, both_ways, running_total, same, sliced, total_over_slices
 
 # Fixed names: streak types as (flag, side) and spans.
 STREAK_TYPES = {
@@ -35,16 +35,22 @@ def islands(
     """
     rows = df.select(*keys, *order, F.coalesce(flag, F.lit(False)).alias("_hit"))
     miss = F.when(F.col("_hit"), 0).otherwise(1).cast("long")
-    if not is_hot(rows, keys, limit):
-        runs = _runs(running_total(rows, keys, order, miss, "_run", None), keys, order[0])
+
+    def plain(part: DataFrame) -> DataFrame:
+        runs = _runs(running_total(part, keys, order, miss, "_run", None), keys, order[0])
         last = F.max("_run").over(Window.partitionBy(*keys))
-        found = runs.withColumn("is_current", F.col("_run") == last)
-        return found.where("length > 0").drop("_run")
-    slices = sliced(rows, keys, order)
-    runs = _runs(total_over_slices(slices, keys, order, miss, "_run"), keys, order[0])
-    last = slices.groupBy(*keys).agg(F.sum(miss).alias("_last"))
-    found = runs.where("length > 0").join(last, list(keys))
-    return found.withColumn("is_current", F.col("_run") == F.col("_last")).drop("_run", "_last")
+        return runs.withColumn("is_current", F.col("_run") == last).where("length > 0").drop("_run")
+
+    def hot(part: DataFrame) -> DataFrame:
+        slices = sliced(part, keys, order)
+        runs = _runs(total_over_slices(slices, keys, order, miss, "_run"), keys, order[0])
+        names = [f"_last{i}" for i in range(len(keys))]
+        owned = [F.col(k).alias(n) for k, n in zip(keys, names, strict=True)]
+        last = slices.groupBy(*owned).agg(F.sum(miss).alias("_last"))
+        found = runs.where("length > 0").join(last, same(keys, names))
+        return found.withColumn("is_current", F.col("_run") == F.col("_last")).drop("_run", "_last", *names)
+
+    return both_ways(rows, keys, limit, plain, hot)
 
 
 def _runs(numbered: DataFrame, keys: Sequence[str], start: str) -> DataFrame:

@@ -8,13 +8,14 @@ membership on the column of that name.
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass
+from collections.abc import Mapping
+from dataclasses import dataclass, field
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dugout.operators import entities
+from dugout.operators import entities, streaks
 from dugout.operators.pitch_search import multi_value
 from dugout.operators.ranking import high_low, leaders, page
 from dugout.sources.codes import code_table
@@ -143,7 +144,7 @@ SHAPING = {
     "leaderCategories", "names", "appContext", "useLatestGames", "withGameTypeDates",
 }
 SHAPED_TEXT = {"fields"}
-DEFAULT_LEADERS = 5
+STREAK_PARAMS = {"streakType", "streakSpan", "season"}
 
 
 def column_of(param: str, columns: list[str]) -> str | None:
@@ -165,96 +166,136 @@ def _category_bound(given: dict[str, Any]) -> int | None:
     return None if asked is None else len(multi_value(asked))
 
 
-def query_endpoint(
-    name: str,
-    df: DataFrame,
-    *,
-    columns: dict[str, str] | None = None,
-    key: tuple[str, ...] = (),
-    day: str = "date",
-    ts: str = "ts",
-    game: str = "game_pk",
-    updated: str = "updated",
-    season: str = "season",
-    category: str = "category",
-    value: str = "value",
-    person_name: str = "full_name",
-    ties: tuple[str, ...] = (),
-    hydrate: dict[str, tuple[DataFrame, list[str]]] | None = None,
-    **params: Any,
-) -> DataFrame:
-    """One endpoint's contract applied to its landed table.
-
-    ``columns`` overrides parameter-to-column names; ``hydrate`` gives, per name asked for,
-    the related table and its join columns.
+@dataclass(frozen=True)
+class Settings:
+    """Where the parts of an endpoint's contract lie in a landed table.
+
+    Settings travel apart from the endpoint's parameters, so none can hide one. ``columns``
+    overrides parameter-to-column names; ``related`` gives, per name that ``hydrate`` may ask
+    for, the related table and its join columns; ``streak`` holds the arguments that
+    ``streaks.streaks`` needs beside type, span, season and limit.
     """
+
+    columns: Mapping[str, str] = field(default_factory=dict)
+    key: tuple[str, ...] = ()
+    day: str = "date"
+    ts: str = "ts"
+    game: str = "game_pk"
+    updated: str = "updated"
+    season: str = "season"
+    category: str = "category"
+    value: str = "value"
+    person_name: str = "full_name"
+    ties: tuple[str, ...] = ()
+    related: Mapping[str, tuple[DataFrame, list[str]]] = field(default_factory=dict)
+    streak: Mapping[str, Any] | None = None
+
+
+def hydrate_parts(text: str) -> list[str]:
+    """Names in a hydrate list; what stands in brackets belongs to the name before it."""
+    parts, depth, word = [], 0, ""
+    for c in text:
+        depth += (c in "([") - (c in ")]")
+        if c == "," and not depth:
+            parts.append(word)
+            word = ""
+        else:
+            word += c
+    return [p.split("(")[0].strip() for p in [*parts, word] if p.strip()]
+
+
+def query_endpoint(name: str, df: DataFrame, settings: Settings = Settings(), /, **params: Any) -> DataFrame:
+    """One endpoint's contract applied to its landed table; ``params`` are the endpoint's own."""
     spec = ENDPOINTS[name]
     allowed = {*spec.params, *spec.path_params}
     unknown = set(params) - allowed
     if unknown:
         raise ValueError(f"{name} does not take {sorted(unknown)}; it takes {sorted(allowed)}")
+    at = settings
     given = {p: _listed(p, v) if p not in SHAPED_TEXT else v for p, v in params.items() if v is not None}
     out = df
     for param, wanted in given.items():
-        if param in SHAPING:
+        if param in SHAPING or (name == "get_streaks" and param in STREAK_PARAMS):
             continue
-        column = (columns or {}).get(param) or column_of(param, df.columns)
+        column = at.columns.get(param) or column_of(param, df.columns)
+        if column is None and param == "season" and at.season in df.columns:
+            column = at.season
         if column is None:
             raise ValueError(f"no column for {name}({param}=...); pass columns={{{param!r}: ...}}")
         out = entities.entity_filter(out, **{column: wanted})
     if "names" in given:
-        out = entities.name_search(out, given["names"], person_name)
+        out = entities.name_search(out, given["names"], at.person_name)
     if "startSeason" in given:
-        out = out.where(F.col(season) >= int(given["startSeason"]))
+        out = out.where(F.col(at.season) >= int(given["startSeason"]))
     if "endSeason" in given:
-        out = out.where(F.col(season) <= int(given["endSeason"]))
+        out = out.where(F.col(at.season) <= int(given["endSeason"]))
     if "date" in given and name in AS_OF_DATE:
-        out = entities.as_of_date(out, key, day, given["date"])
+        out = entities.as_of_date(out, at.key, at.day, given["date"])
     else:
-        out = entities.date_window(out, day, given.get("date"), given.get("startDate"), given.get("endDate"))
+        out = entities.date_window(out, at.day, given.get("date"), given.get("startDate"), given.get("endDate"))
     if "updatedSince" in given:
-        out = entities.changed_since(out, updated, given["updatedSince"])
+        out = entities.changed_since(out, at.updated, given["updatedSince"])
     if "startTimecode" in given or "endTimecode" in given:
-        out = entities.feed_between(out, ts, given["startTimecode"], given["endTimecode"])
+        out = entities.feed_between(out, at.ts, given.get("startTimecode"), given.get("endTimecode"))
     if name in FEED_TIMES:
-        return entities.feed_timecodes(out, game, ts)
+        return entities.feed_timecodes(out, at.game, at.ts)
     if "timecode" in given or (name in FEEDS and name != "get_schedule"):
-        out = entities.feed_at(out, game, ts, given.get("timecode"))
+        out = entities.feed_at(out, at.game, at.ts, given.get("timecode"))
+    limit = None if given.get("limit") is None else int(given["limit"])
     if name in LEADERS:
         if "leaderCategories" in given:
-            out = entities.entity_filter(out, **{category: given["leaderCategories"]})
-        top = int(given.get("limit", DEFAULT_LEADERS))
-        out = leaders(out, [category], value, top, groups=_category_bound(given))
+            out = entities.entity_filter(out, **{at.category: given["leaderCategories"]})
+        out = leaders(out, [at.category], at.value, limit, groups=_category_bound(given))
     elif name == "get_high_low":
-        stat = (columns or {}).get("sortStat", given.get("sortStat", value))
-        out = high_low(out, list(key), stat)
+        out = high_low(out, list(at.key), at.columns.get("sortStat", given.get("sortStat", at.value)))
+    elif name == "get_streaks":
+        out = _streaks(out, at, given, limit)
     elif {"sortStat", "limit", "offset", "order"} & set(given):
-        stat = (columns or {}).get("sortStat") or given.get("sortStat")
+        stat = at.columns.get("sortStat") or given.get("sortStat")
+        descending = given.get("order", "desc") != "asc"
+        if stat is None and "updatedSince" in spec.params:
+            stat, descending = at.updated, False
         if stat is None:
-            stat = updated if "updatedSince" in spec.params else (ties[0] if ties else out.columns[0])
-            descending = False
-        else:
-            descending = given.get("order", "desc") != "asc"
-        limit = given.get("limit")
-        out = page(out, stat, ties, None if limit is None else int(limit), int(given.get("offset", 0)), descending)
-    for part in (given.get("hydrate") or "").split(","):
-        if part and hydrate and part in hydrate:
-            other, on = hydrate[part]
-            out = entities.hydrate(out, other, on, as_struct=part)
+            raise ValueError(f"{name} needs sortStat to order its rows for limit, offset or order")
+        out = page(out, stat, at.ties, limit, int(given.get("offset", 0)), descending)
+    for part in hydrate_parts(given.get("hydrate") or ""):
+        if part not in at.related:
+            raise ValueError(f"{name}: no related table for hydrate part {part!r}; it has {sorted(at.related)}")
+        other, on = at.related[part]
+        out = entities.hydrate(out, other, on, as_struct=part)
     if "fields" in given:
         out = entities.sparse_fields(out, given["fields"])
     return out
 
 
+def _streaks(df: DataFrame, at: Settings, given: dict[str, Any], limit: int | None) -> DataFrame:
+    if at.streak is None:
+        raise ValueError("get_streaks needs the setting streak: player, order and flags")
+    if not {"streakType", "streakSpan"} <= set(given):
+        raise ValueError("get_streaks needs streakType and streakSpan")
+    only = given.get("season")
+    return streaks.streaks(
+        df,
+        given["streakType"],
+        given["streakSpan"],
+        season=at.season,
+        only_season=None if only is None else int(only),
+        top=limit,
+        **at.streak,
+    )
+
+
 class LandedApi:
     """Endpoint functions over a folder with one Parquet table per endpoint.
 
     ``LandedApi(spark, root).get_schedule(sportId=1, date="2024-06-01")`` reads
-    ``root/get_schedule``; code tables need no landed data.
+    ``root/get_schedule``; code tables need no landed data. ``settings`` says per endpoint
+    where its parts lie, where the defaults do not fit.
     """
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, settings: Mapping[str, Settings] | None = None):
         self.spark = spark
+        self.settings = dict(settings or {})
         self.root = root.rstrip("/")
 
     def __getattr__(self, name: str):
@@ -265,6 +306,7 @@ class LandedApi:
             spec = ENDPOINTS[name]
             if spec.code is not None:
                 return code_table(self.spark, spec.code, "api")
-            return query_endpoint(name, self.spark.read.parquet(f"{self.root}/{name}"), **params)
+            rows = self.spark.read.parquet(f"{self.root}/{name}")
+            return query_endpoint(name, rows, self.settings.get(name, Settings()), **params)
 
         return call

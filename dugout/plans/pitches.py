@@ -17,6 +17,7 @@ SELECT
   CASE WHEN l.l_suppkey % 3 = 0 THEN 'L' ELSE 'R' END AS p_throws,
   'T' || CAST(s.s_nationkey AS STRING)           AS home_team,
   'T' || CAST(c.c_nationkey AS STRING)           AS away_team,
+  CASE WHEN l.l_linenumber % 2 = 1 THEN 'Top' WHEN l.l_linenumber = 6 THEN '' ELSE 'Bot' END AS inning_topbot,
   CASE l.l_returnflag || l.l_linestatus
     WHEN 'AF' THEN 'FF' WHEN 'AO' THEN 'SL' WHEN 'NF' THEN 'SI'
     WHEN 'NO' THEN 'CH' WHEN 'RF' THEN 'CU' ELSE '' END AS pitch_type,

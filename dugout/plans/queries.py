@@ -22,7 +22,9 @@ from dugout.operators import (
     streaks,
 )
 from dugout.plans import endpoints
+from dugout.plans.endpoints import Settings
 from dugout.plans.pitches import ORACLE_PITCHES, pitches, table
+from dugout.plans.registry import board
 from dugout.session import shared_path
 from dugout.sources import codes, files
 from dugout.streaming import feeds
@@ -72,6 +74,11 @@ def with_pitches(sql: str) -> str:
     return f"WITH p AS ({ORACLE_PITCHES}) {sql}"
 
 
+# The team at bat and in the field, by half inning.
+BATTING = "CASE inning_topbot WHEN 'Top' THEN away_team WHEN 'Bot' THEN home_team END"
+PITCHING = "CASE inning_topbot WHEN 'Top' THEN home_team WHEN 'Bot' THEN away_team END"
+
+
 def num(c: str) -> str:
     return f"TRY_CAST(NULLIF({c}, '') AS DOUBLE)"
 
@@ -487,13 +494,6 @@ def unresolved_teams(spark, sf):
     return resolve.unresolved(spoken(spark, sf, "team"), "spoken", "team")
 
 
-@query()
-def suggested_teams(spark, sf):
-    names = table(spark, sf, "customer").select(F.regexp_replace("c_name", "Customer#0*", "Dodger").alias("spoken"))
-    misses = resolve.unresolved(names, "spoken", "team")
-    return resolve.suggest(misses, "value", resolve.suggestion_pool("team"))
-
-
 @query("""
     WITH people AS (SELECT 'nation ' || CAST(c_nationkey AS VARCHAR) AS name, c_custkey AS id, c_acctbal > 5000 AS active FROM customer),
     best AS (SELECT name, coalesce(max(id) FILTER (WHERE active), max(id)) AS id FROM people GROUP BY name)
@@ -662,13 +662,13 @@ def observed_stats_board(spark, sf):
 
 
 @query(
-    with_pitches(f"""SELECT away_team, p_throws, count(*) AS swings_competitive, avg({num('launch_speed')}) AS avg_launch_speed,
+    with_pitches(f"""SELECT {BATTING} AS batting_team, p_throws, count(*) AS swings_competitive, avg({num('launch_speed')}) AS avg_launch_speed,
         avg({num('launch_angle')}) AS avg_launch_angle FROM p WHERE {num('launch_speed')} IS NOT NULL GROUP BY ALL"""),
     "avg_launch_speed avg_launch_angle",
 )
 def swing_path_board(spark, sf):
     keys = [*derived.view_key("batting-team"), "p_throws"]
-    return derived.bat_tracking(pitches(spark, sf), keys, ("launch_speed", "launch_angle"), "launch_speed")
+    return derived.bat_tracking(derived.with_teams(pitches(spark, sf)), keys, ("launch_speed", "launch_angle"), "launch_speed")
 
 
 @query(
@@ -859,8 +859,8 @@ def park_factor_board(spark, sf):
 @query(
     with_pitches(f"""SELECT n, speed, 'batter' AS view, batter AS id FROM (SELECT count(*) AS n, avg({num('launch_speed')}) AS speed, batter FROM p GROUP BY batter)
         UNION ALL SELECT count(*), avg({num('launch_speed')}), 'pitcher', pitcher FROM p GROUP BY pitcher
-        UNION ALL SELECT count(*), avg({num('launch_speed')}), 'batting-team', away_team FROM p GROUP BY away_team
-        UNION ALL SELECT count(*), avg({num('launch_speed')}), 'pitching-team', home_team FROM p GROUP BY home_team
+        UNION ALL SELECT count(*), avg({num('launch_speed')}), 'batting-team', {BATTING} FROM p GROUP BY {BATTING}
+        UNION ALL SELECT count(*), avg({num('launch_speed')}), 'pitching-team', {PITCHING} FROM p GROUP BY {PITCHING}
         UNION ALL SELECT count(*), avg({num('launch_speed')}), 'league', NULL FROM p"""),
     "speed",
 )
@@ -870,7 +870,7 @@ def board_all_views(spark, sf):
 
     # Parsed before the rows are repeated once per view.
     keys = [k for k in derived.VIEWS.values() if k]
-    rows = pitches(spark, sf).select(*keys, text.to_float("launch_speed").alias("_speed"))
+    rows = derived.with_teams(pitches(spark, sf)).select(*keys, text.to_float("launch_speed").alias("_speed"))
     return derived.all_views(rows, list(derived.VIEWS), build)
 
 
@@ -1160,8 +1160,7 @@ def endpoint_schedule(spark, sf):
     return endpoints.query_endpoint(
         "get_schedule",
         table(spark, sf, "orders"),
-        columns=ORDER_COLUMNS,
-        day="o_orderdate",
+        Settings(columns=ORDER_COLUMNS, day="o_orderdate"),
         gameTypes=["F", "P"],
         startDate="1996-01-01",
         endDate="1996-12-31",
@@ -1180,7 +1179,7 @@ def endpoint_stat_leaders(spark, sf):
 @query(FEED_AT_SQL)
 def endpoint_gamefeed(spark, sf):
     return endpoints.query_endpoint(
-        "get_gamefeed", table(spark, sf, "events"), game="user_id", timecode="20240115_083000"
+        "get_gamefeed", table(spark, sf, "events"), Settings(game="user_id"), timecode="20240115_083000"
     )
 
 
@@ -1188,7 +1187,12 @@ def endpoint_gamefeed(spark, sf):
 def endpoint_player_changes(spark, sf):
     rows = table(spark, sf, "events").select("event_id", "user_id", "ts")
     return endpoints.query_endpoint(
-        "get_player_changes", rows, updated="ts", ties=("event_id",), updatedSince="2024-01-05", limit=40, offset=20
+        "get_player_changes",
+        rows,
+        Settings(updated="ts", ties=("event_id",)),
+        updatedSince="2024-01-05",
+        limit=40,
+        offset=20,
     )
 
 
@@ -1199,19 +1203,158 @@ def endpoint_standings(spark, sf):
     return endpoints.query_endpoint(
         "get_standings",
         table(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_orderdate", "o_orderstatus"),
-        columns={"standingsTypes": "o_orderstatus"},
-        key=("o_custkey",),
-        day="o_orderdate",
+        Settings(columns={"standingsTypes": "o_orderstatus"}, key=("o_custkey",), day="o_orderdate"),
         standingsTypes="O",
         date="1999-01-31",
     ).drop("o_orderstatus")
 
 
+SEASONS_SQL = "SELECT *, CAST(year(o_orderdate) AS INT) AS season FROM orders"
+
+
+def season_rows(spark: SparkSession, sf: str) -> DataFrame:
+    rows = table(spark, sf, "orders")
+    return rows.withColumn("season", F.year("o_orderdate"))
+
+
+@query(f"SELECT o_orderkey, o_custkey, season FROM ({SEASONS_SQL}) WHERE season = 1997 AND o_orderstatus = 'O'")
+def endpoint_standings_season(spark, sf):
+    at = Settings(columns={"standingsTypes": "o_orderstatus"})
+    rows = season_rows(spark, sf).select("o_orderkey", "o_custkey", "season", "o_orderstatus")
+    return endpoints.query_endpoint("get_standings", rows, at, season=1997, standingsTypes="O").drop("o_orderstatus")
+
+
+@query("""SELECT o_orderkey, o_custkey, c_name AS currentTeam_c_name, n AS games_n FROM orders LEFT JOIN customer ON o_custkey = c_custkey
+    JOIN (SELECT o_custkey AS k, count(*) AS n FROM orders GROUP BY 1) ON k = o_custkey""")
+def endpoint_hydrated(spark, sf):
+    people = table(spark, sf, "customer").withColumnRenamed("c_custkey", "o_custkey")
+    games = table(spark, sf, "orders").groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"))
+    related = {"currentTeam": (people, ["o_custkey"]), "games": (games, ["o_custkey"])}
+    return endpoints.query_endpoint(
+        "get_people",
+        table(spark, sf, "orders"),
+        Settings(related=related),
+        hydrate="currentTeam(team(x,y)),games",
+        fields="o_orderkey,o_custkey,currentTeam.c_name,games.n",
+    )
+
+
+@query(f"""SELECT o_orderkey, o_totalprice FROM ({SEASONS_SQL}) WHERE season = 1996 AND o_orderstatus = 'F' OR season = 1996 AND o_orderstatus = 'O'
+    ORDER BY o_totalprice, o_orderkey LIMIT 30 OFFSET 10""")
+def endpoint_stats_page(spark, sf):
+    at = Settings(columns={"sortStat": "o_totalprice", "group": "o_orderstatus"}, ties=("o_orderkey",))
+    rows = endpoints.query_endpoint(
+        "get_stats", season_rows(spark, sf), at, season=1996, group=["F", "O"], sortStat="price", order="asc", limit=30, offset=10
+    )
+    return rows.select("o_orderkey", "o_totalprice")
+
+
+@query(f"SELECT * FROM ({streak_sql('hit', 'o_custkey, season', 'season = 1996')}) ORDER BY length DESC, o_custkey, season, started LIMIT 20")
+def endpoint_streaks(spark, sf):
+    games = spark.sql(GAMES, orders=table(spark, sf, "orders"))
+    flags = {"hit": F.col("hit"), "on_base": F.col("on_base")}
+    at = Settings(streak={"player": "o_custkey", "order": ["o_orderdate", "o_orderkey"], "flags": flags})
+    return endpoints.query_endpoint(
+        "get_streaks", games, at, streakType="hittingStreakOverall", streakSpan="season", season=1996, limit=20
+    )
+
+
+# --------------------------------------------------------------------------------------
+# Hot, NULL and blank keys
+# --------------------------------------------------------------------------------------
+
+# Players who are missing (NULL) or blank hold many rows each.
+HOLES = """SELECT CASE WHEN o_orderkey % 3 = 0 THEN NULL WHEN o_orderkey % 5 = 0 THEN '' ELSE CAST(o_custkey AS {text}) END AS player,
+    o_orderkey, o_orderdate, o_totalprice, o_totalprice > 200000 AS hit FROM {orders}"""
+HOLES_SQL = HOLES.format(text="VARCHAR", orders="orders")
+
+
+def holed(spark: SparkSession, sf: str) -> DataFrame:
+    return spark.sql(HOLES.replace("{text}", "STRING"), orders=table(spark, sf, "orders"))
+
+
+@query(
+    f"""SELECT *, avg(o_totalprice) OVER (PARTITION BY player ORDER BY o_orderdate, o_orderkey ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS rolling
+    FROM ({HOLES_SQL})""",
+    "rolling",
+)
+def rolling_hot_missing_player(spark, sf):
+    return derived.rolling_mean(holed(spark, sf), "player", ["o_orderdate", "o_orderkey"], "o_totalprice", 5, limit=40)
+
+
+@query(f"""SELECT player, length, started, ended, is_current FROM (
+    SELECT player, run, count(*) FILTER (WHERE hit) AS length, min(o_orderdate) FILTER (WHERE hit) AS started,
+        max(o_orderdate) FILTER (WHERE hit) AS ended, run = max(last_run) AS is_current
+    FROM (SELECT *, max(run) OVER (PARTITION BY player) AS last_run FROM (SELECT *,
+        sum(CASE WHEN hit THEN 0 ELSE 1 END) OVER (PARTITION BY player ORDER BY o_orderdate, o_orderkey) AS run FROM ({HOLES_SQL})))
+    GROUP BY player, run) WHERE length > 0""")
+def streaks_hot_missing_player(spark, sf):
+    return streaks.islands(holed(spark, sf), ["player"], ["o_orderdate", "o_orderkey"], F.col("hit"), limit=40)
+
+
+@query(
+    f"""SELECT player, o_orderkey, o_totalprice, 100 * percent_rank() OVER (PARTITION BY player ORDER BY o_totalprice) AS o_totalprice_pct
+    FROM ({HOLES_SQL})""",
+    "o_totalprice_pct",
+)
+def percentiles_hot_missing_group(spark, sf):
+    rows = holed(spark, sf).select("player", "o_orderkey", "o_totalprice")
+    return ranking.percentiles(rows, ["player"], ["o_totalprice"], limit=40)
+
+
+@query(f"""SELECT * FROM (SELECT *, rank() OVER (PARTITION BY category ORDER BY value DESC) AS rank FROM ({LONG_SQL}))
+    WHERE rank <= 5000""", "value")
+def stat_leaders_deep(spark, sf):
+    return ranking.leaders(long_stats(spark, sf), ["category"], "value", 5000)
+
+
+@query(f"SELECT *, rank() OVER (PARTITION BY category ORDER BY value) AS rank FROM ({LONG_SQL})", "value")
+def stat_leaders_all(spark, sf):
+    return ranking.leaders(long_stats(spark, sf), ["category"], "value", None, descending=False)
+
+
+@query(f"SELECT o_custkey, round(total, 2) AS total FROM ({STATS_SQL}) ORDER BY total DESC, o_custkey OFFSET 50")
+def stats_after_offset(spark, sf):
+    rows = career_stats(spark, sf).select("o_custkey", F.round("total", 2).alias("total"))
+    return ranking.page(rows, "total", ["o_custkey"], None, 50)
+
+
 # --------------------------------------------------------------------------------------
 # Files
 # --------------------------------------------------------------------------------------
 
 
+@query(
+    with_pitches("""SELECT CAST(game_pk AS VARCHAR) AS game_pk, pitcher, CASE WHEN level = 'mlb' THEN NULL ELSE NULLIF(bb_type, '') END AS bb_type,
+        NULL AS file FROM p UNION ALL SELECT NULL, NULL, NULL, 'html_body'""")
+)
+def csv_by_header(spark, sf):
+    """Pulls with columns in two orders and an HTML page among them, read back by header."""
+    path = shared_path(spark, "pulls")
+    rows = pitches(spark, sf)
+    files.write_rows(rows.where("level = 'mlb'").select("game_pk", "pitcher"), f"{path}/pull=a")
+    files.write_rows(rows.where("level <> 'mlb'").select("pitcher", "bb_type", "game_pk"), f"{path}/pull=b")
+    page = table(spark, sf, "pages").select("html").where("html LIKE '<!DOCTYPE%'").orderBy("page_id").limit(1)
+    page.coalesce(1).write.text(f"{path}/pull=c")
+    found, aside = files.read_csv_folder(spark, f"{path}/pull=*")
+    rows = found.select("game_pk", "pitcher", "bb_type", F.lit(None).cast("string").alias("file"))
+    none = F.lit(None).cast("string")
+    lost = aside.select(none.alias("game_pk"), none.alias("pitcher"), none.alias("bb_type"), F.col("reason").alias("file"))
+    return rows.unionByName(lost)
+
+
+@query("""SELECT event_id, CAST(json_extract(props, '$.k') AS VARCHAR) AS venue_id, event_type AS venue_name, NULL AS park_factor FROM events
+    UNION ALL SELECT event_id, '7', 'second', CAST(event_id AS VARCHAR) FROM events""")
+def park_factor_pages(spark, sf):
+    """Arrays in pages as rows of a board."""
+    first = F.concat(F.lit('{"venue_id": '), F.get_json_object("props", "$.k"), F.lit(', "venue_name": "'), "event_type", F.lit('"}'))
+    second = F.concat(F.lit('{"venue_id": "7", "venue_name": "second", "park_factor": '), F.col("event_id").cast("string"), F.lit("}"))
+    html = F.concat(F.lit("<html><script>var data = ["), first, F.lit(", "), second, F.lit("];</script></html>"))
+    pages = table(spark, sf, "events").select("event_id", html.alias("html"))
+    rows = leaderboard.page_rows(files.embedded_json(pages, "html"), board("statcast-park-factors"))
+    return rows.select("event_id", "venue_id", "venue_name", "park_factor")
+
+
 @query(
     with_pitches("""SELECT CAST(game_pk AS VARCHAR) AS game_pk, player_name, NULLIF(pitch_type, '') AS pitch_type,
         '"' || player_name || '", says ' || p_throws AS note FROM p""")
@@ -1304,7 +1447,10 @@ EVENT_SCHEMA = T.StructType(
 
 
 def event_stream(spark: SparkSession, sf: str) -> DataFrame:
-    return feeds.landing_stream(spark, sf, EVENT_SCHEMA, "events.parquet")
+    """Events landed in four files, read one per batch. Files hold all times, so rows come late."""
+    path = shared_path(spark, "landing")
+    table(spark, sf, "events").repartition(4, "event_id").write.parquet(path)
+    return feeds.landing_stream(spark, path, EVENT_SCHEMA, files=1)
 
 
 @query("""SELECT e.event_id, e.ts, e.user_id, e.value FROM events e
@@ -1312,18 +1458,18 @@ def event_stream(spark: SparkSession, sf: str) -> DataFrame:
 def stream_of_changes(spark, sf):
     home = shared_path(spark, "changes")
     rows = event_stream(spark, sf).select("event_id", "ts", "user_id", "value")
-    feeds.follow_changes(rows, ["user_id"], "ts", f"{home}/table", f"{home}/state")
-    now = feeds.current_versions(spark, f"{home}/table", ["user_id"], "ts")
-    return feeds.zoneless(now, "ts")
+    feeds.follow_changes(rows, ["user_id"], "ts", f"{home}/table", f"{home}/state", ["event_id"])
+    return feeds.current_versions(spark, f"{home}/table", ["user_id"], "ts", ["event_id"])
 
 
-@query("""SELECT date_trunc('day', ts)::TIMESTAMP AS window_start, user_id, count(*) AS n, min(ts) AS first_ts, max(ts) AS last_ts
-    FROM events GROUP BY ALL""")
+@query("""SELECT date_trunc('day', ts)::TIMESTAMP AS window_start, user_id, count(*) AS n, min(ts) AS first_ts, max(ts) AS last_ts,
+    arg_max(props, ts) AS last_body FROM events GROUP BY ALL""")
 def stream_of_increments(spark, sf):
     home = shared_path(spark, "windows")
-    feeds.follow_windows(event_stream(spark, sf), "user_id", "ts", "1 day", f"{home}/table", f"{home}/state")
-    now = feeds.current_windows(spark, f"{home}/table", "user_id")
-    return feeds.zoneless(now, "window_start", "first_ts", "last_ts")
+    feeds.follow_windows(
+        event_stream(spark, sf), "user_id", "ts", "1 day", f"{home}/table", f"{home}/state", "props", ["event_id"]
+    )
+    return feeds.current_windows(spark, f"{home}/table", "user_id")
 
 
 @query(

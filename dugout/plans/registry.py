@@ -68,7 +68,7 @@ BOARDS: dict[str, Board] = {
            "minSplit splitYear gameType[] showColumn", "ignored",
            ("id", "name", "year", "team_name", "miss_distance", "whiff_rate", "n_swings", "perfect_percent", "flawed_percent",
             "early_percent", "on_time_percent", "late_percent", "over_percent", "under_percent"), "array"),
-        _b("batted-ball", "Batted Ball Profile", "batting", 2015, ROLES, "min_bbe", None, "", "unknown",
+        _b("batted-ball", "Batted Ball Profile", "batting", 2015, ROLES, "min_bbe", "bbe", "", "unknown",
            (*NAMED, "ba", "slg", "xba", "xslg", "xwoba", "la_avg", "barrel_batted_rate")),
         _b("percentile-rankings", "Percentile Rankings", "batting", 2015, ROLES, None, None, "", "supported",
            (*NAMED, "year", "xba", "xslg", "xwoba", "exit_velocity_avg")),
@@ -76,9 +76,9 @@ BOARDS: dict[str, Board] = {
            (*NAMED, "pitch_type", "pitches", "pa", "ba", "slg", "woba", "whiff_percent", "run_value", "run_value_per100")),
         _b("home-runs", "Home Runs", "batting", 2015, ROLES, None, None, "", "unknown",
            (*NAMED, "total_home_runs", "avg_hr_distance", "avg_launch_speed", "avg_launch_angle")),
-        _b("statcast-year-to-year", "Year-Over-Year Changes", "batting", 2016, ROLES, "min_pa", None, "min_pitches year_pair",
+        _b("statcast-year-to-year", "Year-Over-Year Changes", "batting", 2016, ROLES, "min_pa", "pa", "min_pitches year_pair",
            "unknown", NAMED),
-        _b("pitch-tempo", "Pitch Tempo", "batting", 2015, ROLES, "min_pa", None, "min_pitches", "unknown",
+        _b("pitch-tempo", "Pitch Tempo", "batting", 2015, ROLES, "min_pa", "pa", "min_pitches", "unknown",
            (*NAMED, "avg_time_between_pitches")),
         _b("active-spin", "Active Spin", "pitching", 2017, (), "min_pitches", "n_pitches", "", "breaks",
            ("pitcher", "pitcher_id", "pitch_type", "n_pitches", "active_spin", "active_spin_pct", "spin_rate", "velocity"),
@@ -86,7 +86,7 @@ BOARDS: dict[str, Board] = {
         _b("pitch-movement", "Pitch Movement", "pitching", 2015, (), "min_pitches", "pitches", "pitch_type pitcher_throws", "breaks",
            ("last_name", "first_name", "pitcher_id", "pitch_type", "pitches", "pitcher_hand", "avg_speed", "avg_spin",
             "avg_break_x", "avg_break_z"), required=("pitch_type",)),
-        _b("pitch-arsenals", "Pitch Arsenals (Mix Breakdown)", "pitching", 2015, ("pitcher",), "min_pitches", None, "", "unknown",
+        _b("pitch-arsenals", "Pitch Arsenals (Mix Breakdown)", "pitching", 2015, ("pitcher",), "min_pitches", "pitches", "", "unknown",
            (*NAMED, "n_ff", "n_si", "n_sl", "ff_pct", "si_pct", "sl_pct")),
         _b("spin-direction-pitches", "Spin Direction", "pitching", 2020, ("pitcher",), "min_pitches", "pitches", "pitch_type",
            "unknown", (*NAMED, "pitch_type", "pitches", "spin_rate", "spin_direction", "active_spin_pct"),
@@ -101,17 +101,17 @@ BOARDS: dict[str, Board] = {
            (*NAMED, "team", "position", "inn", "run_value", "run_value_per_inn")),
         _b("catch-probability-alt", "Catch Probability", "fielding", 2016, ("fielder",), "min_attempts", "attempts",
            "star_min star_max", "unknown", (*NAMED, "team", "attempts", "success_rate_raw", "outs_above_average")),
-        _b("directional-oaa", "Directional OAA", "fielding", 2016, (), "min_attempts", None, "position", "unknown",
+        _b("directional-oaa", "Directional OAA", "fielding", 2016, (), "min_attempts", "attempts", "position", "unknown",
            (*NAMED, "team", "position", "oaa_in", "oaa_out", "oaa_left", "oaa_right", "oaa_total")),
         _b("outfield_jump", "Outfield Jump", "fielding", 2020, ("fielder",), "min_opportunities", "opportunities", "", "unknown",
            (*NAMED, "team", "opportunities", "jump_distance", "reaction_distance")),
         _b("arm-strength", "Arm Strength", "fielding", 2020, ("fielder",), "min_throws", "throws", "position", "unknown",
            (*NAMED, "team", "position", "throws", "max_arm_strength", "avg_arm_strength")),
-        _b("baserunning", "Extra Bases / Arm Value", "fielding", 2015, ("Fld", "Run"), "min_opportunities", None, "position",
+        _b("baserunning", "Extra Bases / Arm Value", "fielding", 2015, ("Fld", "Run"), "min_opportunities", "attempts", "position",
            "unknown", (*NAMED, "team", "attempts", "arm_value", "kills", "assists")),
         _b("catcher-framing", "Catcher Framing", "catching", 2015, ("catcher",), "min_pitches", "n", "", "unknown",
            (*NAMED, "team", "n", "extra_strikes", "framing_runs", "strike_rate")),
-        _b("poptime", "Pop Time", "catching", 2015, ("catcher",), "min_attempts", None, "exchange_min exchange_max", "unknown",
+        _b("poptime", "Pop Time", "catching", 2015, ("catcher",), "min_attempts", "attempts", "exchange_min exchange_max", "unknown",
            (*NAMED, "team", "pop_2b", "pop_3b", "exchange_2b", "arm_2b")),
         _b("catcher-blocking", "Catcher Blocking", "catching", 2015, ("catcher",), "min_blocks", "n", "", "unknown",
            (*NAMED, "team", "n", "blocks_above_average", "run_value")),
@@ -127,7 +127,7 @@ BOARDS: dict[str, Board] = {
            "unknown", (*NAMED, "team", "opportunities", "run_value", "outs", "extra_bases")),
         _b("basestealing-run-value", "Basestealing Run Value", "running", 2015, (), "min_attempts", "attempts", "", "unknown",
            (*NAMED, "team", "attempts", "sb", "cs", "run_value")),
-        _b("custom", "Custom Leaderboard", "other", 2015, ROLES, "min_pa", None, "min_pitches custom_col", "unknown", ()),
+        _b("custom", "Custom Leaderboard", "other", 2015, ROLES, "min_pa", "pa", "min_pitches custom_col", "unknown", ()),
         _b("game-scores", "Enhanced Game Scores", "other", 2015, (), "min_gs", "gs", "", "unknown",
            (*NAMED, "team", "gs", "avg_game_score", "max_game_score")),
         _b("abs-challenges", "ABS Challenges", "other", 2025, (), None, None, "", "unknown",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
 from functools import reduce
 
@@ -29,10 +30,43 @@ def read_csv(
     """
     reader = spark.read.options(**CSV_OPTIONS, multiLine=line_breaks)
     if columns:
-        reader = reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in columns]))
+        # A file whose header says otherwise fails rather than giving shifted cells.
+        reader = reader.schema(_text_schema(columns)).option("enforceSchema", False)
     return reader.csv(path)
 
 
+def _text_schema(columns: Sequence[str]) -> T.StructType:
+    return T.StructType([T.StructField(c, T.StringType()) for c in columns])
+
+
+def read_csv_folder(
+    spark: SparkSession, path: str | Sequence[str], line_breaks: bool = True
+) -> tuple[DataFrame, DataFrame]:
+    """(rows of all CSV files by their own headers, files set aside with a ``reason``).
+
+    A job over the files finds each one's first line and whether it is an HTML page. Files with
+    equal headers are read together, by that header; the groups are united by column name, so
+    order and number of columns may differ. What reaches the driver is one line per file, as
+    any file listing does. Reasons are ``html_body`` and ``empty``;
+    files of no bytes add nothing.
+    """
+    bodies = read_bodies(spark, path)
+    head = F.regexp_extract("body", r"\A\x{FEFF}?([^\r\n]*)", 1)
+    reason = F.when(is_html("body"), "html_body").when(F.trim(head) == "", "empty")
+    heads = bodies.select("file", F.coalesce(reason, F.lit("")).alias("reason"), head.alias("head")).collect()
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for row in sorted(heads, key=lambda r: r["file"]):
+        if not row["reason"]:
+            by_header.setdefault(tuple(next(csv.reader([row["head"]]))), []).append(row["file"])
+    frames = [
+        spark.read.options(**CSV_OPTIONS, multiLine=line_breaks).schema(_text_schema(names)).csv(found)
+        for names, found in by_header.items()
+    ]
+    aside = [(r["file"], r["reason"]) for r in heads if r["reason"]]
+    rejected = spark.createDataFrame(aside, "file string, reason string")
+    return (union_rows(frames) if frames else spark.createDataFrame([], T.StructType([]))), rejected
+
+
 def with_row_order(df: DataFrame, out: str = "row_order") -> DataFrame:
     """Adds (file, position) so first-row rules survive shuffles; for whole-file reads."""
     place = F.struct(F.col("_metadata.file_name").alias("file"), F.monotonically_increasing_id().alias("row"))

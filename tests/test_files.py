@@ -121,3 +121,15 @@ def test_stream_replay_is_idempotent(spark, tmp_path):
     land([(2, "2024-06-01 11:00:00", "two again"), (3, "2024-06-01 11:00:00", "three")])
     assert follow() == [(1, "new"), (2, "two again"), (3, "three")]
     assert follow() == [(1, "new"), (2, "two again"), (3, "three")]
+
+
+def test_csv_folder_by_header(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("game_pk,pitcher\n1,200\n", encoding="utf-8")
+    (tmp_path / "b.csv").write_text('\ufeffpitcher,game_pk,"bat,speed"\n200,2,"7""1"\n', encoding="utf-8")
+    (tmp_path / "c.csv").write_text("\n <!DOCTYPE html><p>busy</p>")
+    (tmp_path / "d.csv").write_text("\n")
+    (tmp_path / "e.csv").write_text("game_pk,pitcher\n")
+    rows, aside = files.read_csv_folder(spark, str(tmp_path / "*.csv"))
+    got = sorted((r["game_pk"], r["pitcher"], r["bat,speed"]) for r in rows.collect())
+    assert got == [("1", "200", None), ("2", "200", '7"1')]
+    assert sorted((r["file"][-5:], r["reason"]) for r in aside.collect()) == [("c.csv", "html_body"), ("d.csv", "empty")]

@@ -1,3 +1,5 @@
+import pytest
+
 from dugout.landed import BOARD_CALLS, Landed
 from dugout.operators import leaderboard, pitch_search
 from dugout.plans.registry import BOARDS
@@ -25,7 +27,8 @@ def test_landed_folder(spark, tmp_path):
     (shards / "people-1.csv").write_text("")
     board = spark.createDataFrame([("10", 2024, 28.1), ("11", 2024, 27.0)], "player_id string, year int, sprint_speed double")
     leaderboard.land_board(board, f"{root}/boards", "sprint_speed")
-    pages = spark.createDataFrame([(2024, "<script>var data = [{\"pf\":112}];</script>")], "year int, html string")
+    venues = '<script>var data = [{"venue_id":1,"park_factor":112},{"venue_id":2}];</script>'
+    pages = spark.createDataFrame([(2024, "R", venues), (2024, "L", "<p>none</p>")], "year int, bat_side string, html string")
     pages.write.parquet(f"{root}/pages/statcast-park-factors")
 
     data = Landed(spark, root)
@@ -41,4 +44,8 @@ def test_landed_folder(spark, tmp_path):
     assert data.lookup("lee").count() == 1
     assert data.mlbam_to_fangraphs(10) == "x10" and data.mlbam_to_bbref(10) is None and data.bbref_to_mlbam("") is None
     assert [r["player_id"] for r in data.get_sprint_speed(2024, player_id=11).collect()] == ["11"]
-    assert data.get_park_factors(2024, bat_side="R").first()["json_status"] == "ok"
+    parks = data.get_park_factors(2024, bat_side="R").collect()
+    assert [(r["venue_id"], r["park_factor"]) for r in parks] == [("1", "112"), ("2", None)]
+    assert data.get_park_factors(2024, bat_side="L").count() == 0
+    with pytest.raises(ValueError):
+        data.get_park_factors(2024, roof="open")

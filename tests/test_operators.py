@@ -1,4 +1,4 @@
-import difflib
+import inspect
 import random
 from itertools import groupby
 
@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from dugout.operators import arsenal, derived, entities, leaderboard, ordered, pitch_search, ranking, register, resolve, streaks
 from dugout.plans import endpoints, registry
 from dugout.sources import codes
+from dugout.streaming import feeds
 
 ARSENAL_COLUMNS = "pitcher string, pitch_type string, player_name string, p_throws string, release_speed string, release_spin_rate string, spin_axis string"
 ARSENAL_ROWS = [
@@ -131,33 +132,26 @@ def test_player_resolution(spark):
     assert {r["q"]: r["resolved_id"] for r in got.collect()} == {" a B ": 592450, "c": 5, "d": None}
 
 
-def test_suggestions_against_brute_force(spark):
-    pool = resolve.suggestion_pool("team")
-    random.seed(3)
-    words = {"".join(random.sample(p, len(p) - 1)) if i % 3 else p[:-1] for i, p in enumerate(pool)} - {""}
-    df = spark.createDataFrame([(w,) for w in sorted(words)], "value string")
-    got = {r["value"]: r["suggestion"] for r in resolve.suggest(df, "value", pool).collect()}
-    for w in words:
-        scored = []
-        for c in dict.fromkeys(pool):
-            m = difflib.SequenceMatcher(None, c, w)
-            scored.append((m.ratio(), c))
-        best = max(scored)
-        assert got[w] == (best[1] if best[0] >= 0.6 else None), w
-
-
 def skewed(spark, n=600):
-    """Two thirds of the rows belong to one key."""
+    """A third of the rows have no key, a third a blank one."""
     random.seed(11)
-    rows = [(0 if i % 3 else i % 7, i, random.choice([0, 1, 1]), float(random.randint(0, 9))) for i in range(n)]
+    keys = [None, "", *"abcdefg"]
+    rows = [
+        (keys[i % 3] if i % 3 < 2 else keys[2 + i % 7], i, random.choice([0, 1, 1]), float(random.randint(0, 9)))
+        for i in range(n)
+    ]
     random.shuffle(rows)
-    return spark.createDataFrame(rows, "k int, o int, hit int, v double"), rows
+    return spark.createDataFrame(rows, "k string, o int, hit int, v double"), rows
+
+
+def by_name(row):
+    return (row[0] is not None, row[0] or "", *row[1:])
 
 
 @pytest.mark.parametrize("limit", [ordered.GROUP_LIMIT, 25])
 def test_ordered_work_plain_and_sliced(spark, limit):
     df, rows = skewed(spark)
-    by_key = {k: [r for r in sorted(rows, key=lambda r: (r[0], r[1])) if r[0] == k] for k in {r[0] for r in rows}}
+    by_key = {k: [r for r in sorted(rows, key=lambda r: r[1]) if r[0] == k] for k in {r[0] for r in rows}}
 
     total = {(r["k"], r["o"]): r["t"] for r in ordered.running_total(df, ["k"], ["o"], F.col("hit"), "t", limit).collect()}
     assert total == {(k, r[1]): sum(x[2] for x in rs[: i + 1]) for k, rs in by_key.items() for i, r in enumerate(rs)}
@@ -177,14 +171,14 @@ def test_ordered_work_plain_and_sliced(spark, limit):
         assert r["f"] == (seen[-1] if seen else None)
 
     runs = streaks.islands(df, ["k"], ["o"], F.col("hit") == 1, limit).collect()
-    found = sorted((r["k"], r["started"], r["ended"], r["length"], r["is_current"]) for r in runs)
+    found = sorted([(r["k"], r["started"], r["ended"], r["length"], r["is_current"]) for r in runs], key=by_name)
     expected = []
     for k, rs in by_key.items():
         for hit, run in groupby(rs, key=lambda r: r[2]):
             run = list(run)
             if hit:
                 expected.append((k, run[0][1], run[-1][1], len(run), run[-1] is rs[-1]))
-    assert found == sorted(expected)
+    assert found == sorted(expected, key=by_name)
 
 
 @pytest.mark.parametrize("limit", [ordered.GROUP_LIMIT, 25])
@@ -301,17 +295,91 @@ def test_code_tables(spark):
 
 def test_every_endpoint_takes_its_parameters(spark):
     assert len(endpoints.ENDPOINTS) == 84
-    df = spark.createDataFrame([(1, 2024)], "id int, season int")
+    rows = [(1, 2023), (1, 2024), (1, 2025)]
+    df = spark.createDataFrame(rows, "id int, season int")
     with pytest.raises(ValueError):
         endpoints.query_endpoint("get_schedule", df, nonsense=1)
     with pytest.raises(ValueError):
         endpoints.query_endpoint("get_schedule", df, venueIds=3)
+    seasons = 0
     for spec in endpoints.ENDPOINTS.values():
-        if "season" in spec.params:
+        # Settings are one positional argument, so no parameter can be taken for one.
+        kinds = inspect.signature(endpoints.query_endpoint).parameters
+        named = {n for n, p in kinds.items() if p.kind not in (p.POSITIONAL_ONLY, p.VAR_KEYWORD)}
+        assert not named & {*spec.params, *spec.path_params}
+        if "season" in spec.params and spec.name != "get_streaks":
             stats = df.selectExpr("*", "'c' as category", "1 as value")
+            got = endpoints.query_endpoint(spec.name, stats, season=2024).collect()
             # the record endpoint answers with a high and a low
-            want = 2 if spec.name == "get_high_low" else 1
-            assert endpoints.query_endpoint(spec.name, stats, season=2024).count() == want
+            assert len(got) == (2 if spec.name == "get_high_low" else 1), spec.name
+            assert {r["season"] for r in got} == {2024}, spec.name
+            seasons += 1
+        if "hydrate" in spec.params and spec.name not in ("get_streaks", "get_gamefeed"):
+            with pytest.raises(ValueError, match="hydrate"):
+                endpoints.query_endpoint(spec.name, df.selectExpr("*", "'c' as category", "1 as value"), hydrate="team")
+    assert seasons >= 27
+
+
+def test_endpoint_hydrates_through_the_landed_api(spark, tmp_path):
+    spark.createDataFrame([(1, 7), (2, None)], "id int, team_id int").write.parquet(str(tmp_path / "get_people"))
+    teams = spark.createDataFrame([(7, "Seven")], "team_id int, name string")
+    settings = {"get_people": endpoints.Settings(related={"currentTeam": (teams, ["team_id"])})}
+    api = endpoints.LandedApi(spark, str(tmp_path), settings)
+    got = {r["id"]: r["currentTeam"] for r in api.get_people(hydrate="currentTeam").collect()}
+    assert got[1]["name"] == "Seven"
+    assert got[2] is None or got[2]["name"] is None
+
+
+def test_streak_endpoint_orders_by_length(spark):
+    games = [(1, 2024, i, int(i > 1)) for i in range(11)] + [(2, 2024, i, int(i < 3)) for i in range(5)]
+    df = spark.createDataFrame(games, "player int, season int, day int, hit int")
+    at = endpoints.Settings(streak={"player": "player", "order": ["day"], "flags": {"hit": F.col("hit") == 1}})
+    asked = {"streakType": "hittingStreakOverall", "streakSpan": "career"}
+    assert endpoints.query_endpoint("get_streaks", df, at, limit=1, **asked).first()["length"] == 9
+    with pytest.raises(ValueError):
+        endpoints.query_endpoint("get_streaks", df, limit=1, **asked)
+
+
+def test_nothing_is_ignored(spark):
+    df = spark.createDataFrame([(1, 2)], "pitcher int, n int")
+    with pytest.raises(ValueError):
+        pitch_search.filter_rows(df, min_results=3)
+    assert pitch_search.filter_rows(df, min_results=0).count() == 1
+    with pytest.raises(ValueError):
+        leaderboard.leaderboard(df, "exit-velocity-barrels", type="batter")
+    with pytest.raises(ValueError):
+        derived.with_teams(df)
+    rows = spark.createDataFrame([(1, 60), (2, 40)], "player_id int, bbe int")
+    assert leaderboard.leaderboard(rows, "batted-ball", min_bbe=50).first()["player_id"] == 1
+
+
+def test_leaders_of_a_missing_category_and_without_top(spark):
+    df = spark.createDataFrame([(None, 1.0), (None, 2.0), ("a", 5.0), ("a", 5.0), ("a", 4.0)], "cat string, v double")
+    one = ranking.leaders(df, ["cat"], "v", 1).collect()
+    assert sorted((str(r["cat"]), r["v"]) for r in one) == [("None", 2.0), ("a", 5.0), ("a", 5.0)]
+    every = ranking.leaders(df, ["cat"], "v").collect()
+    assert sorted((str(r["cat"]), r["rank"]) for r in every) == [("None", 1), ("None", 2), ("a", 1), ("a", 1), ("a", 3)]
+    ends = ranking.high_low(df, ["cat"], "v").collect()
+    assert sorted((str(r["cat"]), r["record"]) for r in ends) == [("None", "high"), ("None", "low"), ("a", "high"), ("a", "high"), ("a", "low")]
+
+
+def test_deep_page_is_the_rest_in_order(spark):
+    df = spark.range(1000).selectExpr("id", "id % 7 as v")
+    want = sorted(((i % 7, i) for i in range(1000)), key=lambda x: (-x[0], x[1]))
+    got = [(r["v"], r["id"]) for r in ranking.page(df, "v", ["id"], None, 900).collect()]
+    assert got == want[900:]
+
+
+def test_late_changes_count(spark, tmp_path):
+    day = "timestamp_ntz'2024-01-{:02d} 00:00:00'"
+    for n, rows in enumerate([[(1, 9), (3, 9)], [(2, 1), (1, 1)], [(3, 10)]]):
+        sql = " UNION ALL ".join(f"SELECT {k} AS id, {day.format(d)} AS updated, '{n}' AS v" for k, d in rows)
+        spark.sql(sql).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    schema = spark.read.parquet(str(tmp_path / "in")).schema
+    stream = feeds.landing_stream(spark, str(tmp_path / "in"), schema, files=1)
+    feeds.follow_changes(stream, ["id"], "updated", str(tmp_path / "t"), str(tmp_path / "c"))
+    now = feeds.current_versions(spark, str(tmp_path / "t"), ["id"], "updated")
+    assert {(r["id"], r["v"]) for r in now.collect()} == {(1, "0"), (2, "1"), (3, "2")}
 
 
 def test_landed_api(spark, tmp_path):
