@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from dugout.session import shared_path
 
@@ -32,6 +34,55 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+ARROW = {"long": pa.int64(), "double": pa.float64(), "boolean": pa.bool_(), "string": pa.string()}
+# Rows that ``per_text`` hands over at a time: bounds what their results and texts hold.
+ROWS = 512
+
+Work = Callable[[list[str | None]], list[tuple]]
+
+
+class PerText:
+    """Results of a function of a text beside the rows' own columns, which pass through as Arrow.
+
+    Inside, columns go by position, so extra columns may have any names. ``with_columns`` gives
+    results beside columns (a result hides a column of its name); ``rows_where`` gives the rows
+    whose result ``flag`` is as asked, with their own columns only.
+    """
+
+    def __init__(self, docs: DataFrame, columns: Sequence[str], text: str, results: Mapping[str, str], work: Work):
+        self.columns, self.results = list(columns), list(results)
+        own = docs.select(*(docs[c].alias(f"_c{i}") for i, c in enumerate(self.columns)), docs[text].alias("_t"))
+        # A text that is kept anyway travels once.
+        self.text_at = self.columns.index(text) if text in self.columns else None
+        read = own if self.text_at is None else own.drop("_t")
+        source = "_t" if self.text_at is None else f"_c{self.text_at}"
+        kept = [f for f in read.schema if f.name != "_t"]
+        kinds = [ARROW[k] for k in results.values()]
+        schema = T.StructType([*kept, *T.StructType.fromDDL(", ".join(f"_r{i} {k}" for i, k in enumerate(results.values())))])
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for at in range(0, batch.num_rows, ROWS):
+                    part = batch.slice(at, ROWS)
+                    found = work(part.column(source).to_pylist())
+                    arrays = [pa.array([row[i] for row in found], kind) for i, kind in enumerate(kinds)]
+                    names = [f.name for f in kept]
+                    yield pa.RecordBatch.from_arrays(
+                        [*(part.column(n) for n in names), *arrays], names=[*names, *(f"_r{i}" for i in range(len(kinds)))]
+                    )
+
+        self.found = read.mapInArrow(run, schema)
+
+    def with_columns(self) -> DataFrame:
+        own = [F.col(f"_c{i}").alias(c) for i, c in enumerate(self.columns) if c not in self.results]
+        return self.found.select(*own, *(F.col(f"_r{i}").alias(r) for i, r in enumerate(self.results)))
+
+    def rows_where(self, flag: str, value: bool) -> DataFrame:
+        at = self.results.index(flag)
+        own = [F.col(f"_c{i}").alias(c) for i, c in enumerate(self.columns)]
+        return self.found.filter(F.col(f"_r{at}") == F.lit(value)).select(*own)
+
+
 def numbered(df: DataFrame, groups: Sequence[str], block: Column, order: Sequence[Column], name: str) -> DataFrame:
     """Adds ``name``, a number gapless from 0 within each group, with no group in one task.
 
@@ -39,8 +90,6 @@ def numbered(df: DataFrame, groups: Sequence[str], block: Column, order: Sequenc
     in block order and added. ``block`` must be a function of the row with a bounded number of
     values. Groups may be NULL. Rows equal in ``order`` get numbers in any order.
     """
-    if clash := {"_block", "_in", "_of", "_before"} & set(df.columns):
-        raise ValueError(f"columns in the way: {sorted(clash)}")
     keys = [*groups, "_block"]
     own = Window.partitionBy(*keys).orderBy(*order)
     held = df.withColumn("_block", block)

@@ -16,12 +16,12 @@ from __future__ import annotations
 
 import html
 import re
-from collections.abc import Iterator
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+
+from dugout.llm.common import PerText
 
 WINDOW = 3
 SURGE = 80
@@ -222,16 +222,11 @@ def main_text(page: str | None) -> str:
     return "\n\n".join(x.text for a, b in chosen for x in lines[a:b] if x.text and not x.out)
 
 
-def extract(pages: DataFrame, columns: tuple[str, ...] = ("page_id", "url")) -> DataFrame:
+def extract(pages: DataFrame, columns: Sequence[str] = ("page_id", "url")) -> DataFrame:
     """``columns`` of ``pages`` with text and n_chars, read from the whole html."""
 
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = batch[list(columns)].reset_index(drop=True)
-            out["text"] = [main_text(h if isinstance(h, str) else None) for h in batch["_html"]]
-            out["n_chars"] = out["text"].str.len().astype("int64")
-            yield out
+    def read(pages: list[str | None]) -> list[tuple]:
+        texts = [main_text(page) for page in pages]
+        return [(text, len(text)) for text in texts]
 
-    kept = pages.select(*columns)
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema), "text string, n_chars long"])
-    return pages.select(*columns, F.col("html").alias("_html")).mapInPandas(read, schema)
+    return PerText(pages, columns, "html", {"text": "string", "n_chars": "long"}, read).with_columns()

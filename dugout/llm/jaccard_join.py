@@ -353,8 +353,8 @@ def keep_one(docs: DataFrame, join: Join = Join()) -> DataFrame:
     groups = similar_groups(docs, join).filter("doc_id is not null").groupBy("doc_id")
     copies = groups.agg(F.bool_and(F.col("doc_id") != F.col("component_id")).alias("_copy")).filter("_copy")
     others = docs.filter("doc_id is not null").join(
-        copies.select(F.col("doc_id").alias("_gone")), F.col("doc_id") == F.col("_gone"), "left_anti"
+        copies.select(F.col("doc_id").alias("_jaccard_gone")), F.col("doc_id") == F.col("_jaccard_gone"), "left_anti"
     )
-    text = F.xxhash64("text")
-    single = others.withColumn("_text", text).dropDuplicates(["doc_id", "_text"]).drop("_text")
+    hashed = others.withColumn("_jaccard_text", F.xxhash64("text"))
+    single = hashed.dropDuplicates(["doc_id", "_jaccard_text"]).drop("_jaccard_text")
     return single.unionByName(docs.filter("doc_id is null"))

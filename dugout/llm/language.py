@@ -15,7 +15,7 @@ order wins; repeated rows get equal results; other columns are kept by ``keep``.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -24,6 +24,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from dugout.llm.common import PerText
+
 UNKNOWN = "und"
 DIMS = 4096
 _STEPS = (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D)
@@ -119,7 +121,7 @@ class Model:
             k, score = best[row], float(np.clip(cosines[row, best[row]], 0.0, 1.0))
             # Short texts fill few of the dimensions, so they lie farther from any centroid.
             few = min(1.0, float(found[i].sum()) / 600)
-            out[i] = (self.langs[self.of[k]], score, score < self.reach[k] * few)
+            out[i] = (self.langs[self.of[k]], score, bool(score < self.reach[k] * few))
         return out
 
 
@@ -186,29 +188,21 @@ def fit(docs: DataFrame, settings: Settings = Settings()) -> Model:
     return Model(tuple(langs), idf, np.stack(centroids), np.array(of), np.array(reach))
 
 
-RESULT = "lang_pred string, score double, rejected boolean"
+RESULTS = {"lang_pred": "string", "score": "double", "rejected": "boolean"}
+
+
+def _identified(docs: DataFrame, model: Model | None, columns: Sequence[str], settings: Settings) -> PerText:
+    shared = docs.sparkSession.sparkContext.broadcast(model or fit(docs, settings))
+    return PerText(docs, columns, "text", RESULTS, lambda texts: shared.value.predict(texts))
 
 
 def identify(
-    docs: DataFrame, model: Model | None = None, columns: tuple[str, ...] = ("doc_id",), settings: Settings = Settings()
+    docs: DataFrame, model: Model | None = None, columns: Sequence[str] = ("doc_id",), settings: Settings = Settings()
 ) -> DataFrame:
     """``columns`` of ``docs`` with lang_pred, score and rejected; only the text decides."""
-    known = model or fit(docs, settings)
-    shared = docs.sparkSession.sparkContext.broadcast(known)
-
-    def predict(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for at in range(0, len(batch), 512):
-                part = batch.iloc[at : at + 512].reset_index(drop=True)
-                found = pd.DataFrame(shared.value.predict(list(part["_text"])), columns=["lang_pred", "score", "rejected"])
-                yield pd.concat([part[list(columns)], found], axis=1)
-
-    kept = docs.select(*columns)
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema), RESULT])
-    return docs.select(*columns, F.col("text").alias("_text")).mapInPandas(predict, schema)
+    return _identified(docs, model, columns, settings).with_columns()
 
 
 def keep(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """The rows of ``docs`` that are not rejected, with their columns."""
-    columns = tuple(docs.columns)
-    return identify(docs, None, columns, settings).filter("not rejected").select(*columns)
+    return _identified(docs, None, docs.columns, settings).rows_where("rejected", False)

@@ -10,7 +10,8 @@ number of licences, not by the data, so Spark may broadcast it.
 
 Defined results: NULL texts and texts without a letter or digit have no digest and no licence;
 repeated rows are each scanned; notices are listed once each, in order of name; an empty table
-gives no rows; other columns are kept on request. If two known texts have one digest, the
+gives no rows; other columns are kept on request, but
+a result hides one of its name. If two known texts have one digest, the
 first name in order counts.
 """
 
@@ -144,16 +145,17 @@ def scan(
     notices: dict[str, str] = NOTICES,
 ) -> DataFrame:
     """``columns`` of ``docs`` with digest, license_id of the whole text, and notices found in it."""
+    kept = [c for c in columns if c not in ("digest", "license_id", "notices")]
     # Only units as short as the longest notice can be one.
     longest = 4 * max((len(n) for n in notices.values()), default=0)
-    units = F.filter(F.split(F.coalesce("text", F.lit("")), UNITS), lambda u: F.length(u) <= longest)
+    units = F.filter(F.split(F.coalesce(docs["text"], F.lit("")), UNITS), lambda u: F.length(u) <= longest)
     named = F.lit("")
     for name, notice in sorted(notices.items()):
         hit = F.array_contains(F.col("_units"), digest(F.lit(notice)))
         named = F.concat(named, F.when(hit, F.lit(f"{name} ")).otherwise(""))
-    scanned = docs.select(*columns, digest(F.col("text")).alias("digest"), F.transform(units, digest).alias("_units"))
+    scanned = docs.select(*kept, digest(F.col("text")).alias("digest"), F.transform(units, digest).alias("_units"))
     joined = scanned.join(known(docs, licenses), F.col("digest") == F.col("_known"), "left")
-    return joined.select(*columns, "digest", "license_id", F.rtrim(named).alias("notices"))
+    return joined.select(*kept, "digest", "license_id", F.rtrim(named).alias("notices"))
 
 
 def scan_sql(licenses: dict[str, str] = LICENSES, notices: dict[str, str] = NOTICES) -> str:

@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import unicodedata
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -26,6 +26,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from dugout.llm.common import PerText
+
 SYMBOLS = "#*$%&|<>"
 BLANKS = " \t\n\x0b\x0c\r"
 CLASSES = ("lower", "upper", "letter", "digit", "space", "stop", "mark", "symbol")
@@ -221,38 +223,44 @@ class Judge:
         )
 
 
-RESULT = (
-    "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
-    "base_failed boolean, class_distance double, word_distance double, kept boolean"
-)
-
+RESULTS = {
+    "n_words": "long",
+    "word_chars": "long",
+    "n_symbols": "long",
+    "n_dup_lines": "long",
+    "n_repeat_words": "long",
+    "base_failed": "boolean",
+    "class_distance": "double",
+    "word_distance": "double",
+    "kept": "boolean",
+}
 
-def judge(docs: DataFrame, rules: Rules = Rules(), columns: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``columns`` of ``docs`` and the counts, distances and verdict of each row.
 
-    Runs one job at once, for the references; only that bounded table reaches the driver.
-    """
+def _judged(docs: DataFrame, rules: Rules, columns: Sequence[str]) -> PerText:
     rows = [(r["lang"], r["kind"], r["item"], r["n"]) for r in references(docs, rules).collect()]
     judged = Judge(rows, rules)
 
-    def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = []
-            for text in batch["_text"]:
-                text = text if isinstance(text, str) else ""
-                base = base_counts(text, text.encode().split())
-                failed = base[0] < 10 or 100 * base[4] > 20 * base[0]
-                near = judged.distances(text)
-                out.append((*base, failed, near[0], near[1], not failed and judged.accepts(*near, len(text))))
-            names = [part.split()[0] for part in RESULT.split(", ")]
-            yield pd.concat([batch[list(columns)].reset_index(drop=True), pd.DataFrame(out, columns=names)], axis=1)
+    def measure(texts: list[str | None]) -> list[tuple]:
+        out = []
+        for text in texts:
+            text = text or ""
+            base = base_counts(text, text.encode().split())
+            failed = base[0] < 10 or 100 * base[4] > 20 * base[0]
+            near = judged.distances(text)
+            out.append((*base, failed, near[0], near[1], not failed and judged.accepts(*near, len(text))))
+        return out
+
+    return PerText(docs, columns, "text", RESULTS, measure)
 
-    kept = docs.select(*columns)
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema), RESULT])
-    return docs.select(*columns, F.col("text").alias("_text")).mapInPandas(measure, schema)
+
+def judge(docs: DataFrame, rules: Rules = Rules(), columns: Sequence[str] = ("doc_id",)) -> DataFrame:
+    """``columns`` of ``docs`` and the counts, distances and verdict of each row.
+
+    Runs one job at once, for the references; only that bounded table reaches the driver.
+    """
+    return _judged(docs, rules, columns).with_columns()
 
 
 def keep(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """The rows of ``docs`` that pass, with their columns."""
-    columns = tuple(docs.columns)
-    return judge(docs, rules, columns).filter("kept").select(*columns)
+    return _judged(docs, rules, docs.columns).rows_where("kept", True)

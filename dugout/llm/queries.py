@@ -56,8 +56,7 @@ def op4_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_jump_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sharded = sharding.shard(documents(spark, sf_dir), SHARDS)
-    return sharded.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
+    return sharding.shard(documents(spark, sf_dir), SHARDS)
 
 
 def op6_divergence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,11 +5,13 @@ jump below the shard count is the shard. There is no ring table, and with one mo
 either stays or moves into the new one.
 
 Defined results: a NULL key counts as key 0 and a NULL text as an empty one; equal keys share a
-shard, so repeated rows do; an empty table gives no rows; other columns are kept.
+shard, so repeated rows do; an empty table gives no rows; other columns are kept on request.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -62,23 +64,27 @@ def jump(key: Column, shards: int) -> Column:
     return F.aggregate(steps, start, step, lambda s: s["shard"].cast("int"))
 
 
-def shard(docs: DataFrame, shards: int, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Adds to ``docs``: size, text_crc32, law, shard, slot (gapless within a shard), grown_shard.
+RESULTS = ("size", "text_crc32", "law", "shard", "slot", "grown_shard")
+
+
+def shard(
+    docs: DataFrame, shards: int, key: str = "doc_id", text: str = "text", columns: Sequence[str] = ("doc_id",)
+) -> DataFrame:
+    """``columns`` of ``docs`` with size, text_crc32, law, shard, slot (gapless within a shard) and
+    grown_shard, the shard if there were one more.
 
     Slots follow a block taken from the key's first random step, then the key, size and
-    checksum; no shard is numbered in one task.
+    checksum; no shard is numbered in one task. A result hides a column of its name.
     """
-    kinds = dict(docs.dtypes)
-    body = F.coalesce(F.col(text), F.lit(""))
-    held = docs.withColumn("_key", stable_key(F.col(key), kinds[key])).withColumns(
-        {
-            "size": (F.octet_length(body) + 16).cast("long"),
-            "text_crc32": F.crc32(body.cast("binary")).cast("long"),
-            "law": F.lit("key"),
-            "shard": jump(F.col("_key"), shards),
-            "grown_shard": jump(F.col("_key"), shards + 1),
-        }
-    )
+    kept = [c for c in columns if c not in RESULTS]
+    body = F.coalesce(docs[text], F.lit(""))
+    held = docs.select(
+        *(docs[c].alias(f"_c{i}") for i, c in enumerate(kept)),
+        stable_key(docs[key], dict(docs.dtypes)[key]).alias("_key"),
+        (F.octet_length(body) + 16).cast("long").alias("size"),
+        F.crc32(body.cast("binary")).cast("long").alias("text_crc32"),
+    ).withColumns({"law": F.lit("key"), "shard": jump(F.col("_key"), shards), "grown_shard": jump(F.col("_key"), shards + 1)})
     first, _ = _times(F.shiftrightunsigned(F.col("_key"), 32), F.col("_key").bitwiseAND(F.lit(_LOW)))
     order = [F.col("_key"), F.col("size"), F.col("text_crc32")]
-    return numbered(held, ["shard"], first.bitwiseAND(F.lit(BLOCKS - 1)), order, "slot").drop("_key")
+    placed = numbered(held, ["shard"], first.bitwiseAND(F.lit(BLOCKS - 1)), order, "slot")
+    return placed.select(*(F.col(f"_c{i}").alias(c) for i, c in enumerate(kept)), *RESULTS)

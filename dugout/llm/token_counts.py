@@ -22,14 +22,14 @@ table gives no rows; other columns are kept on request.
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import lru_cache
 
-import pandas as pd
 import regex
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+
+from dugout.llm.common import PerText
 
 # Fixed value: the split pattern of byte-level BPE vocabularies of this family.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -226,25 +226,17 @@ def counter(path: str) -> Counter:
     return Counter(path)
 
 
-def token_counts(docs: DataFrame, vocabulary: str, limit: int = 512, columns: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def token_counts(docs: DataFrame, vocabulary: str, limit: int = 512, columns: Sequence[str] = ("doc_id",)) -> DataFrame:
     """``columns`` of ``docs`` with n_bytes, n_tokens and over_limit of each whole text.
 
     ``vocabulary`` is the path of the vocabulary file on the executors, part of their
     Python installation.
     """
 
-    def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def measure(texts: list[str | None]) -> list[tuple]:
         machine = counter(vocabulary)
-        for batch in batches:
-            texts = [t if isinstance(t, str) else "" for t in batch["_text"]]
-            out = batch[list(columns)].reset_index(drop=True)
-            out["n_bytes"] = [len(t.encode()) for t in texts]
-            out["n_tokens"] = [machine.count(t) for t in texts]
-            out["over_limit"] = out["n_tokens"] > limit
-            yield out
-
-    kept = docs.select(*columns)
-    schema = ", ".join(
-        [*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema), "n_bytes long, n_tokens long, over_limit boolean"]
-    )
-    return docs.select(*columns, F.col("text").alias("_text")).mapInPandas(measure, schema)
+        counts = [machine.count(t or "") for t in texts]
+        return [(len((t or "").encode()), n, n > limit) for t, n in zip(texts, counts, strict=True)]
+
+    results = {"n_bytes": "long", "n_tokens": "long", "over_limit": "boolean"}
+    return PerText(docs, columns, "text", results, measure).with_columns()
