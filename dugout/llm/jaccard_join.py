@@ -1,14 +1,16 @@
 """Exact set-similarity self-join on word n-grams, by prefix filter and prefix trees.
 
-1. One pass counts n-grams in a sketch and gives every set's size and digest. Sets equal by
-   digest are one class.
-2. All n-grams have one global order: rare ones by the sketch first, then by hash. Two sets
-   that are similar enough share an n-gram among the first few (the prefix) of both. Sets are tied
-   through shared prefix n-grams, and components of these ties are the clusters within which
-   links can lie. The sketch sets the order only, so its errors cost time, not links.
-3. Per cluster the sets go into a trie, common n-grams first, so that they share partial overlaps.
-   Each set walks the trie with its overlap so far, leaves out subtrees that cannot reach the
-   overlap asked for by what is left of either side, and subtrees already connected to it.
+1. One pass counts words and n-grams in sketches and gives every set's size and digest. Sets
+   equal by digest are one class.
+2. All n-grams have one global order: those that the sketch finds heavy last, the others by how
+   rare their words are, then by hash. Two sets that are similar enough share an n-gram among the
+   first few (the prefix) of both. Sets of fitting sizes are tied through shared prefix n-grams, and
+   components of these ties are the clusters within which links can lie. The sketches set
+   the order only, so their errors cost time, not links.
+3. Per cluster the same filter runs again, with exact counts; what it leaves together goes into a
+   trie, common n-grams first, so that sets share partial overlaps. Each set walks the trie with its
+   overlap so far, leaves out subtrees that cannot reach the overlap asked for by what is left of
+   either side, and subtrees already connected to it.
 4. Links connect classes; components of the links are the result.
 
 Clusters over ``CLUSTER`` sets are cut into slices and every two slices meet in a task of their
@@ -36,7 +38,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dugout.llm.common import written
-from dugout.llm.components import components, in_groups
+from dugout.llm.components import components, forest, in_groups
 
 SLOTS = 1 << 21
 CHUNK = 1 << 16
@@ -56,6 +58,10 @@ class Join:
     def prefix(self, size: int) -> int:
         return size - -(-self.percent * size // 100) + 1
 
+    def fits(self, small, large):
+        """Whether sets of these sizes, the smaller one first, can be similar enough."""
+        return 100 * small >= self.percent * large
+
     def overlap(self, a: int, b: int) -> int:
         """Least common members for sets of these sizes."""
         return -(-self.percent * (a + b) // (100 + self.percent))
@@ -72,21 +78,63 @@ class _Hashes(dict):
 _hashes = _Hashes()
 
 
-def shingles(text: str | None, n: int) -> np.ndarray:
-    """Sorted distinct hashes of the n-grams of lower-cased words."""
+def word_hashes(text: str | None) -> np.ndarray:
+    """Hashes of the lower-cased words."""
     # On bytes, lower() changes A-Z only and split() cuts at exactly the white space asked for.
     words = text.encode().lower().split() if isinstance(text, str) else []
-    if not words:
-        return np.zeros(0, np.uint64)
-    h = np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
-    take = min(n, len(words))
-    grams = np.full(len(words) - take + 1, np.uint64(take))
+    return np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
+
+
+def windows(h: np.ndarray, n: int) -> np.ndarray:
+    """A hash for each n-gram of words, in order; one for all words if they are fewer."""
+    take = min(n, len(h))
+    grams = np.full(len(h) - take + 1, np.uint64(take))
     for k in range(take):
-        grams = (grams ^ h[k : len(words) - take + 1 + k]) * _MIX[0]
+        grams = (grams ^ h[k : len(h) - take + 1 + k]) * _MIX[0]
         grams ^= grams >> np.uint64(29)
     grams = (grams ^ (grams >> np.uint64(30))) * _MIX[1]
     grams = (grams ^ (grams >> np.uint64(27))) * _MIX[2]
-    return np.unique(grams ^ (grams >> np.uint64(31)))
+    return grams ^ (grams >> np.uint64(31))
+
+
+def distinct(grams: np.ndarray) -> np.ndarray:
+    """Sorted, each once."""
+    grams = np.sort(grams)
+    return grams[np.append(True, grams[1:] != grams[:-1])] if len(grams) else grams
+
+
+def slot(hashes: np.ndarray) -> np.ndarray:
+    """Places in a sketch."""
+    return (hashes & np.uint64(SLOTS - 1)).view(np.int64)
+
+
+def shingles(text: str | None, n: int) -> np.ndarray:
+    """Sorted distinct hashes of the n-grams of lower-cased words."""
+    h = word_hashes(text)
+    return distinct(windows(h, n)) if len(h) else np.zeros(0, np.uint64)
+
+
+class Order:
+    """The global order of n-grams: a class for each, ascending; hashes decide within a class."""
+
+    def __init__(self, words: np.ndarray, grams: np.ndarray):
+        self.rarity = (16 * np.log2(words + 1.0)).astype(np.int32)
+        # What a slot holds by chance; twice that is heavy, and each doubling is heavier.
+        usual = max(2 * float(grams.sum()) / SLOTS, 8)
+        self.heavy = np.maximum(np.floor(np.log2(np.maximum(grams, 1) / usual)) + 1, 0).astype(np.int32) << 16
+
+    def first(self, h: np.ndarray, join: Join) -> tuple[np.ndarray, np.ndarray]:
+        """The set of these words' n-grams, and its prefix."""
+        grams = windows(h, join.words)
+        at = np.argsort(grams, kind="stable")
+        grams = grams[at]
+        once = np.append(True, grams[1:] != grams[:-1])
+        grams, at = grams[once], at[once]
+        rare = self.rarity[slot(h)]
+        take = min(join.words, len(h))
+        score = sum(rare[k : len(h) - take + 1 + k] for k in range(take))[at] + self.heavy[slot(grams)]
+        # grams are in hash order, and a stable sort keeps it among equals.
+        return grams, grams[np.argsort(score, kind="stable")[: join.prefix(len(grams))]]
 
 
 def _sid(grams: np.ndarray) -> int:
@@ -95,24 +143,26 @@ def _sid(grams: np.ndarray) -> int:
 
 
 def _first(docs: DataFrame, join: Join) -> DataFrame:
-    """Rows of documents (doc_id, n_shingles, digest, sid) and, per task, the chunks of a sketch."""
+    """Rows of documents (doc_id, n_shingles, digest, sid) and, per task, the chunks of its sketches:
+    words in the first half, n-grams in the second."""
     names = ["doc_id", "n_shingles", "digest", "sid", "chunk", "task", "counts"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counts = np.zeros(SLOTS, np.uint32)
+        counts = np.zeros(2 * SLOTS, np.uint32)
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
-                grams = shingles(text, join.words)
-                # Members of a set are distinct, so one index rarely repeats; add.at counts all.
-                np.add.at(counts, grams % np.uint64(SLOTS), 1)
+                h = word_hashes(text)
+                grams = distinct(windows(h, join.words)) if len(h) else h
+                np.add.at(counts[:SLOTS], slot(h), np.uint32(1))
+                np.add.at(counts[SLOTS:], slot(grams), np.uint32(1))
                 digest = hashlib.blake2b(grams.tobytes(), digest_size=16).digest() if len(grams) else None
                 rows.append((doc_id, len(grams), digest, _sid(grams), None, None, None))
             out = pd.DataFrame(rows, columns=names)
             out["doc_id"] = out["doc_id"].astype("Int64")
             yield out
         task = TaskContext.get().partitionId()
-        chunks = range(0, SLOTS, CHUNK) if counts.any() else ()
+        chunks = range(0, 2 * SLOTS, CHUNK) if counts.any() else ()
         sketch = [(None, None, None, None, at // CHUNK, task, zlib.compress(counts[at : at + CHUNK].tobytes(), 1)) for at in chunks]
         yield pd.DataFrame(sketch, columns=names)
 
@@ -121,7 +171,7 @@ def _first(docs: DataFrame, join: Join) -> DataFrame:
 
 
 def _sketch(parts: DataFrame) -> np.ndarray:
-    """The sketch over all tasks: chunks are added in two steps, one chunk at a time."""
+    """The sketches over all tasks: chunks are added in two steps, one chunk at a time."""
 
     def work(frame: pd.DataFrame) -> Iterator[pd.DataFrame]:
         for (chunk, fold), own in frame.groupby(["chunk", "fold"]):
@@ -135,48 +185,67 @@ def _sketch(parts: DataFrame) -> np.ndarray:
     folded = parts.select("chunk", (F.col("task") % FOLD).alias("fold"), "counts")
     once = in_groups(folded, ["chunk", "fold"], work, schema)
     twice = in_groups(once.withColumn("fold", F.lit(0)), ["chunk", "fold"], work, schema)
-    sketch = np.zeros(SLOTS, np.uint32)
+    sketch = np.zeros(2 * SLOTS, np.uint32)
     for row in twice.collect():
         sketch[row["chunk"] * CHUNK : (row["chunk"] + 1) * CHUNK] = np.frombuffer(zlib.decompress(row["counts"]), np.uint32)
     return sketch
 
 
-def _ties(docs: DataFrame, sketch, join: Join) -> DataFrame:
-    """Pairs (a, b) of set ids that share a prefix n-gram, enough of them to connect all that do."""
+def _runs(grams: np.ndarray, sizes: np.ndarray, join: Join) -> tuple[np.ndarray, np.ndarray]:
+    """For rows of (n-gram, set size): their order by both, and whether a row in it begins a new run.
+
+    Within an n-gram's run each size fits the next. Two sets that may link are in one run.
+    """
+    order = np.lexsort((sizes, grams))
+    g, n = grams[order], sizes[order]
+    new = np.ones(len(g), bool)
+    new[1:] = (g[1:] != g[:-1]) | ~join.fits(n[:-1], n[1:])
+    return order, new
+
+
+def _ties(docs: DataFrame, order, join: Join) -> DataFrame:
+    """Pairs (a, b) of set ids that share a prefix n-gram, enough of them to connect all that may link.
+
+    A batch ties its own sets and passes on one row per run: an n-gram, a span of sizes, and a set.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counts = sketch.value
+        known = order.value
         for batch in batches:
-            grams, sids = [], []
-            seen = set()
+            found, seen = [], set()
             for text in batch["text"]:
-                own = shingles(text, join.words)
-                if not len(own):
+                h = word_hashes(text)
+                if not len(h):
                     continue
+                own, first = known.first(h, join)
                 sid = _sid(own)
-                if sid in seen:
-                    continue
-                seen.add(sid)
-                # own is in hash order, and a stable sort by count keeps it among equals.
-                first = np.argsort(counts[own % np.uint64(SLOTS)], kind="stable")[: join.prefix(len(own))]
-                grams.append(own[first])
-                sids.append(np.full(len(first), sid, np.int64))
-            if not grams:
+                if sid not in seen:
+                    seen.add(sid)
+                    found.append((first, np.full(len(first), sid), np.full(len(first), len(own))))
+            if not found:
                 continue
-            g, s = np.concatenate(grams).view(np.int64), np.concatenate(sids)
-            order = np.lexsort((s, g))
-            g, s = g[order], s[order]
-            new = np.concatenate([[True], g[1:] != g[:-1]])
-            smallest = s[new][np.cumsum(new) - 1]
-            # The smallest set of an n-gram stands for it; the others are tied to it here.
-            pairs = np.unique(np.stack([smallest[~new], s[~new]], axis=1), axis=0)
-            yield pd.DataFrame({"gram": g[new], "a": s[new], "b": pd.array([None] * int(new.sum()), "Int64")})
-            yield pd.DataFrame({"gram": pairs[:, 0] ^ pairs[:, 1], "a": pairs[:, 0], "b": pd.array(pairs[:, 1], "Int64")})
-
-    found = docs.select("text").mapInPandas(run, "gram long, a long, b long")
-    least = F.min(F.when(F.col("b").isNull(), F.col("a"))).over(Window.partitionBy("gram"))
+            g, s, n = (np.concatenate(x) for x in zip(*found, strict=True))
+            g = g.view(np.int64)
+            at, new = _runs(g, n, join)
+            g, s, n = g[at], s[at], n[at]
+            starts = np.flatnonzero(new)
+            ends = np.append(starts[1:], len(g)) - 1
+            none = pd.array([None] * len(starts), "Int64")
+            yield pd.DataFrame({"gram": g[starts], "low": n[starts], "high": n[ends], "a": s[starts], "b": none})
+            inside = np.flatnonzero(~new)
+            pairs = np.unique(np.stack([s[inside - 1], s[inside]], axis=1), axis=0)
+            yield pd.DataFrame({"gram": pairs[:, 0] ^ pairs[:, 1], "low": 0, "high": 0, "a": pairs[:, 0], "b": pd.array(pairs[:, 1], "Int64")})
+
+    found = docs.select("text").mapInPandas(run, "gram long, low int, high int, a long, b long")
+    # Among the runs of an n-gram in order of their lowest size, one that fits those before it
+    # is tied to the one just before. Ties that are already made pass through.
+    by_size = Window.partitionBy("gram", F.col("b").isNull()).orderBy("low", "high", "a")
+    reach = F.max("high").over(by_size.rowsBetween(Window.unboundedPreceding, -1))
+    before = F.lag("a").over(by_size)
+    fit = F.col("low") * join.percent <= reach * 100
     return (
-        found.withColumn("b", F.coalesce("b", least))
+        found.withColumns({"_before": before, "_fit": fit})
+        .withColumn("b", F.coalesce("b", F.when(F.col("_fit"), F.col("_before"))))
         .filter("a <> b")
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         .distinct()
@@ -261,18 +330,46 @@ class Trie:
 
 def linked(sets: list[np.ndarray], join: Join) -> list[int]:
     """For each set the index of the first set it is connected with by links among ``sets``."""
-    sizes = [len(s) for s in sets]
-    if not sizes:
+    if not sets:
         return []
-    _, ranks, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    sizes = np.array([len(s) for s in sets])
+    _, tokens, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    # Places in each set by rising count; a prefix n-gram of one set only ties nothing.
+    order = np.lexsort((tokens, counts[tokens], owner))
+    place = np.arange(len(tokens)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    prefix = np.array([join.prefix(n) for n in sizes])
+    keep = order[(place < prefix[owner]) & (counts[tokens[order]] > 1)]
+    at, new = _runs(tokens[keep], sizes[owner[keep]], join)
+    inside = np.flatnonzero(~new)
+    ties = np.stack([owner[keep[at[inside - 1]]], owner[keep[at[inside]]]], axis=1)
+    cluster = forest(len(sets), np.unique(ties, axis=0))
     # Common n-grams first: neighbours in the trie then share long paths.
-    place = np.empty(len(counts), np.int64)
-    place[np.argsort(-counts, kind="stable")] = np.arange(len(counts))
-    ranks = place[ranks]
-    trie = Trie(join, sizes, len(counts))
+    rank = np.empty(len(counts), np.int64)
+    rank[np.argsort(-counts, kind="stable")] = np.arange(len(counts))
     ends = np.cumsum(sizes)
+    out = np.arange(len(sets))
+    for members in _groups(cluster):
+        if len(members) > 1:
+            own = [rank[tokens[ends[x] - sizes[x] : ends[x]]] for x in members]
+            for k, first in enumerate(_join_by_trie(own, join)):
+                out[members[k]] = members[first]
+    return out.tolist()
+
+
+def _groups(labels: np.ndarray) -> list[np.ndarray]:
+    order = np.argsort(labels, kind="stable")
+    cuts = np.flatnonzero(labels[order][1:] != labels[order][:-1]) + 1
+    return np.split(order, cuts)
+
+
+def _join_by_trie(sets: list[np.ndarray], join: Join) -> list[int]:
+    """As ``linked``, for sets of ranks: every set meets those before it, smaller ones first."""
+    used = np.unique(np.concatenate(sets))
+    sizes = [len(s) for s in sets]
+    trie = Trie(join, sizes, len(used))
     for x in sorted(range(len(sets)), key=lambda i: sizes[i]):
-        own = np.sort(ranks[ends[x] - sizes[x] : ends[x]])
+        own = np.sort(np.searchsorted(used, sets[x]))
         trie.probe(x, own)
         trie.insert(x, own)
     return [trie.find(x) for x in range(len(sets))]
@@ -302,8 +399,9 @@ def similar_groups(docs: DataFrame, join: Join = Join()) -> DataFrame:
     """
     first = written(_first(docs, join), "grams")
     rows = first.filter("chunk is null").select("doc_id", "n_shingles", "digest", "sid")
-    sketch = docs.sparkSession.sparkContext.broadcast(_sketch(first.filter("chunk is not null")))
-    clusters = components(written(_ties(docs, sketch, join), "ties"))
+    sketch = _sketch(first.filter("chunk is not null"))
+    order = docs.sparkSession.sparkContext.broadcast(Order(sketch[:SLOTS], sketch[SLOTS:]))
+    clusters = components(written(_ties(docs, order, join), "ties"))
     classes = (
         rows.filter("digest is not null and doc_id is not null")
         .groupBy("digest")
