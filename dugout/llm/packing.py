@@ -23,6 +23,8 @@ rows are packed each; an empty table gives an empty table; other columns are dro
 from __future__ import annotations
 
 import bisect
+import re
+import struct
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -34,18 +36,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dugout.llm.common import numbered, written
+from dugout.llm.token_counts import byte_names
 
 GROUPS = 1024
 SMALL = 3  # a piece is small if that many fit into one sequence
 BLOCKS = 256
-KEPT_WORDS = 150_000
+KEPT_WORDS = 300_000
+# Letters and then marks, both maybe missing. An apostrophe or an angle bracket may start more.
+SIMPLE = re.compile(r"([^\W\d_]*)([!\"#$%&()*+,\-./:;=?@\[\\\]^_`{|}~]+)")
+LATIN_END = "\u0250"
 
 
 class _Ids(dict):
-    """Token ids of words between white space, as bytes; forgotten when too many.
+    """Token ids of words between white space, as bytes; two generations of words are kept.
 
     The tokenizer drops white space and never joins anything across it, so the ids of a text
-    are those of its words.
+    are those of its words. Words of Latin letters, with marks after them or not, are one or two
+    pieces of its split pattern and go straight to its model; others go through all of it.
     """
 
     def __init__(self, path: str):
@@ -53,14 +60,49 @@ class _Ids(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        self.old: dict[bytes, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+        self.names = {b: c for c, b in byte_names().items()}
 
     def __missing__(self, word: bytes) -> bytes:
-        if len(self) > KEPT_WORDS:
+        ids = self.old.get(word)
+        if ids is None:
+            ids = self._word(word.decode())
+        if len(self) >= KEPT_WORDS:
+            self.old = dict(self)
             self.clear()
-        found = self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
-        ids = self[word] = np.array(found, "<u4").tobytes()
+        self[word] = ids
         return ids
 
+    def _word(self, word: str) -> bytes:
+        if word.isalpha():
+            ids = self._letters(word)
+        elif (parts := SIMPLE.fullmatch(word)) and (not parts[1] or parts[1].isalpha()):
+            ids = self._letters(parts[1]) if parts[1] else b""
+            ids = None if ids is None else ids + self._piece(parts[2])
+        else:
+            ids = None
+        return self._bytes(self.tokenizer.encode(word, add_special_tokens=False).ids) if ids is None else ids
+
+    def _letters(self, word: str) -> bytes | None:
+        """Ids of a word of Latin letters, which are in normal form; None for others."""
+        low = word.lower()
+        return self._piece(low) if max(word) < LATIN_END and low.isalpha() else None
+
+    def _piece(self, piece: str) -> bytes:
+        ids = self.pieces.get(piece)
+        if ids is None:
+            if len(self.pieces) >= KEPT_WORDS:
+                self.pieces.clear()
+            spelled = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.names)
+            ids = self.pieces[piece] = self._bytes([t.id for t in self.model.tokenize(spelled)])
+        return ids
+
+    @staticmethod
+    def _bytes(ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}I", *ids)
+
     def text(self, text: str) -> bytes:
         return b"".join(map(self.__getitem__, text.encode().split()))
 
