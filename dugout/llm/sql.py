@@ -11,9 +11,7 @@ bits AS (SELECT range AS i, range::UBIGINT AS c, 0 AS step FROM range(256)
   UNION ALL SELECT i, CASE WHEN c & 1 = 1 THEN xor(3988292384::UBIGINT, c >> 1) ELSE c >> 1 END, step + 1 FROM bits WHERE step < 8),
 crc AS (SELECT list(c ORDER BY i) AS t FROM bits WHERE step = 8),
 held AS (SELECT doc_id, coalesce(doc_id, 0)::HUGEINT AS k, hex(encode(coalesce(text, ''))) AS h FROM documents),
-bytes AS (SELECT doc_id, k, length(h) // 2 AS n,
-  list_transform(range(1, length(h), 2), lambda i: (strpos('0123456789ABCDEF', h[i]) * 16 + strpos('0123456789ABCDEF', h[i + 1]) - 17)::UBIGINT) AS b
-  FROM held),
+bytes AS (SELECT doc_id, k, length(h) // 2 AS n, list_transform(regexp_extract_all(h, '..'), lambda x: ('0x' || x)::UBIGINT) AS b FROM held),
 sized AS (SELECT doc_id, k, n + 16 AS size,
   xor(4294967295::UBIGINT, list_reduce(list_prepend(4294967295::UBIGINT, b),
     lambda c, x: xor(c >> 8, t[(xor(c, x) & 255)::INTEGER + 1]))) AS text_crc32 FROM bytes, crc),
@@ -44,8 +42,23 @@ reach AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l
 SELECT c.doc_id, coalesce(s.n, 0) AS n_shingles, least(c.doc_id, coalesce(min(r.b), c.doc_id)) AS component_id
 FROM cut c LEFT JOIN sizes s ON s.doc_id = c.doc_id LEFT JOIN reach r ON r.a = c.doc_id GROUP BY c.doc_id, s.n"""
 
+# All pairs; the operator finds a pair at the limit with probability 0.999.
+OP8 = """
+WITH RECURSIVE
+held AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE len(embedding) > 0 AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))
+    AND list_bool_or(list_transform(embedding, lambda x: x <> 0))),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM held a JOIN held b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.95),
+counts AS (SELECT a, count(*) AS n FROM links GROUP BY 1),
+reach AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+found AS (SELECT e.vec_id, coalesce(max(c.n), 0)::BIGINT AS n_links, least(e.vec_id, coalesce(min(r.b), e.vec_id)) AS component_id
+  FROM embeddings e LEFT JOIN counts c ON c.a = e.vec_id LEFT JOIN reach r ON r.a = e.vec_id GROUP BY 1)
+SELECT *, vec_id = component_id AS kept FROM found"""
+
 SQL = {
     "op3_license_scan": licenses.scan_sql(),
     "op5_jump_sharding": OP5,
     "op7_ngram_jaccard_join": OP7,
+    "op8_embedding_near_dedup": OP8,
 }
