@@ -45,6 +45,7 @@ CHUNK = 1 << 16
 FOLD = 256
 CLUSTER = 3000
 KEPT_WORDS = 200_000
+MARKS = 1 << 24
 _MIX = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB], np.uint64)
 
 
@@ -391,6 +392,26 @@ def _walk(join: Join):
     return work
 
 
+def _likely(docs: DataFrame, asked: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose id may be in ``asked``, so that few other texts are shuffled.
+
+    A bit per hashed id, ``MARKS`` of them: the broadcast table holds 2 MB at most, whatever the
+    size of ``asked``. With very many ids asked for, all rows pass.
+    """
+
+    def mark(c):
+        return F.pmod(F.xxhash64(c), F.lit(MARKS))
+
+    bits = asked.groupBy(F.bitmap_bucket_number(mark("rep")).alias("_bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(mark("rep"))).alias("_bits")
+    )
+    at = F.bitmap_bit_position(mark("doc_id"))
+    byte = F.conv(F.hex(F.substring("_bits", F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    marked = F.floor(byte / F.pow(F.lit(2), at % 8)) % 2 == 1
+    joined = docs.join(F.broadcast(bits), F.bitmap_bucket_number(mark("doc_id")) == F.col("_bucket"))
+    return joined.filter(marked).select(*docs.columns)
+
+
 def similar_groups(docs: DataFrame, join: Join = Join()) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id.
 
@@ -416,14 +437,16 @@ def similar_groups(docs: DataFrame, join: Join = Join()) -> DataFrame:
             own = [shingles(t, join.words) for t in batch["_text"]]
             out = batch.drop(columns="_text").reset_index(drop=True)
             out["grams"] = [g.tobytes() for g in own]
-            # Of rows that share the id, only those with the class's text.
-            yield out[[_sid(g) for g in own] == out["sid"]]
+            # Of rows that share the id, one with the class's text.
+            out = out[[_sid(g) for g in own] == out["sid"]]
+            yield out.drop_duplicates(["rep", "sid"])
 
-    texts = docs.select("doc_id", F.col("text").alias("_text")).join(asked, F.col("doc_id") == F.col("rep"))
+    texts = _likely(docs.select("doc_id", F.col("text").alias("_text")), asked).join(
+        asked, F.col("doc_id") == F.col("rep")
+    )
     members = (
         texts.select("rep", "sid", "cluster", "_text")
         .mapInPandas(sets, "rep long, sid long, cluster long, grams binary")
-        .dropDuplicates(["rep", "sid"])
         .join(slices, "cluster")
         .withColumn("_slot", F.pmod(F.xxhash64("rep"), F.col("slices")).cast("int"))
         .withColumn("_with", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
