@@ -382,10 +382,11 @@ def _walk(join: Join):
     def work(frame: pd.DataFrame) -> Iterator[pd.DataFrame]:
         edges = []
         for _, own in frame.groupby(["cluster", "left", "right"], sort=False):
-            ids = own["rep"].to_numpy()
-            order = np.argsort(ids, kind="stable")
-            ids = ids[order]
-            sets = [np.frombuffer(own["grams"].iat[i], np.uint64) for i in order]
+            own = own.drop_duplicates(["rep", "sid", "_text"]).sort_values("rep", kind="stable")
+            sets = [shingles(t, join.words) for t in own["_text"]]
+            # Of rows that share the id, those with the class's text.
+            fit = [_sid(g) == sid for g, sid in zip(sets, own["sid"], strict=True)]
+            ids, sets = own["rep"].to_numpy()[fit], [g for g, ok in zip(sets, fit, strict=True) if ok]
             edges += [(ids[root], ids[x]) for x, root in enumerate(linked(sets, join)) if root != x]
         yield pd.DataFrame(edges, columns=["a", "b"], dtype="int64")
 
@@ -431,27 +432,15 @@ def similar_groups(docs: DataFrame, join: Join = Join()) -> DataFrame:
     asked = classes.join(clusters.select(F.col("node").alias("sid"), F.col("component").alias("cluster")), "sid")
     asked = written(asked.select("rep", "sid", "cluster"), "clusters")
     slices = asked.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / CLUSTER).cast("int").alias("slices"))
-
-    def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            own = [shingles(t, join.words) for t in batch["_text"]]
-            out = batch.drop(columns="_text").reset_index(drop=True)
-            out["grams"] = [g.tobytes() for g in own]
-            # Of rows that share the id, one with the class's text.
-            out = out[[_sid(g) for g in own] == out["sid"]]
-            yield out.drop_duplicates(["rep", "sid"])
-
-    texts = _likely(docs.select("doc_id", F.col("text").alias("_text")), asked).join(
-        asked, F.col("doc_id") == F.col("rep")
-    )
+    sliced = asked.join(slices, "cluster").withColumn("_slot", F.pmod(F.xxhash64("rep"), F.col("slices")).cast("int"))
+    # Who is asked for grows with the documents, so the join is a merge at every size. Texts
+    # travel, not sets: they compress better than hashes.
     members = (
-        texts.select("rep", "sid", "cluster", "_text")
-        .mapInPandas(sets, "rep long, sid long, cluster long, grams binary")
-        .join(slices, "cluster")
-        .withColumn("_slot", F.pmod(F.xxhash64("rep"), F.col("slices")).cast("int"))
+        _likely(docs.select("doc_id", F.col("text").alias("_text")), asked)
+        .join(sliced.hint("merge"), F.col("doc_id") == F.col("rep"))
         .withColumn("_with", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
         .withColumns({"left": F.least("_slot", "_with"), "right": F.greatest("_slot", "_with")})
-        .select("cluster", "left", "right", "rep", "grams")
+        .select("cluster", "left", "right", "rep", "sid", "_text")
     )
     edges = in_groups(members, ["cluster", "left", "right"], _walk(join), "a long, b long")
     nodes = components(edges)
