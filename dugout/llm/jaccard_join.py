@@ -40,7 +40,8 @@ from pyspark.sql import functions as F
 from dugout.llm.common import written
 from dugout.llm.components import components, forest, in_groups
 
-SLOTS = 1 << 21
+WORD_SLOTS = 1 << 21
+SLOTS = 1 << 23
 CHUNK = 1 << 16
 FOLD = 256
 CLUSTER = 3000
@@ -104,9 +105,9 @@ def distinct(grams: np.ndarray) -> np.ndarray:
     return grams[np.append(True, grams[1:] != grams[:-1])] if len(grams) else grams
 
 
-def slot(hashes: np.ndarray) -> np.ndarray:
+def slot(hashes: np.ndarray, slots: int = SLOTS) -> np.ndarray:
     """Places in a sketch."""
-    return (hashes & np.uint64(SLOTS - 1)).view(np.int64)
+    return (hashes & np.uint64(slots - 1)).view(np.int64)
 
 
 def shingles(text: str | None, n: int) -> np.ndarray:
@@ -120,9 +121,10 @@ class Order:
 
     def __init__(self, words: np.ndarray, grams: np.ndarray):
         self.rarity = (16 * np.log2(words + 1.0)).astype(np.int32)
-        # What a slot holds by chance; twice that is heavy, and each doubling is heavier.
-        usual = max(2 * float(grams.sum()) / SLOTS, 8)
-        self.heavy = np.maximum(np.floor(np.log2(np.maximum(grams, 1) / usual)) + 1, 0).astype(np.int32) << 16
+        # What a slot holds by chance, four deviations wide; more is heavy, and each doubling heavier.
+        usual = float(grams.sum()) / SLOTS
+        usual += 4 * usual**0.5 + 2
+        self.heavy = np.maximum(np.floor(np.log2(np.maximum(grams, 1) / usual)) + 1, 0).astype(np.int8)
 
     def first(self, h: np.ndarray, join: Join) -> tuple[np.ndarray, np.ndarray]:
         """The set of these words' n-grams, and its prefix."""
@@ -131,9 +133,10 @@ class Order:
         grams = grams[at]
         once = np.append(True, grams[1:] != grams[:-1])
         grams, at = grams[once], at[once]
-        rare = self.rarity[slot(h)]
+        rare = self.rarity[slot(h, WORD_SLOTS)]
         take = min(join.words, len(h))
-        score = sum(rare[k : len(h) - take + 1 + k] for k in range(take))[at] + self.heavy[slot(grams)]
+        score = sum(rare[k : len(h) - take + 1 + k] for k in range(take))[at] 
+        score = score + (self.heavy[slot(grams)].astype(np.int32) << 16)
         # grams are in hash order, and a stable sort keeps it among equals.
         return grams, grams[np.argsort(score, kind="stable")[: join.prefix(len(grams))]]
 
@@ -145,27 +148,29 @@ def _sid(grams: np.ndarray) -> int:
 
 def _first(docs: DataFrame, join: Join) -> DataFrame:
     """Rows of documents (doc_id, n_shingles, digest, sid) and, per task, the chunks of its sketches:
-    words in the first half, n-grams in the second."""
+    words first, then n-grams."""
     names = ["doc_id", "n_shingles", "digest", "sid", "chunk", "task", "counts"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counts = np.zeros(2 * SLOTS, np.uint32)
+        counts = np.zeros(WORD_SLOTS + SLOTS, np.uint32)
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
                 h = word_hashes(text)
                 grams = distinct(windows(h, join.words)) if len(h) else h
-                np.add.at(counts[:SLOTS], slot(h), np.uint32(1))
-                np.add.at(counts[SLOTS:], slot(grams), np.uint32(1))
+                np.add.at(counts[:WORD_SLOTS], slot(h, WORD_SLOTS), np.uint32(1))
+                np.add.at(counts[WORD_SLOTS:], slot(grams), np.uint32(1))
                 digest = hashlib.blake2b(grams.tobytes(), digest_size=16).digest() if len(grams) else None
                 rows.append((doc_id, len(grams), digest, _sid(grams), None, None, None))
             out = pd.DataFrame(rows, columns=names)
             out["doc_id"] = out["doc_id"].astype("Int64")
             yield out
         task = TaskContext.get().partitionId()
-        chunks = range(0, 2 * SLOTS, CHUNK) if counts.any() else ()
-        sketch = [(None, None, None, None, at // CHUNK, task, zlib.compress(counts[at : at + CHUNK].tobytes(), 1)) for at in chunks]
-        yield pd.DataFrame(sketch, columns=names)
+        for at in range(0, len(counts), CHUNK):
+            part = counts[at : at + CHUNK]
+            if part.any():
+                packed = zlib.compress(part.tobytes(), 1)
+                yield pd.DataFrame([(None, None, None, None, at // CHUNK, task, packed)], columns=names)
 
     schema = "doc_id long, n_shingles long, digest binary, sid long, chunk int, task int, counts binary"
     return docs.select("doc_id", "text").mapInPandas(run, schema)
@@ -186,7 +191,7 @@ def _sketch(parts: DataFrame) -> np.ndarray:
     folded = parts.select("chunk", (F.col("task") % FOLD).alias("fold"), "counts")
     once = in_groups(folded, ["chunk", "fold"], work, schema)
     twice = in_groups(once.withColumn("fold", F.lit(0)), ["chunk", "fold"], work, schema)
-    sketch = np.zeros(2 * SLOTS, np.uint32)
+    sketch = np.zeros(WORD_SLOTS + SLOTS, np.uint32)
     for row in twice.collect():
         sketch[row["chunk"] * CHUNK : (row["chunk"] + 1) * CHUNK] = np.frombuffer(zlib.decompress(row["counts"]), np.uint32)
     return sketch
@@ -422,7 +427,7 @@ def similar_groups(docs: DataFrame, join: Join = Join()) -> DataFrame:
     first = written(_first(docs, join), "grams")
     rows = first.filter("chunk is null").select("doc_id", "n_shingles", "digest", "sid")
     sketch = _sketch(first.filter("chunk is not null"))
-    order = docs.sparkSession.sparkContext.broadcast(Order(sketch[:SLOTS], sketch[SLOTS:]))
+    order = docs.sparkSession.sparkContext.broadcast(Order(sketch[:WORD_SLOTS], sketch[WORD_SLOTS:]))
     clusters = components(written(_ties(docs, order, join), "ties"))
     classes = (
         rows.filter("digest is not null and doc_id is not null")
