@@ -13,8 +13,8 @@
    either side, and subtrees already connected to it.
 4. Links connect classes; components of the links are the result.
 
-Clusters over ``CLUSTER`` sets are cut into slices and every two slices meet in a task of their
-own: no cluster is capped or held whole. A hot n-gram is combined batch by batch before the
+Clusters over ``CLUSTER`` sets are cut into bands of sizes, and bands that are still over it into
+slices, every two of which meet in a task of their own: no cluster is capped or held whole. A hot n-gram is combined batch by batch before the
 shuffle, so it is a few rows per task.
 
 Defined results: NULL and empty texts, and texts without words, have the empty set and link
@@ -26,6 +26,7 @@ table gives no rows; other columns play no part.
 from __future__ import annotations
 
 import hashlib
+import math
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -382,11 +383,11 @@ def _join_by_trie(sets: list[np.ndarray], join: Join) -> list[int]:
 
 
 def _walk(join: Join):
-    """Work on whole (cluster, left, right) groups: one edge per set linked to a smaller id."""
+    """Work on whole (cluster, band, left, right) groups: one edge per set linked to a smaller id."""
 
     def work(frame: pd.DataFrame) -> Iterator[pd.DataFrame]:
         edges = []
-        for _, own in frame.groupby(["cluster", "left", "right"], sort=False):
+        for _, own in frame.groupby(["cluster", "band", "left", "right"], sort=False):
             own = own.drop_duplicates(["rep", "sid", "_text"]).sort_values("rep", kind="stable")
             sets = [shingles(t, join.words) for t in own["_text"]]
             # Of rows that share the id, those with the class's text.
@@ -418,6 +419,24 @@ def _likely(docs: DataFrame, asked: DataFrame) -> DataFrame:
     return joined.filter(marked).select(*docs.columns)
 
 
+def _sliced(asked: DataFrame, join: Join) -> DataFrame:
+    """Adds to sets (rep, size, cluster) their band, slice number and number of slices.
+
+    A cluster over ``CLUSTER`` sets is cut by size first: a band holds two neighbouring classes
+    of sizes, and sets that may link are in one class or in two neighbouring ones, so every set
+    is in two bands and every link within one. A band that is still too large is cut into slices.
+    """
+    small = asked.groupBy("cluster").agg((F.count(F.lit(1)) <= CLUSTER).alias("_small"))
+    # Classes a little wider than the sizes that fit, so that rounding cannot part them.
+    step = F.log(F.col("size")) / math.log(100 / (join.percent - 1))
+    own = F.floor(step).cast("int")
+    bands = F.when(F.col("_small"), F.array(F.lit(0))).otherwise(F.array(own - 1, own))
+    banded = asked.join(small, "cluster").withColumn("band", F.explode(bands)).drop("_small")
+    slices = banded.groupBy("cluster", "band").agg(F.ceil(F.count(F.lit(1)) / CLUSTER).cast("int").alias("slices"))
+    slot = F.pmod(F.xxhash64("rep"), F.col("slices")).cast("int")
+    return banded.join(slices, ["cluster", "band"]).withColumn("_slot", slot)
+
+
 def similar_groups(docs: DataFrame, join: Join = Join()) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id.
 
@@ -432,12 +451,11 @@ def similar_groups(docs: DataFrame, join: Join = Join()) -> DataFrame:
     classes = (
         rows.filter("digest is not null and doc_id is not null")
         .groupBy("digest")
-        .agg(F.min("doc_id").alias("rep"), F.min("sid").alias("sid"))
+        .agg(F.min("doc_id").alias("rep"), F.min("sid").alias("sid"), F.min("n_shingles").alias("size"))
     )
     asked = classes.join(clusters.select(F.col("node").alias("sid"), F.col("component").alias("cluster")), "sid")
-    asked = written(asked.select("rep", "sid", "cluster"), "clusters")
-    slices = asked.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / CLUSTER).cast("int").alias("slices"))
-    sliced = asked.join(slices, "cluster").withColumn("_slot", F.pmod(F.xxhash64("rep"), F.col("slices")).cast("int"))
+    asked = written(asked.select("rep", "sid", "size", "cluster"), "clusters")
+    sliced = _sliced(asked, join)
     # Who is asked for grows with the documents, so the join is a merge at every size. Texts
     # travel, not sets: they compress better than hashes.
     members = (
@@ -445,9 +463,9 @@ def similar_groups(docs: DataFrame, join: Join = Join()) -> DataFrame:
         .join(sliced.hint("merge"), F.col("doc_id") == F.col("rep"))
         .withColumn("_with", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
         .withColumns({"left": F.least("_slot", "_with"), "right": F.greatest("_slot", "_with")})
-        .select("cluster", "left", "right", "rep", "sid", "_text")
+        .select("cluster", "band", "left", "right", "rep", "sid", "_text")
     )
-    edges = in_groups(members, ["cluster", "left", "right"], _walk(join), "a long, b long")
+    edges = in_groups(members, ["cluster", "band", "left", "right"], _walk(join), "a long, b long")
     nodes = components(edges)
     reached = (
         classes.join(nodes, F.col("rep") == F.col("node"), "left")
