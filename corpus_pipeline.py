@@ -15,6 +15,9 @@ from dugout.llm import jaccard_join, language, mixing, packing, quality
 from dugout.llm.common import written
 from dugout.llm.queries import SEQUENCE, documents, vocabulary
 
+# Near copies share four fifths of their n-grams of five words.
+NEAR = jaccard_join.Join(words=5, percent=80)
+
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is known: rejected ones go."""
@@ -27,8 +30,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of similar ones."""
-    return jaccard_join.keep_one(docs)
+    """One document of each group of similar ones, by the rule for stages: wider than the op 7 query's."""
+    return jaccard_join.keep_one(docs, NEAR)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

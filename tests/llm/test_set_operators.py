@@ -360,3 +360,23 @@ def test_pipeline_stages_on_odd_rows(spark, odd, none, small):
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, odd, small).count() >= 0
         assert stage(spark, none, small).count() == 0
+
+
+def test_near_copies_stage_against_brute_force(spark, small):
+    rng, texts = random.Random(7), []
+    for group, (n, block) in enumerate([(200, 13), (200, 15), (200, 17), (200, 18), (200, 22), (1000, 0)]):
+        base = [f"w{group}x{i}" for i in range(n)]
+        copy = list(base)
+        for at in range(60, 60 + block) if block else range(20, 20 + 45 * 21, 45):
+            copy[at] = f"new{group}x{rng.random()}"
+        texts += [" ".join(base), " ".join(copy)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r["doc_id"] for r in corpus_pipeline.near_copies(spark, df, small).collect()}
+
+    def alike(n, percent):
+        sets = [shingle_set(t, n) for t in texts]
+        return {(a, b) for b in range(len(texts)) for a in range(b) if 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])}
+
+    want = roots(range(len(texts)), alike(5, 80))
+    assert got == {i for i, root in want.items() if i == root}
+    assert len(alike(5, 80) - alike(4, 85)) >= 3 and not alike(4, 85) - alike(5, 80)
