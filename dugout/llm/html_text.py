@@ -4,8 +4,9 @@ The markup is read once. Every block element gives a line; what lies in scripts,
 navigation, asides, notices, adverts, comments of readers and the like is a line without
 text, and text in links weighs nothing. The weights of ``WINDOW`` lines in a row are summed. Main
 text starts at a surge, where a sum rises over the limit, and ends at a dive, where the
-sums fall to nothing; the stretch with the most text is kept, with others that come near it. An
-``article`` or ``main`` element, where there is one, bounds the lines that count.
+sums fall to nothing; the stretch with the most text is kept, with others that come near it. All
+of every ``article`` or ``main`` that is not left out is main text, one inside another being part of the
+outermost; stretches outside them are kept if they come near the text inside or the largest stretch.
 
 Defined results: NULL and empty pages, and pages without text, give ''; unclosed elements run
 to the end of what holds them; broken tags are text; equal pages give equal texts; rows keep their other
@@ -60,14 +61,29 @@ _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 _SPACE = re.compile(r"\s+")
 
 
+REGIONS = ("article", "main")
+
+
+@dataclass
+class Element:
+    """An element, the place of the one around it or -1, and whether its lines are left out or in a region."""
+
+    parent: int
+    name: str
+    aside: bool
+    out: bool = False
+    region: bool = False
+
+
 @dataclass
 class Line:
-    """A block's text, what of it is in links, whether it is left out, its article or main."""
+    """A block's text, what of it is in links, its innermost element or -1, whether it is left out or in a region."""
 
     text: str
     links: int
-    out: bool
-    region: int
+    at: int
+    out: bool = False
+    region: bool = False
 
     @property
     def weight(self) -> int:
@@ -78,7 +94,7 @@ def is_aside(name: str, attrs: str, in_article: bool) -> bool:
     """Whether an element's name or attributes mark it as not main text."""
     if name in SKIPPED or (name == "header" and not in_article):
         return True
-    if not attrs or name in ("html", "body", "article", "main"):
+    if not attrs or name in ("html", "body", "main") or (name == "article" and not in_article):
         return False
     if _BARE.search(re.sub(r""""[^"]*"|'[^']*'""", "", attrs)):
         return True
@@ -103,14 +119,10 @@ class _Reader:
 
     def __init__(self) -> None:
         self.lines: list[Line] = []
-        self.open: list[tuple[str, bool]] = []  # name, whether it is left out
+        self.elements: list[Element] = []
+        self.open: list[tuple[str, int]] = []  # name, place in elements
         self.parts: list[str] = []
         self.links = 0
-        self.regions: list[tuple[int, int]] = []  # depth, number
-        self.n_regions = 0
-
-    def out(self) -> bool:
-        return any(out for _, out in self.open)
 
     def add(self, raw: str) -> None:
         text = html.unescape(raw)
@@ -120,8 +132,7 @@ class _Reader:
 
     def flush(self) -> None:
         text = _SPACE.sub(" ", "".join(self.parts)).strip()
-        region = self.regions[-1][1] if self.regions else 0
-        self.lines.append(Line(text, min(self.links, len(text)), self.out(), region))
+        self.lines.append(Line(text, min(self.links, len(text)), self.open[-1][1] if self.open else -1))
         self.parts, self.links = [], 0
 
     def start(self, name: str, attrs: str) -> None:
@@ -129,11 +140,9 @@ class _Reader:
             self.end("p")
         if name in ("li", "option", "tr", "td", "th", "dd", "dt") and self.open and self.open[-1][0] == name:
             self.end(name)
-        if name in ("article", "main") and not self.out():
-            if not self.regions or name == "article":
-                self.n_regions += 1
-                self.regions.append((len(self.open), self.n_regions))
-        self.open.append((name, is_aside(name, attrs, bool(self.regions))))
+        around = any(n in REGIONS for n, _ in self.open)
+        self.elements.append(Element(self.open[-1][1] if self.open else -1, name, is_aside(name, attrs, around)))
+        self.open.append((name, len(self.elements) - 1))
 
     def end(self, name: str) -> None:
         for at in range(len(self.open) - 1, -1, -1):
@@ -141,10 +150,19 @@ class _Reader:
                 if any(n in BLOCK for n, _ in self.open[at:]) and self.parts:
                     self.flush()
                 del self.open[at:]
-                while self.regions and self.regions[-1][0] >= at:
-                    self.regions.pop()
                 return
 
+    def settle(self) -> list[Line]:
+        """The lines, told what the elements around them make of them."""
+        for x in self.elements:
+            up = self.elements[x.parent] if x.parent >= 0 else None
+            x.out = x.aside or (up is not None and up.out)
+            x.region = not x.out and (x.name in REGIONS or (up is not None and up.region))
+        for line in self.lines:
+            if line.at >= 0:
+                line.out, line.region = self.elements[line.at].out, self.elements[line.at].region
+        return self.lines
+
     def read(self, page: str) -> list[Line]:
         at, n = 0, len(page)
         while at < n:
@@ -178,7 +196,7 @@ class _Reader:
             elif name not in VOID and name not in BLOCK:
                 self.start(name, attrs[:-1])
         self.flush()
-        return self.lines
+        return self.settle()
 
 
 def _stretches(weights: list[int]) -> list[tuple[int, int]]:
@@ -202,24 +220,13 @@ def main_text(page: str | None) -> str:
     if not page:
         return ""
     lines = _Reader().read(page)
-    sizes: dict[int, int] = {}
-    for line in lines:
-        if not line.out:
-            sizes[line.region] = sizes.get(line.region, 0) + len(line.text)
-    inside = {r: size for r, size in sizes.items() if r and size}
-    if inside:
-        # All of the largest article or main element is main text, however its lines weigh.
-        best = max(inside, key=lambda r: (inside[r], -r))
-        weights = [len(x.text) if x.region == best and not x.out else 0 for x in lines]
-        first, end = (f(i for i, w in enumerate(weights) if w) for f in (min, max))
-        chosen = [(first, end + 1)]
-        lines = [x if x.region == best else Line("", 0, True, 0) for x in lines]
-    else:
-        weights = [line.weight for line in lines]
-        found = _stretches(weights)
-        most = max((sum(weights[a:b]) for a, b in found), default=0)
-        chosen = [(a, b) for a, b in found if sum(weights[a:b]) >= NEAR * most]
-    return "\n\n".join(x.text for a, b in chosen for x in lines[a:b] if x.text and not x.out)
+    inside = sum(len(x.text) for x in lines if x.region)
+    weights = [0 if x.region else x.weight for x in lines]
+    found = _stretches(weights)
+    most = max([inside, *(sum(weights[a:b]) for a, b in found)])
+    chosen = {i for i, x in enumerate(lines) if x.region}
+    chosen.update(i for a, b in found if sum(weights[a:b]) >= NEAR * most for i in range(a, b))
+    return "\n\n".join(x.text for i, x in enumerate(lines) if i in chosen and x.text and not x.out)
 
 
 def extract(pages: DataFrame, columns: Sequence[str] = ("page_id", "url")) -> DataFrame:

@@ -185,6 +185,21 @@ def test_main_text_without_an_article():
     assert got.count("Long text") == 6 and "Menu" not in got and got.startswith("Title")
 
 
+SOME = "Some text of the page, which goes on for a while and says a thing or two. "
+
+
+def test_main_text_of_several_regions():
+    nested = f"<main><h1>T</h1><p>lead</p><article><p>{SOME * 3}</p></article></main>"
+    assert html_text.main_text(nested).split("\n\n") == ["T", "lead", (SOME * 3).strip()]
+    posts = "".join(f"<article><h2>{i}</h2><p>{SOME * i}</p></article>" for i in (1, 9, 2))
+    got = html_text.main_text(f"<body><nav>N</nav>{posts}<aside><article>{SOME}</article></aside></body>")
+    assert got.count("Some text") == 12 and got.startswith("1\n\n")
+    teaser = "<article><h3>Teaser</h3><p>Short.</p></article>"
+    assert html_text.main_text(f"<body><div><p>{SOME * 5}</p><p>{SOME * 5}</p></div>{teaser}</body>").count("Some text") == 10
+    comment = f"<article><p>{SOME}</p><article class='comment'><p>I object</p></article></article>"
+    assert html_text.main_text(comment) == SOME.strip()
+
+
 @pytest.mark.parametrize("page", [None, "", "<", "<p", "<!-- open", "<script>x", "<a href='", "</p></p>", "&am", "<p>&#x41;"])
 def test_broken_pages(page):
     assert html_text.main_text(page) in ("", "A", "&am", "<")
