@@ -1,10 +1,11 @@
 """Main text of web pages by the distribution of text over lines of blocks.
 
-The markup is read once. Every block element gives a line; what lies in scripts, styles, forms,
-navigation, asides, notices, adverts, comments of readers and the like is a line without
-text, and text in links weighs nothing. The weights of ``WINDOW`` lines in a row are summed. Main
+The markup is read once. Every block element with text gives a line; what lies in scripts, styles, forms,
+navigation, asides, notices, adverts, comments of readers and the like is left out and parts
+nothing, and text in links weighs nothing. The weights of ``WINDOW`` lines in a row are summed. Main
 text starts at a surge, where a sum rises over the limit, and ends at a dive, where the
-sums fall to nothing; the stretch with the most text is kept, with others that come near it. All
+sums fall to nothing. The stretch with the most text is kept, and with it, however short, what lies
+in the same block of the page; others are kept if they come near it. All
 of every ``article`` or ``main`` that is not left out is main text, one inside another being part of the
 outermost; stretches outside them are kept if they come near the text inside or the largest stretch.
 
@@ -36,6 +37,8 @@ BLOCK = frozenset(
     "footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol option p pre search "
     "section select summary table tbody td tfoot th thead tr ul".split()
 )
+# Blocks of running text, which pages without wrappers have in the body itself.
+FLOW = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre ul ol dl table figure hr".split())
 SKIPPED = frozenset(
     "nav footer aside form menu select button dialog search fieldset head audio video map label datalist".split()
 )
@@ -73,6 +76,7 @@ class Element:
     aside: bool
     out: bool = False
     region: bool = False
+    top: int = -1  # the outermost block below the body
 
 
 @dataclass
@@ -132,7 +136,8 @@ class _Reader:
 
     def flush(self) -> None:
         text = _SPACE.sub(" ", "".join(self.parts)).strip()
-        self.lines.append(Line(text, min(self.links, len(text)), self.open[-1][1] if self.open else -1))
+        if text:
+            self.lines.append(Line(text, min(self.links, len(text)), self.open[-1][1] if self.open else -1))
         self.parts, self.links = [], 0
 
     def start(self, name: str, attrs: str) -> None:
@@ -154,10 +159,11 @@ class _Reader:
 
     def settle(self) -> list[Line]:
         """The lines, told what the elements around them make of them."""
-        for x in self.elements:
+        for i, x in enumerate(self.elements):
             up = self.elements[x.parent] if x.parent >= 0 else None
             x.out = x.aside or (up is not None and up.out)
             x.region = not x.out and (x.name in REGIONS or (up is not None and up.region))
+            x.top = up.top if up is not None and up.top >= 0 else i if x.name in BLOCK - {"html", "body"} else -1
         for line in self.lines:
             if line.at >= 0:
                 line.out, line.region = self.elements[line.at].out, self.elements[line.at].region
@@ -199,34 +205,59 @@ class _Reader:
         return self.settle()
 
 
-def _stretches(weights: list[int]) -> list[tuple[int, int]]:
-    """(first, end) of lines from each surge to the dive after it."""
+def _stretches(weights: list[int]) -> list[tuple[int, int, int]]:
+    """(first, surge, end) of the lines between dives; the surge is at the end if there is none."""
     sums = [sum(weights[i : i + WINDOW]) for i in range(len(weights))]
     limit = min(SURGE, max(sums, default=0) / 2)
-    found, start = [], None
-    for i, total in enumerate(sums):
-        if start is None and weights[i] and total >= limit:
+    found, start, surge = [], None, None
+    for i, total in enumerate([*sums, 0]):
+        if start is None and total and weights[i]:
             start = i
+        if start is not None and surge is None and total >= limit and weights[i]:
+            surge = i
         if start is not None and not total:
-            found.append((start, i))
-            start = None
-    if start is not None:
-        found.append((start, len(weights)))
+            found.append((start, i if surge is None else surge, i))
+            start = surge = None
     return found
 
 
+def _chosen(lines: list[Line], elements: list[Element]) -> list[Line]:
+    """The lines of main text: all in regions, and what the distribution finds outside them."""
+    inside = sum(len(x.text) for x in lines if x.region)
+    shown = [x for x in lines if not x.out]
+    weights = [0 if x.region else x.weight for x in shown]
+    found = _stretches(weights)
+    size = [sum(weights[surge:end]) for _, surge, end in found]
+    most = max([inside, *size])
+    tops = [elements[x.at].top if x.at >= 0 else -1 for x in shown]
+    near = [False] * len(shown)
+    if found and max(size) == most and most:
+        # The block below the body that holds most of the largest stretch; else the flow of the body itself.
+        _, surge, end = found[size.index(most)]
+        share: dict[int, int] = {}
+        for i in range(surge, end):
+            share[tops[i]] = share.get(tops[i], 0) + weights[i]
+        box = max(share, key=share.get)
+        if 2 * share[box] > most and box >= 0 and elements[box].name not in FLOW:
+            near = [top == box for top in tops]
+        else:
+            box, near = -1, [top < 0 or elements[top].name in FLOW for top in tops]
+    else:
+        box = 0
+    keep = {i for i, x in enumerate(shown) if x.region}
+    for (first, surge, end), n in zip(found, size, strict=True):
+        keep.update(i for i in range(first, end) if near[i])
+        if n and (n >= NEAR * most or box < 0):
+            keep.update(range(surge, end))
+    return [x for i, x in enumerate(shown) if i in keep]
+
+
 def main_text(page: str | None) -> str:
     """The article of a page, its blocks joined by an empty line."""
     if not page:
         return ""
-    lines = _Reader().read(page)
-    inside = sum(len(x.text) for x in lines if x.region)
-    weights = [0 if x.region else x.weight for x in lines]
-    found = _stretches(weights)
-    most = max([inside, *(sum(weights[a:b]) for a, b in found)])
-    chosen = {i for i, x in enumerate(lines) if x.region}
-    chosen.update(i for a, b in found if sum(weights[a:b]) >= NEAR * most for i in range(a, b))
-    return "\n\n".join(x.text for i, x in enumerate(lines) if i in chosen and x.text and not x.out)
+    reader = _Reader()
+    return "\n\n".join(x.text for x in _chosen(reader.read(page), reader.elements))
 
 
 def extract(pages: DataFrame, columns: Sequence[str] = ("page_id", "url")) -> DataFrame:

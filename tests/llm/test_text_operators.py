@@ -200,6 +200,19 @@ def test_main_text_of_several_regions():
     assert html_text.main_text(comment) == SOME.strip()
 
 
+def test_main_text_of_sections():
+    section = "<div><div><h2>Head {0}</h2></div><div><p>Short {0}.</p></div></div><div><div class='ad'><p>Buy</p></div></div>"
+    long = f"<div><h2>Long</h2><blockquote><p>{SOME * 20}</p></blockquote></div>"
+    links = "<ul>" + "".join(f'<li><a href="{i}">Link number {i}</a></li>' for i in range(5)) + "</ul>"
+    table = "<table>" + "".join(f"<tr><td>cell</td><td>{i}</td></tr>" for i in range(4)) + "</table>"
+    parts = section.format(1) + section.format(2) + long + links + section.format(3) + table + "<div><p>The end.</p></div>"
+    want = ["Head 1", "Short 1.", "Head 2", "Short 2.", "Long", (SOME * 20).strip(), "Head 3", "Short 3."]
+    want += [x for i in range(4) for x in ("cell", str(i))] + ["The end."]
+    assert html_text.main_text(f"<body>{links}<div>{parts}</div>{links}</body>").split("\n\n") == want
+    flat = f"<body>{links}<h1>T</h1><p>{SOME * 9}</p>{links}<p>The end.</p>{links}<div>Made by us</div></body>"
+    assert html_text.main_text(flat).split("\n\n") == ["T", (SOME * 9).strip(), "The end."]
+
+
 @pytest.mark.parametrize("page", [None, "", "<", "<p", "<!-- open", "<script>x", "<a href='", "</p></p>", "&am", "<p>&#x41;"])
 def test_broken_pages(page):
     assert html_text.main_text(page) in ("", "A", "&am", "<")
