@@ -7,7 +7,8 @@ text starts at a surge, where a sum rises over the limit, and ends at a dive, wh
 sums fall to nothing. The stretch with the most text is kept, and with it, however short, what lies
 in the same block of the page; others are kept if they come near it. All
 of every ``article`` or ``main`` that is not left out is main text, one inside another being part of the
-outermost; stretches outside them are kept if they come near the text inside or the largest stretch.
+outermost; stretches outside them are kept if they come near the text inside or the largest stretch. A class, id or
+form marks nothing where the element holds most of the text of articles, or of a page without them.
 
 Defined results: NULL and empty pages, and pages without text, give ''; unclosed elements run
 to the end of what holds them; broken tags are text; equal pages give equal texts; rows keep their other
@@ -49,6 +50,19 @@ HINTS = frozenset(
     "paywall popup promo promoted promotion recommended related replies reply respond search share sharing sidebar "
     "signup skip social sponsor sponsored subscribe subscription tags toolbar topbar widget widgets".split()
 )
+# What these mark is never main text, however long.
+NEVER = frozenset(
+    "ad ads adv advert adverts advertisement advertisements adsense comment comments commentlist consent cookie cookies "
+    "disqus gdpr promo promoted promotion recommended related replies reply respond sponsor sponsored".split()
+)
+# Parts of an article have such names too.
+IN_ARTICLE = frozenset("banner copyright disclaimer header legal masthead notice notices overlay tags".split())
+# Places on a page: only as a whole name, not as a word of one.
+PLACES = frozenset("banner footer header menu modal nav navbar overlay popup sidebar toolbar topbar widget widgets".split())
+BESIDE = frozenset("left right top bottom primary secondary site page main global fixed sticky inner area box block".split())
+STATES = frozenset("has have no not with without show hide is".split())
+MAY_WRAP = frozenset("form fieldset header dialog".split())
+EMPTY = frozenset("svg math iframe".split())
 ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
 CLOSES_P = BLOCK - {"option"}
 
@@ -73,7 +87,9 @@ class Element:
 
     parent: int
     name: str
-    aside: bool
+    aside: int
+    size: int = 0  # characters in it that are in no link and not surely left out
+    held: int = 0  # those of them in articles
     out: bool = False
     region: bool = False
     top: int = -1  # the outermost block below the body
@@ -94,28 +110,50 @@ class Line:
         return 0 if self.out or 2 * self.links > len(self.text) else len(self.text) - self.links
 
 
-def is_aside(name: str, attrs: str, in_article: bool) -> bool:
-    """Whether an element's name or attributes mark it as not main text."""
+SURE, UNLESS_MAIN = 2, 1
+
+
+def _hint(value: str, in_article: bool) -> int:
+    """What a class or id says, name by name."""
+    found = 0
+    for name in value.split():
+        parts = [x for x in _PARTS.split(_CAMEL.sub(" ", name).lower()) if x]
+        if not parts or not STATES.isdisjoint(parts):
+            continue
+        hints = HINTS.intersection(parts)
+        if not {x for x in parts if not x.isdigit()} <= BESIDE | PLACES:
+            hints -= PLACES
+        if in_article:
+            hints -= IN_ARTICLE
+        if hints:
+            found = max(found, UNLESS_MAIN if NEVER.isdisjoint(hints) else SURE)
+    return found
+
+
+def is_aside(name: str, attrs: str, in_article: bool) -> int:
+    """Whether an element's name or attributes mark it as not main text: SURE, UNLESS_MAIN or 0."""
+    found = 0
     if name in SKIPPED or (name == "header" and not in_article):
-        return True
+        if name not in MAY_WRAP:
+            return SURE
+        found = UNLESS_MAIN
     if not attrs or name in ("html", "body", "main") or (name == "article" and not in_article):
-        return False
+        return found
     if _BARE.search(re.sub(r""""[^"]*"|'[^']*'""", "", attrs)):
-        return True
+        return SURE
     for key, a, b, c in _ATTR.findall(attrs):
         key, value = key.lower(), a or b or c
         if key in ("class", "id"):
-            if not HINTS.isdisjoint(_PARTS.split(_CAMEL.sub(" ", value).lower())):
-                return True
+            found = max(found, _hint(value, in_article))
         elif key == "role":
             if value.strip().lower() in ROLES:
-                return True
+                found = max(found, UNLESS_MAIN if value.strip().lower() in MAY_WRAP else SURE)
         elif key == "style":
             if "display:none" in value.replace(" ", "").lower():
-                return True
+                return SURE
         elif key == "aria-hidden" and value.strip().lower() == "true":
-            return True
-    return False
+            return SURE
+    return found
 
 
 class _Reader:
@@ -157,11 +195,30 @@ class _Reader:
                 del self.open[at:]
                 return
 
+    def weigh(self) -> None:
+        """Sums up the text of each element, what is surely left out aside."""
+        sure, within = [], []
+        for x in self.elements:
+            sure.append(x.aside == SURE or (x.parent >= 0 and sure[x.parent]))
+            within.append(x.name in REGIONS or (x.parent >= 0 and within[x.parent]))
+        for line in self.lines:
+            if line.at >= 0 and not sure[line.at]:
+                self.elements[line.at].size += len(line.text) - line.links
+                self.elements[line.at].held += (len(line.text) - line.links) * within[line.at]
+        for x in reversed(self.elements):
+            if x.parent >= 0:
+                self.elements[x.parent].size += x.size
+                self.elements[x.parent].held += x.held
+
     def settle(self) -> list[Line]:
         """The lines, told what the elements around them make of them."""
+        self.weigh()
+        size = sum(x.size for x in self.elements if x.parent < 0) + sum(len(x.text) - x.links for x in self.lines if x.at < 0)
+        held = sum(x.held for x in self.elements if x.parent < 0)
         for i, x in enumerate(self.elements):
             up = self.elements[x.parent] if x.parent >= 0 else None
-            x.out = x.aside or (up is not None and up.out)
+            is_main = 2 * x.held > held or (x.held == held and 2 * x.size > size)
+            x.out = x.aside == SURE or (x.aside > 0 and not is_main) or (up is not None and up.out)
             x.region = not x.out and (x.name in REGIONS or (up is not None and up.region))
             x.top = up.top if up is not None and up.top >= 0 else i if x.name in BLOCK - {"html", "body"} else -1
         for line in self.lines:
@@ -194,6 +251,8 @@ class _Reader:
                 self.flush()
                 if name == "body":
                     self.end("head")
+            if name in EMPTY and attrs.endswith("/"):
+                continue
             if name in RAW:
                 close = re.compile(rf"</{re.escape(name)}\s*>|\Z", re.I).search(page, at)
                 at = close.end()

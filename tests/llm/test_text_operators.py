@@ -213,6 +213,25 @@ def test_main_text_of_sections():
     assert html_text.main_text(flat).split("\n\n") == ["T", (SOME * 9).strip(), "The end."]
 
 
+@pytest.mark.parametrize("attrs", ["div class='content has-sidebar'", "div id='page' class='no-sidebar'", "div class=with-banner", "div class='content-sidebar-wrap'", "form", "div class='search'"])
+def test_wrappers_are_not_asides(attrs):
+    name = attrs.split()[0]
+    for text in (f"<p>{SOME * 9}</p>", f"<article><p>{SOME * 9}</p></article>"):
+        page = f"<body><{attrs}>{text}<div class='sidebar-left'>Side</div><div id=comments><p>{SOME * 99}</p></div></{name}></body>"
+        assert html_text.main_text(page) == (SOME * 9).strip()
+
+
+def test_named_parts_of_an_article():
+    parts = "".join(f"<div class='{c}'><p>{c}</p></div>" for c in ("article-header", "legal-text", "notice", "tags"))
+    page = f"<body><div class='notice'>Note</div><article>{parts}<p>{SOME}</p><div class='share'>Share</div></article></body>"
+    assert html_text.main_text(page) == "\n\n".join(["article-header", "legal-text", "notice", "tags", SOME.strip()])
+
+
+@pytest.mark.parametrize("tag", ["<svg class='icon'/>", "<iframe src='x' />", "<math/>"])
+def test_self_closed_elements_are_empty(tag):
+    assert html_text.main_text(f"<article><p>One {tag} two</p><p>Three</p></article>") == "One two\n\nThree"
+
+
 @pytest.mark.parametrize("page", [None, "", "<", "<p", "<!-- open", "<script>x", "<a href='", "</p></p>", "&am", "<p>&#x41;"])
 def test_broken_pages(page):
     assert html_text.main_text(page) in ("", "A", "&am", "<")
