@@ -3,9 +3,12 @@
 A text is brought to a canonical form: copyright lines go, letters become lower case, spellings that
 mean the same become one, and punctuation and white space become single spaces. The digest of the whole
 form is hash-joined to those of known licence texts. Notices, short sentences that name a
-licence, are looked up the same way, each line or sentence of a text being an entire unit.
+licence, are looked up the same way, each line of a text, and each sentence even if it wraps, being
+an entire unit. Standard notices, the long ones that licences ask for, count wherever their words
+stand in a row in the canonical form.
 
-Known texts are a small table given by the caller; the defaults are below. It is bounded by the
+Known texts are a small table given by the caller; the defaults are below and in the folder
+``license_texts``, as published, and in their other usual forms. It is bounded by the
 number of licences, not by the data, so Spark may broadcast it.
 
 Defined results: NULL texts and texts without a letter or digit have no digest and no licence;
@@ -17,6 +20,9 @@ first name in order counts.
 
 from __future__ import annotations
 
+import os
+from functools import cache
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -98,6 +104,35 @@ NOTICES = {
     "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
     "MIT": "Released under the MIT License.",
 }
+_GNU = "This {0} is free software; you can redistribute it and/or modify it under the terms of the GNU {1} as published by the Free Software Foundation; "
+# Notices as the licences or their publishers word them, without the sentences that follow.
+STANDARD_NOTICES = {
+    "AGPL-3.0": tuple(_GNU.format(x, "Affero General Public License") + "either version 3" for x in ("program", "library", "software")),
+    "Apache-2.0": (
+        'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License',
+        "licenses this file to you under the Apache License, Version 2.0",
+        "SPDX-License-Identifier: Apache-2.0",
+    ),
+    "BSD-2-Clause": ("SPDX-License-Identifier: BSD-2-Clause",),
+    "BSD-3-Clause": ("SPDX-License-Identifier: BSD-3-Clause",),
+    "CC-BY-4.0": ("licensed under a Creative Commons Attribution 4.0 International License", "SPDX-License-Identifier: CC-BY-4.0"),
+    "CC-BY-NC-4.0": ("licensed under a Creative Commons Attribution-NonCommercial 4.0 International License", "SPDX-License-Identifier: CC-BY-NC-4.0"),
+    "CC-BY-SA-4.0": ("licensed under a Creative Commons Attribution-ShareAlike 4.0 International License", "SPDX-License-Identifier: CC-BY-SA-4.0"),
+    "EPL-1.0": ("made available under the terms of the Eclipse Public License v1.0",),
+    "EPL-2.0": ("made available under the terms of the Eclipse Public License v. 2.0", "made available under the terms of the Eclipse Public License 2.0"),
+    "GPL-2.0": tuple(_GNU.format(x, "General Public License") + "either version 2" for x in ("program", "library", "software"))
+    + ("SPDX-License-Identifier: GPL-2.0",),
+    "GPL-3.0": tuple(_GNU.format(x, "General Public License") + "either version 3" for x in ("program", "library", "software"))
+    + ("SPDX-License-Identifier: GPL-3.0",),
+    "ISC": ("SPDX-License-Identifier: ISC",),
+    "LGPL-2.1": tuple(_GNU.format(x, "Lesser General Public License") + "either version 2.1" for x in ("program", "library", "software")),
+    "LGPL-3.0": tuple(_GNU.format(x, "Lesser General Public License") + "either version 3" for x in ("program", "library", "software")),
+    "MIT": ("SPDX-License-Identifier: MIT",),
+    "MPL-2.0": ("subject to the terms of the Mozilla Public License, v. 2.0", "SPDX-License-Identifier: MPL-2.0"),
+}
+TEXTS = os.path.join(os.path.dirname(os.path.abspath(__file__)), "license_texts")
+# What follows these in a text as published is often left out.
+ENDS = ("END OF TERMS AND CONDITIONS", "How to Apply These Terms", "ADDENDUM: How to use", "For more information, please refer to")
 # Spellings that count as equal, each after punctuation has become spaces.
 SAME = (
     ("acknowledgement", "acknowledgment"),
@@ -115,11 +150,35 @@ SAME = (
 COPYRIGHT_LINE = r"(?m)^[ \t#*/;%-]*(copyright[ \t]+(\(c\)|©|[0-9<\[{])|\(c\)[ \t]|©)[^\n]*$"
 PUNCTUATION = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F©«»‐‑‒–—―‘’‚“”„…]+"
 UNITS = r"\. |\n"
+# Ends of sentences, which may wrap, and of paragraphs, also in comments; 'v. 2' is not an end.
+SENTENCES = r"(?<![ (][vV])[.!?][\"')”’]*\s+|\n[ \t#*/;%-]*(?=\n)"
+# A private character, which the canonical form leaves alone.
+MARK = "\uE000"
+
+
+@cache
+def texts() -> tuple[tuple[str, str], ...]:
+    """(license_id, text) of the folder, each also without what follows its terms, and with http links."""
+    found = []
+    for file in sorted(os.listdir(TEXTS)):
+        with open(os.path.join(TEXTS, file), encoding="utf-8") as f:
+            whole = f.read()
+        forms = {whole}
+        for end in ENDS:
+            at = whole.rfind(end)
+            if at > 0:
+                forms |= {whole[:at], whole[: at + len(end)]} if end.isupper() else {whole[:at]}
+        forms |= {x.replace("https://", "http://") for x in forms}
+        found += [(file.removesuffix(".txt"), x) for x in sorted(forms)]
+    return tuple(found)
 
 
 def canonical(text: Column) -> Column:
     """The form whose digest is compared; empty for NULL."""
-    out = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), COPYRIGHT_LINE, "")
+    return _spelt(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), COPYRIGHT_LINE, ""))
+
+
+def _spelt(out: Column) -> Column:
     out = F.concat(F.lit(" "), F.regexp_replace(out, PUNCTUATION, " "), F.lit(" "))
     for one, other in SAME:
         out = F.replace(out, F.lit(f" {one}"), F.lit(f" {other}"))
@@ -132,9 +191,16 @@ def digest(text: Column) -> Column:
     return F.when(form != "", F.sha2(form, 256))
 
 
-def known(like: DataFrame, texts: dict[str, str]) -> DataFrame:
+def units(text: Column, ends: str, longest: int) -> Column:
+    """Digests of the parts between ``ends`` whose canonical form is no longer than ``longest``."""
+    marked = _spelt(F.regexp_replace(F.lower(text), ends, f" {MARK} "))
+    parts = F.transform(F.split(marked, MARK), lambda u: F.trim(u))
+    return F.transform(F.filter(parts, lambda u: (u != "") & (F.length(u) <= longest)), lambda u: F.sha2(u, 256))
+
+
+def known(like: DataFrame, rows: list[tuple[str, str]]) -> DataFrame:
     """(digest, license_id), one row per digest."""
-    rows = like.sparkSession.createDataFrame(sorted(texts.items()), "license_id string, _text string")
+    rows = like.sparkSession.createDataFrame(sorted(rows), "license_id string, _text string")
     return rows.groupBy(digest(F.col("_text")).alias("_known")).agg(F.min("license_id").alias("license_id"))
 
 
@@ -143,19 +209,31 @@ def scan(
     columns: tuple[str, ...] = ("doc_id",),
     licenses: dict[str, str] = LICENSES,
     notices: dict[str, str] = NOTICES,
+    standard: dict[str, tuple[str, ...]] = STANDARD_NOTICES,
 ) -> DataFrame:
-    """``columns`` of ``docs`` with digest, license_id of the whole text, and notices found in it."""
+    """``columns`` of ``docs`` with digest, license_id of the whole text, and notices found in it.
+
+    ``licenses`` are known besides those of the folder.
+    """
     kept = [c for c in columns if c not in ("digest", "license_id", "notices")]
-    # Only units as short as the longest notice can be one.
-    longest = 4 * max((len(n) for n in notices.values()), default=0)
-    units = F.filter(F.split(F.coalesce(docs["text"], F.lit("")), UNITS), lambda u: F.length(u) <= longest)
+    text = F.coalesce(docs["text"], F.lit(""))
+    # No unit longer than the longest notice can be one; spellings may add a letter a word.
+    longest = 2 * max((len(n) for n in notices.values()), default=0)
+    bare = F.regexp_replace(text, f"(?i){COPYRIGHT_LINE}", "\n")
+    found = F.array_union(units(text, UNITS, longest), units(bare, SENTENCES, longest))
+    scanned = docs.select(*kept, canonical(F.col("text")).alias("_form"), found.alias("_units"))
     named = F.lit("")
-    for name, notice in sorted(notices.items()):
-        hit = F.array_contains(F.col("_units"), digest(F.lit(notice)))
+    for name in sorted({*notices, *standard}):
+        hit = F.array_contains(F.col("_units"), digest(F.lit(notices[name]))) if name in notices else F.lit(False)
+        for notice in standard.get(name, ()):
+            words = F.concat(F.lit(" "), canonical(F.lit(notice)), F.lit(" "))
+            hit = hit | F.contains(F.concat(F.lit(" "), F.col("_form"), F.lit(" ")), words)
         named = F.concat(named, F.when(hit, F.lit(f"{name} ")).otherwise(""))
-    scanned = docs.select(*kept, digest(F.col("text")).alias("digest"), F.transform(units, digest).alias("_units"))
-    joined = scanned.join(known(docs, licenses), F.col("digest") == F.col("_known"), "left")
-    return joined.select(*kept, "digest", "license_id", F.rtrim(named).alias("notices"))
+    own = F.when(F.col("_form") != "", F.sha2("_form", 256))
+    scanned = scanned.select(*kept, own.alias("digest"), F.rtrim(named).alias("notices"))
+    table = known(docs, [*licenses.items(), *texts()])
+    joined = scanned.join(table, F.col("digest") == F.col("_known"), "left")
+    return joined.select(*kept, "digest", "license_id", "notices")
 
 
 def scan_sql(licenses: dict[str, str] = LICENSES, notices: dict[str, str] = NOTICES) -> str:

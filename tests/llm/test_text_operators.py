@@ -270,6 +270,28 @@ def test_licence_variants(spark):
     assert got[7] == got[8] == (None, "")
 
 
+def test_whole_licences_and_notices_that_wrap(spark):
+    whole = dict(reversed(licenses.texts()))
+    apache = """/* Copyright 2020 Someone
+ * Licensed under the Apache License, Version 2.0 (the "License");
+ * you may not use this file except in compliance with the License.
+ * You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 */"""
+    gpl = "# This program is free software: you can redistribute it and/or modify it\n# under the terms of the GNU General Public\n"
+    gpl += "# License as published by the Free Software Foundation, either version 3 of the License, or later."
+    rows = [(name, text) for name, text in whole.items()] + [
+        ("cut", whole["Apache-2.0"].split("APPENDIX")[0]),
+        ("wraps", "A text.\nReleased under\nthe MIT\nLicense. More"),
+        ("apache", apache),
+        ("gpl", gpl),
+        ("mpl", "This is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy of it"),
+        ("spaced", "Released under the" + " " * 900 + "MIT License."),
+    ]
+    got = {r["doc_id"]: r for r in licenses.scan(spark.createDataFrame(rows, "doc_id string, text string")).collect()}
+    assert {"Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "MPL-2.0", "EPL-1.0", "Unlicense", "CC0-1.0"} <= set(whole)
+    assert all(got[name]["license_id"] == name for name in whole) and got["cut"]["license_id"] == "Apache-2.0"
+    assert [got[x]["notices"] for x in ("wraps", "apache", "gpl", "mpl", "spaced")] == ["MIT", "Apache-2.0", "GPL-3.0", "MPL-2.0", "MIT"]
+
+
 def test_licence_odd_rows(odd, none):
     got = licenses.scan(odd, ("doc_id", "digest", "size"))
     assert got.count() == odd.count() and got.columns == ["doc_id", "size", "digest", "license_id", "notices"]
