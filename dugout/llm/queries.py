@@ -8,7 +8,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dugout.llm import embedding_dedup, html_text, jaccard_join, language, licenses, mixing, packing, quality, sharding, token_counts
+from dugout.llm import (
+    decontamination,
+    embedding_dedup,
+    html_text,
+    jaccard_join,
+    language,
+    licenses,
+    mixing,
+    packing,
+    quality,
+    sharding,
+    token_counts,
+)
 from dugout.llm.sql import SQL
 
 # Folder of the vocabulary files; None asks the installed package that holds them.
@@ -80,6 +92,10 @@ def op10_pivotal_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contamination(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -93,6 +109,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_embedding_near_dedup,
         op9_token_counts,
         op10_pivotal_mix,
+        op11_benchmark_decontamination,
     )
 }
 

@@ -56,9 +56,26 @@ found AS (SELECT e.vec_id, coalesce(max(c.n), 0)::BIGINT AS n_links, least(e.vec
   FROM embeddings e LEFT JOIN counts c ON c.a = e.vec_id LEFT JOIN reach r ON r.a = e.vec_id GROUP BY 1)
 SELECT *, vec_id = component_id AS kept FROM found"""
 
+OP11 = r"""
+WITH low AS (SELECT 'd' AS side, doc_id AS id, row_number() OVER () AS r, coalesce(text, '') AS t FROM documents
+  UNION ALL SELECT 'i', item_id, row_number() OVER (), coalesce(text, '') FROM benchmark),
+cut AS (SELECT side, id, r, regexp_extract_all(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM low),
+grams AS (SELECT DISTINCT id, k, w[i + 1 : i + k] AS g
+  FROM (SELECT id, w, least(len(w), 10) AS k, unnest(range(0, len(w) - least(len(w), 10) + 1)) AS i FROM cut WHERE side = 'i' AND len(w) > 0)),
+sizes AS (SELECT DISTINCT k FROM grams),
+places AS (SELECT r, k, unnest(range(0, len(w) - k + 1)) AS i, w FROM cut, sizes WHERE side = 'd' AND len(w) >= k),
+met AS (SELECT p.r, p.k, p.i, g.id FROM places p JOIN grams g ON p.k = g.k AND p.w[p.i + 1 : p.i + p.k] = g.g),
+hit AS (SELECT r, count(DISTINCT x) AS n FROM (SELECT r, unnest(range(i, i + k)) AS x FROM met) GROUP BY 1),
+named AS (SELECT r, count(DISTINCT id) AS n, array_to_string(list_sort(list(DISTINCT id::VARCHAR)), ',') AS s FROM met GROUP BY 1)
+SELECT c.id AS doc_id, len(c.w) AS n_words, coalesce(h.n, 0) AS n_hit, coalesce(n.n, 0) AS n_items,
+  sha256(coalesce(n.s, '')) AS items_sha256, h.n IS NOT NULL AS contaminated
+FROM cut c LEFT JOIN hit h ON h.r = c.r LEFT JOIN named n ON n.r = c.r WHERE c.side = 'd'"""
+
 SQL = {
     "op3_license_scan": licenses.scan_sql(),
     "op5_jump_sharding": OP5,
     "op7_ngram_jaccard_join": OP7,
     "op8_embedding_near_dedup": OP8,
+    "op11_benchmark_decontamination": OP11,
 }
