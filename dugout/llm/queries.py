@@ -15,6 +15,7 @@ from dugout.llm import (
     jaccard_join,
     language,
     licenses,
+    manifest,
     mixing,
     packing,
     quality,
@@ -96,6 +97,23 @@ def op11_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return decontamination.contamination(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    changed = {"n_chars": F.col("n_chars").cast("decimal(20,0)") + 1}
+    rows = manifest.manifest(manifest.document_leaves(documents(spark, sf_dir), tampered, changed))
+    proof = F.sha2(F.array_join(F.col("path.digest"), ""), 256)
+    folded = F.element_at("copies", -1)
+    return rows.select(
+        F.col("key").alias("doc_id"),
+        "leaf",
+        "subroot",
+        "root",
+        proof.alias("proof_sha256"),
+        folded.alias("folded_root"),
+        (folded == F.col("root")).alias("verified"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -110,6 +128,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_token_counts,
         op10_pivotal_mix,
         op11_benchmark_decontamination,
+        op12_merkle_manifest,
     )
 }
 

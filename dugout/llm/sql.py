@@ -72,10 +72,42 @@ SELECT c.id AS doc_id, len(c.w) AS n_words, coalesce(h.n, 0) AS n_hit, coalesce(
   sha256(coalesce(n.s, '')) AS items_sha256, h.n IS NOT NULL AS contaminated
 FROM cut c LEFT JOIN hit h ON h.r = c.r LEFT JOIN named n ON n.r = c.r WHERE c.side = 'd'"""
 
+OP12 = """
+WITH RECURSIVE
+bits AS (SELECT range AS i, range::UBIGINT AS c, 0 AS step FROM range(256)
+  UNION ALL SELECT i, CASE WHEN c & 1 = 1 THEN xor(3988292384::UBIGINT, c >> 1) ELSE c >> 1 END, step + 1 FROM bits WHERE step < 8),
+crc AS (SELECT list(c ORDER BY i) AS t FROM bits WHERE step = 8),
+coded AS (SELECT doc_id, lang, n_chars, list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::UBIGINT) AS b,
+  coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+    || coalesce(strlen(lang) || ':' || lang, '-') AS head,
+  coalesce(strlen(text) || ':' || text, '-') AS tail FROM documents),
+leaves AS (SELECT doc_id, lang, sha256(head || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') || tail) AS leaf,
+  sha256(head || coalesce(strlen((n_chars + 1)::VARCHAR) || ':' || (n_chars + 1), '-') || tail) AS changed,
+  xor(4294967295::UBIGINT, list_reduce(list_prepend(4294967295::UBIGINT, b),
+    lambda c, x: xor(c >> 8, t[(xor(c, x) & 255)::INTEGER + 1]))) % 7 = 0 AS tampered FROM coded, crc),
+placed AS (SELECT *, '=' || lang AS g, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM leaves),
+low AS (SELECT coalesce(g, '') AS g, 0 AS l, i, leaf AS h, count(*) OVER (PARTITION BY g) AS n FROM placed
+  UNION ALL SELECT g, l + 1, i // 2, sha256(string_agg(h, '' ORDER BY i)), (any_value(n) + 1) // 2 FROM low WHERE n > 1 GROUP BY g, l, i // 2),
+subroots AS (SELECT g, l AS depth, h, row_number() OVER (ORDER BY g) - 1 AS i FROM low WHERE n = 1),
+high AS (SELECT 0 AS l, i, h, count(*) OVER () AS n FROM subroots
+  UNION ALL SELECT l + 1, i // 2, sha256(string_agg(h, '' ORDER BY i)), (any_value(n) + 1) // 2 FROM high WHERE n > 1 GROUP BY l, i // 2),
+ends AS (SELECT l AS depth, h AS root FROM high WHERE n = 1),
+fold AS (SELECT p.doc_id, s.g, p.i AS at, p.i, 0 AS l, s.depth, s.i AS place, p.leaf, s.h AS subroot, '' AS proof,
+    CASE WHEN tampered THEN changed ELSE leaf END AS h, row_number() OVER () AS r
+  FROM placed p JOIN subroots s ON s.g = coalesce(p.g, '')
+  UNION ALL SELECT f.doc_id, f.g, f.at, CASE WHEN f.l + 1 = f.depth THEN f.place ELSE f.i // 2 END, f.l + 1, f.depth, f.place, f.leaf, f.subroot,
+    f.proof || coalesce(x.h, ''), sha256(CASE WHEN f.i % 2 = 1 THEN coalesce(x.h, '') || f.h ELSE f.h || coalesce(x.h, '') END), f.r
+  FROM (SELECT * FROM fold WHERE l < depth + (SELECT depth FROM ends)) f
+  LEFT JOIN (SELECT g, l, i, h FROM low WHERE n > 1 UNION ALL SELECT s.g, s.depth + k.l, k.i, k.h FROM subroots s, high k WHERE k.n > 1) x
+    ON x.g = f.g AND x.l = f.l AND x.i = xor(f.i, 1::BIGINT))
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, h AS folded_root, h = root AS verified
+FROM fold, ends WHERE l = fold.depth + ends.depth"""
+
 SQL = {
     "op3_license_scan": licenses.scan_sql(),
     "op5_jump_sharding": OP5,
     "op7_ngram_jaccard_join": OP7,
     "op8_embedding_near_dedup": OP8,
     "op11_benchmark_decontamination": OP11,
+    "op12_merkle_manifest": OP12,
 }
