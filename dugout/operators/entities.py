@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from dugout.functions.text import TIMECODE, as_col, format_timecode
-from dugout.operators.ordered import GROUP_LIMIT, fill_forward
+from dugout.operators.ordered import GROUP_LIMIT, fill_forward, same
 from dugout.operators.pitch_search import value_filter
 from dugout.operators.ranking import page
 
@@ -42,14 +43,18 @@ def date_window(
 
 
 def as_of_date(df: DataFrame, keys: Sequence[str], column: str, on: Any) -> DataFrame:
-    """Per key the latest row at or before a date.
+    """Per key, NULL being one, the latest row at or before a date.
 
     The latest date per key is found with a numeric hash aggregate and joined back, so
     whole rows are never carried through aggregation buffers.
     """
+    if not keys:
+        raise ValueError("the state at a date needs the columns that name what has a state")
     known = df.where(F.col(column) <= _day(on))
-    latest = known.groupBy(*keys).agg(F.max(column).alias(column))
-    return known.join(latest, [*keys, column])
+    names = [f"_key{i}" for i in range(len(keys))]
+    owned = [F.col(k).alias(n) for k, n in zip(keys, names, strict=True)]
+    latest = known.groupBy(*owned).agg(F.max(column).alias("_latest"))
+    return known.join(latest, same(keys, names) & (F.col(column) == F.col("_latest"))).drop(*names, "_latest")
 
 
 def changed_since(
@@ -71,16 +76,30 @@ def moment(timecode: str | Column) -> Column:
     return F.to_timestamp(F.lit(timecode), TIMECODE).cast("timestamp_ntz")
 
 
-def feed_at(df: DataFrame, game: str, ts: str, timecode: str | Column | None = None) -> DataFrame:
+def one_per_time(df: DataFrame, game: str, ts: str, ties: Sequence[str] = ()) -> DataFrame:
+    """One row per game and time: the largest ``ties``, then the largest hash of the plain columns.
+
+    Only (game, time, ties, hash) are compared, as numbers and plain values; rows equal in all of
+    them differ in nothing that could be told apart, and one stays.
+    """
+    plain = [f.name for f in df.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    tied = df.withColumn("_hash", F.xxhash64(*plain))
+    last = Window.partitionBy(game, ts).orderBy(*[F.desc(t) for t in ties], F.desc("_hash"))
+    # Few rows share a game and a time, so this window is small; it carries bodies, but sorts and aggregates none.
+    return tied.withColumn("_place", F.row_number().over(last)).where("_place = 1").drop("_place", "_hash")
+
+
+def feed_at(df: DataFrame, game: str, ts: str, timecode: str | Column | None = None, ties: Sequence[str] = ()) -> DataFrame:
     """Per game the snapshot in force at a timecode (the latest one without).
 
     The time comes first, from a small hash aggregate, then the snapshot by a join: bodies do
-    not pass through aggregation buffers. Snapshots of one game and time count as one.
+    not pass through aggregation buffers. Of snapshots of one game and time the one with the
+    largest ``ties`` counts.
     """
     seen = df if timecode is None else df.where(F.col(ts) <= moment(timecode))
     newest = seen.groupBy(F.col(game).alias("_game")).agg(F.max(ts).alias("_newest"))
     rows = seen.join(newest, F.col(game).eqNullSafe(F.col("_game")) & (F.col(ts) == F.col("_newest")))
-    return rows.drop("_game", "_newest").dropDuplicates([game, ts])
+    return one_per_time(rows.drop("_game", "_newest"), game, ts, ties)
 
 
 def feed_between(
@@ -104,6 +123,7 @@ def feed_at_probes(
     probe: str,
     out: str = "body_at",
     limit: int = GROUP_LIMIT,
+    ties: Sequence[str] = (),
 ) -> DataFrame:
     """For each probe row the body in force at its own time, NULL before the first.
 
@@ -116,10 +136,13 @@ def feed_at_probes(
     shots = known.select(game, F.col(ts).alias("_at"), F.lit(0).alias("_side"), F.col(ts).alias("_shot"))
     stacked = marks.unionByName(shots, allowMissingColumns=True)
     filled = fill_forward(stacked, [game], ["_at", "_side"], "_shot", "_from", limit)
-    bodies = known.select(F.col(game).alias("_game"), F.col(ts).alias("_ts"), F.col(body).alias(out))
-    bodies = bodies.dropDuplicates(["_game", "_ts"])
+    asked = filled.where("_side = 1")
+    # Only bodies at a time that some probe asks for are moved.
+    wanted = asked.where("_from IS NOT NULL").select(F.col(game).alias("_g"), F.col("_from").alias("_f")).distinct()
+    used = known.join(wanted, F.col(game).eqNullSafe(F.col("_g")) & (F.col(ts) == F.col("_f")), "left_semi")
+    bodies = one_per_time(used, game, ts, ties).select(F.col(game).alias("_game"), F.col(ts).alias("_ts"), F.col(body).alias(out))
     at = F.col(game).eqNullSafe(F.col("_game")) & (F.col("_from") == F.col("_ts"))
-    rows = filled.where("_side = 1").join(bodies, at, "left")
+    rows = asked.join(bodies, at, "left")
     return rows.select(game, F.col("_at").alias(ts), probe, out)
 
 

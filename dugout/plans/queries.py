@@ -1483,3 +1483,6 @@ def landed_pitches(spark, sf):
     pitch_search.land_pitches(rows, path)
     found_rows = pitch_search.search_pitches(spark.read.parquet(path), "1998-05-01", "1998-05-31")
     return found_rows.select(*rows.columns)
+
+
+from dugout.plans import history_queries  # noqa: E402, F401
