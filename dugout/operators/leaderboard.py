@@ -11,12 +11,13 @@ from pyspark.sql import functions as F
 from dugout.functions.text import null_to_blank, number, spin_season
 from dugout.operators.grouping import sums_with_labels
 from dugout.operators.pitch_search import filter_rows, value_filter
-from dugout.plans.registry import Board, board
+from dugout.plans.registry import NAMED, Board, board
 
 PLACEHOLDER_ID = "999999"
 # Fixed names: parameters that shape the page and not the rows, and parameters whose column
 # has another name.
-DISPLAY_PARAMS = {"showColumn", "minSplit", "splitYear", "custom_col", "year_pair", "csv"}
+DISPLAY_PARAMS = {"showColumn", "csv"}
+OFF = {"0", "false", "no", ""}
 PARAM_COLUMNS = {"gameType": "game_type", "gameType[]": "game_type", "pitcher_throws": "pitcher_hand"}
 BOUND_COLUMNS = {"exchange": "exchange_2b"}
 ID_COLUMNS = ("player_id", "id", "pitcher_id")
@@ -135,6 +136,35 @@ def _other_filters(df: DataFrame, spec: Board, filters: dict[str, Any]) -> DataF
     return out
 
 
+def _count_column(df: DataFrame, spec: Board, weight: str | None, param: str | None) -> str:
+    column = weight or spec.min_column
+    if column is None or column not in df.columns:
+        raise ValueError(f"{spec.slug!r} has no count column for {param!r}; pass weight='<column>'")
+    return column
+
+
+def _year_pair(df: DataFrame, spec: Board, pair: str) -> DataFrame:
+    """Rows of one pair of seasons, ``"YYYY-YYYY"``, by its own column or by the two seasons."""
+    years = pair.split("-")
+    if len(years) != 2 or not all(len(y) == 4 and y.isdecimal() for y in years):
+        raise ValueError(f"year_pair must be 'YYYY-YYYY', got {pair!r}")
+    if "year_pair" in df.columns:
+        return df.where(F.col("year_pair") == pair)
+    if {"year", "prior_year"} <= set(df.columns):
+        return df.where(value_filter(df, "prior_year", years[0]) & value_filter(df, "year", years[1]))
+    raise ValueError(f"board {spec.slug!r} has neither a year_pair nor a prior_year column")
+
+
+def _custom_columns(df: DataFrame, spec: Board, listed: str | Sequence[str]) -> DataFrame:
+    """The columns that name a row, then the listed ones, each once."""
+    wanted = [c.strip() for c in (listed.split(",") if isinstance(listed, str) else listed) if c.strip()]
+    missing = [c for c in wanted if c not in df.columns]
+    if missing or not wanted:
+        raise ValueError(f"board {spec.slug!r} has no columns {missing}" if missing else "custom_col names no column")
+    naming = [c for c in (*NAMED, "id", "name", "pitcher_id", "year", "type") if c in df.columns]
+    return df.select(*dict.fromkeys([*naming, *wanted]))
+
+
 def leaderboard(
     df: DataFrame,
     slug: str,
@@ -151,8 +181,10 @@ def leaderboard(
     """Rows of a landed board: season, view, player, threshold and equality filters.
 
     Span boards return one regrouped row per player without a season column; set boards
-    keep one row per player and season. ``min_n="q"`` means qualified and needs a
-    ``qualifier`` column or predicate, since the boards state no number for it.
+    keep one row per player and season, or one per player with ``splitYear`` off, of the seasons
+    that reach ``minSplit``. ``min_n="q"`` means qualified and needs a
+    ``qualifier`` column or predicate, since the boards state no number for it. ``custom_col``
+    names the columns to keep, ``year_pair`` the two seasons of a board of changes.
     """
     spec = board(slug)
     for name in spec.required:
@@ -173,10 +205,23 @@ def leaderboard(
         out = player_rows(out, player_id)
     least = filters.pop(spec.min_param, None) if spec.min_param else None
     least = min_n if min_n is not None else least
+    special = {p: filters.pop(p, None) for p in ("minSplit", "splitYear", "year_pair", "custom_col")}
+    for param, value in special.items():
+        if value is not None and param not in spec.filters:
+            raise ValueError(f"board {spec.slug!r} does not take {param!r}")
     out = _other_filters(out, spec, filters)
-    if spec.season == "range" and "year" in out.columns:
-        keys = [c for c in ("id", "side", "type") if c in out.columns]
-        labels = [c for c in ("name",) if c in out.columns]
+    if special["year_pair"] is not None:
+        out = _year_pair(out, spec, str(special["year_pair"]))
+    if special["minSplit"] is not None:
+        out = out.where(number(out, _count_column(out, spec, weight, "minSplit")) >= float(special["minSplit"]))
+    together = special["splitYear"] is not None and str(special["splitYear"]).lower() in OFF
+    if together:
+        # The count is what the means weigh by, so it is there or the call fails.
+        weight = _count_column(out, spec, weight, "splitYear")
+        sums = list(dict.fromkeys([weight, *(sums or spec.sums)]))
+    if (spec.season == "range" or together) and "year" in out.columns:
+        keys = [c for c in ("id", "player_id", "side", "type") if c in out.columns]
+        labels = [c for c in ("name", "last_name", "first_name") if c in out.columns]
         count = weight or spec.weight
         out = regroup_seasons(
             out,
@@ -186,16 +231,14 @@ def leaderboard(
             [c for c in (means or spec.means) if c in out.columns],
             labels,
         )
-    if least is None:
-        return out
     if least == "q":
         if qualifier is None:
             raise ValueError("min_n='q' needs a qualifier column or predicate")
-        return out.where(qualifier)
-    column = weight or spec.min_column
-    if column is None or column not in out.columns:
-        raise ValueError(f"{spec.slug!r} has no count column for {spec.min_param!r}; pass weight='<column>'")
-    return out.where(number(out, column) >= float(least))
+        out = out.where(qualifier)
+    elif least is not None:
+        out = out.where(number(out, _count_column(out, spec, weight, spec.min_param)) >= float(least))
+    listed = special["custom_col"]
+    return out if listed is None else _custom_columns(out, spec, listed)
 
 
 def page_rows(pages: DataFrame, spec: Board, json: str = "json") -> DataFrame:

@@ -101,6 +101,8 @@ def page(
     A page that ends within ``PAGE_ROWS`` rows comes from each task's first rows. A deeper or
     open one is cut by place, so that no task gathers what lies before or after it.
     """
+    if (offset or limit is not None) and not ties:
+        raise ValueError("pages need tie keys, or they may overlap")
     order = [F.desc(sort) if descending else F.asc(sort), *[F.asc(t) for t in ties]]
     if not offset and limit is None:
         return df.orderBy(*order)

@@ -15,7 +15,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dugout.operators import entities, streaks
+from dugout.operators import entities, feed_diffs, streaks
 from dugout.operators.pitch_search import multi_value
 from dugout.operators.ranking import high_low, leaders, page
 from dugout.sources.codes import code_table
@@ -137,11 +137,12 @@ AS_OF_DATE = {"get_roster", "get_standings", "get_umpires"}
 LEADERS = {"get_stat_leaders", "get_team_leaders", "get_team_specific_leaders"}
 FEED_TIMES = {"get_gamefeed_timestamps", "get_color_timestamps"}
 FEEDS = {"get_gamefeed", "get_color_feed", "get_schedule"}
+FEED_DIFFS = {"get_gamefeed_diffpatch", "get_color_diffpatch"}
 # Shape the answer, not which rows match.
 SHAPING = {
     "hydrate", "fields", "limit", "offset", "order", "sortStat", "date", "startDate", "endDate",
     "timecode", "startTimecode", "endTimecode", "updatedSince", "startSeason", "endSeason",
-    "leaderCategories", "names", "appContext", "useLatestGames", "withGameTypeDates",
+    "leaderCategories", "names",
 }
 SHAPED_TEXT = {"fields"}
 STREAK_PARAMS = {"streakType", "streakSpan", "season"}
@@ -181,6 +182,7 @@ class Settings:
     day: str = "date"
     ts: str = "ts"
     game: str = "game_pk"
+    body: str = "body"
     updated: str = "updated"
     season: str = "season"
     category: str = "category"
@@ -235,12 +237,18 @@ def query_endpoint(name: str, df: DataFrame, settings: Settings = Settings(), /,
         out = entities.date_window(out, at.day, given.get("date"), given.get("startDate"), given.get("endDate"))
     if "updatedSince" in given:
         out = entities.changed_since(out, at.updated, given["updatedSince"])
+    if name in FEED_DIFFS:
+        if at.body not in df.columns:
+            raise ValueError(f"{name} needs the column of bodies; the setting body is {at.body!r}")
+        # Operations need the snapshot before the first one wanted, so times are cut afterwards.
+        ops = feed_diffs.feed_diffs(out, at.game, at.ts, at.body, at.ties)
+        return feed_diffs.diffs_between(ops, at.ts, given.get("startTimecode"), given.get("endTimecode")).drop("steps")
     if "startTimecode" in given or "endTimecode" in given:
         out = entities.feed_between(out, at.ts, given.get("startTimecode"), given.get("endTimecode"))
     if name in FEED_TIMES:
         return entities.feed_timecodes(out, at.game, at.ts)
     if "timecode" in given or (name in FEEDS and name != "get_schedule"):
-        out = entities.feed_at(out, at.game, at.ts, given.get("timecode"))
+        out = entities.feed_at(out, at.game, at.ts, given.get("timecode"), at.ties)
     limit = None if given.get("limit") is None else int(given["limit"])
     if name in LEADERS:
         if "leaderCategories" in given:
@@ -250,6 +258,12 @@ def query_endpoint(name: str, df: DataFrame, settings: Settings = Settings(), /,
         out = high_low(out, list(at.key), at.columns.get("sortStat", given.get("sortStat", at.value)))
     elif name == "get_streaks":
         out = _streaks(out, at, given, limit)
+    elif name == "get_free_agents" and "order" in given:
+        # A direction, or the column to go by; names decide among equals.
+        by = at.columns.get("order", at.person_name) if given["order"] in ("asc", "desc") else given["order"]
+        if by not in out.columns:
+            raise ValueError(f"{name}: order is 'asc', 'desc' or a column, and there is no column {by!r}")
+        out = page(out, by, [c for c in (at.person_name, *at.ties) if c in out.columns and c != by], descending=given["order"] == "desc")
     elif {"sortStat", "limit", "offset", "order"} & set(given):
         stat = at.columns.get("sortStat") or given.get("sortStat")
         descending = given.get("order", "desc") != "asc"
