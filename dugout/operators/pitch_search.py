@@ -203,12 +203,16 @@ def land_pitches(df: DataFrame, path: str) -> None:
 
     Rows are range-partitioned on date and game, so files are even whatever the busiest day
     holds, and each covers a narrow span of dates: a date search prunes the year folders
-    and skips the other files and row groups by their statistics.
+    and skips the other files and row groups by their statistics. Bloom filters on pitcher and
+    batter let a search for a player skip row groups; ``file_index`` skips whole files.
     """
     order = ["level", "game_date", "game_pk"]
     typed = typed_pitches(df).withColumn(LAYOUT_YEAR, F.year("game_date"))
     ranged = typed.repartitionByRange(*order).sortWithinPartitions(*order)
-    ranged.write.mode("append").partitionBy("level", LAYOUT_YEAR).parquet(path)
+    writer = ranged.write.mode("append").partitionBy("level", LAYOUT_YEAR)
+    for c in ("pitcher", "batter"):
+        writer = writer.option(f"parquet.bloom.filter.enabled#{c}", "true")
+    writer.parquet(path)
 
 
 def capped_days(df: DataFrame, cap: int = DAILY_CAP) -> DataFrame:

@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dugout.operators import feed_diffs
-from dugout.plans.pitches import table
-from dugout.plans.queries import query
+from dugout.operators import feed_diffs, file_index, name_index, pitch_search
+from dugout.plans.pitches import pitches, table
+from dugout.plans.queries import FOUND, event_stream, found, query, with_pitches
+from dugout.session import shared_path
+from dugout.streaming import change_log
 
 # --------------------------------------------------------------------------------------
 # Feed differences: a customer is a game, each order with its lines a snapshot
@@ -61,3 +63,84 @@ def feed_replayed(spark, sf):
     """Bodies in force at a time, from the operations alone."""
     diffs = feed_diffs.feed_diffs(snapshots(spark, sf), "game", "ts", "body", ["version"])
     return feed_diffs.feed_replayed(diffs, "game", "ts", "19980601_120000")
+
+
+# --------------------------------------------------------------------------------------
+# Indexes: files by player, names by fragments
+# --------------------------------------------------------------------------------------
+
+
+def landed(spark: SparkSession, sf: str) -> tuple[str, str]:
+    """Landed pitches and their file index, in two lots, so that the index is brought up to date once."""
+    path, index = shared_path(spark, "pitches"), shared_path(spark, "pitch-index")
+    rows = pitches(spark, sf).select(*FOUND.split(", "))
+    for lot in (F.col("game_pk") % 2 == 0, F.col("game_pk") % 2 == 1):
+        pitch_search.land_pitches(rows.where(lot), path)
+        file_index.update_index(spark, path, index)
+    return path, index
+
+
+@query(
+    with_pitches(f"""SELECT {FOUND} FROM p WHERE game_date BETWEEN DATE '1993-01-01' AND DATE '2003-12-31'
+        AND level = 'milb' AND batter = '25'""")
+)
+def search_batter_indexed(spark, sf):
+    """One batter over many seasons, opening only the files that may hold them."""
+    path, index = landed(spark, sf)
+    return found(file_index.search_indexed(spark, path, index, "1993-01-01", "2003-12-31", "batter", 25, "milb"))
+
+
+@query(
+    with_pitches(f"""SELECT {FOUND} FROM p WHERE game_date BETWEEN DATE '1995-01-01' AND DATE '1999-12-31'
+        AND level = 'mlb' AND pitcher IN ('7', '9') AND batter IN ('25', '31', '100')""")
+)
+def search_matchups_indexed(spark, sf):
+    path, index = landed(spark, sf)
+    both = {"pitchers_lookup[]": "7|9|", "batters_lookup[]": "25|31|100|"}
+    return found(file_index.search_indexed(spark, path, index, "1995-01-01", "1999-12-31", **both))
+
+
+@query("""
+    WITH asked AS (SELECT DISTINCT substr(c_name, CAST(6 + c_custkey % 10 AS INT), CAST(1 + c_custkey % 7 AS INT)) AS fragment FROM customer)
+    SELECT fragment, c_custkey AS key, lower(c_name) AS name FROM customer JOIN asked ON contains(lower(c_name), lower(fragment))""")
+def names_by_fragments(spark, sf):
+    """Thousands of name fragments against all names, by their rarest short substrings."""
+    people = table(spark, sf, "customer")
+    start, size = (6 + F.col("c_custkey") % 10).cast("int"), (1 + F.col("c_custkey") % 7).cast("int")
+    asked = people.select(F.substring("c_name", start, size).alias("fragment"))
+    path = shared_path(spark, "postings")
+    name_index.name_postings(people, "c_name", "c_custkey").write.parquet(path)
+    return name_index.names_with(spark.read.parquet(path), asked, "fragment")
+
+
+# --------------------------------------------------------------------------------------
+# Compacted change log
+# --------------------------------------------------------------------------------------
+
+
+@query("""SELECT e.event_id, e.ts, e.user_id, e.value FROM events e
+    JOIN (SELECT user_id, max(ts) AS ts FROM events GROUP BY user_id) m ON e.user_id = m.user_id AND e.ts = m.ts""")
+def changes_after_compaction(spark, sf):
+    """The latest event of each user from a log that merged its batches; files hold late rows, the last batch comes twice."""
+    home = shared_path(spark, "change-log")
+    rows = event_stream(spark, sf).select("event_id", "ts", "user_id", "value")
+    log = change_log.versions_log(spark, f"{home}/log", ["user_id"], "ts", ["event_id"], fan=2)
+    change_log.follow(rows, log, f"{home}/state")
+    again = table(spark, sf, "events").select("event_id", "ts", "user_id", "value").where(F.col("event_id") % 4 == 3)
+    log.add(again, 3)
+    return log.read()
+
+
+@query("""SELECT date_trunc('day', ts)::TIMESTAMP AS window_start, user_id, count(*) AS n, min(ts) AS first_ts, max(ts) AS last_ts
+    FROM events GROUP BY ALL""")
+def increments_after_compaction(spark, sf):
+    """Counts per user and day from a merged log; a batch that comes again after its merge is not counted twice."""
+    home = shared_path(spark, "window-log")
+    log = change_log.windows_log(spark, f"{home}/log", "user_id", fan=2)
+
+    def parts(batch: DataFrame) -> DataFrame:
+        return change_log.window_parts(batch, "user_id", "ts", "1 day")
+
+    change_log.follow(event_stream(spark, sf), log, f"{home}/state", parts)
+    log.add(parts(table(spark, sf, "events")), 0)
+    return log.read()
