@@ -26,6 +26,7 @@ import re
 import uuid
 import zlib
 from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
@@ -40,9 +41,12 @@ from dugout.llm.token_counts import byte_names
 BUCKETS = 256
 FAN_IN = 16
 BROADCAST_PAIRS = 2_000_000
-# Bounds of what a worker keeps: bytes of pieces, and pairs before a task hands its counts over.
-KEPT_BYTES = 48 << 20
+# Bounds of what a worker keeps: pieces, bytes of their pairs, and pairs before a task hands its counts over.
+KEPT_PIECES = 250_000
+KEPT_BYTES = 32 << 20
 KEPT_PAIRS = 1 << 20
+# Pieces aligned in one call.
+TOGETHER = 4096
 _CUT = re.compile(r"(?<=\S) ")
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
@@ -108,37 +112,90 @@ class PerfectHash:
         return out
 
 
-class Piece:
-    """What one piece gives: token numbers, groups, the pairs of its links and how often each."""
-
-    __slots__ = ("row", "text", "pairs", "times", "cost", "scores", "scored_for")
-
-    def __init__(self, a: list[int], b: list[int], a_ends: np.ndarray, b_ends: np.ndarray):
-        both = np.intersect1d(a_ends, b_ends, assume_unique=True)
-        a_cuts, b_cuts = np.searchsorted(a_ends, both) + 1, np.searchsorted(b_ends, both) + 1
-        groups, i, j = [], 0, 0
-        for x, y in zip(a_cuts.tolist(), b_cuts.tolist(), strict=True):
-            groups.append(f"{','.join(map(str, a[i:x]))}|{','.join(map(str, b[j:y]))}")
-            i, j = x, y
-        self.text = ";".join(groups)
-        # B tokens that overlap an A token are neighbours: from the first that ends after its start
-        # to the first that ends at or after its end.
-        starts = np.concatenate([[0], a_ends[:-1]])
-        low = np.searchsorted(b_ends, starts, side="right")
-        n = np.searchsorted(b_ends, a_ends, side="left") - low + 1
-        left = np.repeat(np.array(a, np.uint64), n)
-        at = np.arange(len(left)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low, n)
-        links = (left << np.uint64(32)) | np.array(b, np.uint64)[at]
-        self.pairs, self.times = np.unique(links, return_counts=True)
-        self.row = (len(a), len(b), len(both), len(links))
-        self.scores, self.scored_for = (0, 0), None
-        self.cost = 400 + 2 * len(self.text) + 16 * len(self.pairs)
+@dataclass
+class Pieces:
+    """What some pieces give, one after the other: ``totals`` (tokens of A and B, groups, links), the
+    ``pairs`` of their links, and their groups as text, which the first pass does without."""
+
+    totals: np.ndarray
+    pairs: np.ndarray
+    texts: list[str]
+
+    def __post_init__(self):
+        self.starts = np.cumsum(self.totals[:, 3]) - self.totals[:, 3]
+
+    @staticmethod
+    def none() -> Pieces:
+        return Pieces(np.zeros((0, 4), np.int64), np.zeros(0, np.uint64), [])
+
+    def __len__(self) -> int:
+        return len(self.totals)
+
+    def take(self, which: np.ndarray) -> Pieces:
+        texts = [self.texts[i] for i in which.tolist()] if self.texts else []
+        return Pieces(self.totals[which], self.pairs[self.links_of(which)], texts)
+
+    def links_of(self, which: np.ndarray) -> np.ndarray:
+        """Places in ``pairs`` of these pieces' links."""
+        starts, n = self.starts[which], self.totals[which, 3]
+        return np.repeat(starts - np.cumsum(n) + n, n) + np.arange(n.sum())
+
+
+def aligned(a: np.ndarray, b: np.ndarray, a_sizes: np.ndarray, b_sizes: np.ndarray, ends: np.ndarray, with_text: bool) -> Pieces | None:
+    """The pieces of one text, which end at the bytes ``ends``; None if tokens cross such an end.
+
+    ``a`` and ``b`` are the ids over the whole text, with their numbers of bytes.
+    """
+    a_ends, b_ends = np.cumsum(a_sizes), np.cumsum(b_sizes)
+    a_of, b_of = np.searchsorted(a_ends, ends), np.searchsorted(b_ends, ends)
+    if (a_ends[a_of] != ends).any() or (b_ends[b_of] != ends).any():
+        return None
+    # B tokens that overlap an A token are neighbours: from the first that ends after its start
+    # to the first that ends at or after its end.
+    last = np.searchsorted(b_ends, a_ends)
+    shared = b_ends[last] == a_ends
+    low = np.concatenate([[0], (last + shared)[:-1]])
+    n = last - low + 1
+    at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low, n)
+    links = (np.repeat(a.astype(np.uint64), n) << np.uint64(32)) | b.astype(np.uint64)[at]
+    stops = np.cumsum(shared)[a_of]
+    totals = np.stack([np.diff(x, prepend=0) for x in (a_of + 1, b_of + 1, stops, np.cumsum(n)[a_of])], axis=1)
+    texts = []
+    if with_text:
+        groups = _spelt(a.tolist(), b.tolist(), np.flatnonzero(shared) + 1, last[shared] + 1)
+        texts = [";".join(groups[x:y]) for x, y in zip([0, *stops[:-1].tolist()], stops.tolist(), strict=True)]
+    return Pieces(totals, links, texts)
+
+
+def _spelt(a: list[int], b: list[int], a_stops: np.ndarray, b_stops: np.ndarray) -> list[str]:
+    """The groups that end before these places, as text."""
+    names_a, names_b = list(map(str, a)), list(map(str, b))
+    groups, i, j = [], 0, 0
+    for x, y in zip(a_stops.tolist(), b_stops.tolist(), strict=True):
+        left = names_a[i] if x == i + 1 else ",".join(names_a[i:x])
+        groups.append(f"{left}|{names_b[j]}" if y == j + 1 else f"{left}|{','.join(names_b[j:y])}")
+        i, j = x, y
+    return groups
+
+
+class _Bytes:
+    """The bytes of all tokens of a vocabulary, to spell ids out at once."""
+
+    def __init__(self, tokens: dict[int, bytes]):
+        own = [tokens.get(i, b"") for i in range(max(tokens) + 1)]
+        self.size = np.array(list(map(len, own)), np.int64)
+        self.start = np.cumsum(self.size) - self.size
+        self.data = np.frombuffer(b"".join(own), np.uint8)
+
+    def of(self, ids: np.ndarray) -> bytes:
+        n = self.size[ids]
+        return self.data[np.repeat(self.start[ids] - np.cumsum(n) + n, n) + np.arange(n.sum())].tobytes()
 
 
 class Aligner:
-    """Aligns pieces of text by two vocabulary files, and keeps what it has seen."""
+    """Aligns pieces of text by two vocabulary files, and keeps those it may meet again."""
 
-    def __init__(self, a_path: str, b_path: str):
+    def __init__(self, a_path: str, b_path: str, with_text: bool = True):
         import sentencepiece
         from tokenizers import Tokenizer
 
@@ -149,50 +206,115 @@ class Aligner:
         with open(a_path, encoding="utf-8") as f:
             vocab = json.load(f)["model"]["vocab"]
         named = byte_names()
-        self.a_bytes: dict[int, bytes] = {i: bytes(named[c] for c in t) for t, i in vocab.items() if all(c in named for c in t)}
+        self.a_bytes = _Bytes({i: bytes(named[c] for c in t) for t, i in vocab.items() if all(c in named for c in t)})
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
-        self.b_bytes: list[bytes] = []
+        own = {}
         for i in range(self.b.get_piece_size()):
             piece = self.b.id_to_piece(i)
-            self.b_bytes.append(bytes([int(piece[3:-1], 16)]) if self.b.is_byte(i) else piece.replace("\u2581", " ").encode())
+            own[i] = bytes([int(piece[3:-1], 16)]) if self.b.is_byte(i) else piece.replace("\u2581", " ").encode()
+        self.b_bytes = _Bytes(own)
         self.space = self.b.piece_to_id("\u2581")
-        self.known: dict[str, Piece | None] = {}
-        self.cost = 0
+        self.with_text = with_text
+        self.known: dict[str, int] = {}
+        self.pieces, self.met = Pieces.none(), np.zeros(0, np.int64)
+        # What a run of ``align`` has scored, for the first of the pieces.
+        self.scored_for, self.scores = None, np.zeros((0, 2), np.int64)
+
+    def _whole(self, text: str, a: list[int], b: list[int], ends: list[int]) -> Pieces | None:
+        """Pieces of a text from its tokens; None if those do not give it back or cross an end."""
+        data, a, b = text.encode(), np.array(a, np.int64), np.array(b, np.int64)
+        if self.a_bytes.of(a) != data or self.b_bytes.of(b) != data:
+            return None
+        return aligned(a, b, self.a_bytes.size[a], self.b_bytes.size[b], np.array(ends), self.with_text)
+
+    def _a_ids(self, text: str) -> list[int]:
+        # The fast call leaves out the offsets of tokens.
+        return self.a.encode_batch_fast([text], add_special_tokens=False)[0].ids
+
+    def _together(self, pieces: list[str]) -> Pieces | None:
+        text = " ".join(pieces)
+        sizes = map(len, pieces) if text.isascii() else (len(p.encode()) for p in pieces)
+        return self._whole(" " + text, self._a_ids(" " + text), self.b.encode(text), np.cumsum([n + 1 for n in sizes]))
+
+    def _alone(self, piece: str) -> Pieces | None:
+        # An empty piece is a space at the end of a text; alone it would get no token.
+        b = self.b.encode(piece) if piece else [self.space]
+        return self._whole(" " + piece, self._a_ids(" " + piece), b, [len(piece.encode()) + 1])
 
     def learn(self, pieces: list[str]) -> None:
-        """Aligns pieces, given without their leading space; None for those not given back whole."""
-        a_ids = self.a.encode_batch([" " + p for p in pieces], add_special_tokens=False)
-        # An empty piece is a space at the end of a text; alone it would get no token.
-        b_ids = [ids if p else [self.space] for p, ids in zip(pieces, self.b.encode(pieces, num_threads=1), strict=True)]
-        for p, a, b in zip(pieces, a_ids, b_ids, strict=True):
-            a = a.ids
-            a_own, b_own = [self.a_bytes.get(i, b"") for i in a], [self.b_bytes[i] for i in b]
-            whole = b" " + p.encode()
-            found = None
-            if b"".join(a_own) == whole and b"".join(b_own) == whole:
-                found = Piece(a, b, np.cumsum([len(x) for x in a_own]), np.cumsum([len(x) for x in b_own]))
-            self.known[p] = found
-            self.cost += 4 * len(p) + (found.cost if found else 100)
-
-    def texts(self, texts: list[str | None]) -> list[list[Piece]]:
-        """The pieces of each text in order; none for one without tokens."""
+        """Aligns pieces, given without their leading space; -1 is the number of those not given back whole.
+
+        Pieces that end in a character that is no white space are put together again, so one call
+        of each library serves many.
+        """
+        whole = [p for p in pieces if p and not p[-1].isspace() and "\u2581" not in p]
+        alone = sorted(set(pieces).difference(whole)) if len(whole) < len(pieces) else []
+        parts, n = [self.pieces], len(self.pieces)
+        for at in range(0, len(whole), TOGETHER):
+            some = whole[at : at + TOGETHER]
+            found = self._together(some)
+            if found is None:
+                alone += some
+            else:
+                self.known.update(zip(some, range(n, n + len(some)), strict=True))
+                parts.append(found)
+                n += len(some)
+        for piece in alone:
+            found = self._alone(piece)
+            self.known[piece] = -1 if found is None else n
+            if found is not None:
+                parts.append(found)
+                n += 1
+        texts = [t for part in parts for t in part.texts]
+        self.pieces = Pieces(np.concatenate([x.totals for x in parts]), np.concatenate([x.pairs for x in parts]), texts)
+        self.met = np.concatenate([self.met, np.zeros(n - len(self.met), np.int64)])
+
+    def _forget(self) -> None:
+        """Keeps the pieces met again and again, if those are not too many themselves."""
+        keep = np.flatnonzero(self.met > 1)
+        if len(keep) > KEPT_PIECES // 2 or 8 * self.pieces.totals[keep, 3].sum() > KEPT_BYTES // 2:
+            keep = keep[:0]
+        number = np.full(len(self.pieces) + 1, -2)
+        number[keep] = np.arange(len(keep))
+        new = number.tolist()
+        self.known = {p: new[i] for p, i in self.known.items() if i >= 0 and new[i] >= 0}
+        self.scores = self.scores[keep[keep < len(self.scores)]]
+        self.pieces, self.met = self.pieces.take(keep), self.met[keep] // 2
+
+    def texts(self, texts: list[str | None]) -> list[np.ndarray]:
+        """The numbers of the pieces of each text, in order; none for a text without tokens."""
+        if len(self.known) > KEPT_PIECES or self.pieces.pairs.nbytes > KEPT_BYTES:
+            self._forget()
         cut = [_CUT.split(t) if t else [] for t in texts]
-        if self.cost > KEPT_BYTES:
-            self.known, self.cost = {}, 0
-        missing = {p for own in cut for p in own} - self.known.keys()
+        missing = set().union(*cut).difference(self.known)
         if missing:
             self.learn(sorted(missing))
-        out = []
+        find, out = self.known.__getitem__, []
         for own in cut:
-            found = [self.known[p] for p in own]
-            out.append([] if None in found else found)
+            found = np.fromiter(map(find, own), np.int64, len(own))
+            if len(found) and found.min() < 0:
+                found = found[:0]
+            out.append(found)
+        every = np.concatenate([np.zeros(0, np.int64), *out])
+        self.met += np.bincount(every, minlength=len(self.met))
         return out
 
+    def pairs_of(self, found: np.ndarray) -> np.ndarray:
+        """All links of a text, in any order."""
+        return self.pieces.pairs[self.pieces.links_of(found)]
+
+    def totals(self, found: np.ndarray) -> tuple:
+        """Sums over a text's pieces, and the digest of all groups."""
+        if not len(found):
+            return 0, 0, 0, 0, ""
+        digest = hashlib.sha256(";".join(map(self.pieces.texts.__getitem__, found.tolist())).encode()).hexdigest()
+        return *self.pieces.totals[found].sum(axis=0).tolist(), digest
+
 
 @lru_cache(1)
-def aligner(a_path: str, b_path: str) -> Aligner:
-    """One per worker process."""
-    return Aligner(a_path, b_path)
+def aligner(a_path: str, b_path: str, with_text: bool = True) -> Aligner:
+    """One per worker process; the first pass does without the text of groups."""
+    return Aligner(a_path, b_path, with_text)
 
 
 def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -239,13 +361,13 @@ def _partials(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        machine, task = aligner(a_path, b_path), TaskContext.get().partitionId()
+        machine, task = aligner(a_path, b_path, False), TaskContext.get().partitionId()
         parts, held = [], 0
         for batch in _batches(batches):
             of_docs = []
-            for pieces in machine.texts(batch.column("text").to_pylist()):
-                if pieces:
-                    of_docs.append(np.unique(np.concatenate([p.pairs for p in set(pieces)])))
+            for found in machine.texts(batch.column("text").to_pylist()):
+                if len(found):
+                    of_docs.append(np.unique(machine.pairs_of(np.unique(found))))
             if of_docs:
                 parts.append(np.unique(np.concatenate(of_docs), return_counts=True))
                 held += len(parts[-1][0])
@@ -380,46 +502,49 @@ class Counts:
         self.keys = np.concatenate([none, *(_longs(held[k]["keys"]) for k in sorted(held))])
         self.counts = np.concatenate([none, *(_longs(held[k]["counts"]) for k in sorted(held))]).astype(np.int64)
         ids = (self.keys >> np.uint64(32)).astype(np.int64)
-        self.best = np.zeros(int(ids.max()) + 1 if len(ids) else 0, np.int64)
+        self.best = np.zeros(int(ids.max()) + 1 if len(ids) else 1, np.int64)
         np.maximum.at(self.best, ids, self.counts)
 
     def of(self, pairs: np.ndarray) -> np.ndarray:
+        """The counts of pairs, 0 for one that is not in the table."""
+        if not len(self.keys):
+            return np.zeros(len(pairs), np.int64)
         at = self.hash.find(pairs, bucket_of(pairs))
-        if (at < 0).any() or (self.keys[at] != pairs).any():
-            raise LookupError("a pair of the second pass is not in the first: the documents changed in between")
-        return self.counts[at]
-
-    def score(self, pieces: set[Piece]) -> None:
-        """Gives each piece (links whose count is the highest of their A id, sum of counts)."""
-        own = [p for p in pieces if p.scored_for != self.run]
-        if not own:
-            return
-        pairs = np.concatenate([p.pairs for p in own])
-        times = np.concatenate([p.times for p in own])
-        counts = self.of(pairs)
-        best = counts == self.best[(pairs >> np.uint64(32)).astype(np.int64)]
-        starts = np.cumsum([0, *(len(p.pairs) for p in own[:-1])])
-        n_best, sums = np.add.reduceat(times * best, starts), np.add.reduceat(times * counts, starts)
-        for p, n, total in zip(own, n_best.tolist(), sums.tolist(), strict=True):
-            p.scores, p.scored_for = (n, total), self.run
+        return np.where((at >= 0) & (self.keys[at] == pairs), self.counts[at], 0)
+
+    def score(self, machine: Aligner) -> np.ndarray:
+        """For each piece of ``machine`` (links whose count is the highest of their A id, sum of counts).
+
+        A worker may still hold pieces of other tables, whose pairs are unknown here: these score -1.
+        """
+        if machine.scored_for != self.run:
+            machine.scored_for, machine.scores = self.run, machine.scores[:0]
+        known, every = len(machine.scores), machine.pieces
+        if known < len(every):
+            new = np.arange(known, len(every))
+            pairs = every.pairs[every.links_of(new)]
+            counts = self.of(pairs)
+            ids = np.minimum((pairs >> np.uint64(32)).astype(np.int64), len(self.best) - 1)
+            best = counts == self.best[ids]
+            n = every.totals[known:, 3]
+            # A piece has one link at least.
+            starts = np.cumsum(n) - n
+            both = np.stack([np.add.reduceat(x.astype(np.int64), starts) for x in (best, counts)], axis=1)
+            both[np.minimum.reduceat(counts, starts) == 0] = -1
+            machine.scores = np.concatenate([machine.scores, both])
+        return machine.scores
 
 
 TOTALS = ("n_a", "n_b", "n_groups", "n_links")
 
 
-def _totals(pieces: list[Piece]) -> tuple:
-    """Sums over the pieces, and the digest of all groups."""
-    if not pieces:
-        return 0, 0, 0, 0, ""
-    digest = hashlib.sha256(";".join([p.text for p in pieces]).encode()).hexdigest()
-    return *map(sum, zip(*(p.row for p in pieces), strict=True)), digest
-
-
 def groups(docs: DataFrame, a_path: str, b_path: str, columns: Sequence[str] = ("doc_id",)) -> DataFrame:
     """``columns`` of ``docs`` with ``groups``, the aligned ids of the text as `a1,a2|b1;a3|b2,b3`."""
 
     def work(texts: list[str | None]) -> list[tuple]:
-        return [(";".join([p.text for p in own]),) for own in aligner(a_path, b_path).texts(texts)]
+        machine = aligner(a_path, b_path)
+        found = machine.texts(texts)
+        return [(";".join([machine.pieces.texts[i] for i in own.tolist()]),) for own in found]
 
     return PerText(docs, columns, "text", {"groups": "string"}, work).with_columns()
 
@@ -438,13 +563,14 @@ def align(docs: DataFrame, a_path: str, b_path: str, limit: int = BROADCAST_PAIR
     sent = docs.sparkSession.sparkContext.broadcast(Counts(table.collect(), uuid.uuid4().hex))
 
     def work(texts: list[str | None]) -> list[tuple]:
-        found = aligner(a_path, b_path).texts(texts)
-        sent.value.score({p for own in found for p in own})
-        rows = []
+        machine = aligner(a_path, b_path)
+        found = machine.texts(texts)
+        scores, rows = sent.value.score(machine), []
         for own in found:
-            *totals, digest = _totals(own)
-            scores = map(sum, zip(*(p.scores for p in own), strict=True)) if own else (0, 0)
-            rows.append((*totals, *scores, digest))
+            *totals, digest = machine.totals(own)
+            if len(own) and scores[own].min() < 0:
+                raise LookupError("a pair of the second pass is not in the first: the documents changed in between")
+            rows.append((*totals, *scores[own].sum(axis=0).tolist(), digest))
         return rows
 
     results = {c: "long" for c in names[:-1]} | {names[-1]: "string"}
@@ -455,10 +581,10 @@ def _aligned_by_join(docs: DataFrame, a_path: str, b_path: str, counts: DataFram
     """As ``align``, a row for each distinct pair of a text meeting its count by a join."""
 
     def work(texts: list[str | None]) -> list[tuple]:
-        rows = []
-        for own in aligner(a_path, b_path).texts(texts):
-            pairs, times = _summed([(p.pairs, p.times) for p in own]) if own else (np.zeros(0, np.uint64),) * 2
-            rows.append((*_totals(own), pairs.astype(np.int64).tolist(), times.tolist()))
+        machine, rows = aligner(a_path, b_path), []
+        for own in machine.texts(texts):
+            pairs, times = np.unique(machine.pairs_of(own), return_counts=True)
+            rows.append((*machine.totals(own), pairs.astype(np.int64).tolist(), times.tolist()))
         return rows
 
     results = {c: "long" for c in TOTALS} | {"groups_sha256": "string", "pairs": "array<long>", "times": "array<long>"}

@@ -308,6 +308,13 @@ def test_alignment_query_and_empty_table(spark, small, documents, none):
     assert all(texts[r[0]] == r[-1] for r in brute_alignment(docs)[0])
 
 
+def test_alignment_of_one_table_after_another(spark):
+    """Workers keep pieces between tables; counts are each table's own."""
+    for docs in ([(1, "the quick fox"), (2, "zebra xylophone")], [(3, "the fox"), (4, "the the fox")]):
+        table = spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)
+        same_rows(alignment.align(table, A, B).collect(), brute_alignment(docs)[0])
+
+
 @pytest.mark.parametrize("n", [0, 1, 2, 63, 5000])
 def test_perfect_hash_is_minimal(n):
     keys = np.unique(np.random.default_rng(n).integers(0, 2**63, n, dtype=np.uint64))
