@@ -13,7 +13,7 @@
    either side, and subtrees already connected to it.
 4. Links connect classes; components of the links are the result.
 
-Clusters over ``CLUSTER`` sets are cut into bands of sizes, and bands that are still over it into
+Clusters over ``CLUSTER`` sets or ``CLUSTER_GRAMS`` n-grams are cut into bands of sizes, and bands that are still over it into
 slices, every two of which meet in a task of their own: no cluster is capped or held whole. A hot n-gram is combined batch by batch before the
 shuffle, so it is a few rows per task.
 
@@ -33,6 +33,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -45,8 +46,10 @@ WORD_SLOTS = 1 << 21
 SLOTS = 1 << 23
 CHUNK = 1 << 16
 FOLD = 256
+# What a group of sets may hold: sets, and n-grams in them.
 CLUSTER = 3000
-KEPT_WORDS = 200_000
+CLUSTER_GRAMS = 1 << 20
+KEPT_WORDS = 50_000
 MARKS = 1 << 24
 _MIX = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB], np.uint64)
 
@@ -136,7 +139,7 @@ class Order:
         grams, at = grams[once], at[once]
         rare = self.rarity[slot(h, WORD_SLOTS)]
         take = min(join.words, len(h))
-        score = sum(rare[k : len(h) - take + 1 + k] for k in range(take))[at] 
+        score = sum(rare[k : len(h) - take + 1 + k] for k in range(take))[at]
         score = score + (self.heavy[slot(grams)].astype(np.int32) << 16)
         # grams are in hash order, and a stable sort keeps it among equals.
         return grams, grams[np.argsort(score, kind="stable")[: join.prefix(len(grams))]]
@@ -163,9 +166,7 @@ def _first(docs: DataFrame, join: Join) -> DataFrame:
                 np.add.at(counts[WORD_SLOTS:], slot(grams), np.uint32(1))
                 digest = hashlib.blake2b(grams.tobytes(), digest_size=16).digest() if len(grams) else None
                 rows.append((doc_id, len(grams), digest, _sid(grams), None, None, None))
-            out = pd.DataFrame(rows, columns=names)
-            out["doc_id"] = out["doc_id"].astype("Int64")
-            yield out
+            yield pd.DataFrame(rows, columns=names)
         task = TaskContext.get().partitionId()
         for at in range(0, len(counts), CHUNK):
             part = counts[at : at + CHUNK]
@@ -173,8 +174,10 @@ def _first(docs: DataFrame, join: Join) -> DataFrame:
                 packed = zlib.compress(part.tobytes(), 1)
                 yield pd.DataFrame([(None, None, None, None, at // CHUNK, task, packed)], columns=names)
 
-    schema = "doc_id long, n_shingles long, digest binary, sid long, chunk int, task int, counts binary"
-    return docs.select("doc_id", "text").mapInPandas(run, schema)
+    # Ids travel as text: beside a NULL, pandas would make long ids floats.
+    schema = "doc_id string, n_shingles long, digest binary, sid long, chunk int, task int, counts binary"
+    found = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text").mapInPandas(run, schema)
+    return found.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 def _sketch(parts: DataFrame) -> np.ndarray:
@@ -264,7 +267,7 @@ class _Node:
 
     def __init__(self, label: np.ndarray, low: int, high: int, one: int):
         self.label, self.children, self.sets = label, {}, []
-        self.low, self.high = low, high  # sizes of the sets below
+        self.low, self.high = low, high  # of the sets below: least size, most n-grams
         self.one, self.mixed = one, False  # a set below; whether others may not be connected to it
 
 
@@ -274,7 +277,7 @@ class Trie:
     def __init__(self, join: Join, sizes: list[int], n_ranks: int):
         self.join, self.sizes = join, sizes
         self.parent = list(range(len(sizes)))
-        self.root = _Node(np.zeros(0, np.int64), 1 << 60, 0, -1)
+        self.root = _Node(np.zeros(0, np.int32), 1 << 60, 0, -1)
         self.inside = np.zeros(n_ranks, bool)
 
     def find(self, x: int) -> int:
@@ -290,7 +293,7 @@ class Trie:
     def insert(self, x: int, ranks: np.ndarray) -> None:
         node, rest, size = self.root, ranks, self.sizes[x]
         while True:
-            node.low, node.high = min(node.low, size), max(node.high, size)
+            node.low, node.high = min(node.low, size), max(node.high, len(ranks))
             if node.one < 0:
                 node.one = x
             elif not node.mixed and self.find(node.one) != self.find(x):
@@ -300,7 +303,7 @@ class Trie:
                 return
             child = node.children.get(int(rest[0]))
             if child is None:
-                child = node.children[int(rest[0])] = _Node(rest, size, size, x)
+                child = node.children[int(rest[0])] = _Node(rest, size, len(ranks), x)
                 child.sets.append(x)
                 return
             n = min(len(child.label), len(rest))
@@ -325,7 +328,7 @@ class Trie:
                 continue
             overlap += int(self.inside[node.label].sum())
             depth += len(node.label)
-            left = size - int(np.searchsorted(ranks, node.label[-1], side="right"))
+            left = len(ranks) - int(np.searchsorted(ranks, node.label[-1], side="right"))
             if overlap + min(left, node.high - depth) < self.join.overlap(size, node.low):
                 continue
             for y in node.sets:
@@ -341,62 +344,104 @@ def linked(sets: list[np.ndarray], join: Join) -> list[int]:
         return []
     sizes = np.array([len(s) for s in sets])
     _, tokens, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    owner = np.repeat(np.arange(len(sets)), sizes)
-    # Places in each set by rising count; a prefix n-gram of one set only ties nothing.
+    tokens = tokens.astype(np.int32)
+    owner = np.repeat(np.arange(len(sets), dtype=np.int32), sizes)
+    tokens, owner, counts = _shared(tokens, owner, counts, sizes, join)
+    # Places in each set by rising count, after the n-grams of that set only, which tie nothing.
     order = np.lexsort((tokens, counts[tokens], owner))
-    place = np.arange(len(tokens)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    own = np.bincount(owner, minlength=len(sets))
+    place = np.arange(len(tokens)) - np.repeat(np.cumsum(own) - own, own) + (sizes - own)[owner]
     prefix = np.array([join.prefix(n) for n in sizes])
-    keep = order[(place < prefix[owner]) & (counts[tokens[order]] > 1)]
+    keep = order[place < prefix[owner]]
     at, new = _runs(tokens[keep], sizes[owner[keep]], join)
     inside = np.flatnonzero(~new)
     ties = np.stack([owner[keep[at[inside - 1]]], owner[keep[at[inside]]]], axis=1)
     cluster = forest(len(sets), np.unique(ties, axis=0))
     # Common n-grams first: neighbours in the trie then share long paths.
-    rank = np.empty(len(counts), np.int64)
-    rank[np.argsort(-counts, kind="stable")] = np.arange(len(counts))
-    ends = np.cumsum(sizes)
+    rank = np.empty(len(counts), np.int32)
+    rank[np.argsort(-counts, kind="stable")] = np.arange(len(counts), dtype=np.int32)
+    ends = np.cumsum(own)
     out = np.arange(len(sets))
     for members in _groups(cluster):
         if len(members) > 1:
-            own = [rank[tokens[ends[x] - sizes[x] : ends[x]]] for x in members]
-            for k, first in enumerate(_join_by_trie(own, join)):
+            ranks = [rank[tokens[ends[x] - own[x] : ends[x]]] for x in members]
+            for k, first in enumerate(_join_by_trie(ranks, sizes[members].tolist(), join)):
                 out[members[k]] = members[first]
     return out.tolist()
 
 
+def _shared(tokens: np.ndarray, owner: np.ndarray, counts: np.ndarray, sizes: np.ndarray, join: Join):
+    """Without n-grams that only one set has and sets that have too few others to link with any.
+
+    Each removal may leave other n-grams alone, so it goes on until nothing changes. What is left
+    of a set bounds its overlaps; its size stays what it was.
+    """
+    # The least overlap a set needs: with the smallest set whose size fits.
+    smallest = np.unique(sizes)
+    first = smallest[np.searchsorted(100 * smallest, join.percent * sizes)]
+    need = -(-join.percent * (sizes + first) // (100 + join.percent))
+    while True:
+        keep = (counts > 1)[tokens]
+        keep &= (np.bincount(owner[keep], minlength=len(sizes)) >= need)[owner]
+        if keep.all():
+            return tokens, owner, counts
+        tokens, owner = tokens[keep], owner[keep]
+        counts = np.bincount(tokens, minlength=len(counts))
+
+
 def _groups(labels: np.ndarray) -> list[np.ndarray]:
     order = np.argsort(labels, kind="stable")
     cuts = np.flatnonzero(labels[order][1:] != labels[order][:-1]) + 1
     return np.split(order, cuts)
 
 
-def _join_by_trie(sets: list[np.ndarray], join: Join) -> list[int]:
-    """As ``linked``, for sets of ranks: every set meets those before it, smaller ones first."""
+def _join_by_trie(sets: list[np.ndarray], sizes: list[int], join: Join) -> list[int]:
+    """As ``linked``, for sets of ranks: every set meets those before it, smaller ones first.
+
+    ``sizes`` counts the n-grams left out of ``sets`` too.
+    """
     used = np.unique(np.concatenate(sets))
-    sizes = [len(s) for s in sets]
     trie = Trie(join, sizes, len(used))
     for x in sorted(range(len(sets)), key=lambda i: sizes[i]):
-        own = np.sort(np.searchsorted(used, sets[x]))
+        own = np.sort(np.searchsorted(used, sets[x]).astype(np.int32))
         trie.probe(x, own)
         trie.insert(x, own)
     return [trie.find(x) for x in range(len(sets))]
 
 
 def _walk(join: Join):
-    """Work on whole (cluster, band, left, right) groups: one edge per set linked to a smaller id."""
+    """Work on sorted rows (cluster, band, left, right, rep, sid, _text): one edge per set linked to a smaller id.
 
-    def work(frame: pd.DataFrame) -> Iterator[pd.DataFrame]:
-        edges = []
-        for _, own in frame.groupby(["cluster", "band", "left", "right"], sort=False):
-            own = own.drop_duplicates(["rep", "sid", "_text"]).sort_values("rep", kind="stable")
-            sets = [shingles(t, join.words) for t in own["_text"]]
-            # Of rows that share the id, those with the class's text.
-            fit = [_sid(g) == sid for g, sid in zip(sets, own["sid"], strict=True)]
-            ids, sets = own["rep"].to_numpy()[fit], [g for g, ok in zip(sets, fit, strict=True) if ok]
-            edges += [(ids[root], ids[x]) for x, root in enumerate(linked(sets, join)) if root != x]
-        yield pd.DataFrame(edges, columns=["a", "b"], dtype="int64")
+    A text becomes a set as it comes, so a group costs its sets, which ``_sliced`` bounds, and no text.
+    """
 
-    return work
+    def edges(sets: dict[tuple[int, int], np.ndarray]) -> pa.RecordBatch:
+        own = sorted(sets)
+        ids = [rep for rep, _ in own]
+        found = [(ids[root], ids[x]) for x, root in enumerate(linked([sets[k] for k in own], join)) if root != x]
+        a, b = zip(*found, strict=True) if found else ((), ())
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, sets = None, {}
+        for batch in batches:
+            keys = [batch.column(i) for i in range(4)]
+            for row in range(batch.num_rows):
+                key = tuple(k[row].as_py() for k in keys)
+                if key != now:
+                    if len(sets) > 1:
+                        yield edges(sets)
+                    now, sets = key, {}
+                one = batch.column(4)[row].as_py(), batch.column(5)[row].as_py()
+                if one not in sets:
+                    grams = shingles(batch.column(6)[row].as_py(), join.words)
+                    # Of rows that share the id, those with the class's text.
+                    if _sid(grams) == one[1]:
+                        sets[one] = grams
+        if len(sets) > 1:
+            yield edges(sets)
+
+    return run
 
 
 def _likely(docs: DataFrame, asked: DataFrame) -> DataFrame:
@@ -422,17 +467,19 @@ def _likely(docs: DataFrame, asked: DataFrame) -> DataFrame:
 def _sliced(asked: DataFrame, join: Join) -> DataFrame:
     """Adds to sets (rep, size, cluster) their band, slice number and number of slices.
 
-    A cluster over ``CLUSTER`` sets is cut by size first: a band holds two neighbouring classes
+    A cluster over ``CLUSTER`` sets or ``CLUSTER_GRAMS`` n-grams is cut by size first: a band holds two neighbouring classes
     of sizes, and sets that may link are in one class or in two neighbouring ones, so every set
     is in two bands and every link within one. A band that is still too large is cut into slices.
     """
-    small = asked.groupBy("cluster").agg((F.count(F.lit(1)) <= CLUSTER).alias("_small"))
+    # Groups as large as the tighter of both bounds allows, at least one.
+    parts = F.greatest(F.ceil(F.count(F.lit(1)) / CLUSTER), F.ceil(F.sum("size") / CLUSTER_GRAMS)).cast("int")
+    small = asked.groupBy("cluster").agg((parts <= 1).alias("_small"))
     # Classes a little wider than the sizes that fit, so that rounding cannot part them.
     step = F.log(F.col("size")) / math.log(100 / (join.percent - 1))
     own = F.floor(step).cast("int")
     bands = F.when(F.col("_small"), F.array(F.lit(0))).otherwise(F.array(own - 1, own))
     banded = asked.join(small, "cluster").withColumn("band", F.explode(bands)).drop("_small")
-    slices = banded.groupBy("cluster", "band").agg(F.ceil(F.count(F.lit(1)) / CLUSTER).cast("int").alias("slices"))
+    slices = banded.groupBy("cluster", "band").agg(parts.alias("slices"))
     slot = F.pmod(F.xxhash64("rep"), F.col("slices")).cast("int")
     return banded.join(slices, ["cluster", "band"]).withColumn("_slot", slot)
 
@@ -465,8 +512,9 @@ def similar_groups(docs: DataFrame, join: Join = Join()) -> DataFrame:
         .withColumns({"left": F.least("_slot", "_with"), "right": F.greatest("_slot", "_with")})
         .select("cluster", "band", "left", "right", "rep", "sid", "_text")
     )
-    edges = in_groups(members, ["cluster", "band", "left", "right"], _walk(join), "a long, b long")
-    nodes = components(edges)
+    of_group = ["cluster", "band", "left", "right"]
+    sorted_in = members.repartition(*of_group).sortWithinPartitions(*of_group)
+    nodes = components(sorted_in.mapInArrow(_walk(join), "a long, b long"))
     reached = (
         classes.join(nodes, F.col("rep") == F.col("node"), "left")
         .select(F.col("digest").alias("_d"), F.coalesce("component", "rep").alias("component_id"))
