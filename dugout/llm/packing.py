@@ -32,6 +32,7 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -133,11 +134,13 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int, with_ids: bool = Fal
                     row = (doc_id, k, k * capacity, len(part) // 4, zlib.crc32(part))
                     rows.append((*row, np.frombuffer(part, "<u4").tolist()) if with_ids else row)
             names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"][: 5 + with_ids]
-            out = pd.DataFrame(rows, columns=names)
-            out["doc_id"] = out["doc_id"].astype("Int64")
-            yield out
+            yield pd.DataFrame(rows, columns=names)
 
-    return docs.select("doc_id", "text").mapInPandas(cut, PIECES + ", ids array<long>" * with_ids)
+    # Ids travel as text: beside a NULL, pandas would make long ids floats.
+    found = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text").mapInPandas(
+        cut, PIECES.replace("doc_id long", "doc_id string") + ", ids array<long>" * with_ids
+    )
+    return found.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 @dataclass
@@ -304,22 +307,23 @@ def place(cut: DataFrame, capacity: int, groups: int = GROUPS) -> DataFrame:
     order = [F.col("doc_id"), F.col("piece"), F.col("ids_crc32")]
     ranked = numbered(cut, ["length"], block, order, "_number")
 
-    def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        t = table.value
+    columns = cut.columns
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        t = {c: table.value[c].to_numpy() for c in table.value.columns}
         # Numbers of a length are apart from those of others, so one sorted list serves all.
         wide = max(histogram.values(), default=0) + 1
-        keys = (t["length"] * wide + t["first"]).to_numpy()
+        keys = t["length"] * wide + t["first"]
         for batch in batches:
-            row = np.searchsorted(keys, batch["length"] * wide + batch["_number"], side="right") - 1
-            at = t.iloc[row].reset_index(drop=True)
-            batch = batch.reset_index(drop=True)
-            gone = batch["_number"] - at["first"]
-            batch["sequence_id"] = at["sequence"] + gone // at["each"]
-            batch["offset"] = at["offset"] + gone % at["each"] * at["length"]
-            yield batch.drop(columns="_number")
+            length, number = (batch.column(c).to_numpy() for c in ("length", "_number"))
+            at = np.searchsorted(keys, length * wide + number, side="right") - 1
+            gone, each = number - t["first"][at], t["each"][at]
+            found = (t["sequence"][at] + gone // each, t["offset"][at] + gone % each * t["length"][at])
+            arrays = [*(batch.column(c) for c in columns), *(pa.array(x, pa.int64()) for x in found)]
+            yield pa.RecordBatch.from_arrays(arrays, names=[*columns, "sequence_id", "offset"])
 
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in cut.schema)
-    return ranked.mapInPandas(find, f"{kept}, sequence_id long, offset long")
+    return ranked.mapInArrow(find, f"{kept}, sequence_id long, offset long")
 
 
 def pack(docs: DataFrame, vocabulary: str, capacity: int = 2048, with_ids: bool = False) -> DataFrame:
