@@ -22,6 +22,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -62,16 +63,14 @@ def _usable(values) -> np.ndarray | None:
     return x if x.size and np.isfinite(x).all() and x.any() else None
 
 
-def _digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    # Ids pass through as Arrow: beside a NULL, pandas would make long ids floats.
     for batch in batches:
-        found = [_usable(v) for v in batch["embedding"]]
-        yield pd.DataFrame(
-            {
-                "vec_id": batch["vec_id"].astype("Int64"),
-                "digest": [None if x is None else hashlib.blake2b((x + 0.0).tobytes(), digest_size=16).digest() for x in found],
-                "vector": [None if x is None else (x + 0.0).tobytes() for x in found],
-            }
-        )
+        found = [_usable(v) for v in batch.column("embedding").to_pylist()]
+        data = [None if x is None else (x + 0.0).tobytes() for x in found]
+        digests = [None if d is None else hashlib.blake2b(d, digest_size=16).digest() for d in data]
+        arrays = [batch.column("vec_id"), pa.array(digests, pa.binary()), pa.array(data, pa.binary())]
+        yield pa.RecordBatch.from_arrays(arrays, names=["vec_id", "digest", "vector"])
 
 
 def _pairs(size: int, start: int) -> np.ndarray:
@@ -148,7 +147,10 @@ def near_duplicates(vectors: DataFrame, limit: float = 0.95, recall: float = 0.9
     Runs jobs at once; tables written between steps are in the shared folder.
     """
     rows = written(
-        vectors.select("vec_id", "embedding").mapInPandas(_digests, "vec_id long, digest binary, vector binary"), "vectors"
+        vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding").mapInArrow(
+            _digests, "vec_id long, digest binary, vector binary"
+        ),
+        "vectors",
     )
     reps = written(
         rows.filter("digest is not null and vec_id is not null")
