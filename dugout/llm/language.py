@@ -40,6 +40,7 @@ class Settings:
     fit_rows: int = 2048
     clusters: int = 4
     rounds: int = 12
+    least_share: float = 0.2
     slack: float = 0.12
     seed: int = 5
 
@@ -50,16 +51,16 @@ def in_training(doc_id: Column) -> Column:
 
 
 @lru_cache(1)
-def _letters() -> np.ndarray:
-    """For each code point of the first plane itself if a letter or mark, else a space."""
+def _letters() -> tuple[np.ndarray, np.ndarray]:
+    """For each code point itself if a letter or mark, else a space; and whether it is a letter.
+
+    Letters beyond the first plane are one symbol, 65536.
+    """
     import unicodedata
 
-    table = np.full(65537, 32, np.uint32)
-    for code in range(65536):
-        if unicodedata.category(chr(code))[0] in "LM":
-            table[code] = code
-    table[65536] = 65536
-    return table
+    kinds = np.array([unicodedata.category(chr(code))[0] for code in range(0x110000)])
+    codes = np.minimum(np.arange(0x110000, dtype=np.uint32), np.uint32(65536))
+    return np.where((kinds == "L") | (kinds == "M"), codes, np.uint32(32)), kinds == "L"
 
 
 def ngram_counts(text: str) -> np.ndarray | None:
@@ -69,9 +70,10 @@ def ngram_counts(text: str) -> np.ndarray | None:
     seen = False
     for at in range(0, len(text), PIECE):
         codes = np.frombuffer(text[at : at + PIECE].lower().encode("utf-32-le", "surrogatepass"), np.uint32)
-        kept = np.concatenate([tail, _letters()[np.minimum(codes, 65536)]])
+        symbols, letters = _letters()
+        kept = np.concatenate([tail, symbols[codes]])
         blank = kept == 32
-        seen = seen or not blank.all()
+        seen = seen or bool(letters[codes].any())
         # Runs of spaces are one space.
         keep = ~(blank & np.concatenate([[False], blank[:-1]]))
         keep[0] = True
@@ -110,19 +112,20 @@ class Model:
         return _unit(np.log1p(counts) * self.idf)
 
     def predict(self, texts: list[str | None]) -> list[tuple[str, float, bool]]:
-        found = [ngram_counts(t) if isinstance(t, str) else None for t in texts]
-        asked = [i for i, c in enumerate(found) if c is not None]
-        out = [(UNKNOWN, 0.0, True)] * len(texts)
-        if not asked or not self.langs:
-            return out
-        cosines = self.vectors(np.stack([found[i] for i in asked])) @ self.centroids.T
-        best = cosines.argmax(axis=1)
-        for row, i in enumerate(asked):
-            k, score = best[row], float(np.clip(cosines[row, best[row]], 0.0, 1.0))
-            # Short texts fill few of the dimensions, so they lie farther from any centroid.
-            few = min(1.0, float(found[i].sum()) / 600)
-            out[i] = (self.langs[self.of[k]], score, bool(score < self.reach[k] * few))
-        return out
+        return [self._nearest(t) for t in texts]
+
+    def _nearest(self, text: str | None) -> tuple[str, float, bool]:
+        """One text by itself: its result does not depend on the texts beside it."""
+        found = ngram_counts(text) if isinstance(text, str) else None
+        if found is None or not self.langs:
+            return UNKNOWN, 0.0, True
+        cosines = np.round(self.centroids @ self.vectors(found), 9)
+        # Among equals the first, and centroids stand in the order of their languages.
+        k = int(cosines.argmax())
+        score = float(np.clip(cosines[k], 0.0, 1.0))
+        # Short texts fill few of the dimensions, so they lie farther from any centroid.
+        few = min(1.0, float(found.sum()) / 600)
+        return self.langs[self.of[k]], score, bool(score < self.reach[k] * few)
 
 
 def sample(docs: DataFrame, settings: Settings) -> DataFrame:
@@ -144,15 +147,26 @@ def _features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         )
 
 
-def _cluster(x: np.ndarray, k: int, rounds: int, rng: np.random.Generator) -> np.ndarray:
-    """Spherical k-means; starts far apart, keeps only clusters that have members."""
+def _cluster(x: np.ndarray, k: int, rounds: int, least: float, rng: np.random.Generator) -> np.ndarray:
+    """Spherical k-means over starts drawn by distance. A cluster with less than ``least`` of an even
+    share starts again inside the largest one; if it stays small, its members go to the others."""
+    k = min(k, len(x))
+    few = least * len(x) / k
     start = [int(rng.integers(len(x)))]
-    while len(start) < min(k, len(x)):
-        start.append(int((x @ x[start].T).max(axis=1).argmin()))
+    while len(start) < k:
+        far = np.maximum(1 - (x @ x[start].T).max(axis=1), 0) + 1e-9
+        start.append(int(rng.choice(len(x), p=far / far.sum())))
     centers = x[start]
-    for _ in range(rounds):
+    for step in range(rounds):
         own = (x @ centers.T).argmax(axis=1)
-        centers = _unit(np.stack([x[own == c].mean(axis=0) for c in np.unique(own)]))
+        sizes = np.bincount(own, minlength=len(centers))
+        means = []
+        for c, size in enumerate(sizes):
+            if size >= few:
+                means.append(x[own == c].mean(axis=0))
+            elif step < rounds // 2:
+                means.append(x[rng.choice(np.flatnonzero(own == sizes.argmax()))])
+        centers = _unit(np.stack(means))
     return centers
 
 
@@ -178,7 +192,7 @@ def fit(docs: DataFrame, settings: Settings = Settings()) -> Model:
         own = x[[r["lang"] == lang for r in rows]]
         if not len(own):
             continue
-        centers = _cluster(own, settings.clusters, settings.rounds, rng)
+        centers = _cluster(own, settings.clusters, settings.rounds, settings.least_share, rng)
         near = own @ centers.T
         for c in range(len(centers)):
             mine = near[near.argmax(axis=1) == c, c]
