@@ -12,8 +12,8 @@ go from large to small documents, so neighbours are alike and what is left over
 Randomness is a hash of the seed and the two documents, so reruns agree.
 
 Defined results: a NULL text has size 0; a NULL source is a source, last in order; documents
-of size 0 take nothing; rows equal in id, source and size share one decision, and a repeated row
-counts each time; an empty table gives no rows; other columns are kept by ``apply_mix``.
+of size 0 take nothing; of rows equal in id, source and size as many get one copy more than the others
+as the fraction asks for, to less than one row; an empty table gives no rows; other columns are kept by ``apply_mix``.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dugout.llm.common import word_count, written
+from dugout.llm.common import numbered, word_count, written
 
 FAN = 64
 LEVELS = 6
@@ -109,7 +109,8 @@ def _round_blocks(items: DataFrame, level: int, seed: int) -> DataFrame:
 def decide(
     docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.5, cap: float = 2.0, seed: int = 17
 ) -> DataFrame:
-    """One row per (doc_id, source, size) of ``docs``: n_rows, source_size, target and ``copies``.
+    """One row per (doc_id, source, size) of ``docs``: n_rows, source_size, target, ``copies`` of every one of
+    the rows, and ``n_more``, how many of them get one more.
 
     Runs one job at once: the sizes are written to the shared folder, so texts are read once.
     """
@@ -128,11 +129,12 @@ def decide(
         units.join(goals, F.col("source").eqNullSafe(F.col("_goal_source")))
         .drop("_goal_source")
         .withColumn("_base", F.floor(times + DUST).cast("long"))
-        .withColumn("_p", F.when(F.col("size") == 0, 0.0).otherwise(F.greatest(times - F.col("_base"), F.lit(0.0))))
-        .withColumn("unit", F.struct(*UNIT, "n_rows", "source_size", "target", "_base"))
-        .select(
-            "source", "n_units", "unit", (F.col("size") * F.col("n_rows")).cast("double").alias("mass"), F.col("_p").alias("p")
-        )
+        .withColumn("_rest", F.when(F.col("size") == 0, 0.0).otherwise(F.greatest(times - F.col("_base"), F.lit(0.0))))
+        # Of equal rows, as many get one more copy for certain as the fraction allows; what is left is one row's.
+        .withColumn("_more", F.floor(F.col("_rest") * F.col("n_rows") + DUST).cast("long"))
+        .withColumn("_p", F.greatest(F.col("_rest") * F.col("n_rows") - F.col("_more"), F.lit(0.0)))
+        .withColumn("unit", F.struct(*UNIT, "n_rows", "source_size", "target", "_base", "_more"))
+        .select("source", "n_units", "unit", F.col("size").cast("double").alias("mass"), F.col("_p").alias("p"))
     )
     certain = asked.filter(F.col("p") < DUST).select("unit", F.lit(0.0).alias("p"))
     items, parts = asked.filter(F.col("p") >= DUST), [certain]
@@ -149,31 +151,50 @@ def decide(
         settled = settled.unionByName(part)
     return settled.select(
         *(F.col("unit")[c].alias(c) for c in (*UNIT, "n_rows", "source_size", "target")),
-        (F.col("unit")["_base"] + F.col("p").cast("long")).alias("copies"),
+        F.col("unit")["_base"].alias("copies"),
+        (F.col("unit")["_more"] + F.col("p").cast("long")).alias("n_more"),
     )
 
 
+def _each_row(decided: DataFrame) -> DataFrame:
+    """Decisions (..., n_rows, copies, n_more) as a row for each of the equal rows, with its own copies."""
+    each = decided.withColumn("_row", F.explode(F.sequence(F.lit(1), F.col("n_rows").cast("int"))))
+    more = (F.col("_row") <= F.col("n_more")).cast("long")
+    return each.withColumn("copies", F.col("copies") + more).drop("_row", "n_more")
+
+
 def mix_report(docs: DataFrame, **settings) -> DataFrame:
     """One row per row of ``docs``: doc_id, size, source_size, target, taken, source, copies."""
-    decided = decide(docs, **settings)
-    once = F.explode(F.array_repeat(F.lit(0), F.col("n_rows").cast("int")))
-    return decided.withColumn("_again", once).select(
+    return _each_row(decide(docs, **settings)).select(
         "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "source", "copies"
     )
 
 
 def apply_mix(docs: DataFrame, **settings) -> DataFrame:
     """``docs`` with every row as often as the mix takes it; the columns stay."""
-    decided = decide(docs, **settings).filter("copies > 0")
-    decided = decided.select(*(F.col(c).alias(f"_m_{c}") for c in UNIT), F.col("copies").alias("_copies"))
-    sized = docs.withColumn("_m_own", word_count(F.col("text")))
+    decided = decide(docs, **settings)
+    # All rows of most units are taken equally often.
+    even = F.col("n_more").isin(0) | (F.col("n_more") == F.col("n_rows"))
+    level = decided.withColumn("copies", F.col("copies") + F.when(F.col("n_more") > 0, 1).otherwise(0))
+    taken = _with_units(docs, level.filter(even & (F.col("copies") > 0))).select("_row", "copies")
+    uneven = decided.filter(~even)
+    if not uneven.isEmpty():
+        # Equal rows are told apart by their place in a written table, numbered file by file.
+        some = written(_with_units(docs, uneven), "mix-repeats")
+        at = some.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_at"))
+        ranked = numbered(at, [f"_m_{c}" for c in UNIT], F.col("_file"), [F.col("_at")], "_number")
+        more = (F.col("_number") < F.col("n_more")).cast("long")
+        taken = taken.unionByName(ranked.select("_row", (F.col("copies") + more).alias("copies")))
+    return taken.withColumn("_again", F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int")))).select("_row.*")
+
+
+def _with_units(docs: DataFrame, decided: DataFrame) -> DataFrame:
+    """The rows of ``docs``, as ``_row``, with what was decided for their unit."""
+    units = decided.select(*(F.col(c).alias(f"_m_{c}") for c in UNIT), "copies", "n_more")
+    sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("_own"), F.struct("*").alias("_row"))
     same = (
         F.col("doc_id").eqNullSafe(F.col("_m_doc_id"))
         & F.col("source").eqNullSafe(F.col("_m_source"))
-        & (F.col("_m_own") == F.col("_m_size"))
-    )
-    return (
-        sized.join(decided, same)
-        .withColumn("_again", F.explode(F.array_repeat(F.lit(0), F.col("_copies").cast("int"))))
-        .select(*docs.columns)
+        & (F.col("_own") == F.col("_m_size"))
     )
+    return sized.join(units, same).select("_row", *(f"_m_{c}" for c in UNIT), "copies", "n_more")
