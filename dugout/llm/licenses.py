@@ -21,6 +21,8 @@ first name in order counts.
 from __future__ import annotations
 
 import os
+import re
+from collections.abc import Iterable
 from functools import cache
 
 from pyspark.sql import Column, DataFrame
@@ -198,6 +200,32 @@ def units(text: Column, ends: str, longest: int) -> Column:
     return F.transform(F.filter(parts, lambda u: (u != "") & (F.length(u) <= longest)), lambda u: F.sha2(u, 256))
 
 
+def anchors(notices: Iterable[str]) -> set[str] | None:
+    """A few beginnings of words of which every text with one of the notices holds one in lower case.
+
+    A word with several spellings counts by what they share. None if some notice has no such word.
+    """
+    stems = {side: os.path.commonprefix(pair) for pair in SAME for side in pair if not any(" " in x for x in pair)}
+    parts = {word for pair in SAME if any(" " in x for x in pair) for side in pair for word in side.split()} - stems.keys()
+    choices = []
+    for notice in notices:
+        own = set()
+        for word in re.sub(PUNCTUATION, " ", notice.lower()).split():
+            stem = next((stem for side, stem in stems.items() if word.startswith(side)), word)
+            if len(stem) > 3 and not any(x in word for x in parts):
+                own.add(stem)
+        choices.append(own)
+    found = set()
+    while choices:
+        # The word that most of the notices left have; a long one among equals.
+        best = max({w for own in choices for w in own}, key=lambda w: (sum(w in own for own in choices), len(w), w), default=None)
+        if best is None or not all(choices):
+            return None
+        found.add(best)
+        choices = [own for own in choices if best not in own]
+    return found
+
+
 def known(like: DataFrame, rows: list[tuple[str, str]]) -> DataFrame:
     """(digest, license_id), one row per digest."""
     rows = like.sparkSession.createDataFrame(sorted(rows), "license_id string, _text string")
@@ -221,7 +249,10 @@ def scan(
     longest = 2 * max((len(n) for n in notices.values()), default=0)
     bare = F.regexp_replace(text, f"(?i){COPYRIGHT_LINE}", "\n")
     found = F.array_union(units(text, UNITS, longest), units(bare, SENTENCES, longest))
-    scanned = docs.select(*kept, canonical(F.col("text")).alias("_form"), found.alias("_units"))
+    # Few texts hold a word of a notice; only those are cut and searched.
+    words = anchors([*notices.values(), *(n for own in standard.values() for n in own)])
+    likely = F.lit(True) if words is None else F.lower(text).rlike("|".join(sorted(map(re.escape, words))))
+    scanned = docs.select(*kept, canonical(F.col("text")).alias("_form"), likely.alias("_likely"), F.when(likely, found).alias("_units"))
     named = F.lit("")
     for name in sorted({*notices, *standard}):
         hit = F.array_contains(F.col("_units"), digest(F.lit(notices[name]))) if name in notices else F.lit(False)
@@ -230,7 +261,8 @@ def scan(
             hit = hit | F.contains(F.concat(F.lit(" "), F.col("_form"), F.lit(" ")), words)
         named = F.concat(named, F.when(hit, F.lit(f"{name} ")).otherwise(""))
     own = F.when(F.col("_form") != "", F.sha2("_form", 256))
-    scanned = scanned.select(*kept, own.alias("digest"), F.rtrim(named).alias("notices"))
+    named = F.when(F.col("_likely"), F.rtrim(named)).otherwise("")
+    scanned = scanned.select(*kept, own.alias("digest"), named.alias("notices"))
     table = known(docs, [*licenses.items(), *texts()])
     joined = scanned.join(table, F.col("digest") == F.col("_known"), "left")
     return joined.select(*kept, "digest", "license_id", "notices")
