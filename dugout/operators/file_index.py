@@ -9,6 +9,7 @@ that are not in the index yet are always read.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from datetime import date
 from typing import Any
@@ -27,8 +28,13 @@ def _mark(value: Column, bits: int) -> Column:
     return F.pmod(F.xxhash64(value.cast("string")), F.lit(bits)) + 1
 
 
-def landed_files(spark: SparkSession, path: str) -> list[str]:
-    return sorted(spark.read.parquet(path).inputFiles())
+# File listings and file columns write the slashes after a scheme differently.
+SCHEME = r"^([A-Za-z][A-Za-z0-9+.-]*):/+"
+
+
+def landed_files(spark: SparkSession, path: str) -> dict[str, str]:
+    """The files below ``path`` by the name that the index knows them by."""
+    return {re.sub(SCHEME, r"\1:/", f): f for f in sorted(spark.read.parquet(path).inputFiles())}
 
 
 def update_index(spark: SparkSession, path: str, index: str, columns: Sequence[str] = INDEXED, bits: int = BITS) -> int:
@@ -39,11 +45,12 @@ def update_index(spark: SparkSession, path: str, index: str, columns: Sequence[s
     """
     files = landed_files(spark, path)
     known = _indexed_files(spark, index)
-    new = [f for f in files if f not in known]
+    new = [files[f] for f in files if f not in known]
     if not new:
         return 0
     rows = spark.read.option("basePath", path).parquet(*new)
-    held = rows.select(F.col("_metadata.file_path").alias("file"), "level", "game_date", *columns)
+    file = F.regexp_replace("_metadata.file_path", SCHEME, "$1:/").alias("file")
+    held = rows.select(file, "level", "game_date", *columns)
     spans = held.groupBy("file").agg(
         F.first("level").alias("level"), F.min("game_date").alias("first_day"), F.max("game_date").alias("last_day")
     )
@@ -107,8 +114,8 @@ def files_with(
             if level is not None:
                 rows = rows.where(F.col("level") == level)
             kept = {r["file"] for r in rows.select("file").distinct().collect()}
-        found &= kept | (set(files) - known)
-    return sorted(found)
+        found &= kept | (files.keys() - known)
+    return [files[f] for f in sorted(found)]
 
 
 def search_indexed(

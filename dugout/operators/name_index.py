@@ -30,7 +30,7 @@ def name_postings(names: DataFrame, name: str, key: str, size: int = GRAM) -> Da
     """(gram, key, name) for every distinct gram of up to ``size`` characters; names in lower case.
 
     Write it once, partitioned or sorted by gram, and look fragments up as often as needed. A NULL
-    or blank name has no grams.
+    or empty name has no grams.
     """
     low = names.select(F.col(key).alias("key"), F.lower(blank_to_null(name)).alias("name")).where("name IS NOT NULL")
     sizes = F.array(*[F.lit(n) for n in range(1, size + 1)])
@@ -40,7 +40,7 @@ def name_postings(names: DataFrame, name: str, key: str, size: int = GRAM) -> Da
 def names_with(postings: DataFrame, fragments: DataFrame, fragment: str, size: int = GRAM) -> DataFrame:
     """(fragment, key, name) of the names that contain each distinct fragment, without regard to case.
 
-    Blank fragments are none. Counts per gram combine before their shuffle; a gram that very many names have
+    Empty fragments are none. Counts per gram combine before their shuffle; a gram that very many names have
     is used only by fragments that have no rarer one, and Spark splits it in the join.
     """
     asked = fragments.select(blank_to_null(fragment).alias("fragment")).where("fragment IS NOT NULL").distinct()
