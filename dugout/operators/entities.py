@@ -221,3 +221,34 @@ def name_search(df: DataFrame, names: str | Sequence[str], name: str, active: bo
         test = test | F.contains(low, F.lit(n.lower()))
     out = df.where(test)
     return out if active is None else out.where(F.col(active_col) == active)
+
+
+AFFILIATES = """
+    WITH RECURSIVE chain(team, ancestor, depth, trail) AS (
+        SELECT team, parent, 1, array(team, parent) FROM {links} WHERE parent IS NOT NULL AND parent <> team
+        UNION ALL
+        SELECT c.team, l.parent, c.depth + 1, array_append(c.trail, l.parent)
+        FROM chain c JOIN {links} l ON c.ancestor = l.team
+        WHERE l.parent IS NOT NULL AND NOT array_contains(c.trail, l.parent)
+    )
+    SELECT team, ancestor, min(depth) AS depth FROM chain GROUP BY team, ancestor"""
+
+
+def affiliate_tree(teams: DataFrame, team: str, parent: str) -> DataFrame:
+    """(team, ancestor, depth) for every club above a team, the parent at depth 1.
+
+    A chain that comes back to a team it has passed ends there, so circles do no harm, and a team is
+    never its own ancestor. With several ways up, the shortest counts. The recursion stops at the session's
+    ``spark.sql.cteRecursionRowLimit`` with an error; farm systems are far below it.
+    """
+    links = teams.select(F.col(team).alias("team"), F.col(parent).alias("parent")).where("team IS NOT NULL").distinct()
+    return teams.sparkSession.sql(AFFILIATES, links=links)
+
+
+def affiliates_of(teams: DataFrame, ids: Sequence[Any], team: str, parent: str) -> DataFrame:
+    """The clubs named and all teams below them, with their columns."""
+    tree = affiliate_tree(teams, team, parent)
+    below = tree.where(value_filter(tree, "ancestor", list(ids))).select(F.col("team").alias("_below")).distinct()
+    named = teams.where(value_filter(teams, team, list(ids)))
+    others = teams.where(~value_filter(teams, team, list(ids)))
+    return named.unionByName(others.join(below, F.col(team) == F.col("_below"), "left_semi"))

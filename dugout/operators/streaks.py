@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dugout.operators.ordered import GROUP_LIMIT, both_ways, running_total, same, sliced, total_over_slices
+from dugout.operators.ordered import GROUP_LIMIT, both_ways, look_back, running_total, same, sliced, total_over_slices
 
 # Fixed names: streak types as (flag, side) and spans.
 STREAK_TYPES = {
@@ -106,3 +106,64 @@ def streaks(
     if top is not None:
         found = found.orderBy(F.desc("length"), *keys, "started").limit(top)
     return found
+
+
+# What a slice of a player's games says about its streaks; summaries of neighbouring slices join to one.
+SUMMARY = ("length", "started", "ended", "at_start", "at_end")
+
+
+def streak_summary(
+    games: DataFrame, keys: Sequence[str], order: Sequence[str], flag: Column, part: Column, limit: int | None = GROUP_LIMIT
+) -> DataFrame:
+    """Runs (keys, ``part``, length, started, ended, at_start, at_end) of each slice of games.
+
+    ``part`` numbers the slices in the order of games: a season, a month, a batch. A run that touches its slice's
+    first or last game may go on in a neighbour. A slice with no run, or none at its end, still has a
+    row, of length 0, so that what lies around it is not joined.
+    """
+    placed = games.withColumn("part", part)
+    own = [*keys, "part"]
+    numbered = running_total(
+        placed.select(*own, *order, F.coalesce(flag, F.lit(False)).alias("_hit")),
+        own,
+        order,
+        F.when(F.col("_hit"), 0).otherwise(1).cast("long"),
+        "_run",
+        limit,
+    )
+    # A run's number is the misses before it: 0 touches the start, as many as there are touches the end.
+    runs = _runs(numbered, own, order[0])
+    names = [f"_own{i}" for i in range(len(own))]
+    ends = numbered.groupBy(*[F.col(k).alias(n) for k, n in zip(own, names, strict=True)]).agg(F.max("_run").alias("_last"))
+    joined = runs.join(ends, same(own, names))
+    kept = joined.where((F.col("length") > 0) | (F.col("_run") == F.col("_last")))
+    at_end = (F.col("_run") == F.col("_last")) & (F.col("length") > 0)
+    return kept.select(*own, "length", "started", "ended", (F.col("_run") == 0).alias("at_start"), at_end.alias("at_end"), F.col("_run").alias("place"))
+
+
+def join_summaries(summaries: DataFrame, keys: Sequence[str], limit: int | None = GROUP_LIMIT) -> DataFrame:
+    """Streaks (keys, length, started, ended, is_current) of whole histories from summaries of their slices.
+
+    Joining is associative, so it does not matter how games were cut. A player has a few rows a
+    slice, and players with more than ``limit`` of them are cut in turn.
+    """
+    order = ["part", "place"]
+    goes_on = {
+        "_end": F.lag("at_end"),
+        "_part": F.lag("part"),
+    }
+    marked = look_back(summaries, keys, order, 1, lambda w: {n: c.over(w) for n, c in goes_on.items()}, limit)
+    joins = F.coalesce(F.col("at_start") & F.col("_end") & (F.col("part") != F.col("_part")) & (F.col("length") > 0), F.lit(False))
+    new = F.when(joins, 0).otherwise(1).cast("long")
+    numbered = running_total(marked, keys, order, new, "_streak", limit)
+    found = numbered.groupBy(*keys, "_streak").agg(
+        F.sum("length").alias("length"),
+        F.min("started").alias("started"),
+        F.max("ended").alias("ended"),
+        F.max(F.struct("part", "place", "at_end")).alias("_final"),
+    )
+    names = [f"_own{i}" for i in range(len(keys))]
+    last = numbered.groupBy(*[F.col(k).alias(n) for k, n in zip(keys, names, strict=True)]).agg(F.max("_streak").alias("_newest"))
+    current = (F.col("_streak") == F.col("_newest")) & F.col("_final.at_end")
+    whole = found.join(last, same(keys, names)).where("length > 0")
+    return whole.select(*keys, "length", "started", "ended", current.alias("is_current"))

@@ -191,6 +191,9 @@ class Settings:
     ties: tuple[str, ...] = ()
     related: Mapping[str, tuple[DataFrame, list[str]]] = field(default_factory=dict)
     streak: Mapping[str, Any] | None = None
+    # Column of a team's parent club, for affiliates.
+    parent: str = "parent_org_id"
+    team: str = "team_id"
 
 
 def hydrate_parts(text: str) -> list[str]:
@@ -216,12 +219,21 @@ def query_endpoint(name: str, df: DataFrame, settings: Settings = Settings(), /,
     at = settings
     given = {p: _listed(p, v) if p not in SHAPED_TEXT else v for p, v in params.items() if v is not None}
     out = df
-    for param, wanted in given.items():
+    # teamIds of affiliates first: it looks at all teams.
+    for param, wanted in sorted(given.items(), key=lambda g: (name, g[0]) != ("get_team_affiliates", "teamIds")):
         if param in SHAPING or (name == "get_streaks" and param in STREAK_PARAMS):
             continue
         column = at.columns.get(param) or column_of(param, df.columns)
         if column is None and param == "season" and at.season in df.columns:
             column = at.season
+        if name == "get_team_affiliates" and param == "teamIds":
+            missing = [c for c in (at.team, at.parent) if c not in df.columns]
+            if missing:
+                raise ValueError(f"{name} needs the columns {missing} of teams and their parent clubs; see Settings.team and parent")
+            ids = wanted if isinstance(wanted, (list, tuple)) else [wanted]
+            # The chain of clubs is that of all teams, so it is followed before other filters.
+            out = entities.affiliates_of(df, ids, at.team, at.parent)
+            continue
         if column is None:
             raise ValueError(f"no column for {name}({param}=...); pass columns={{{param!r}: ...}}")
         out = entities.entity_filter(out, **{column: wanted})

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dugout.operators import feed_diffs, file_index, name_index, pitch_search
+from dugout.operators import entities, feed_diffs, file_index, name_index, pitch_search, spans, streaks, validity
 from dugout.plans.pitches import pitches, table
-from dugout.plans.queries import FOUND, event_stream, found, query, with_pitches
+from dugout.plans.queries import FOUND, GAMES, event_stream, found, query, streak_sql, with_pitches
 from dugout.session import shared_path
 from dugout.streaming import change_log
 
@@ -144,3 +144,108 @@ def increments_after_compaction(spark, sf):
     change_log.follow(event_stream(spark, sf), log, f"{home}/state", parts)
     log.add(parts(table(spark, sf, "events")), 0)
     return log.read()
+
+
+# --------------------------------------------------------------------------------------
+# Affiliates, states at many dates, streaks by parts, spans of seasons, coverage of pulls
+# --------------------------------------------------------------------------------------
+
+
+@query("""
+    WITH RECURSIVE links AS (SELECT c_custkey AS team, CASE WHEN c_custkey = 0 THEN 1 ELSE c_custkey // 5 END AS parent FROM customer),
+    chain(team, ancestor, depth, trail) AS (SELECT team, parent, 1, [team, parent] FROM links WHERE parent <> team
+      UNION ALL SELECT c.team, l.parent, c.depth + 1, list_append(c.trail, l.parent) FROM chain c JOIN links l ON c.ancestor = l.team
+        WHERE NOT list_contains(c.trail, l.parent))
+    SELECT team, ancestor, CAST(min(depth) AS INT) AS depth FROM chain GROUP BY 1, 2""")
+def affiliates_tree(spark, sf):
+    """All clubs above each team; teams 0 and 1 are each other's parents."""
+    parent = F.when(F.col("c_custkey") == 0, 1).otherwise(F.floor(F.col("c_custkey") / 5)).cast("long")
+    teams = table(spark, sf, "customer").select("c_custkey", parent.alias("parent"))
+    return entities.affiliate_tree(teams, "c_custkey", "parent")
+
+
+@query("""
+    WITH changes AS (SELECT o_custkey AS player, o_orderpriority AS team, CAST(o_orderdate AS DATE) AS day FROM orders
+      QUALIFY row_number() OVER (PARTITION BY o_custkey, CAST(o_orderdate AS DATE) ORDER BY o_orderkey DESC) = 1),
+    held AS (SELECT *, lead(day) OVER (PARTITION BY player ORDER BY day) AS until FROM changes),
+    asked AS (SELECT DISTINCT o_orderpriority AS team, CAST(date_trunc('month', o_orderdate) AS DATE) AS asked FROM orders)
+    SELECT a.team, a.asked, h.player, h.day FROM asked a JOIN held h ON h.team = a.team AND h.day <= a.asked AND (h.until IS NULL OR a.asked < h.until)""")
+def rosters_at_many_dates(spark, sf):
+    """Who belongs to each team on the first of every month; an order moves its customer to a team."""
+    orders = table(spark, sf, "orders")
+    day = F.col("o_orderdate").cast("date")
+    changes = orders.select(F.col("o_custkey").alias("player"), F.col("o_orderpriority").alias("team"), day.alias("day"), "o_orderkey")
+    held = validity.intervals(changes, ["player"], "day", ["o_orderkey"])
+    asked = orders.select(F.col("o_orderpriority").alias("team"), F.trunc(day, "month").alias("asked"))
+    return validity.at_dates(held, asked, ["team"], "asked").select("team", "asked", "player", "day")
+
+
+def game_rows(spark: SparkSession, sf: str) -> DataFrame:
+    return spark.sql(GAMES, orders=table(spark, sf, "orders"))
+
+
+@query(streak_sql("hit"))
+def streaks_by_summaries(spark, sf):
+    """Career streaks joined from summaries of quarters."""
+    quarter = F.year("o_orderdate") * 4 + F.quarter("o_orderdate")
+    parts = streaks.streak_summary(game_rows(spark, sf), ["o_custkey"], ["o_orderdate", "o_orderkey"], F.col("hit"), quarter)
+    return streaks.join_summaries(parts, ["o_custkey"])
+
+
+@query(streak_sql("hit"))
+def streaks_after_increment(spark, sf):
+    """Career streaks after the games of the last years came in: summaries of the old games are read, not the games."""
+    path = shared_path(spark, "streak-parts")
+    games, order = game_rows(spark, sf), ["o_orderdate", "o_orderkey"]
+    for new in ("season < 1998", "season >= 1998"):
+        rows = games.where(new)
+        streaks.streak_summary(rows, ["o_custkey"], order, F.col("hit"), F.col("season")).write.mode("append").parquet(path)
+    return streaks.join_summaries(spark.read.parquet(path), ["o_custkey"])
+
+
+@query(
+    """
+    WITH asked AS (SELECT DISTINCT CAST(1993 + o_custkey % 9 AS INT) AS first, CAST(1994 + o_custkey % 7 + o_orderkey % 3 AS INT) AS last FROM orders)
+    SELECT o_custkey, first, last, CAST(count(*) AS DOUBLE) AS games, sum(o_totalprice) AS price
+    FROM asked JOIN orders ON year(o_orderdate) BETWEEN first AND last WHERE first <= last GROUP BY 1, 2, 3""",
+    "games price",
+)
+def board_many_spans(spark, sf):
+    """Sums of every player over many spans of seasons, two look-ups each."""
+    orders = table(spark, sf, "orders")
+    games = orders.select("o_custkey", F.year("o_orderdate").alias("season"), F.lit(1).alias("games"), F.col("o_totalprice").alias("price"))
+    asked = orders.select(
+        (1993 + F.col("o_custkey") % 9).alias("first"), (1994 + F.col("o_custkey") % 7 + F.col("o_orderkey") % 3).alias("last")
+    )
+    totals = spans.season_sums(games, ["o_custkey"], "season", ["games", "price"])
+    return spans.over_spans(totals, asked, ["o_custkey"], "season", ["games", "price"], "first", "last")
+
+
+PULLED = """
+    pulls AS (SELECT o_custkey % 150 AS level, CAST(o_orderdate AS DATE) AS first, CAST(o_orderdate AS DATE) + CAST(o_orderkey % 9 AS INT) AS last FROM orders),
+    wanted AS (SELECT level, min(first) AS low, max(last) AS high FROM pulls GROUP BY 1),
+    days AS (SELECT DISTINCT level, CAST(unnest(generate_series(first, last, INTERVAL 1 DAY)) AS DATE) AS day FROM pulls),
+    every AS (SELECT level, CAST(unnest(generate_series(low, high, INTERVAL 1 DAY)) AS DATE) AS day FROM wanted),
+    missing AS (SELECT *, day - CAST(row_number() OVER (PARTITION BY level ORDER BY day) AS INT) AS run FROM (SELECT * FROM every EXCEPT SELECT * FROM days))"""
+
+
+def pulled(spark: SparkSession, sf: str) -> DataFrame:
+    day = F.col("o_orderdate").cast("date")
+    last = F.date_add(day, (F.col("o_orderkey") % 9).cast("int"))
+    return table(spark, sf, "orders").select((F.col("o_custkey") % 150).alias("level"), day.alias("first"), last.alias("last"))
+
+
+@query(f"WITH {PULLED} SELECT level, min(day) AS first, max(day) AS last FROM missing GROUP BY level, run")
+def pull_gaps(spark, sf):
+    """Spans of days that no pull of a level covers, between its first and last."""
+    pulls = pulled(spark, sf)
+    wanted = pulls.groupBy("level").agg(F.min("first").alias("first"), F.max("last").alias("last"))
+    return spans.gaps(spans.covered(pulls, ["level"], "first", "last"), wanted, ["level"], "first", "last")
+
+
+@query(f"""WITH {PULLED}, gap AS (SELECT level, min(day) AS first, max(day) AS last FROM missing GROUP BY level, run),
+    cut AS (SELECT level, CAST(unnest(generate_series(first, last, INTERVAL 6 DAY)) AS DATE) AS first, last FROM gap)
+    SELECT level, first, least(first + 5, last) AS last FROM cut""")
+def pull_plan(spark, sf):
+    """The same gaps as pulls of at most six days."""
+    return spans.pull_plan(pull_gaps(spark, sf), ["level"], "first", "last")
