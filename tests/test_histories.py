@@ -7,7 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from dugout.operators import entities, feed_diffs, file_index, leaderboard, name_index, pitch_search, ranking
+from dugout.operators import entities, feed_diffs, file_index, leaderboard, name_index, pitch_search, ranking, spans, streaks, validity
 from dugout.plans.endpoints import Settings, query_endpoint
 from dugout.session import shared_path
 from dugout.streaming import change_log
@@ -244,3 +244,113 @@ def test_leaf_rows_bounds_depth(spark):
     assert {r["path"]: r["value"] for r in feed_diffs.leaf_rows(df, ["id"], "body", 1).collect()} == {"/a": '{"b":[1,{"c":2}]}', "/s": '"{[not nested"'}
     variant = df.select("id", F.parse_json("body").alias("body"))
     assert feed_diffs.leaf_rows(variant, ["id"], "body").count() == 3
+
+
+# ------------------------------------------------------------------ trees, validity, streak parts, spans
+
+
+def test_affiliates_with_circles_and_two_parents(spark):
+    links = [(1, None), (2, 1), (3, 2), (4, 3), (4, 1), (5, 6), (6, 5), (7, 7), (8, 99), (None, 1)]
+    teams = spark.createDataFrame(links, "team_id long, parent_org_id long")
+    got = {tuple(r) for r in entities.affiliate_tree(teams, "team_id", "parent_org_id").collect()}
+    assert got == {(2, 1, 1), (3, 2, 1), (3, 1, 2), (4, 3, 1), (4, 2, 2), (4, 1, 1), (5, 6, 1), (6, 5, 1), (8, 99, 1)}
+    season = teams.withColumn("season", F.lit(2024))
+    below = query_endpoint("get_team_affiliates", season, season=2024, teamIds="2,5")
+    assert {r["team_id"] for r in below.collect()} == {2, 3, 4, 5, 6}
+    with pytest.raises(ValueError, match="parent"):
+        query_endpoint("get_team_affiliates", season.drop("parent_org_id"), teamIds=1)
+
+
+@pytest.mark.parametrize("limit", [None, 2])
+def test_states_at_many_dates(spark, limit):
+    rng = random.Random(4)
+    day0 = dt.date(2024, 1, 1)
+    rows = [(rng.choice([1, 2, None]), rng.choice(["A", "B", None]), day0 + dt.timedelta(days=rng.randint(0, 90)), n) for n in range(40)]
+    rows.append((1, "A", None, 99))
+    changes = spark.createDataFrame(rows, "player long, team string, day date, version long")
+    held = validity.intervals(changes, ["player"], "day", ["version"], limit=limit)
+    dates = [(t, day0 + dt.timedelta(days=d)) for t in ("A", "B", None) for d in range(-3, 100, 7)]
+    asked = spark.createDataFrame([*dates, dates[0], ("A", None)], "team string, asked date")
+    got = [(r["team"], r["asked"], r["player"]) for r in validity.at_dates(held, asked, ["team"], "asked", width=8).collect()]
+    expected = []
+    for team, date in dates:
+        for player in (1, 2, None):
+            own = [r for r in rows if r[0] == player and r[2] is not None and r[2] <= date]
+            if own and max(own, key=lambda r: (r[2], r[3]))[1] == team:
+                expected.append((team, date, player))
+    assert sorted(map(str, got)) == sorted(map(str, expected))
+
+
+def test_streak_summaries_join_like_whole_histories(spark):
+    rng = random.Random(6)
+    rows = [(rng.choice([1, 2, None]), dt.date(2024, 1, 1) + dt.timedelta(days=n), n, rng.random() < 0.7) for n in range(120)]
+    rows += [(5, dt.date(2024, 1, 1) + dt.timedelta(days=n), n, False) for n in range(9)]
+    rows += [(6, dt.date(2024, 1, 1) + dt.timedelta(days=n), n, None if n == 4 else True) for n in range(9)]
+    games = spark.createDataFrame(rows, "player long, day date, n long, hit boolean")
+    whole = streaks.islands(games, ["player"], ["day", "n"], F.col("hit")).select("player", "length", "started", "ended", "is_current")
+    expected = sorted(map(str, whole.collect()))
+    for width, limit in ((1, None), (4, None), (4, 3), (1000, None)):
+        parts = streaks.streak_summary(games, ["player"], ["day", "n"], F.col("hit"), F.floor(F.col("n") / width), limit)
+        assert sorted(map(str, streaks.join_summaries(parts, ["player"], limit).collect())) == expected
+
+
+def test_streaks_after_an_increment_read_new_games_only(spark):
+    rows = [(1, dt.date(2024, 1, 1) + dt.timedelta(days=n), n, n % 5 != 0) for n in range(20)]
+    games = spark.createDataFrame(rows, "player long, day date, n long, hit boolean")
+    part = F.floor(F.col("n") / 10)
+    old, new = games.where("n < 10"), games.where("n >= 10")
+    path = shared_path(spark, "parts")
+    for some in (old, new):
+        streaks.streak_summary(some, ["player"], ["day", "n"], F.col("hit"), part).write.mode("append").parquet(path)
+    kept = spark.read.parquet(path)
+    # Four runs a slice at most, whatever the number of games.
+    assert kept.count() <= 6 and all(path in f for f in streaks.join_summaries(kept, ["player"]).inputFiles())
+    got = streaks.join_summaries(kept, ["player"]).collect()
+    whole = streaks.islands(games, ["player"], ["day", "n"], F.col("hit")).select("player", "length", "started", "ended", "is_current")
+    assert sorted(map(str, got)) == sorted(map(str, whole.collect()))
+
+
+def test_sums_over_spans(spark):
+    rows = [(1, 2019, "3"), (1, 2021, "4"), (1, 2021, ""), (2, 2020, "5"), (None, 2018, "1"), (1, None, "9"), (3, 2022, "x")]
+    df = spark.createDataFrame(rows, "id long, year int, hits string")
+    asked = [(2019, 2021), (2020, 2020), (2000, 2030), (2022, 2019), (2021, 2025), (2019, 2021)]
+    table = spark.createDataFrame(asked, "a int, b int")
+    got = spans.over_spans(spans.season_sums(df, ["id"], "year", ["hits"]), table, ["id"], "year", ["hits"], "a", "b").collect()
+    expected = set()
+    for a, b in set(asked):
+        for player in {r[0] for r in rows}:
+            own = [r for r in rows if r[0] == player and r[1] is not None and a <= r[1] <= b]
+            if own:
+                expected.add((player, a, b, float(sum(int(r[2]) for r in own if r[2].isdigit()))))
+    assert len(got) == len(expected) and {tuple(r) for r in got} == expected
+
+
+@pytest.mark.parametrize("limit", [None, 3])
+def test_coverage_gaps_and_plan(spark, limit):
+    rng = random.Random(9)
+    day0, days = dt.date(2024, 1, 1), range(-10, 140)
+    pulls = [(rng.choice(["mlb", "milb", None]), *sorted(day0 + dt.timedelta(days=rng.randint(0, 120)) for _ in range(2))) for _ in range(14)]
+    pulls = [(k, a, min(b, a + dt.timedelta(days=9))) for k, a, b in pulls] + [("mlb", day0, None), ("mlb", day0 + dt.timedelta(days=5), day0)]
+    table = spark.createDataFrame([*pulls, pulls[0]], "level string, a date, b date")
+    wanted = [(k, day0 - dt.timedelta(days=4), day0 + dt.timedelta(days=130)) for k in ("mlb", "milb", None, "new")]
+    open_days = set()
+    for k, a, b in wanted:
+        for n in days:
+            d = day0 + dt.timedelta(days=n)
+            if a <= d <= b and not any(p[0] == k and p[1] <= d and p[2] is not None and d <= p[2] for p in pulls):
+                open_days.add((k, d))
+    held = spans.covered(table, ["level"], "a", "b", limit)
+    missing = spans.gaps(held, spark.createDataFrame(wanted, "level string, a date, b date"), ["level"], "a", "b", limit)
+
+    def days_of(df):
+        return [(r["level"], r["a"] + dt.timedelta(days=n)) for r in df.collect() for n in range((r["b"] - r["a"]).days + 1)]
+
+    found = days_of(missing)
+    assert len(found) == len(set(found)) and set(found) == open_days
+    # Neighbouring days are one gap, and one covered stretch.
+    for df in (missing, held):
+        rows = {(r["level"], r["a"]): r["b"] for r in df.collect()}
+        assert not any((k, b + dt.timedelta(days=1)) in rows for (k, _), b in rows.items())
+    plan = spans.pull_plan(missing, ["level"], "a", "b")
+    assert sorted(days_of(plan), key=str) == sorted(found, key=str)
+    assert all((r["b"] - r["a"]).days < spans.PULL_DAYS for r in plan.collect())
