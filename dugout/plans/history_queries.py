@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dugout.operators import entities, feed_diffs, file_index, name_index, pitch_search, spans, streaks, validity
+from dugout.operators import entities, feed_diffs, file_index, name_index, payload_schema, pitch_search, spans, streaks, validity
 from dugout.plans.pitches import pitches, table
 from dugout.plans.queries import FOUND, GAMES, event_stream, found, query, streak_sql, with_pitches
 from dugout.session import shared_path
@@ -249,3 +249,56 @@ def pull_gaps(spark, sf):
 def pull_plan(spark, sf):
     """The same gaps as pulls of at most six days."""
     return spans.pull_plan(pull_gaps(spark, sf), ["level"], "first", "last")
+
+
+# --------------------------------------------------------------------------------------
+# Payloads by their own types
+# --------------------------------------------------------------------------------------
+
+
+def mixed_payloads(spark: SparkSession, sf: str) -> DataFrame:
+    """Snapshots whose total is a text in later years, and whose status is missing for some."""
+    rows = snapshots(spark, sf)
+    text = F.regexp_replace("body", r'"total":(\d+)', '"total":"$1"')
+    later = F.when(F.col("ts") >= F.lit("1998-01-01").cast("timestamp_ntz"), text).otherwise(F.col("body"))
+    return rows.withColumn("body", F.when(F.col("version") % 10 == 0, F.regexp_replace(later, '"status":"."', '"status":null')).otherwise(later))
+
+
+MIXED = SHOTS.replace("QUALIFY row_number() OVER (PARTITION BY o_custkey, ts ORDER BY o_orderkey DESC) = 1", "") + """,
+    later AS (SELECT ts, o_orderkey, CASE WHEN ts >= TIMESTAMP '1998-01-01' THEN regexp_replace(body, '"total":(\d+)', '"total":"\\1"') ELSE body END AS body
+      FROM shots),
+    mixed AS (SELECT ts, CASE WHEN o_orderkey % 10 = 0 THEN regexp_replace(body, '"status":"."', '"status":null') ELSE body END AS body FROM later),
+    leaves AS (SELECT ts, regexp_replace(replace(replace(substr(fullkey, 2), '[', '.'), ']', ''), '\.\d+', '/*', 'g') AS path, type
+      FROM mixed, json_tree(body::JSON) WHERE type NOT IN ('OBJECT', 'ARRAY')),
+    inventory AS (SELECT replace(path, '.', '/') AS path, CASE type WHEN 'VARCHAR' THEN 'STRING' WHEN 'NULL' THEN 'VOID' ELSE 'BIGINT' END AS type,
+        count(*) AS n, min(ts) AS first_seen, max(ts) AS last_seen FROM leaves GROUP BY 1, 2)"""
+MIXED = MIXED.replace("AS ts, '{\"lines\"", "AS ts, o_orderkey, '{\"lines\"")
+
+
+@query(f"WITH {MIXED} SELECT * FROM inventory")
+def payload_paths(spark, sf):
+    """Every path of the payloads with its types, and when each was seen."""
+    return payload_schema.path_inventory(mixed_payloads(spark, sf), "body", "ts")
+
+
+@query(f"""WITH {MIXED} SELECT path, array_to_string(list(type ORDER BY type), ',') AS types, CAST(sum(n) AS BIGINT) AS n, max(first_seen) AS changed
+    FROM inventory WHERE type <> 'VOID' GROUP BY 1 HAVING count(*) > 1""")
+def payload_schema_drift(spark, sf):
+    """Paths that changed their type."""
+    found = payload_schema.drifting_paths(payload_schema.path_inventory(mixed_payloads(spark, sf), "body", "ts"))
+    return found.withColumn("types", F.array_join("types", ","))
+
+
+@query("""
+    SELECT o_orderkey AS version, o_orderstatus AS status, CAST(floor(o_totalprice) AS BIGINT) AS total, count(*) AS n_lines,
+      CAST(sum(floor(l_quantity)) AS BIGINT) AS quantity, count(nullif(l_returnflag, 'N')) AS n_flags
+    FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY ALL""")
+def payload_typed(spark, sf):
+    """Payloads as a table by the type of all of them, no field named."""
+    typed = payload_schema.typed_payloads(snapshots(spark, sf), "body", ["version"])
+    each = F.transform("lines", lambda x: x["qty"])
+    flags = F.filter("lines", lambda x: x["flag"].isNotNull())
+    total = F.aggregate(each, F.lit(0).cast("long"), lambda a, x: a + x)
+    return typed.select(
+        "version", "status", "total", F.size("lines").cast("long").alias("n_lines"), total.alias("quantity"), F.size(flags).cast("long").alias("n_flags")
+    )

@@ -34,12 +34,13 @@ def latest(df: DataFrame, keys: Sequence[str], order: str, ties: Sequence[str] =
     """One row per key, the one with the largest ``order``, then the largest ``ties``.
 
     The newest time is a small hash aggregate; whole rows only join it, so bodies never sit in
-    aggregation buffers. Rows equal in ``ties`` too are told apart by a hash of their plain columns.
+    aggregation buffers. Rows equal in ``ties`` too are told apart by a hash of their plain columns. A key
+    whose times are all NULL keeps one of its rows.
     """
     names = [f"_latest{i}" for i in range(len(keys))]
     owned = [F.col(k).alias(n) for k, n in zip(keys, names, strict=True)]
     newest = df.groupBy(*owned).agg(F.max(order).alias("_newest"))
-    top = df.join(newest, same(keys, names) & (F.col(order) == F.col("_newest"))).drop(*names, "_newest")
+    top = df.join(newest, same(keys, names) & F.col(order).eqNullSafe(F.col("_newest"))).drop(*names, "_newest")
     plain = [f.name for f in df.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
     last = Window.partitionBy(*keys).orderBy(*[F.desc(t) for t in ties], F.desc(F.xxhash64(*plain)))
     return top.withColumn("_place", F.row_number().over(last)).where("_place = 1").drop("_place")
@@ -78,7 +79,10 @@ def follow_changes(
 def current_versions(
     spark: SparkSession, table: str, keys: Sequence[str], updated: str, ties: Sequence[str] = ()
 ) -> DataFrame:
-    """The followed table: one latest row per key over all batches."""
+    """The followed table: one latest row per key over all batches.
+
+    Reads every batch; ``change_log`` keeps the number of folders bounded where there are many.
+    """
     rows = spark.read.option("basePath", table).parquet(table).drop(BATCH)
     return latest(rows, keys, updated, ties)
 

@@ -7,10 +7,22 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from dugout.operators import entities, feed_diffs, file_index, leaderboard, name_index, pitch_search, ranking, spans, streaks, validity
+from dugout.operators import (
+    entities,
+    feed_diffs,
+    file_index,
+    leaderboard,
+    name_index,
+    payload_schema,
+    pitch_search,
+    ranking,
+    spans,
+    streaks,
+    validity,
+)
 from dugout.plans.endpoints import Settings, query_endpoint
 from dugout.session import shared_path
-from dugout.streaming import change_log
+from dugout.streaming import change_log, feeds
 
 
 def at(second):
@@ -354,3 +366,44 @@ def test_coverage_gaps_and_plan(spark, limit):
     plan = spans.pull_plan(missing, ["level"], "a", "b")
     assert sorted(days_of(plan), key=str) == sorted(found, key=str)
     assert all((r["b"] - r["a"]).days < spans.PULL_DAYS for r in plan.collect())
+
+
+# ------------------------------------------------------------------ payload types
+
+
+def test_inventory_and_drift_of_types(spark):
+    bodies = ['{"a":1,"b":[{"c":"x"},{"c":null}],"d":{}}', '{"a":"1","b":[],"d":{"e/f":1.5}}', '{"a":null,"*":true}', "junk", None]
+    df = spark.createDataFrame([(b, at(n)) for n, b in enumerate(bodies)], "body string, ts timestamp_ntz")
+    found = {(r["path"], r["type"]): (r["n"], r["first_seen"].second, r["last_seen"].second) for r in payload_schema.path_inventory(df, "body", "ts").collect()}
+    assert found == {
+        ("/a", "BIGINT"): (1, 0, 0),
+        ("/a", "STRING"): (1, 1, 1),
+        ("/a", "VOID"): (1, 2, 2),
+        ("/b/*/c", "STRING"): (1, 0, 0),
+        ("/b/*/c", "VOID"): (1, 0, 0),
+        ("/b", "ARRAY<VOID>"): (1, 1, 1),
+        ("/d", "OBJECT<>"): (1, 0, 0),
+        ("/d/e~1f", "DECIMAL(2,1)"): (1, 1, 1),
+        ("/*", "BOOLEAN"): (1, 2, 2),
+    }
+    drift = payload_schema.drifting_paths(payload_schema.path_inventory(df, "body", "ts")).collect()
+    assert [(r["path"], r["types"], r["n"], r["changed"]) for r in drift] == [("/a", ["BIGINT", "STRING"], 2, at(1))]
+
+
+def test_typed_payloads_take_the_type_of_all(spark):
+    rows = [(1, '{"a":1,"list":[{"x":1}],"OBJECT<":"odd"}'), (2, '{"a":2.5,"list":[{"x":2,"y":"t"}],"only":null}'), (3, "junk")]
+    df = spark.createDataFrame(rows, "id long, body string")
+    typed = payload_schema.typed_payloads(df, "body", ["id"])
+    got = {r["id"]: r.asDict(recursive=True) for r in typed.collect()}
+    assert float(got[1]["a"]) == 1.0 and float(got[2]["a"]) == 2.5 and got[3]["a"] is None
+    assert got[2]["list"] == [{"x": 2, "y": "t"}] and got[1]["list"] == [{"x": 1, "y": None}] and got[1]["OBJECT<"] == "odd"
+    fixed = payload_schema.typed_payloads(df, "body", ["id"], "STRUCT<a: BIGINT>")
+    assert fixed.columns == ["id", "a"]
+    with pytest.raises(ValueError, match="no objects"):
+        payload_schema.typed_payloads(df.where("id = 3"), "body")
+
+
+def test_keys_whose_times_are_all_missing_stay(spark):
+    rows = [(1, None, "a"), (2, at(1), "b"), (2, None, "c"), (None, at(3), "d"), (None, at(4), "e")]
+    got = feeds.latest(spark.createDataFrame(rows, "k long, ts timestamp_ntz, v string"), ["k"], "ts")
+    assert {r["k"]: r["v"] for r in got.collect()} == {1: "a", 2: "b", None: "e"}
