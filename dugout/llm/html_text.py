@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -56,10 +57,12 @@ NEVER = frozenset(
     "disqus gdpr promo promoted promotion recommended related replies reply respond sponsor sponsored".split()
 )
 # Parts of an article have such names too.
-IN_ARTICLE = frozenset("banner copyright disclaimer header legal masthead notice notices overlay tags".split())
+IN_ARTICLE = frozenset("banner byline copyright disclaimer header legal masthead notice notices overlay tags".split())
 # Places on a page: only as a whole name, not as a word of one.
 PLACES = frozenset("banner footer header menu modal nav navbar overlay popup sidebar toolbar topbar widget widgets".split())
 BESIDE = frozenset("left right top bottom primary secondary site page main global fixed sticky inner area box block".split())
+# What may stand beside a hint in a name inside an article.
+KINDS = frozenset("reader readers user users visitor visitors list section wrap wrapper container thread bar button buttons link links unit slot".split())
 STATES = frozenset("has have no not with without show hide is".split())
 MAY_WRAP = frozenset("form fieldset header dialog".split())
 EMPTY = frozenset("svg math iframe".split())
@@ -124,7 +127,8 @@ def _hint(value: str, in_article: bool) -> int:
         if not {x for x in parts if not x.isdigit()} <= BESIDE | PLACES:
             hints -= PLACES
         if in_article:
-            hints -= IN_ARTICLE
+            # Parts of an article are named after what they are about: only a name made of nothing else counts.
+            hints = hints - IN_ARTICLE if {x for x in parts if not x.isdigit()} <= HINTS | BESIDE | KINDS else set()
         if hints:
             found = max(found, UNLESS_MAIN if NEVER.isdisjoint(hints) else SURE)
     return found
@@ -163,13 +167,14 @@ class _Reader:
         self.lines: list[Line] = []
         self.elements: list[Element] = []
         self.open: list[tuple[str, int]] = []  # name, place in elements
+        self.names: Counter[str] = Counter()  # of the open elements
         self.parts: list[str] = []
         self.links = 0
 
     def add(self, raw: str) -> None:
         text = html.unescape(raw)
         self.parts.append(text)
-        if any(name == "a" for name, _ in self.open):
+        if self.names["a"]:
             self.links += len(_SPACE.sub(" ", text).strip())
 
     def flush(self) -> None:
@@ -179,19 +184,23 @@ class _Reader:
         self.parts, self.links = [], 0
 
     def start(self, name: str, attrs: str) -> None:
-        if name in CLOSES_P and any(n == "p" for n, _ in self.open):
+        if name in CLOSES_P and self.names["p"]:
             self.end("p")
         if name in ("li", "option", "tr", "td", "th", "dd", "dt") and self.open and self.open[-1][0] == name:
             self.end(name)
-        around = any(n in REGIONS for n, _ in self.open)
+        around = any(self.names[n] for n in REGIONS)
         self.elements.append(Element(self.open[-1][1] if self.open else -1, name, is_aside(name, attrs, around)))
         self.open.append((name, len(self.elements) - 1))
+        self.names[name] += 1
 
     def end(self, name: str) -> None:
+        if not self.names[name]:
+            return
         for at in range(len(self.open) - 1, -1, -1):
             if self.open[at][0] == name:
                 if any(n in BLOCK for n, _ in self.open[at:]) and self.parts:
                     self.flush()
+                self.names.subtract(n for n, _ in self.open[at:])
                 del self.open[at:]
                 return
 

@@ -1,6 +1,7 @@
 """Language, quality, licences, HTML and token counts against brute force and held-out labels."""
 
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -49,6 +50,23 @@ def test_language_rejects_other_scripts(documents):
     assert far[1][:2] == far[2][:2] == ("und", 0.0)
 
 
+@pytest.mark.parametrize(("text", "letters"), [("🙂🙂 👍", False), ("\u0301\u0308 1", False), ("𝒜𝒷", True), ("𐌰𐌱", True), ("a\u0301", True)])
+def test_letters_on_all_planes(text, letters):
+    assert (language.ngram_counts(text) is not None) == letters
+
+
+def test_language_clusters_have_members(documents):
+    settings = language.Settings()
+    model = language.fit(documents, settings)
+    rng = np.random.default_rng(1)
+    x = language._unit(np.abs(rng.normal(size=(256, 40))) + 5 * np.eye(4)[rng.integers(4, size=256)].repeat(10, axis=1))
+    x[:3] = language._unit(np.eye(40)[:3])
+    centers = language._cluster(x, 4, settings.rounds, settings.least_share, rng)
+    sizes = np.bincount((x @ centers.T).argmax(axis=1))
+    assert len(sizes) > 1 and sizes.min() >= settings.least_share * 256 / 4 - 1
+    assert len(set(model.of.tolist())) == len(model.langs) and len(model.of) > len(model.langs)
+
+
 def counts_by_hand(text):
     words = re.findall(WORD, text)
     windows = [tuple(words[i : i + 5]) for i in range(len(words) - 4)]
@@ -237,6 +255,37 @@ def test_broken_pages(page):
     assert html_text.main_text(page) in ("", "A", "&am", "<")
 
 
+@pytest.mark.parametrize("attrs", ['class="byline"', 'class="related-work"', 'id="comments-on-the-method"', 'class="search-results"'])
+def test_names_of_article_parts_lose_nothing(attrs):
+    page = f"<article><h1>Title</h1><p>{'Long text here. ' * 20}</p><section {attrs}><p>Part</p></section></article>"
+    assert html_text.main_text(page).endswith("\n\nPart")
+
+
+@pytest.mark.parametrize("name", ["comments", "ad", "share-box", "related"])
+def test_asides_of_articles_go(name):
+    page = f"<article><h1>Title</h1><p>{'Long text here. ' * 20}</p><div class='{name}'><p>Part</p></div></article>"
+    assert "Part" not in html_text.main_text(page)
+
+
+@pytest.mark.parametrize("part", ["<b>x", "<div>x", "<p>a<a href=x>y", "<li>x</b>", "<article><p>x"])
+def test_long_pages_take_linear_time(part):
+    start = time.monotonic()
+    html_text.main_text(part * 20_000)
+    assert time.monotonic() - start < 10
+
+
+def test_html_odd_tables(spark):
+    page = f"<article><p>{'Some words. ' * 30}</p></article>"
+    rows = [(1, "u", page, "kept", "c"), (1, "u", page, "kept", "c"), (None, None, page, None, None), (2, "v", None, None, "c"), (3, "w", "", "x", None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string, _c0 string").repartition(2)
+    got = sorted(html_text.extract(pages).collect(), key=str)
+    text = ("Some words. " * 30).strip()
+    expected = [(r[0], r[1], text if r[2] == page else "", len(text) if r[2] == page else 0) for r in rows]
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, expected))
+    assert html_text.extract(pages, ("_c0", "url")).columns == ["_c0", "url", "text", "n_chars"]
+    assert html_text.extract(pages.filter("false")).count() == 0
+
+
 def test_html_query(spark, small):
     rows = queries.op4_html_main_text(spark, small).collect()
     pages = {r["page_id"]: r["html"] for r in spark.read.parquet(f"{small}/pages.parquet").collect()}
