@@ -48,7 +48,7 @@ CHUNK = 1 << 16
 FOLD = 256
 # What a group of sets may hold: sets, and n-grams in them.
 CLUSTER = 3000
-CLUSTER_GRAMS = 1 << 20
+CLUSTER_GRAMS = 3 << 20
 KEPT_WORDS = 50_000
 MARKS = 1 << 24
 _MIX = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB], np.uint64)
