@@ -35,100 +35,125 @@ class Endpoint:
 
 # Function, path, parameters; where a code table answers, its name.
 ENDPOINTS = {
-    row[0]: Endpoint(row[0], row[1], tuple(row[2].split()), row[3] if len(row) > 3 else None)
+    row[0]: Endpoint(row[0], row[1], tuple(row[2]), row[3] if len(row) > 3 else None)
     for row in [
         ("get_schedule", "/api/v1/schedule",
-         "sportId gamePks date startDate endDate teamId opponentId leagueId venueIds gameTypes scheduleType scheduleTypes "
-         "eventTypes scheduleEventTypes useLatestGames timecode hydrate fields season"),
-        ("get_gamefeed", "/api/v1.1/game/{game_pk}/feed/live", "timecode hydrate fields"),
-        ("get_gamefeed_diffpatch", "/api/v1.1/game/{game_pk}/feed/live/diffPatch", "startTimecode endTimecode"),
-        ("get_gamefeed_timestamps", "/api/v1.1/game/{game_pk}/feed/live/timestamps", ""),
-        ("get_boxscore", "/api/v1/game/{game_pk}/boxscore", ""),
-        ("get_linescore", "/api/v1/game/{game_pk}/linescore", ""),
-        ("get_playbyplay", "/api/v1/game/{game_pk}/playByPlay", ""),
-        ("get_game_content", "/api/v1/game/{game_pk}/content", ""),
-        ("get_context_metrics", "/api/v1/game/{game_pk}/contextMetrics", ""),
-        ("get_win_probability", "/api/v1/game/{game_pk}/winProbability", ""),
-        ("get_color_feed", "/api/v1/game/{game_pk}/feed/color", "timecode"),
-        ("get_color_diffpatch", "/api/v1/game/{game_pk}/feed/color/diffPatch", "startTimecode endTimecode"),
-        ("get_color_timestamps", "/api/v1/game/{game_pk}/feed/color/timestamps", ""),
-        ("get_game_changes", "/api/v1/game/changes", "updatedSince sportId"),
-        ("get_postseason_schedule", "/api/v1/schedule/postseason", "season hydrate"),
-        ("get_postseason_series", "/api/v1/schedule/postseason/series", "season"),
-        ("get_tied_games", "/api/v1/schedule/games/tied", "season"),
-        ("get_people", "/api/v1/people", "personIds hydrate season appContext fields"),
-        ("get_person", "/api/v1/people/{person_id}", "hydrate fields"),
-        ("search_players", "/api/v1/people/search", "names personIds active currentTeamId sportId"),
-        ("get_player_changes", "/api/v1/people/changes", "updatedSince limit offset"),
-        ("get_free_agents", "/api/v1/people/freeAgents", "season order"),
-        ("get_teams", "/api/v1/teams", "season sportIds activeStatus allStarStatuses leagueIds gameType hydrate fields"),
-        ("get_team", "/api/v1/teams/{team_id}", "season sportId hydrate fields"),
-        ("get_team_history", "/api/v1/teams/history", "teamIds startSeason endSeason"),
+         [
+             "sportId", "gamePks", "date", "startDate", "endDate", "teamId", "opponentId", "leagueId",
+             "venueIds", "gameTypes", "scheduleType", "scheduleTypes", "eventTypes",
+             "scheduleEventTypes", "useLatestGames", "timecode", "hydrate", "fields", "season",
+         ]),
+        ("get_gamefeed", "/api/v1.1/game/{game_pk}/feed/live", ["timecode", "hydrate", "fields"]),
+        ("get_gamefeed_diffpatch", "/api/v1.1/game/{game_pk}/feed/live/diffPatch", ["startTimecode", "endTimecode"]),
+        ("get_gamefeed_timestamps", "/api/v1.1/game/{game_pk}/feed/live/timestamps", []),
+        ("get_boxscore", "/api/v1/game/{game_pk}/boxscore", []),
+        ("get_linescore", "/api/v1/game/{game_pk}/linescore", []),
+        ("get_playbyplay", "/api/v1/game/{game_pk}/playByPlay", []),
+        ("get_game_content", "/api/v1/game/{game_pk}/content", []),
+        ("get_context_metrics", "/api/v1/game/{game_pk}/contextMetrics", []),
+        ("get_win_probability", "/api/v1/game/{game_pk}/winProbability", []),
+        ("get_color_feed", "/api/v1/game/{game_pk}/feed/color", ["timecode"]),
+        ("get_color_diffpatch", "/api/v1/game/{game_pk}/feed/color/diffPatch", ["startTimecode", "endTimecode"]),
+        ("get_color_timestamps", "/api/v1/game/{game_pk}/feed/color/timestamps", []),
+        ("get_game_changes", "/api/v1/game/changes", ["updatedSince", "sportId"]),
+        ("get_postseason_schedule", "/api/v1/schedule/postseason", ["season", "hydrate"]),
+        ("get_postseason_series", "/api/v1/schedule/postseason/series", ["season"]),
+        ("get_tied_games", "/api/v1/schedule/games/tied", ["season"]),
+        ("get_people", "/api/v1/people", ["personIds", "hydrate", "season", "appContext", "fields"]),
+        ("get_person", "/api/v1/people/{person_id}", ["hydrate", "fields"]),
+        ("search_players", "/api/v1/people/search", ["names", "personIds", "active", "currentTeamId", "sportId"]),
+        ("get_player_changes", "/api/v1/people/changes", ["updatedSince", "limit", "offset"]),
+        ("get_free_agents", "/api/v1/people/freeAgents", ["season", "order"]),
+        ("get_teams", "/api/v1/teams", [
+             "season", "sportIds", "activeStatus", "allStarStatuses", "leagueIds", "gameType",
+             "hydrate", "fields",
+         ]),
+        ("get_team", "/api/v1/teams/{team_id}", ["season", "sportId", "hydrate", "fields"]),
+        ("get_team_history", "/api/v1/teams/history", ["teamIds", "startSeason", "endSeason"]),
         ("get_team_stats", "/api/v1/teams/stats",
-         "season group stats sportIds gameType order limit offset sortStat startDate endDate sitCodes"),
+         [
+             "season", "group", "stats", "sportIds", "gameType", "order", "limit", "offset",
+             "sortStat", "startDate", "endDate", "sitCodes",
+         ]),
         ("get_team_leaders", "/api/v1/teams/stats/leaders",
-         "leaderCategories season sportId gameTypes statGroup leagueIds startDate endDate statType sitCodes hydrate limit fields"),
-        ("get_team_affiliates", "/api/v1/teams/affiliates", "teamIds sportId season hydrate"),
-        ("get_roster", "/api/v1/teams/{team_id}/roster", "rosterType season date gameType hydrate fields"),
-        ("get_team_specific_leaders", "/api/v1/teams/{team_id}/leaders", "leaderCategories season leaderGameTypes hydrate"),
+         [
+             "leaderCategories", "season", "sportId", "gameTypes", "statGroup", "leagueIds",
+             "startDate", "endDate", "statType", "sitCodes", "hydrate", "limit", "fields",
+         ]),
+        ("get_team_affiliates", "/api/v1/teams/affiliates", ["teamIds", "sportId", "season", "hydrate"]),
+        ("get_roster", "/api/v1/teams/{team_id}/roster", ["rosterType", "season", "date", "gameType", "hydrate", "fields"]),
+        ("get_team_specific_leaders", "/api/v1/teams/{team_id}/leaders", ["leaderCategories", "season", "leaderGameTypes", "hydrate"]),
         ("get_team_specific_stats", "/api/v1/teams/{team_id}/stats",
-         "season group stats gameType sportIds startDate endDate sitCodes"),
-        ("get_team_alumni", "/api/v1/teams/{team_id}/alumni", "season group hydrate"),
+         [
+             "season", "group", "stats", "gameType", "sportIds", "startDate", "endDate", "sitCodes",
+         ]),
+        ("get_team_alumni", "/api/v1/teams/{team_id}/alumni", ["season", "group", "hydrate"]),
         ("get_stats", "/api/v1/stats",
-         "stats group season sportIds gameType playerPool limit offset order sortStat personIds teamIds"),
+         [
+             "stats", "group", "season", "sportIds", "gameType", "playerPool", "limit", "offset",
+             "order", "sortStat", "personIds", "teamIds",
+         ]),
         ("get_stat_leaders", "/api/v1/stats/leaders",
-         "leaderCategories season sportId gameTypes statGroup leaderGameTypes playerPool limit statType sitCodes hydrate fields"),
-        ("get_streaks", "/api/v1/stats/streaks", "streakType streakSpan season sportId limit gameType hydrate fields"),
-        ("get_draft", "/api/v1/draft/{year}", "round"),
-        ("get_draft_prospects", "/api/v1/draft/prospects/{year}", "schoolYear state country position teamId round"),
-        ("get_award_recipients", "/api/v1/awards/{award_id}/recipients", "season sportId leagueId hydrate"),
-        ("get_transactions", "/api/v1/transactions", "teamId playerId date startDate endDate"),
-        ("get_venues", "/api/v1/venues", "venueIds season hydrate"),
-        ("get_venue", "/api/v1/venues/{venue_id}", ""),
-        ("get_standings", "/api/v1/standings", "leagueId season standingsTypes date hydrate fields"),
-        ("get_leagues", "/api/v1/league", "sportId"),
-        ("get_league", "/api/v1/league/{league_id}", ""),
-        ("get_divisions", "/api/v1/divisions", "divisionId leagueId sportId"),
-        ("get_seasons", "/api/v1/seasons", "sportId season withGameTypeDates divisionId leagueId"),
-        ("get_season", "/api/v1/seasons/{season_id}", ""),
+         [
+             "leaderCategories", "season", "sportId", "gameTypes", "statGroup", "leaderGameTypes",
+             "playerPool", "limit", "statType", "sitCodes", "hydrate", "fields",
+         ]),
+        ("get_streaks", "/api/v1/stats/streaks", [
+             "streakType", "streakSpan", "season", "sportId", "limit", "gameType", "hydrate", "fields",
+         ]),
+        ("get_draft", "/api/v1/draft/{year}", ["round"]),
+        ("get_draft_prospects", "/api/v1/draft/prospects/{year}", ["schoolYear", "state", "country", "position", "teamId", "round"]),
+        ("get_award_recipients", "/api/v1/awards/{award_id}/recipients", ["season", "sportId", "leagueId", "hydrate"]),
+        ("get_transactions", "/api/v1/transactions", ["teamId", "playerId", "date", "startDate", "endDate"]),
+        ("get_venues", "/api/v1/venues", ["venueIds", "season", "hydrate"]),
+        ("get_venue", "/api/v1/venues/{venue_id}", []),
+        ("get_standings", "/api/v1/standings", ["leagueId", "season", "standingsTypes", "date", "hydrate", "fields"]),
+        ("get_leagues", "/api/v1/league", ["sportId"]),
+        ("get_league", "/api/v1/league/{league_id}", []),
+        ("get_divisions", "/api/v1/divisions", ["divisionId", "leagueId", "sportId"]),
+        ("get_seasons", "/api/v1/seasons", ["sportId", "season", "withGameTypeDates", "divisionId", "leagueId"]),
+        ("get_season", "/api/v1/seasons/{season_id}", []),
         ("get_attendance", "/api/v1/attendance",
-         "teamId leagueId season date startDate endDate leagueListId gameType fields"),
-        ("get_sports", "/api/v1/sports", "sportId activeStatus fields"),
-        ("get_sport", "/api/v1/sports/{sport_id}", ""),
-        ("get_sport_players", "/api/v1/sports/{sport_id}/players", "season gameType fields"),
-        ("get_umpires", "/api/v1/jobs/umpires", "sportId date season fields"),
-        ("get_official_scorers", "/api/v1/jobs/officialScorers", ""),
-        ("get_datacasters", "/api/v1/jobs/datacasters", ""),
-        ("get_broadcasts", "/api/v1/schedule/broadcasts", "sportId date teamId"),
-        ("get_conferences", "/api/v1/conferences", ""),
-        ("get_high_low", "/api/v1/highLow/{org_type}", "sortStat season sportId gameType"),
-        ("get_home_run_derby", "/api/v1/homeRunDerby/{game_pk}", ""),
-        ("get_derby_bracket", "/api/v1/homeRunDerby/{game_pk}/bracket", ""),
-        ("get_derby_pool", "/api/v1/homeRunDerby/{game_pk}/pool", ""),
-        ("get_game_pace", "/api/v1/gamePace", "season sportId gameType"),
-        ("get_uniforms_game", "/api/v1/uniforms/game", "gamePks"),
-        ("get_uniforms_team", "/api/v1/uniforms/team", "teamIds season"),
-        ("get_stat_types", "/api/v1/statTypes", "", "stat_types"),
-        ("get_stat_groups", "/api/v1/statGroups", "", "stat_groups"),
-        ("get_game_types", "/api/v1/gameTypes", "", "game_types"),
-        ("get_positions", "/api/v1/positions", "", "positions"),
-        ("get_situation_codes", "/api/v1/situationCodes", "", "situations"),
-        ("get_metrics", "/api/v1/metrics", "", "metrics"),
-        ("get_league_leader_types", "/api/v1/leagueLeaderTypes", "", "leader_categories"),
-        ("get_sports_discovery", "/api/v1/sports", "", "sports"),
-        ("get_baseball_stats", "/api/v1/baseballStats", ""),
-        ("get_roster_types", "/api/v1/rosterTypes", "", "roster_types"),
-        ("get_standings_types", "/api/v1/standingsTypes", "", "standings_types"),
-        ("get_game_status", "/api/v1/gameStatus", "", "game_statuses"),
-        ("get_pitch_types", "/api/v1/pitchTypes", "", "pitch_types"),
-        ("get_hit_trajectories", "/api/v1/hitTrajectories", "", "trajectories"),
-        ("get_event_types", "/api/v1/eventTypes", "", "event_types"),
-        ("get_schedule_event_types", "/api/v1/scheduleEventTypes", "", "schedule_events"),
-        ("get_wind_direction", "/api/v1/windDirection", "", "winds"),
-        ("get_sky", "/api/v1/sky", "", "skies"),
-        ("get_job_types", "/api/v1/jobTypes", ""),
-        ("get_languages", "/api/v1/languages", ""),
-        ("get_platforms", "/api/v1/platforms", ""),
+         [
+             "teamId", "leagueId", "season", "date", "startDate", "endDate", "leagueListId",
+             "gameType", "fields",
+         ]),
+        ("get_sports", "/api/v1/sports", ["sportId", "activeStatus", "fields"]),
+        ("get_sport", "/api/v1/sports/{sport_id}", []),
+        ("get_sport_players", "/api/v1/sports/{sport_id}/players", ["season", "gameType", "fields"]),
+        ("get_umpires", "/api/v1/jobs/umpires", ["sportId", "date", "season", "fields"]),
+        ("get_official_scorers", "/api/v1/jobs/officialScorers", []),
+        ("get_datacasters", "/api/v1/jobs/datacasters", []),
+        ("get_broadcasts", "/api/v1/schedule/broadcasts", ["sportId", "date", "teamId"]),
+        ("get_conferences", "/api/v1/conferences", []),
+        ("get_high_low", "/api/v1/highLow/{org_type}", ["sortStat", "season", "sportId", "gameType"]),
+        ("get_home_run_derby", "/api/v1/homeRunDerby/{game_pk}", []),
+        ("get_derby_bracket", "/api/v1/homeRunDerby/{game_pk}/bracket", []),
+        ("get_derby_pool", "/api/v1/homeRunDerby/{game_pk}/pool", []),
+        ("get_game_pace", "/api/v1/gamePace", ["season", "sportId", "gameType"]),
+        ("get_uniforms_game", "/api/v1/uniforms/game", ["gamePks"]),
+        ("get_uniforms_team", "/api/v1/uniforms/team", ["teamIds", "season"]),
+        ("get_stat_types", "/api/v1/statTypes", [], "stat_types"),
+        ("get_stat_groups", "/api/v1/statGroups", [], "stat_groups"),
+        ("get_game_types", "/api/v1/gameTypes", [], "game_types"),
+        ("get_positions", "/api/v1/positions", [], "positions"),
+        ("get_situation_codes", "/api/v1/situationCodes", [], "situations"),
+        ("get_metrics", "/api/v1/metrics", [], "metrics"),
+        ("get_league_leader_types", "/api/v1/leagueLeaderTypes", [], "leader_categories"),
+        ("get_sports_discovery", "/api/v1/sports", [], "sports"),
+        ("get_baseball_stats", "/api/v1/baseballStats", []),
+        ("get_roster_types", "/api/v1/rosterTypes", [], "roster_types"),
+        ("get_standings_types", "/api/v1/standingsTypes", [], "standings_types"),
+        ("get_game_status", "/api/v1/gameStatus", [], "game_statuses"),
+        ("get_pitch_types", "/api/v1/pitchTypes", [], "pitch_types"),
+        ("get_hit_trajectories", "/api/v1/hitTrajectories", [], "trajectories"),
+        ("get_event_types", "/api/v1/eventTypes", [], "event_types"),
+        ("get_schedule_event_types", "/api/v1/scheduleEventTypes", [], "schedule_events"),
+        ("get_wind_direction", "/api/v1/windDirection", [], "winds"),
+        ("get_sky", "/api/v1/sky", [], "skies"),
+        ("get_job_types", "/api/v1/jobTypes", []),
+        ("get_languages", "/api/v1/languages", []),
+        ("get_platforms", "/api/v1/platforms", []),
     ]
 }
 

@@ -231,19 +231,23 @@ API_GAME_TYPES = [
     ("I", "Intrasquad"),
     ("E", "Exhibition"),
 ]
-STAT_TYPES = """
-projected projectedRos yearByYear yearByYearAdvanced yearByYearPlayoffs season standard
-advanced career careerRegularSeason careerAdvanced seasonAdvanced careerStatSplits
-careerPlayoffs gameLog playLog pitchLog metricLog metricAverages pitchArsenal
-outsAboveAverage expectedStatistics sabermetrics sprayChart tracking vsPlayer vsPlayerTotal
-vsPlayer5Y vsTeam vsTeam5Y vsTeamTotal lastXGames byDateRange byDateRangeAdvanced byMonth
-byMonthPlayoffs byDayOfWeek byDayOfWeekPlayoffs homeAndAway homeAndAwayPlayoffs winLoss
-winLossPlayoffs rankings rankingsByYear statsSingleSeason statsSingleSeasonAdvanced
-hotColdZones availableStats opponentsFaced gameTypeStats firstYearStats lastYearStats
-statSplits statSplitsAdvanced atGameStart vsOpponents sabermetricsMultiTeam projected_Zips
-projected_ZipsRos projected_Zips2YR projected_Zips3YR
-""".split()
-STAT_GROUPS = "hitting pitching fielding catching running game team streak".split()
+STAT_TYPES = [
+    "projected", "projectedRos", "yearByYear", "yearByYearAdvanced", "yearByYearPlayoffs", "season",
+    "standard", "advanced", "career", "careerRegularSeason", "careerAdvanced", "seasonAdvanced",
+    "careerStatSplits", "careerPlayoffs", "gameLog", "playLog", "pitchLog", "metricLog",
+    "metricAverages", "pitchArsenal", "outsAboveAverage", "expectedStatistics", "sabermetrics",
+    "sprayChart", "tracking", "vsPlayer", "vsPlayerTotal", "vsPlayer5Y", "vsTeam", "vsTeam5Y",
+    "vsTeamTotal", "lastXGames", "byDateRange", "byDateRangeAdvanced", "byMonth", "byMonthPlayoffs",
+    "byDayOfWeek", "byDayOfWeekPlayoffs", "homeAndAway", "homeAndAwayPlayoffs", "winLoss",
+    "winLossPlayoffs", "rankings", "rankingsByYear", "statsSingleSeason", "statsSingleSeasonAdvanced",
+    "hotColdZones", "availableStats", "opponentsFaced", "gameTypeStats", "firstYearStats",
+    "lastYearStats", "statSplits", "statSplitsAdvanced", "atGameStart", "vsOpponents",
+    "sabermetricsMultiTeam", "projected_Zips", "projected_ZipsRos", "projected_Zips2YR",
+    "projected_Zips3YR",
+]
+STAT_GROUPS = [
+    "hitting", "pitching", "fielding", "catching", "running", "game", "team", "streak",
+]
 ROSTER_TYPES = [
     ("active", "Active roster"),
     ("fullRoster", "Full roster (active + inactive)"),
@@ -255,10 +259,11 @@ ROSTER_TYPES = [
     ("gameday", "Gameday roster"),
     ("coach", "Coaching staff"),
 ]
-STANDINGS_TYPES = """
-regularSeason wildCard divisionLeaders wildCardWithLeaders firstHalf secondHalf
-springTraining postseason byDivision byConference byLeague byOrganization currentHalf
-""".split()
+STANDINGS_TYPES = [
+    "regularSeason", "wildCard", "divisionLeaders", "wildCardWithLeaders", "firstHalf", "secondHalf",
+    "springTraining", "postseason", "byDivision", "byConference", "byLeague", "byOrganization",
+    "currentHalf",
+]
 # code, abbreviation, name, type
 API_POSITIONS = [
     ("1", "P", "Pitcher", "Pitcher"),
@@ -300,9 +305,10 @@ API_PITCH_TYPES = [
     ("NP", "No Pitch"),
     ("UN", "Unknown"),
 ]
-MONTHS = """
-January February March April May June July August September October November December
-""".split()
+MONTHS = [
+    "January", "February", "March", "April", "May", "June", "July", "August", "September", "October",
+    "November", "December",
+]
 # family -> code, label
 SITUATIONS = {
     "game_context": [
@@ -332,19 +338,21 @@ SITUATIONS = {
     "handedness": [("vr", "vs Right-Handed Pitcher"), ("vl", "vs Left-Handed Pitcher")],
     "inning": [(f"i{i}", f"Inning {i}") for i in range(1, 10)] + [("ie", "Extra Innings")],
 }
-LEADER_CATEGORIES = """
-assists shutouts homeRuns sacrificeBunts sacrificeFlies runs groundoutToFlyoutRatio
-stolenBases battingAverage groundOuts numberOfPitches onBasePercentage caughtStealing
-groundIntoDoublePlays totalBases earnedRunAverage fieldingPercentage
-walksAndHitsPerInningPitched flyouts hitByPitches gamesPlayed walks sluggingPercentage
-onBasePlusSlugging runsBattedIn triples extraBaseHits hits atBats strikeouts doubles
-totalPlateAppearances intentionalWalks wins losses saves wildPitch airOuts balk blownSaves
-catcherEarnedRunAverage catchersInterference chances completeGames doublePlays earnedRun
-errors gamesFinished gamesStarted hitBatsman hitsPer9Inn holds innings inningsPitched
-outfieldAssists passedBalls pickoffs pitchesPerInning putOuts rangeFactorPerGame
-rangeFactorPer9Inn saveOpportunities stolenBasePercentage strikeoutsPer9Inn
-strikeoutWalkRatio throwingErrors totalBattersFaced triplePlays walksPer9Inn winPercentage
-""".split()
+LEADER_CATEGORIES = [
+    "assists", "shutouts", "homeRuns", "sacrificeBunts", "sacrificeFlies", "runs",
+    "groundoutToFlyoutRatio", "stolenBases", "battingAverage", "groundOuts", "numberOfPitches",
+    "onBasePercentage", "caughtStealing", "groundIntoDoublePlays", "totalBases", "earnedRunAverage",
+    "fieldingPercentage", "walksAndHitsPerInningPitched", "flyouts", "hitByPitches", "gamesPlayed",
+    "walks", "sluggingPercentage", "onBasePlusSlugging", "runsBattedIn", "triples", "extraBaseHits",
+    "hits", "atBats", "strikeouts", "doubles", "totalPlateAppearances", "intentionalWalks", "wins",
+    "losses", "saves", "wildPitch", "airOuts", "balk", "blownSaves", "catcherEarnedRunAverage",
+    "catchersInterference", "chances", "completeGames", "doublePlays", "earnedRun", "errors",
+    "gamesFinished", "gamesStarted", "hitBatsman", "hitsPer9Inn", "holds", "innings", "inningsPitched",
+    "outfieldAssists", "passedBalls", "pickoffs", "pitchesPerInning", "putOuts", "rangeFactorPerGame",
+    "rangeFactorPer9Inn", "saveOpportunities", "stolenBasePercentage", "strikeoutsPer9Inn",
+    "strikeoutWalkRatio", "throwingErrors", "totalBattersFaced", "triplePlays", "walksPer9Inn",
+    "winPercentage",
+]
 # spelling, id; nicknames first, then full market names
 TEAM_IDS = [
     ("Angels", 108), ("Astros", 117), ("Athletics", 133), ("Blue Jays", 141),
@@ -389,25 +397,26 @@ DIVISIONS = [
     (205, "NL Central", "NLC"),
 ]
 EVENT_GROUPS = {
-    "hits": "single double triple home_run".split(),
-    "outs": """
-        field_out strikeout force_out grounded_into_double_play double_play fielders_choice
-        fielders_choice_out strikeout_double_play triple_play strikeout_triple_play
-        grounded_into_triple_play sac_fly sac_bunt sac_fly_double_play sac_bunt_double_play
-    """.split(),
-    "walks_hbp": "walk intent_walk hit_by_pitch".split(),
-    "errors": "field_error error".split(),
-    "baserunning": """
-        stolen_base_2b stolen_base_3b stolen_base_home caught_stealing_2b caught_stealing_3b
-        caught_stealing_home pickoff_1b pickoff_2b pickoff_3b pickoff_error_1b
-        pickoff_error_2b pickoff_error_3b pickoff_caught_stealing_2b
-        pickoff_caught_stealing_3b pickoff_caught_stealing_home wild_pitch passed_ball balk
-        other_advance runner_double_play
-    """.split(),
-    "other": """
-        game_advisory catcher_interf fan_interference batter_interference pitcher_step_off
-        batter_timeout mound_visit no_pitch other_out ejection
-    """.split(),
+    "hits": ["single", "double", "triple", "home_run"],
+    "outs": [
+        "field_out", "strikeout", "force_out", "grounded_into_double_play", "double_play",
+        "fielders_choice", "fielders_choice_out", "strikeout_double_play", "triple_play",
+        "strikeout_triple_play", "grounded_into_triple_play", "sac_fly", "sac_bunt",
+        "sac_fly_double_play", "sac_bunt_double_play",
+    ],
+    "walks_hbp": ["walk", "intent_walk", "hit_by_pitch"],
+    "errors": ["field_error", "error"],
+    "baserunning": [
+        "stolen_base_2b", "stolen_base_3b", "stolen_base_home", "caught_stealing_2b",
+        "caught_stealing_3b", "caught_stealing_home", "pickoff_1b", "pickoff_2b", "pickoff_3b",
+        "pickoff_error_1b", "pickoff_error_2b", "pickoff_error_3b", "pickoff_caught_stealing_2b",
+        "pickoff_caught_stealing_3b", "pickoff_caught_stealing_home", "wild_pitch", "passed_ball",
+        "balk", "other_advance", "runner_double_play",
+    ],
+    "other": [
+        "game_advisory", "catcher_interf", "fan_interference", "batter_interference",
+        "pitcher_step_off", "batter_timeout", "mound_visit", "no_pitch", "other_out", "ejection",
+    ],
 }
 TRANSACTIONS = [
     ("TR", "Trade"),
@@ -453,9 +462,9 @@ METRICS = [
     ("hitTrajectory", "hitting", "String"),
     ("homeRunXBallparks", "hitting", "FT"),
 ]
-TRAJECTORIES = """
-ground_ball line_drive fly_ball popup bunt_grounder bunt_popup bunt_line_drive
-""".split()
+TRAJECTORIES = [
+    "ground_ball", "line_drive", "fly_ball", "popup", "bunt_grounder", "bunt_popup", "bunt_line_drive",
+]
 WINDS = [
     "Calm", "In From CF", "In From LF", "In From RF", "L To R", "R To L", "Out To CF",
     "Out To LF", "Out To RF", "None", "Varies",
