@@ -264,8 +264,8 @@ def mixed_payloads(spark: SparkSession, sf: str) -> DataFrame:
     return rows.withColumn("body", F.when(F.col("version") % 10 == 0, F.regexp_replace(later, '"status":"."', '"status":null')).otherwise(later))
 
 
-MIXED = SHOTS.replace("QUALIFY row_number() OVER (PARTITION BY o_custkey, ts ORDER BY o_orderkey DESC) = 1", "") + """,
-    later AS (SELECT ts, o_orderkey, CASE WHEN ts >= TIMESTAMP '1998-01-01' THEN regexp_replace(body, '"total":(\d+)', '"total":"\\1"') ELSE body END AS body
+MIXED = SHOTS.replace("QUALIFY row_number() OVER (PARTITION BY o_custkey, ts ORDER BY o_orderkey DESC) = 1", "") + r""",
+    later AS (SELECT ts, o_orderkey, CASE WHEN ts >= TIMESTAMP '1998-01-01' THEN regexp_replace(body, '"total":(\d+)', '"total":"\1"') ELSE body END AS body
       FROM shots),
     mixed AS (SELECT ts, CASE WHEN o_orderkey % 10 = 0 THEN regexp_replace(body, '"status":"."', '"status":null') ELSE body END AS body FROM later),
     leaves AS (SELECT ts, regexp_replace(replace(replace(substr(fullkey, 2), '[', '.'), ']', ''), '\.\d+', '/*', 'g') AS path, type
