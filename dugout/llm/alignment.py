@@ -42,8 +42,8 @@ BUCKETS = 256
 FAN_IN = 16
 BROADCAST_PAIRS = 2_000_000
 # Bounds of what a worker keeps: pieces, bytes of their pairs, and pairs before a task hands its counts over.
-KEPT_PIECES = 250_000
-KEPT_BYTES = 32 << 20
+KEPT_PIECES = 500_000
+KEPT_BYTES = 64 << 20
 KEPT_PAIRS = 1 << 20
 # Pieces aligned in one call.
 TOGETHER = 4096
