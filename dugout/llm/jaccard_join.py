@@ -469,7 +469,7 @@ def _sliced(asked: DataFrame, join: Join) -> DataFrame:
 
     A cluster over ``CLUSTER`` sets or ``CLUSTER_GRAMS`` n-grams is cut by size first: a band holds two neighbouring classes
     of sizes, and sets that may link are in one class or in two neighbouring ones, so every set
-    is in two bands and every link within one. A band that is still too large is cut into slices.
+    is in two bands and every link within one; a band that adds no pair is left out. A band that is still too large is cut into slices.
     """
     # Groups as large as the tighter of both bounds allows, at least one.
     parts = F.greatest(F.ceil(F.count(F.lit(1)) / CLUSTER), F.ceil(F.sum("size") / CLUSTER_GRAMS)).cast("int")
@@ -478,8 +478,17 @@ def _sliced(asked: DataFrame, join: Join) -> DataFrame:
     step = F.log(F.col("size")) / math.log(100 / (join.percent - 1))
     own = F.floor(step).cast("int")
     bands = F.when(F.col("_small"), F.array(F.lit(0))).otherwise(F.array(own - 1, own))
-    banded = asked.join(small, "cluster").withColumn("band", F.explode(bands)).drop("_small")
-    slices = banded.groupBy("cluster", "band").agg(parts.alias("slices"))
+    banded = asked.join(small, "cluster").withColumns({"_class": own, "band": F.explode(bands)})
+    stats = banded.groupBy("cluster", "band").agg(
+        parts.alias("slices"), F.min("_class").alias("_low"), F.max("_class").alias("_high"), F.first("_small").alias("_small")
+    )
+    # A band of one class is left out where another band holds that class: the one above its class, which
+    # every set has, or, if there are sets of the class below, the one it shares with those.
+    below = F.lag(F.struct("band", "_low")).over(Window.partitionBy("cluster").orderBy("band"))
+    shared = F.coalesce((F.col("_below.band") == F.col("band") - 1) & (F.col("_below._low") == F.col("band") - 1), F.lit(False))
+    needed = F.col("_small") | (F.col("_low") < F.col("_high")) | ((F.col("_low") == F.col("band")) & ~shared)
+    slices = stats.withColumn("_below", below).where(needed).select("cluster", "band", "slices")
+    banded = banded.drop("_small", "_class")
     slot = F.pmod(F.xxhash64("rep"), F.col("slices")).cast("int")
     return banded.join(slices, ["cluster", "band"]).withColumn("_slot", slot)
 
