@@ -13,6 +13,7 @@ from dugout.functions.text import TIMECODE, as_col, format_timecode
 from dugout.operators.ordered import GROUP_LIMIT, fill_forward, same
 from dugout.operators.pitch_search import value_filter
 from dugout.operators.ranking import page
+from dugout.session import shared_path
 
 
 def entity_filter(df: DataFrame, **filters: Any) -> DataFrame:
@@ -223,26 +224,31 @@ def name_search(df: DataFrame, names: str | Sequence[str], name: str, active: bo
     return out if active is None else out.where(F.col(active_col) == active)
 
 
-AFFILIATES = """
-    WITH RECURSIVE chain(team, ancestor, depth, trail) AS (
-        SELECT team, parent, 1, array(team, parent) FROM {links} WHERE parent IS NOT NULL AND parent <> team
-        UNION ALL
-        SELECT c.team, l.parent, c.depth + 1, array_append(c.trail, l.parent)
-        FROM chain c JOIN {links} l ON c.ancestor = l.team
-        WHERE l.parent IS NOT NULL AND NOT array_contains(c.trail, l.parent)
-    )
-    SELECT team, ancestor, min(depth) AS depth FROM chain GROUP BY team, ancestor"""
-
-
 def affiliate_tree(teams: DataFrame, team: str, parent: str) -> DataFrame:
     """(team, ancestor, depth) for every club above a team, the parent at depth 1.
 
     A chain that comes back to a team it has passed ends there, so circles do no harm, and a team is
-    never its own ancestor. With several ways up, the shortest counts. The recursion stops at the session's
-    ``spark.sql.cteRecursionRowLimit`` with an error; farm systems are far below it.
+    never its own ancestor. With several ways up, the shortest counts. Each round doubles the depth that is
+    known: the clubs just at its end join all that is known above them. A shortest way has one club
+    there, so no pair is missed and a chain of n clubs takes log2(n) rounds. Runs a job per round; what it
+    found is in the shared folder.
     """
-    links = teams.select(F.col(team).alias("team"), F.col(parent).alias("parent")).where("team IS NOT NULL").distinct()
-    return teams.sparkSession.sql(AFFILIATES, links=links)
+    spark, home, reach = teams.sparkSession, shared_path(teams.sparkSession, "affiliates"), 1
+    links = teams.select(F.col(team).alias("team"), F.col(parent).alias("ancestor"))
+    found = links.where("team IS NOT NULL AND ancestor <> team").distinct().withColumn("depth", F.lit(1))
+    schema, paths = found.schema, []
+    while True:
+        paths.append(f"{home}/to-{reach}")
+        found.write.parquet(paths[-1])
+        known = spark.read.schema(schema).parquet(*paths)
+        if known.where(F.col("depth") == reach).isEmpty():
+            return known
+        ends = known.where(F.col("depth") == reach).select("team", F.col("ancestor").alias("_end"))
+        above = known.select(F.col("team").alias("_team"), "ancestor", "depth")
+        met = ends.join(above, F.col("_end") == F.col("_team")).where("ancestor <> team")
+        pairs = met.groupBy("team", "ancestor").agg((F.min("depth") + reach).cast("int").alias("depth"))
+        found = pairs.join(known.drop("depth"), ["team", "ancestor"], "left_anti")
+        reach *= 2
 
 
 def affiliates_of(teams: DataFrame, ids: Sequence[Any], team: str, parent: str) -> DataFrame:

@@ -305,6 +305,16 @@ def test_streak_summaries_join_like_whole_histories(spark):
         parts = streaks.streak_summary(games, ["player"], ["day", "n"], F.col("hit"), F.floor(F.col("n") / width), limit)
         assert sorted(map(str, streaks.join_summaries(parts, ["player"], limit).collect())) == expected
 
+def test_affiliates_beyond_the_limits_of_a_recursive_query(spark):
+    teams = spark.createDataFrame([(n, n - 1) for n in range(1, 151)], "team long, parent long")
+    spark.conf.set("spark.sql.cteRecursionRowLimit", "1000")
+    try:
+        got = {(r["team"], r["ancestor"]): r["depth"] for r in entities.affiliate_tree(teams, "team", "parent").collect()}
+    finally:
+        spark.conf.unset("spark.sql.cteRecursionRowLimit")
+    assert got == {(n, m): n - m for n in range(1, 151) for m in range(n)}
+
+
 
 def test_streaks_after_an_increment_read_new_games_only(spark):
     rows = [(1, dt.date(2024, 1, 1) + dt.timedelta(days=n), n, n % 5 != 0) for n in range(20)]
