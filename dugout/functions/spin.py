@@ -71,6 +71,15 @@ def _positive(c: Column) -> Column:
     return F.when(c != 0, c)
 
 
+def apart(layer: dict[str, Column], through: str) -> dict[str, Column]:
+    """A wide layer whose column ``through`` passes a lambda, which changes no value.
+
+    Spark fuses no projection with a lambda into the stage's one method: it generates it as many small
+    methods instead. The fused one was beyond the size the JVM compiles and ran interpreted.
+    """
+    return {**layer, through: F.transform(F.array(layer.get(through, F.col(through))), lambda x: x)[0]}
+
+
 def add_spin_columns(df: DataFrame, columns: Sequence[str] = SPIN_COLUMNS) -> DataFrame:
     """``df`` plus the derived columns (all 59, or those named); NULL where a guard fails.
 
@@ -174,8 +183,9 @@ def add_spin_columns(df: DataFrame, columns: Sequence[str] = SPIN_COLUMNS) -> Da
         },
     ]
     out = df.drop(*SPIN_COLUMNS)
-    for layer in layers:
-        out = out.withColumns(layer)
+    for n, layer in enumerate(layers):
+        # A column that later layers or the result still need.
+        out = out.withColumns(apart(layer, "_ax" if n < 4 else "spin_rate"))
     solved = c("M_prop").isNotNull()
     result = F.struct(*[F.when(solved, c(n)).alias(n) for n in columns])
-    return out.select(*keep, F.inline(F.array(result)))
+    return out.select(*keep, F.inline(F.transform(F.array(result), lambda x: x)))

@@ -47,6 +47,10 @@ QUERIES: dict[str, Query] = {}
 SCALE = 1e6
 
 
+# So many rounded columns would make a stage's method too large to be compiled.
+WIDE = 20
+
+
 def query(sql: str | None = None, doubles: str = ""):
     """Registers a query; ``doubles`` names the columns both sides round."""
 
@@ -60,9 +64,8 @@ def query(sql: str | None = None, doubles: str = ""):
 
         def rounding(spark: SparkSession, sf_dir: str) -> DataFrame:
             df = run(spark, sf_dir)
-            return df.withColumns(
-                {c: F.rint(F.col(c) * SCALE) / SCALE + F.lit(0.0) for c in doubles.split()}
-            )
+            rounded = {c: F.rint(F.col(c) * SCALE) / SCALE + F.lit(0.0) for c in doubles.split()}
+            return df.withColumns(spin.apart(rounded, next(iter(rounded))) if len(rounded) > WIDE else rounded)
 
         QUERIES[run.__name__] = Query(rounding if doubles else run, checked, run)
         return run

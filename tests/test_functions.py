@@ -1,4 +1,5 @@
 import math
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -129,6 +130,16 @@ def test_unreachable_guards_with_no_flight_time(spark, monkeypatch, changes):
     assert [got[c] for c in spin.SPIN_COLUMNS] == [None] * len(spin.SPIN_COLUMNS)
 
 
+def test_spin_stage_is_compiled_without_a_flag(spark):
+    cells = F.lit("1.5")
+    df = spark.range(3).select("id", *[F.concat(F.col("id").cast("string"), cells).alias(n) for n in spin.SPIN_INPUTS])
+    plan = spin.add_spin_columns(df)._jdf.queryExecution().executedPlan()
+    code = spark._jvm.org.apache.spark.sql.execution.debug.__getattr__("package").codegenString(plan)
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", code)]
+    # The JVM leaves methods over 8000 bytes to the interpreter.
+    assert sizes and max(sizes) < 8000
+
+
 def test_filter_on_spin_column_stays_above(spark):
     df = spark.createDataFrame([tuple(GOOD.values())], ", ".join(f"{k} string" for k in GOOD))
     assert spin.add_spin_columns(df).where("vbar > 100 AND MN > 0").count() == 1
