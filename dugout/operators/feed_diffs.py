@@ -1,9 +1,9 @@
 """Differences between the snapshots of a feed, and snapshots rebuilt from them.
 
-A body is flattened to one row per leaf, an empty object or array being a leaf. Each snapshot is
-compared with the one before it by a full outer join of leaves on (game, time, path), so no
-game, however many snapshots it has, meets in one task: what does is one body. Replaying takes
-the last operation of every path up to a time, from small hash aggregates over times, and folds
+A body is taken apart into leaves, an empty object or array being a leaf. Each snapshot meets
+the one before it by a join of bodies on (game, time), and the leaves of the two are compared by path in
+that row, so no game, however many snapshots it has, meets in one task: what does is two bodies. Replaying
+takes the last operation of every path up to a time in one aggregate, and folds
 leaves into objects and arrays level by level.
 
 Paths are JSON pointers (``/plays/0/result``, ``~1`` for a slash and ``~0`` for a tilde in a name,
@@ -77,6 +77,27 @@ def pointer(steps: str | Column) -> Column:
     return F.array_join(F.transform(as_col(steps), part), "")
 
 
+def _leaves(body: Column, levels: int) -> Column:
+    """The leaves of a parsed body as an array of (steps, value), as ``leaf_rows`` gives them; empty without a body."""
+
+    def deeper(x: Column) -> Column:
+        members = F.try_variant_get(x["value"], "$", "map<string,variant>")
+        items = F.try_variant_get(x["value"], "$", "array<variant>")
+        named = F.transform(F.map_entries(members), lambda m: _leaf(x, m["key"], F.lit(None).cast("int"), m["value"]))
+        placed = F.transform(items, lambda v, i: _leaf(x, F.lit(None).cast("string"), i, v))
+        return F.when(F.size(members) > 0, named).when(F.size(items) > 0, placed).otherwise(F.array(x))
+
+    found = F.array(F.struct(F.array().cast(STEPS).alias("steps"), body.alias("value")))
+    for _ in range(levels):
+        found = F.flatten(F.transform(found, deeper))
+    return F.when(body.isNotNull(), found)
+
+
+def _leaf(above: Column, name: Column, place: Column, value: Column) -> Column:
+    step = F.struct(name.alias("name"), place.alias("place"))
+    return F.struct(F.array_append(above["steps"], step).cast(STEPS).alias("steps"), value.alias("value"))
+
+
 def feed_diffs(
     feed: DataFrame,
     game: str,
@@ -93,38 +114,48 @@ def feed_diffs(
     no rows.
     """
     shots = one_per_time(feed.where(F.col(ts).isNotNull() & F.col(body).isNotNull()), game, ts, ties).select(game, ts, body)
+    # The depth, the order of times and both sides of the join read the snapshots, so they are made once.
+    path = shared_path(feed.sparkSession, "shots")
+    shots.write.parquet(path)
+    shots = feed.sparkSession.read.schema(shots.schema).parquet(path)
+    levels = body_depth(shots, body) if depth is None else depth
     # Times only are put in order; each is told the one after it, as its own is the one before.
     times = look_back(shots.select(game, ts), [game], [ts], 1, lambda w: {"_prior": F.lag(ts).over(w)}, limit)
     times = times.where("_prior IS NOT NULL").select(F.col(game).alias("_g"), F.col("_prior"), F.col(ts).alias("_next"))
     here = F.col(game).eqNullSafe(F.col("_g")) & (F.col(ts) == F.col("_prior"))
-    placed = shots.join(times, here, "left").select(game, ts, "_next", body)
-    leaves = leaf_rows(placed, [game, ts, "_next"], body, depth)
-    # Both sides read the leaves, so bodies are taken apart once.
-    path = shared_path(feed.sparkSession, "leaves")
-    leaves.write.parquet(path)
-    leaves = feed.sparkSession.read.schema(leaves.schema).parquet(path)
-    new = leaves.select(game, ts, "path", "steps", "value", F.lit(True).alias("_new"))
-    old = leaves.where("_next IS NOT NULL").select(
-        F.col(game).alias("_g"),
-        F.col("_next").alias("_t"),
-        F.col("path").alias("_p"),
-        F.col("steps").alias("_s"),
-        F.col("value").alias("old"),
-        F.lit(True).alias("_old"),
-    )
-    both = new.join(old, same([game, ts, "path"], ["_g", "_t", "_p"]), "full")
-    op = F.when(F.col("_old").isNull(), "add").when(F.col("_new").isNull(), "remove").otherwise("replace")
-    changed = F.col("_old").isNull() | F.col("_new").isNull() | (F.col("value") != F.col("old"))
-    first = F.when(F.col("_new").isNull(), F.col("_g")).otherwise(F.col(game)).alias(game)
-    return both.where(changed).select(
-        first,
-        F.coalesce(ts, "_t").alias(ts),
-        op.alias("op"),
-        F.coalesce("path", "_p").alias("path"),
-        F.coalesce("steps", "_s").alias("steps"),
-        "value",
-        "old",
-    )
+    before = shots.join(times, here).select("_g", F.col("_next").alias("_t"), F.col(body).alias("_before"))
+    pairs = shots.join(before, same([game, ts], ["_g", "_t"]), "left")
+    # Two bodies meet as texts, and only what differs leaves their row: leaves are not shuffled.
+    kind = feed.schema[body].dataType
+    parsed = [F.col(c) if isinstance(kind, T.VariantType) else F.try_parse_json(F.col(c)) for c in (body, "_before")]
+    both = pairs.select(game, ts, parsed[0].alias("_now"), parsed[1].alias("_before"))
+
+    def placed(column: str, side: int) -> Column:
+        def leaf(x: Column) -> Column:
+            text = F.to_json(x["value"]).alias("value")
+            return F.struct(pointer(x["steps"]).alias("path"), F.lit(side).alias("side"), x["steps"].alias("steps"), text)
+
+        return F.coalesce(F.transform(_leaves(F.col(column), levels), leaf), F.array())
+
+    # In order of paths a leaf lies beside the one it replaces.
+    sorted_leaves = both.select(game, ts, F.sort_array(F.concat(placed("_now", 0), placed("_before", 1))).alias("_all"))
+
+    def operation(x: Column, i: Column) -> Column:
+        after, prior = F.get("_all", i + 1), F.get("_all", i - 1)
+        fresh = x["side"] == 0
+        old = F.when(after["path"] == x["path"], after["value"])
+        paired = F.coalesce(F.when(fresh, after["path"]).otherwise(prior["path"]) == x["path"], F.lit(False))
+        op = F.when(fresh & ~paired, "add").when(~fresh & ~paired, "remove").when(fresh & (x["value"] != old), "replace")
+        return F.struct(
+            op.alias("op"),
+            x["path"].alias("path"),
+            x["steps"].alias("steps"),
+            F.when(fresh, x["value"]).alias("value"),
+            F.when(fresh, old).otherwise(x["value"]).alias("old"),
+        )
+
+    changed = F.filter(F.transform("_all", operation), lambda x: x["op"].isNotNull())
+    return sorted_leaves.select(game, ts, F.inline(changed))
 
 
 def diffs_between(diffs: DataFrame, ts: str, start: str | Column | None = None, end: str | Column | None = None) -> DataFrame:
@@ -142,9 +173,13 @@ def feed_replayed(
     is later are left out too. Runs a job for the depth if it is not given.
     """
     seen = diffs if timecode is None else diffs.where(F.col(ts) <= moment(timecode))
-    last = seen.groupBy(F.col(game).alias("_g"), F.col("path").alias("_p")).agg(F.max(ts).alias("_t"))
-    left = seen.join(last, same([game, "path", ts], ["_g", "_p", "_t"])).where("op <> 'remove'")
-    return assemble(left.select(game, "steps", "value"), [game], out, depth)
+    # The operations pass once: the last one of a path in each task, then of all.
+    at_last = F.max(F.struct(F.col(ts).alias("ts"), (F.col("op") != "remove").alias("there"), "steps", "value")).alias("_last")
+    last = seen.groupBy(game, "path").agg(at_last).where("_last.there")
+    # The depth and the bodies read what is left.
+    path = shared_path(diffs.sparkSession, "leaves")
+    last.select(game, "_last.steps", "_last.value").write.parquet(path)
+    return assemble(diffs.sparkSession.read.parquet(path), [game], out, depth)
 
 
 def assemble(leaves: DataFrame, keys: Sequence[str], out: str, depth: int | None = None) -> DataFrame:

@@ -91,6 +91,17 @@ def test_diffs_of_hot_games_and_ties(spark):
 
 
 def test_diff_endpoint(spark):
+def test_leaves_are_compared_in_the_row_and_operations_pass_once(spark):
+    feed = spark.createDataFrame([(1, at(n), json.dumps({"n": [n, None, {}]})) for n in range(3)], "game long, ts timestamp_ntz, body string")
+    diffs = feed_diffs.feed_diffs(feed, "game", "ts", "body")
+    bodies = feed_diffs.feed_replayed(diffs, "game", "ts")
+    assert json.loads(bodies.first()["body"]) == {"n": [2, None, {}]}
+    # Neither leaves nor operations are joined: only bodies by (game, time).
+    plan = diffs._jdf.queryExecution().optimizedPlan().toString()
+    assert "FullOuter" not in plan and "path" not in "".join(line for line in plan.splitlines() if "Join" in line)
+    assert "Join" not in bodies._jdf.queryExecution().optimizedPlan().toString()
+
+
     feed = spark.createDataFrame([(7, at(n), json.dumps({"inning": n // 2, "outs": n})) for n in range(6)], "game_pk long, ts timestamp_ntz, body string")
     ops = query_endpoint("get_gamefeed_diffpatch", feed, Settings(), game_pk=7, startTimecode="20240501_120001", endTimecode="20240501_120003")
     got = {(r["ts"].second, r["op"], r["path"], r["value"], r["old"]) for r in ops.collect()}
