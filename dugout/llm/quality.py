@@ -22,11 +22,11 @@ from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from dugout.llm.common import PerText
+from dugout.llm.common import ROWS, PerText
 
 SYMBOLS = "#*$%&|<>"
 BLANKS = " \t\n\x0b\x0c\r"
@@ -118,43 +118,53 @@ def base_counts(text: str, words: list[bytes]) -> tuple[int, int, int, int, int]
     )
 
 
-def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+# Different words that a task holds before it hands their counts on.
+HELD = 100_000
+
+
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of runs of texts: a run ends at ``HELD`` words, and few texts at a time are held as Python text."""
+    words: dict[str | None, Counter] = {}
+    classes: dict[str | None, np.ndarray] = {}
     for batch in batches:
-        words: dict[str | None, Counter] = {}
-        classes: dict[str | None, np.ndarray] = {}
-        for lang, text in zip(batch["lang"], batch["text"], strict=True):
-            lang = lang if isinstance(lang, str) else None
-            text = text if isinstance(text, str) else ""
-            words.setdefault(lang, Counter()).update(text.lower().encode().split())
-            classes[lang] = classes.get(lang, 0) + class_counts(text)
-        for lang, found in words.items():
-            yield pd.DataFrame(
-                {
-                    "lang": lang,
-                    "kind": ["class"] * len(CLASSES) + ["word"] * (len(found) + 1),
-                    "item": [*CLASSES, *(w.decode() for w in found), ""],
-                    "n": [*classes[lang].tolist(), *found.values(), sum(found.values())],
-                }
-            )
+        for at in range(0, batch.num_rows, ROWS):
+            part = batch.slice(at, ROWS)
+            for lang, text in zip(part.column("lang").to_pylist(), part.column("text").to_pylist(), strict=True):
+                text = text or ""
+                words.setdefault(lang, Counter()).update(text.lower().encode().split())
+                classes[lang] = classes.get(lang, 0) + class_counts(text)
+            if sum(map(len, words.values())) >= HELD:
+                yield from _handed_on(words, classes)
+    yield from _handed_on(words, classes)
+
+
+def _handed_on(words: dict[str | None, Counter], classes: dict[str | None, np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """The counts of each language; leaves both empty."""
+    while words:
+        lang, found = words.popitem()
+        items = [*CLASSES, *(w.decode() for w in found), ""]
+        kinds = ["class"] * len(CLASSES) + ["word"] * (len(found) + 1)
+        numbers = [*classes.pop(lang).tolist(), *found.values(), sum(found.values())]
+        columns = [pa.array([lang] * len(items), pa.string()), pa.array(kinds), pa.array(items), pa.array(numbers, pa.int64())]
+        yield pa.RecordBatch.from_arrays(columns, names=["lang", "kind", "item", "n"])
 
 
 def references(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """Per language: kind (class, word), item, n. The word '' holds the number of all words.
 
-    Batches are counted in Python, the counts are summed by Spark. Only the common words of
+    Runs of texts are counted in Python, in one pass; the counts are summed by Spark. Only the common words of
     each language leave: a bounded table.
     """
     counts = (
         docs.select("lang", "text")
-        .mapInPandas(_count, "lang string, kind string, item string, n long")
+        .mapInArrow(_count, "lang string, kind string, item string, n long")
         .groupBy("lang", "kind", "item")
         .agg(F.sum("n").alias("n"))
     )
     best = Window.partitionBy("lang", "kind").orderBy(F.desc("n"), "item")
-    words = counts.filter("kind = 'word'").withColumn("_r", F.row_number().over(best))
-    # '' is always the first, as it counts all words.
-    words = words.filter(F.col("_r") <= rules.common_words + 1).drop("_r")
-    return counts.filter("kind = 'class'").unionByName(words)
+    # '' is always the first, as it counts all words. All classes stay.
+    first = counts.withColumn("_r", F.row_number().over(best)).filter(F.col("_r") <= max(rules.common_words + 1, len(CLASSES)))
+    return first.filter((F.col("kind") == "class") | (F.col("_r") <= rules.common_words + 1)).drop("_r")
 
 
 def distance(p: np.ndarray, q: np.ndarray) -> np.ndarray:

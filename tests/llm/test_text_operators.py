@@ -5,6 +5,7 @@ import time
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -119,6 +120,21 @@ def test_jensen_shannon_bounds():
     assert quality.distance(p, q) == pytest.approx([1.0, 0.0])
 
 
+def test_quality_references_read_texts_once_in_small_runs(documents, monkeypatch):
+    plan = quality.references(documents)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("_count(") == 1
+    monkeypatch.setattr(quality, "HELD", 3)
+    monkeypatch.setattr(quality, "ROWS", 2)
+    texts = ["one two", "two", None, "three one one", "four", "", "five six"]
+    batch = pa.RecordBatch.from_pydict({"lang": pa.array(["a", "b", "a", None, "a", "b", "a"]), "text": pa.array(texts)})
+    parts = [p.to_pylist() for p in quality._count(iter([batch]))]
+    found = Counter()
+    for row in (r for p in parts for r in p if r["kind"] == "word"):
+        found[row["lang"], row["item"]] += row["n"]
+    assert max(map(len, parts)) < len(quality.CLASSES) + 6 and len(parts) > 3
+    assert found[None, "one"] == 2 and found["a", ""] == 5 and found["b", "two"] == 1
+
+
 def test_quality_rejects_symbols_and_capitals(spark, documents):
     rows = [(r["doc_id"], r["text"], r["lang"]) for r in documents.where("lang = 'en' and length(text) > 1000").collect()]
     bad = [(10**6 + i, " ".join(w + "&&&" for w in t.split()), x) for i, t, x in rows[:2]]
