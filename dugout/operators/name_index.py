@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from dugout.functions.text import blank_to_null
 
 GRAM = 3
+# Postings of one gram that go to one place of the join.
+SPREAD = 100_000
 
 
 def grams(text: Column, sizes: Column) -> Column:
@@ -37,11 +39,12 @@ def name_postings(names: DataFrame, name: str, key: str, size: int = GRAM) -> Da
     return low.select(F.explode(grams(F.col("name"), sizes)).alias("gram"), "key", "name")
 
 
-def names_with(postings: DataFrame, fragments: DataFrame, fragment: str, size: int = GRAM) -> DataFrame:
+def names_with(postings: DataFrame, fragments: DataFrame, fragment: str, size: int = GRAM, spread: int = SPREAD) -> DataFrame:
     """(fragment, key, name) of the names that contain each distinct fragment, without regard to case.
 
     Empty fragments are none. Counts per gram combine before their shuffle; a gram that very many names have
-    is used only by fragments that have no rarer one, and Spark splits it in the join.
+    is used only by fragments that have no rarer one. Its postings are dealt over places of about ``spread``
+    rows, to each of which the fragments that use it go, so no task reads all of them.
     """
     asked = fragments.select(blank_to_null(fragment).alias("fragment")).where("fragment IS NOT NULL").distinct()
     low = F.lower("fragment")
@@ -50,6 +53,11 @@ def names_with(postings: DataFrame, fragments: DataFrame, fragment: str, size: i
     # A gram no name has rules the fragment out, and inner joins drop it: its count of 0 is the least.
     counted = own.join(counts, F.col("gram") == F.col("_gram"), "left").withColumn("n", F.coalesce("n", F.lit(0)))
     rarest = counted.groupBy("fragment").agg(F.min(F.struct("n", "gram")).alias("_least"))
-    rarest = rarest.where("_least.n > 0").select("fragment", F.col("_least.gram").alias("_rare"))
-    met = rarest.join(postings, F.col("_rare") == F.col("gram"))
+    places = F.sequence(F.lit(0).cast("long"), F.ceil(F.col("_least.n") / spread) - 1)
+    rarest = rarest.where("_least.n > 0").select("fragment", F.col("_least.gram").alias("_rare"), F.explode(places).alias("_place"))
+    # At most one gram for every ``spread`` postings, so the table is small.
+    wide = counts.where(F.col("n") > spread).select("_gram", F.ceil(F.col("n") / spread).alias("_places"))
+    dealt = F.coalesce(F.pmod(F.xxhash64("key", "name"), F.col("_places")), F.lit(0))
+    held = postings.join(F.broadcast(wide), F.col("gram") == F.col("_gram"), "left").select("gram", "key", "name", dealt.alias("_at"))
+    met = rarest.join(held, (F.col("_rare") == F.col("gram")) & (F.col("_place") == F.col("_at")))
     return met.where(F.contains("name", F.lower("fragment"))).select("fragment", "key", "name")

@@ -3,6 +3,7 @@
 import datetime as dt
 import json
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -90,7 +91,6 @@ def test_diffs_of_hot_games_and_ties(spark):
     assert {r["value"] for r in plain if r["path"] == "/n" and r["ts"] == at(5)} == {"99"}
 
 
-def test_diff_endpoint(spark):
 def test_leaves_are_compared_in_the_row_and_operations_pass_once(spark):
     feed = spark.createDataFrame([(1, at(n), json.dumps({"n": [n, None, {}]})) for n in range(3)], "game long, ts timestamp_ntz, body string")
     diffs = feed_diffs.feed_diffs(feed, "game", "ts", "body")
@@ -102,6 +102,7 @@ def test_leaves_are_compared_in_the_row_and_operations_pass_once(spark):
     assert "Join" not in bodies._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_diff_endpoint(spark):
     feed = spark.createDataFrame([(7, at(n), json.dumps({"inning": n // 2, "outs": n})) for n in range(6)], "game_pk long, ts timestamp_ntz, body string")
     ops = query_endpoint("get_gamefeed_diffpatch", feed, Settings(), game_pk=7, startTimecode="20240501_120001", endTimecode="20240501_120003")
     got = {(r["ts"].second, r["op"], r["path"], r["value"], r["old"]) for r in ops.collect()}
@@ -182,6 +183,26 @@ def test_fragments_against_comparison_of_all(spark):
     assert "NestedLoop" not in text and "Cartesian" not in text
 
 
+def test_postings_of_a_common_gram_are_spread(spark):
+    people = spark.range(2000).select("id", F.concat(F.lit("Abc"), F.col("id").cast("string")).alias("name"))
+    fragments = spark.createDataFrame([("abc",), ("bc1",), ("C",), ("77",)], "part string")
+    confs = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in confs}
+    for k, v in confs.items():
+        spark.conf.set(k, v)
+    try:
+        got = name_index.names_with(name_index.name_postings(people, "name", "id"), fragments, "part", spread=50)
+        rows = got.select("fragment", "key", F.spark_partition_id().alias("at")).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sorted((r["fragment"], r["key"]) for r in rows) == sorted(
+        (f, n) for f in ("abc", "bc1", "C", "77") for n in range(2000) if f.lower() in f"abc{n}"
+    )
+    common = Counter(r["at"] for r in rows if r["fragment"] == "abc")
+    assert max(common.values()) < 1000
+
+
 # ------------------------------------------------------------------ change log
 
 
@@ -284,6 +305,16 @@ def test_affiliates_with_circles_and_two_parents(spark):
         query_endpoint("get_team_affiliates", season.drop("parent_org_id"), teamIds=1)
 
 
+def test_affiliates_beyond_the_limits_of_a_recursive_query(spark):
+    teams = spark.createDataFrame([(n, n - 1) for n in range(1, 151)], "team long, parent long")
+    spark.conf.set("spark.sql.cteRecursionRowLimit", "1000")
+    try:
+        got = {(r["team"], r["ancestor"]): r["depth"] for r in entities.affiliate_tree(teams, "team", "parent").collect()}
+    finally:
+        spark.conf.unset("spark.sql.cteRecursionRowLimit")
+    assert got == {(n, m): n - m for n in range(1, 151) for m in range(n)}
+
+
 @pytest.mark.parametrize("limit", [None, 2])
 def test_states_at_many_dates(spark, limit):
     rng = random.Random(4)
@@ -316,16 +347,6 @@ def test_streak_summaries_join_like_whole_histories(spark):
         parts = streaks.streak_summary(games, ["player"], ["day", "n"], F.col("hit"), F.floor(F.col("n") / width), limit)
         assert sorted(map(str, streaks.join_summaries(parts, ["player"], limit).collect())) == expected
 
-def test_affiliates_beyond_the_limits_of_a_recursive_query(spark):
-    teams = spark.createDataFrame([(n, n - 1) for n in range(1, 151)], "team long, parent long")
-    spark.conf.set("spark.sql.cteRecursionRowLimit", "1000")
-    try:
-        got = {(r["team"], r["ancestor"]): r["depth"] for r in entities.affiliate_tree(teams, "team", "parent").collect()}
-    finally:
-        spark.conf.unset("spark.sql.cteRecursionRowLimit")
-    assert got == {(n, m): n - m for n in range(1, 151) for m in range(n)}
-
-
 
 def test_streaks_after_an_increment_read_new_games_only(spark):
     rows = [(1, dt.date(2024, 1, 1) + dt.timedelta(days=n), n, n % 5 != 0) for n in range(20)]
