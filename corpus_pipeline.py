@@ -2,7 +2,8 @@
 
 ``STAGES`` lists (name, function); each function takes (spark, docs, sf_dir) and returns a
 DataFrame that is written as Parquet and read again as the next one's docs. All but the last
-return the columns of documents.
+return the columns of documents. Stages that hand texts to workers set the session's Arrow batches
+to few rows, and leave it so: their rows are read after they return.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from dugout.llm import jaccard_join, language, mixing, packing, quality
-from dugout.llm.common import written
+from dugout.llm.common import few_rows, written
 from dugout.llm.queries import SEQUENCE, documents, vocabulary
 
 # Near copies share four fifths of their n-grams of five words.
@@ -21,11 +22,13 @@ NEAR = jaccard_join.Join(words=5, percent=80)
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is known: rejected ones go."""
+    few_rows(spark)
     return language.keep(docs)
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and the divergence rules."""
+    few_rows(spark)
     return quality.keep(docs)
 
 
@@ -41,6 +44,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every piece of the mixed documents with its sequence and place."""
+    few_rows(spark)
     return packing.pack(docs, vocabulary("word_bpe_49k.json"), SEQUENCE)
 
 

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,9 +39,30 @@ ARROW = {"long": pa.int64(), "double": pa.float64(), "boolean": pa.bool_(), "str
 # Rows that ``per_text`` hands over at a time: bounds what their results and texts hold.
 ROWS = 512
 
+BATCH_KEY = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 Work = Callable[[list[str | None]], list[tuple]]
 
 
+def few_rows(spark: SparkSession) -> str:
+    """Has Spark hand workers at most ``ROWS`` rows at a time from now on, so that neither side holds more
+    texts; a lower setting stays. Returns the setting before; rows are the same with any."""
+    before = spark.conf.get(BATCH_KEY)
+    if not 0 < int(before) <= ROWS:
+        spark.conf.set(BATCH_KEY, str(ROWS))
+    return before
+
+
+@contextmanager
+def by_few_rows(spark: SparkSession) -> Iterator[None]:
+    """As ``few_rows`` for the jobs that run inside."""
+    before = few_rows(spark)
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH_KEY, before)
+
+
 class PerText:
     """Results of a function of a text beside the rows' own columns, which pass through as Arrow.
 

@@ -39,7 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from dugout.llm.common import written
+from dugout.llm.common import by_few_rows, written
 from dugout.llm.components import components, forest, in_groups
 
 WORD_SLOTS = 1 << 21
@@ -50,6 +50,8 @@ FOLD = 256
 CLUSTER = 3000
 CLUSTER_GRAMS = 3 << 20
 KEPT_WORDS = 50_000
+# Prefix n-grams that a task holds before it ties their sets.
+TIED = 1 << 19
 MARKS = 1 << 24
 _MIX = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB], np.uint64)
 
@@ -128,7 +130,11 @@ class Order:
         # What a slot holds by chance, four deviations wide; more is heavy, and each doubling heavier.
         usual = float(grams.sum()) / SLOTS
         usual += 4 * usual**0.5 + 2
-        self.heavy = np.maximum(np.floor(np.log2(np.maximum(grams, 1) / usual)) + 1, 0).astype(np.int8)
+        # By chunks, as the steps are in doubles.
+        self.heavy = np.empty(len(grams), np.int8)
+        for at in range(0, len(grams), CHUNK):
+            part = np.maximum(grams[at : at + CHUNK], 1) / usual
+            self.heavy[at : at + CHUNK] = np.maximum(np.floor(np.log2(part)) + 1, 0)
 
     def first(self, h: np.ndarray, join: Join) -> tuple[np.ndarray, np.ndarray]:
         """The set of these words' n-grams, and its prefix."""
@@ -216,37 +222,50 @@ def _runs(grams: np.ndarray, sizes: np.ndarray, join: Join) -> tuple[np.ndarray,
 def _ties(docs: DataFrame, order, join: Join) -> DataFrame:
     """Pairs (a, b) of set ids that share a prefix n-gram, enough of them to connect all that may link.
 
-    A batch ties its own sets and passes on one row per run: an n-gram, a span of sizes, and a set.
+    A task ties its own sets, ``TIED`` prefix n-grams at a time, and passes on one row per run: an
+    n-gram, a span of sizes, and a set.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = order.value
+    def tied(found: list[tuple[np.ndarray, int, int]]) -> Iterator[pa.RecordBatch]:
+        own = [len(first) for first, _, _ in found]
+        g = np.concatenate([first for first, _, _ in found]).view(np.int64)
+        s = np.repeat(np.array([sid for _, sid, _ in found], np.int64), own)
+        n = np.repeat(np.array([size for _, _, size in found], np.int32), own)
+        at, new = _runs(g, n, join)
+        g, s, n = g[at], s[at], n[at]
+        starts = np.flatnonzero(new)
+        ends = np.append(starts[1:], len(g)) - 1
+        yield from rows(g[starts], n[starts], n[ends], s[starts], pa.nulls(len(starts), pa.int64()))
+        inside = np.flatnonzero(~new)
+        pairs = np.unique(np.stack([s[inside - 1], s[inside]], axis=1), axis=0)
+        none = np.zeros(len(pairs), np.int32)
+        yield from rows(pairs[:, 0] ^ pairs[:, 1], none, none, pairs[:, 0], pa.array(pairs[:, 1]))
+
+    def rows(*columns) -> Iterator[pa.RecordBatch]:
+        batch = pa.RecordBatch.from_arrays(list(map(pa.array, columns)), names=["gram", "low", "high", "a", "b"])
+        for start in range(0, batch.num_rows, CHUNK):
+            yield batch.slice(start, CHUNK)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, found, seen, held = order.value, [], set(), 0
         for batch in batches:
-            found, seen = [], set()
-            for text in batch["text"]:
-                h = word_hashes(text)
+            for text in batch.column("text"):
+                h = word_hashes(text.as_py())
                 if not len(h):
                     continue
                 own, first = known.first(h, join)
                 sid = _sid(own)
                 if sid not in seen:
                     seen.add(sid)
-                    found.append((first, np.full(len(first), sid), np.full(len(first), len(own))))
-            if not found:
-                continue
-            g, s, n = (np.concatenate(x) for x in zip(*found, strict=True))
-            g = g.view(np.int64)
-            at, new = _runs(g, n, join)
-            g, s, n = g[at], s[at], n[at]
-            starts = np.flatnonzero(new)
-            ends = np.append(starts[1:], len(g)) - 1
-            none = pd.array([None] * len(starts), "Int64")
-            yield pd.DataFrame({"gram": g[starts], "low": n[starts], "high": n[ends], "a": s[starts], "b": none})
-            inside = np.flatnonzero(~new)
-            pairs = np.unique(np.stack([s[inside - 1], s[inside]], axis=1), axis=0)
-            yield pd.DataFrame({"gram": pairs[:, 0] ^ pairs[:, 1], "low": 0, "high": 0, "a": pairs[:, 0], "b": pd.array(pairs[:, 1], "Int64")})
-
-    found = docs.select("text").mapInPandas(run, "gram long, low int, high int, a long, b long")
+                    found.append((first, sid, len(own)))
+                    held += len(first)
+                if held >= TIED:
+                    yield from tied(found)
+                    found, seen, held = [], set(), 0
+        if found:
+            yield from tied(found)
+
+    found = docs.select("text").mapInArrow(run, "gram long, low int, high int, a long, b long")
     # Among the runs of an n-gram in order of their lowest size, one that fits those before it
     # is tied to the one just before. Ties that are already made pass through.
     by_size = Window.partitionBy("gram", F.col("b").isNull()).orderBy("low", "high", "a")
@@ -409,8 +428,28 @@ def _join_by_trie(sets: list[np.ndarray], sizes: list[int], join: Join) -> list[
     return [trie.find(x) for x in range(len(sets))]
 
 
+def _compressed(docs: DataFrame) -> DataFrame:
+    """Rows (doc_id, _text, _size) of documents: the compressed text and its bytes before, both NULL for NULL.
+
+    Texts meet their slices and groups by two shuffles; compressed one by one they are smaller there
+    than in the blocks that Spark compresses.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = pa.Codec("zstd", 3)
+        for batch in batches:
+            texts = batch.column("text").cast(pa.binary()).to_pylist()
+            packed = [None if t is None else codec.compress(t, asbytes=True) for t in texts]
+            sizes = [None if t is None else len(t) for t in texts]
+            arrays = [batch.column("doc_id"), pa.array(packed, pa.binary()), pa.array(sizes, pa.int64())]
+            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "_text", "_size"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, _text binary, _size long")
+
+
 def _walk(join: Join):
-    """Work on sorted rows (cluster, band, left, right, rep, sid, _text): one edge per set linked to a smaller id.
+    """Work on sorted rows (cluster, band, left, right, rep, sid, _text, _size): one edge per set linked to a smaller id.
 
     A text becomes a set as it comes, so a group costs its sets, which ``_sliced`` bounds, and no text.
     """
@@ -423,7 +462,7 @@ def _walk(join: Join):
         return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, sets = None, {}
+        now, sets, codec = None, {}, pa.Codec("zstd")
         for batch in batches:
             keys = [batch.column(i) for i in range(4)]
             for row in range(batch.num_rows):
@@ -434,7 +473,9 @@ def _walk(join: Join):
                     now, sets = key, {}
                 one = batch.column(4)[row].as_py(), batch.column(5)[row].as_py()
                 if one not in sets:
-                    grams = shingles(batch.column(6)[row].as_py(), join.words)
+                    packed, size = batch.column(6)[row].as_py(), batch.column(7)[row].as_py()
+                    text = None if packed is None else codec.decompress(packed, size, asbytes=True).decode()
+                    grams = shingles(text, join.words)
                     # Of rows that share the id, those with the class's text.
                     if _sid(grams) == one[1]:
                         sets[one] = grams
@@ -499,6 +540,12 @@ def similar_groups(docs: DataFrame, join: Join = Join()) -> DataFrame:
     Runs jobs at once; what is written between steps is in the shared folder. The driver sees
     counts and the sketch, which has a fixed size.
     """
+    # All work in workers is in jobs that run here.
+    with by_few_rows(docs.sparkSession):
+        return _similar_groups(docs, join)
+
+
+def _similar_groups(docs: DataFrame, join: Join) -> DataFrame:
     first = written(_first(docs, join), "grams")
     rows = first.filter("chunk is null").select("doc_id", "n_shingles", "digest", "sid")
     sketch = _sketch(first.filter("chunk is not null"))
@@ -515,11 +562,11 @@ def similar_groups(docs: DataFrame, join: Join = Join()) -> DataFrame:
     # Who is asked for grows with the documents, so the join is a merge at every size. Texts
     # travel, not sets: they compress better than hashes.
     members = (
-        _likely(docs.select("doc_id", F.col("text").alias("_text")), asked)
+        _compressed(_likely(docs.select("doc_id", "text"), asked))
         .join(sliced.hint("merge"), F.col("doc_id") == F.col("rep"))
         .withColumn("_with", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
         .withColumns({"left": F.least("_slot", "_with"), "right": F.greatest("_slot", "_with")})
-        .select("cluster", "band", "left", "right", "rep", "sid", "_text")
+        .select("cluster", "band", "left", "right", "rep", "sid", "_text", "_size")
     )
     of_group = ["cluster", "band", "left", "right"]
     sorted_in = members.repartition(*of_group).sortWithinPartitions(*of_group)

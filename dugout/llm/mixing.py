@@ -112,7 +112,7 @@ def decide(
     """One row per (doc_id, source, size) of ``docs``: n_rows, source_size, target, ``copies`` of every one of
     the rows, and ``n_more``, how many of them get one more.
 
-    Runs one job at once: the sizes are written to the shared folder, so texts are read once.
+    Runs jobs at once: sizes and levels are written to the shared folder, so texts are read once and plans stay short.
     """
     units = written(
         docs.select("doc_id", "source", word_count(F.col("text")).alias("size"))
@@ -139,9 +139,8 @@ def decide(
     certain = asked.filter(F.col("p") < DUST).select("unit", F.lit(0.0).alias("p"))
     items, parts = asked.filter(F.col("p") >= DUST), [certain]
     for level in range(LEVELS):
-        ends = _round_blocks(items, level, seed)
-        if level == 0:
-            ends = written(ends, "mix-blocks")
+        # Each level is read twice; planned in place, the last would hold the plans of all before it many times over.
+        ends = written(_round_blocks(items, level, seed), f"mix-blocks-{level}")
         parts.append(ends.select(F.explode("done").alias("_d")).select("_d.unit", "_d.p"))
         items = ends.select("source", "n_units", "carry.unit", "carry.mass", "carry.p")
     alone = F.when(uniform(F.lit(seed), F.lit("last"), "unit") < F.col("p"), 1.0).otherwise(0.0)

@@ -426,3 +426,39 @@ def test_near_copies_stage_against_brute_force(spark, small):
     want = roots(range(len(texts)), alike(5, 80))
     assert got == {i for i, root in want.items() if i == root}
     assert len(alike(5, 80) - alike(4, 85)) >= 3 and not alike(4, 85) - alike(5, 80)
+
+
+ROWS_AT_ONCE = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+@pytest.mark.parametrize("before, inside", [("10000", "512"), ("0", "512"), ("100", "100")])
+def test_workers_get_few_texts_at_once(spark, odd, small, monkeypatch, before, inside):
+    """With whole partitions at once, near_copies took over 3000 MB of an executor."""
+    seen, whole = [], jaccard_join.components
+    monkeypatch.setattr(jaccard_join, "components", lambda edges: [seen.append(spark.conf.get(ROWS_AT_ONCE)), whole(edges)][1])
+    usual = spark.conf.get(ROWS_AT_ONCE)
+    try:
+        spark.conf.set(ROWS_AT_ONCE, before)
+        jaccard_join.similar_groups(odd)
+        assert seen == [inside] * 2 and spark.conf.get(ROWS_AT_ONCE) == before
+        for name, stage in corpus_pipeline.STAGES:
+            spark.conf.set(ROWS_AT_ONCE, before)
+            if name in ("language_id", "quality_rules", "pack_sequences"):
+                stage(spark, odd, small)
+                assert spark.conf.get(ROWS_AT_ONCE) == inside
+    finally:
+        spark.conf.set(ROWS_AT_ONCE, usual)
+
+
+def test_plan_of_the_mix_holds_no_level_twice(spark, small):
+    decided = mixing.decide(queries.documents(spark, small))
+    assert "collect_list" not in decided._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_texts_travel_compressed(spark):
+    texts = ["a text of some words " * 400, "", None, "é 東京 \x00"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r["doc_id"]: r for r in jaccard_join._compressed(docs).collect()}
+    codec = jaccard_join.pa.Codec("zstd")
+    got = [rows[i]["_text"] and codec.decompress(bytes(rows[i]["_text"]), rows[i]["_size"], asbytes=True).decode() for i in range(4)]
+    assert got == texts and len(rows[0]["_text"]) < 200
