@@ -2,13 +2,14 @@
 
 1. A text with a space before it is cut at every space that follows a character that is no white
    space. No token of either vocabulary crosses such a cut, so pieces are aligned one by one
-   and equal pieces once per worker. A first pass gives, per task, the pairs of linked ids and the
+   and equal pieces once per worker. Texts are aligned once: a written row keeps a text's sums, its digest
+   and its distinct links, packed. From these come, per task, the pairs of linked ids and the
    number of documents that hold them, in buckets by hash.
 2. The distinct pairs of a bucket, merged in a tree of bounded width, get a minimal perfect hash: levels
    of bit tables, a key going to the first level where it meets no other; its number is the rank of
    its bit. Counts become dense vectors indexed by it and are summed in a tree. A bucket is
    written with its bits, its keys in hash order, which verify a look-up, and its counts.
-3. A second pass aligns the documents again and looks every pair up. While there are at most
+3. A second pass over the written links looks every pair up. While there are at most
    ``BROADCAST_PAIRS`` pairs, the tables travel to all workers; with more, the second pass gives a
    row for each distinct pair of a text, which Spark joins with the counts and sums up again. Both
    give the same rows.
@@ -23,7 +24,6 @@ from __future__ import annotations
 import hashlib
 import json
 import re
-import uuid
 import zlib
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
@@ -115,7 +115,7 @@ class PerfectHash:
 @dataclass
 class Pieces:
     """What some pieces give, one after the other: ``totals`` (tokens of A and B, groups, links), the
-    ``pairs`` of their links, and their groups as text, which the first pass does without."""
+    ``pairs`` of their links, and their groups as text."""
 
     totals: np.ndarray
     pairs: np.ndarray
@@ -132,8 +132,7 @@ class Pieces:
         return len(self.totals)
 
     def take(self, which: np.ndarray) -> Pieces:
-        texts = [self.texts[i] for i in which.tolist()] if self.texts else []
-        return Pieces(self.totals[which], self.pairs[self.links_of(which)], texts)
+        return Pieces(self.totals[which], self.pairs[self.links_of(which)], [self.texts[i] for i in which.tolist()])
 
     def links_of(self, which: np.ndarray) -> np.ndarray:
         """Places in ``pairs`` of these pieces' links."""
@@ -141,7 +140,7 @@ class Pieces:
         return np.repeat(starts - np.cumsum(n) + n, n) + np.arange(n.sum())
 
 
-def aligned(a: np.ndarray, b: np.ndarray, a_sizes: np.ndarray, b_sizes: np.ndarray, ends: np.ndarray, with_text: bool) -> Pieces | None:
+def aligned(a: np.ndarray, b: np.ndarray, a_sizes: np.ndarray, b_sizes: np.ndarray, ends: np.ndarray) -> Pieces | None:
     """The pieces of one text, which end at the bytes ``ends``; None if tokens cross such an end.
 
     ``a`` and ``b`` are the ids over the whole text, with their numbers of bytes.
@@ -160,10 +159,8 @@ def aligned(a: np.ndarray, b: np.ndarray, a_sizes: np.ndarray, b_sizes: np.ndarr
     links = (np.repeat(a.astype(np.uint64), n) << np.uint64(32)) | b.astype(np.uint64)[at]
     stops = np.cumsum(shared)[a_of]
     totals = np.stack([np.diff(x, prepend=0) for x in (a_of + 1, b_of + 1, stops, np.cumsum(n)[a_of])], axis=1)
-    texts = []
-    if with_text:
-        groups = _spelt(a.tolist(), b.tolist(), np.flatnonzero(shared) + 1, last[shared] + 1)
-        texts = [";".join(groups[x:y]) for x, y in zip([0, *stops[:-1].tolist()], stops.tolist(), strict=True)]
+    groups = _spelt(a.tolist(), b.tolist(), np.flatnonzero(shared) + 1, last[shared] + 1)
+    texts = [";".join(groups[x:y]) for x, y in zip([0, *stops[:-1].tolist()], stops.tolist(), strict=True)]
     return Pieces(totals, links, texts)
 
 
@@ -195,7 +192,7 @@ class _Bytes:
 class Aligner:
     """Aligns pieces of text by two vocabulary files, and keeps those it may meet again."""
 
-    def __init__(self, a_path: str, b_path: str, with_text: bool = True):
+    def __init__(self, a_path: str, b_path: str):
         import sentencepiece
         from tokenizers import Tokenizer
 
@@ -214,18 +211,15 @@ class Aligner:
             own[i] = bytes([int(piece[3:-1], 16)]) if self.b.is_byte(i) else piece.replace("\u2581", " ").encode()
         self.b_bytes = _Bytes(own)
         self.space = self.b.piece_to_id("\u2581")
-        self.with_text = with_text
         self.known: dict[str, int] = {}
         self.pieces, self.met = Pieces.none(), np.zeros(0, np.int64)
-        # What a run of ``align`` has scored, for the first of the pieces.
-        self.scored_for, self.scores = None, np.zeros((0, 2), np.int64)
 
     def _whole(self, text: str, a: list[int], b: list[int], ends: list[int]) -> Pieces | None:
         """Pieces of a text from its tokens; None if those do not give it back or cross an end."""
         data, a, b = text.encode(), np.array(a, np.int64), np.array(b, np.int64)
         if self.a_bytes.of(a) != data or self.b_bytes.of(b) != data:
             return None
-        return aligned(a, b, self.a_bytes.size[a], self.b_bytes.size[b], np.array(ends), self.with_text)
+        return aligned(a, b, self.a_bytes.size[a], self.b_bytes.size[b], np.array(ends))
 
     def _a_ids(self, text: str) -> list[int]:
         # The fast call leaves out the offsets of tokens.
@@ -278,7 +272,6 @@ class Aligner:
         number[keep] = np.arange(len(keep))
         new = number.tolist()
         self.known = {p: new[i] for p, i in self.known.items() if i >= 0 and new[i] >= 0}
-        self.scores = self.scores[keep[keep < len(self.scores)]]
         self.pieces, self.met = self.pieces.take(keep), self.met[keep] // 2
 
     def texts(self, texts: list[str | None]) -> list[np.ndarray]:
@@ -312,9 +305,9 @@ class Aligner:
 
 
 @lru_cache(1)
-def aligner(a_path: str, b_path: str, with_text: bool = True) -> Aligner:
-    """One per worker process; the first pass does without the text of groups."""
-    return Aligner(a_path, b_path, with_text)
+def aligner(a_path: str, b_path: str) -> Aligner:
+    """One per worker process."""
+    return Aligner(a_path, b_path)
 
 
 def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -339,10 +332,40 @@ def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.
     return keys, sums
 
 
+def _packed_links(pairs: np.ndarray, times: np.ndarray) -> bytes:
+    """Distinct links and how often a text has each: byte by byte, so that the zeros stand together."""
+    planes = (x.view(np.uint8).reshape(-1, x.itemsize).T.ravel() for x in (pairs, times.astype(np.uint32)))
+    return len(pairs).to_bytes(8, "little") + pa.Codec("zstd", 1).compress(np.concatenate([*planes]).tobytes(), asbytes=True)
+
+
+def _links(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    n = int.from_bytes(data[:8], "little")
+    planes = np.frombuffer(pa.Codec("zstd").decompress(data[8:], 12 * n, asbytes=True), np.uint8).reshape(12, n)
+    pairs, times = (x.T.copy().reshape(-1) for x in (planes[:8], planes[8:]))
+    return pairs.view(np.uint64), times.view(np.uint32).astype(np.int64)
+
+
+TOTALS = ("n_a", "n_b", "n_groups", "n_links")
+
+
+def _aligned(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
+    """A written row per row of ``docs``: doc_id, its totals, the digest of its groups, its ``links``."""
+
+    def work(texts: list[str | None]) -> list[tuple]:
+        machine, rows = aligner(a_path, b_path), []
+        for own in machine.texts(texts):
+            pairs, times = np.unique(machine.pairs_of(own), return_counts=True)
+            rows.append((*machine.totals(own), _packed_links(pairs, times)))
+        return rows
+
+    results = {c: "long" for c in TOTALS} | {"groups_sha256": "string", "links": "binary"}
+    return written(PerText(docs, ["doc_id"], "text", results, work).with_columns(), "links")
+
+
 PARTIAL = "bucket int, slot int, pairs binary, counts binary"
 
 
-def _partials(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
+def _partials(aligned: DataFrame) -> DataFrame:
     """Per task and bucket the distinct linked pairs and the number of its documents with each."""
 
     def rows(parts: list, task: int) -> pa.RecordBatch:
@@ -361,16 +384,11 @@ def _partials(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        machine, task = aligner(a_path, b_path, False), TaskContext.get().partitionId()
-        parts, held = [], 0
+        task, parts, held = TaskContext.get().partitionId(), [], 0
         for batch in _batches(batches):
-            of_docs = []
-            for found in machine.texts(batch.column("text").to_pylist()):
-                if len(found):
-                    of_docs.append(np.unique(machine.pairs_of(np.unique(found))))
-            if of_docs:
-                parts.append(np.unique(np.concatenate(of_docs), return_counts=True))
-                held += len(parts[-1][0])
+            of_docs = np.concatenate([_links(x)[0] for x in batch.column("links").to_pylist()])
+            parts.append(np.unique(of_docs, return_counts=True))
+            held += len(parts[-1][0])
             if held > KEPT_PAIRS:
                 parts = [_summed(parts)]
                 held = len(parts[0][0])
@@ -380,7 +398,7 @@ def _partials(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
         if parts:
             yield rows(parts, task)
 
-    return docs.select("text").mapInArrow(run, PARTIAL)
+    return aligned.select("links").mapInArrow(run, PARTIAL)
 
 
 def _tree(rows: DataFrame, width: int, merge) -> DataFrame:
@@ -460,7 +478,11 @@ def counted(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
 
     Runs jobs at once; the driver sees the number of tasks.
     """
-    partials = written(_partials(docs, a_path, b_path), "pairs")
+    return _counted(_aligned(docs, a_path, b_path))
+
+
+def _counted(aligned: DataFrame) -> DataFrame:
+    partials = written(_partials(aligned), "pairs")
     width = (partials.agg(F.max("slot")).first()[0] or 0) + 1
 
     def union(value, keys):
@@ -492,8 +514,7 @@ def pair_counts(table: DataFrame) -> DataFrame:
 class Counts:
     """The counts of all pairs, looked up by the perfect hash and verified by the keys."""
 
-    def __init__(self, rows: list, run: str):
-        self.run = run
+    def __init__(self, rows: list):
         # Buckets without pairs have no table.
         held = {r["bucket"]: r for r in rows}
         bits = [[np.frombuffer(b, np.uint64) for b in held[k]["bits"]] if k in held else [] for k in range(BUCKETS)]
@@ -512,30 +533,19 @@ class Counts:
         at = self.hash.find(pairs, bucket_of(pairs))
         return np.where((at >= 0) & (self.keys[at] == pairs), self.counts[at], 0)
 
-    def score(self, machine: Aligner) -> np.ndarray:
-        """For each piece of ``machine`` (links whose count is the highest of their A id, sum of counts).
-
-        A worker may still hold pieces of other tables, whose pairs are unknown here: these score -1.
-        """
-        if machine.scored_for != self.run:
-            machine.scored_for, machine.scores = self.run, machine.scores[:0]
-        known, every = len(machine.scores), machine.pieces
-        if known < len(every):
-            new = np.arange(known, len(every))
-            pairs = every.pairs[every.links_of(new)]
-            counts = self.of(pairs)
-            ids = np.minimum((pairs >> np.uint64(32)).astype(np.int64), len(self.best) - 1)
-            best = counts == self.best[ids]
-            n = every.totals[known:, 3]
-            # A piece has one link at least.
-            starts = np.cumsum(n) - n
-            both = np.stack([np.add.reduceat(x.astype(np.int64), starts) for x in (best, counts)], axis=1)
-            both[np.minimum.reduceat(counts, starts) == 0] = -1
-            machine.scores = np.concatenate([machine.scores, both])
-        return machine.scores
-
-
-TOTALS = ("n_a", "n_b", "n_groups", "n_links")
+    def scores(self, texts: list[bytes]) -> list[tuple[int, int]]:
+        """For the packed links of each text (links whose count is the highest of their A id, sum of counts)."""
+        found = list(map(_links, texts))
+        pairs = np.concatenate([p for p, _ in found])
+        counts = self.of(pairs)
+        if not counts.all():
+            raise LookupError("a pair of a text is not in the table of counts")
+        best = counts == self.best[(pairs >> np.uint64(32)).astype(np.int64)]
+        ends = np.cumsum([len(p) for p, _ in found])
+        times = np.concatenate([t for _, t in found])
+        # Sums up to each text's end, so that texts without links are like any other.
+        sums = [np.diff(np.append(0, np.cumsum(x * times))[np.append(0, ends)]) for x in (best, counts)]
+        return list(zip(*(x.tolist() for x in sums), strict=True))
 
 
 def groups(docs: DataFrame, a_path: str, b_path: str, columns: Sequence[str] = ("doc_id",)) -> DataFrame:
@@ -555,46 +565,37 @@ def align(docs: DataFrame, a_path: str, b_path: str, limit: int = BROADCAST_PAIR
     Runs jobs at once. The driver gathers the counts of at most ``limit`` pairs to send them to the
     workers; beyond it, counts meet the documents by a join.
     """
-    table = counted(docs, a_path, b_path)
+    aligned = _aligned(docs, a_path, b_path)
+    table = _counted(aligned)
     n = table.agg(F.sum("n")).first()[0] or 0
-    names = [*TOTALS, "n_best", "count_sum", "groups_sha256"]
+    names = ["doc_id", *TOTALS, "n_best", "count_sum", "groups_sha256"]
     if n > limit:
-        return _aligned_by_join(docs, a_path, b_path, pair_counts(table)).select("doc_id", *names)
-    sent = docs.sparkSession.sparkContext.broadcast(Counts(table.collect(), uuid.uuid4().hex))
-
-    def work(texts: list[str | None]) -> list[tuple]:
-        machine = aligner(a_path, b_path)
-        found = machine.texts(texts)
-        scores, rows = sent.value.score(machine), []
-        for own in found:
-            *totals, digest = machine.totals(own)
-            if len(own) and scores[own].min() < 0:
-                raise LookupError("a pair of the second pass is not in the first: the documents changed in between")
-            rows.append((*totals, *scores[own].sum(axis=0).tolist(), digest))
-        return rows
+        return _scored_by_join(aligned, pair_counts(table)).select(names)
+    sent = docs.sparkSession.sparkContext.broadcast(Counts(table.collect()))
+    results = {"n_best": "long", "count_sum": "long"}
+    own = ["doc_id", *TOTALS, "groups_sha256"]
+    return PerText(aligned, own, "links", results, lambda texts: sent.value.scores(texts)).with_columns().select(names)
 
-    results = {c: "long" for c in names[:-1]} | {names[-1]: "string"}
-    return PerText(docs, ["doc_id"], "text", results, work).with_columns()
 
+def _scored_by_join(aligned: DataFrame, counts: DataFrame) -> DataFrame:
+    """``aligned`` with its scores, a row for each distinct pair of a text meeting its count by a join."""
 
-def _aligned_by_join(docs: DataFrame, a_path: str, b_path: str, counts: DataFrame) -> DataFrame:
-    """As ``align``, a row for each distinct pair of a text meeting its count by a join."""
-
-    def work(texts: list[str | None]) -> list[tuple]:
-        machine, rows = aligner(a_path, b_path), []
-        for own in machine.texts(texts):
-            pairs, times = np.unique(machine.pairs_of(own), return_counts=True)
-            rows.append((*machine.totals(own), pairs.astype(np.int64).tolist(), times.tolist()))
-        return rows
-
-    results = {c: "long" for c in TOTALS} | {"groups_sha256": "string", "pairs": "array<long>", "times": "array<long>"}
-    keyed = docs.select("doc_id", F.unhex(F.md5("text")).alias("_text"), "text")
-    rows = written(PerText(keyed, ["doc_id", "_text"], "text", results, work).with_columns(), "links")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _batches(batches):
+            found = list(map(_links, batch.column("links").to_pylist()))
+            at = pa.array(np.repeat(np.arange(len(found)), [len(p) for p, _ in found]))
+            keys = [batch.column(c).take(at) for c in ("doc_id", "_text")]
+            pairs = pa.array(np.concatenate([p for p, _ in found]).view(np.int64))
+            times = pa.array(np.concatenate([t for _, t in found]))
+            yield pa.RecordBatch.from_arrays([*keys, pairs, times], names=["doc_id", "_text", "_pair", "_times"])
+
+    rows = aligned.withColumn("_text", F.unhex(F.md5("links")))
     of_doc = ["doc_id", "_text", *TOTALS, "groups_sha256"]
-    # Equal rows were told apart by nothing: they are counted, and come apart at the end.
+    # Rows with equal links were told apart by nothing else: they are counted, and come apart at the end.
     heads = rows.groupBy(*of_doc).agg(F.count(F.lit(1)).alias("_rows"))
-    each = rows.select("doc_id", "_text", F.explode(F.arrays_zip("pairs", "times")).alias("_link"))
-    links = each.groupBy("doc_id", "_text", F.col("_link.pairs").alias("_pair")).agg(F.max("_link.times").alias("_times"))
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    each = rows.select("doc_id", "_text", "links").mapInArrow(run, f"doc_id {kind}, _text binary, _pair long, _times long")
+    links = each.groupBy("doc_id", "_text", "_pair").agg(F.max("_times").alias("_times"))
     of_a = counts.groupBy(F.col("a").alias("_a")).agg(F.max("n_docs").alias("_best"))
     known = counts.join(of_a, F.col("a") == F.col("_a"))
     known = known.select((F.shiftleft("a", 32) + F.col("b")).alias("_key"), "n_docs", (F.col("n_docs") == F.col("_best")).alias("_top"))

@@ -35,7 +35,7 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-ARROW = {"long": pa.int64(), "double": pa.float64(), "boolean": pa.bool_(), "string": pa.string(), "array<long>": pa.list_(pa.int64())}
+ARROW = {"long": pa.int64(), "double": pa.float64(), "boolean": pa.bool_(), "string": pa.string(), "binary": pa.binary()}
 # Rows that ``per_text`` hands over at a time: bounds what their results and texts hold.
 ROWS = 512
 

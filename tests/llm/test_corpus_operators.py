@@ -315,6 +315,21 @@ def test_alignment_of_one_table_after_another(spark):
         same_rows(alignment.align(table, A, B).collect(), brute_alignment(docs)[0])
 
 
+@pytest.mark.parametrize("limit", [alignment.BROADCAST_PAIRS, 0])
+def test_texts_are_aligned_once(documents, limit):
+    """The second pass reads what the first has written, not the documents."""
+    found = alignment.align(documents, A, B, limit).inputFiles()
+    assert found and not set(found) & set(documents.inputFiles())
+
+
+def test_links_are_packed_whole():
+    pairs = np.unique(np.random.default_rng(3).integers(0, 2**63, 500, dtype=np.uint64))
+    times = np.arange(500) ** 3
+    for n in (0, 1, 500):
+        got = alignment._links(alignment._packed_links(pairs[:n], times[:n]))
+        assert got[0].tolist() == pairs[:n].tolist() and got[1].tolist() == times[:n].tolist()
+
+
 @pytest.mark.parametrize("n", [0, 1, 2, 63, 5000])
 def test_perfect_hash_is_minimal(n):
     keys = np.unique(np.random.default_rng(n).integers(0, 2**63, n, dtype=np.uint64))
