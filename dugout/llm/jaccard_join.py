@@ -66,6 +66,10 @@ class Join:
     def prefix(self, size: int) -> int:
         return size - -(-self.percent * size // 100) + 1
 
+    def index(self, size):
+        """The part of the prefix that suffices for the smaller set of a pair, or either of equal ones."""
+        return size - -(-2 * self.percent * size // (100 + self.percent)) + 1
+
     def fits(self, small, large):
         """Whether sets of these sizes, the smaller one first, can be similar enough."""
         return 100 * small >= self.percent * large
@@ -207,42 +211,49 @@ def _sketch(parts: DataFrame) -> np.ndarray:
     return sketch
 
 
-def _runs(grams: np.ndarray, sizes: np.ndarray, join: Join) -> tuple[np.ndarray, np.ndarray]:
-    """For rows of (n-gram, set size): their order by both, and whether a row in it begins a new run.
+def _runs(grams: np.ndarray, sizes: np.ndarray, index: np.ndarray, join: Join) -> tuple[np.ndarray, np.ndarray]:
+    """For rows of (n-gram, set size, whether the n-gram is in the set's ``index`` part): their order by n-gram
+    and size, and for each row in it the place of the row it is tied to, or -1.
 
-    Within an n-gram's run each size fits the next. Two sets that may link are in one run.
+    Of two sets that may link, the smaller one has a shared n-gram in its index part. So a row is tied to the
+    last index row of its n-gram before it, if that one's size fits, and all that may link are connected.
+    Rows without a tie begin runs: an index row with those tied after it, or another row alone.
     """
     order = np.lexsort((sizes, grams))
     g, n = grams[order], sizes[order]
-    new = np.ones(len(g), bool)
-    new[1:] = (g[1:] != g[:-1]) | ~join.fits(n[:-1], n[1:])
-    return order, new
+    last = np.maximum.accumulate(np.where(index[order], np.arange(len(g)), -1))
+    last = np.append(-1, last)[: len(g)]
+    tied = (last >= 0) & (g[last] == g) & join.fits(n[last], n)
+    return order, np.where(tied, last, -1)
 
 
 def _ties(docs: DataFrame, order, join: Join) -> DataFrame:
     """Pairs (a, b) of set ids that share a prefix n-gram, enough of them to connect all that may link.
 
     A task ties its own sets, ``TIED`` prefix n-grams at a time, and passes on one row per run: an
-    n-gram, a span of sizes, and a set.
+    n-gram, the least size and the largest one of index rows (0: none), and a set.
     """
 
     def tied(found: list[tuple[np.ndarray, int, int]]) -> Iterator[pa.RecordBatch]:
-        own = [len(first) for first, _, _ in found]
+        own = np.array([len(first) for first, _, _ in found])
         g = np.concatenate([first for first, _, _ in found]).view(np.int64)
         s = np.repeat(np.array([sid for _, sid, _ in found], np.int64), own)
-        n = np.repeat(np.array([size for _, _, size in found], np.int32), own)
-        at, new = _runs(g, n, join)
-        g, s, n = g[at], s[at], n[at]
-        starts = np.flatnonzero(new)
-        ends = np.append(starts[1:], len(g)) - 1
-        yield from rows(g[starts], n[starts], n[ends], s[starts], pa.nulls(len(starts), pa.int64()))
-        inside = np.flatnonzero(~new)
-        pairs = np.unique(np.stack([s[inside - 1], s[inside]], axis=1), axis=0)
-        none = np.zeros(len(pairs), np.int32)
+        n = np.repeat(np.array([size for _, _, size in found], np.int64), own)
+        index = np.arange(len(g)) - np.repeat(np.cumsum(own) - own, own) < join.index(n)
+        at, to = _runs(g, n, index, join)
+        g, s, n, index = g[at], s[at], n[at], index[at]
+        starts = np.flatnonzero(to < 0)
+        high = np.maximum.reduceat(np.where(index, n, 0), starts)
+        yield from rows(g[starts], n[starts], high, s[starts], pa.nulls(len(starts), pa.int64()))
+        inside = np.flatnonzero(to >= 0)
+        pairs = np.unique(np.stack([s[to[inside]], s[inside]], axis=1), axis=0)
+        none = np.zeros(len(pairs), np.int64)
         yield from rows(pairs[:, 0] ^ pairs[:, 1], none, none, pairs[:, 0], pa.array(pairs[:, 1]))
 
     def rows(*columns) -> Iterator[pa.RecordBatch]:
-        batch = pa.RecordBatch.from_arrays(list(map(pa.array, columns)), names=["gram", "low", "high", "a", "b"])
+        kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64())
+        arrays = [pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)]
+        batch = pa.RecordBatch.from_arrays(arrays, names=["gram", "low", "high", "a", "b"])
         for start in range(0, batch.num_rows, CHUNK):
             yield batch.slice(start, CHUNK)
 
@@ -266,11 +277,12 @@ def _ties(docs: DataFrame, order, join: Join) -> DataFrame:
             yield from tied(found)
 
     found = docs.select("text").mapInArrow(run, "gram long, low int, high int, a long, b long")
-    # Among the runs of an n-gram in order of their lowest size, one that fits those before it
-    # is tied to the one just before. Ties that are already made pass through.
+    # Among the runs of an n-gram in order of their lowest size, one that fits index rows before it
+    # is tied to the last run with one. Ties that are already made pass through.
     by_size = Window.partitionBy("gram", F.col("b").isNull()).orderBy("low", "high", "a")
-    reach = F.max("high").over(by_size.rowsBetween(Window.unboundedPreceding, -1))
-    before = F.lag("a").over(by_size)
+    earlier = by_size.rowsBetween(Window.unboundedPreceding, -1)
+    reach = F.max("high").over(earlier)
+    before = F.last(F.when(F.col("high") > 0, F.col("a")), ignorenulls=True).over(earlier)
     fit = F.col("low") * join.percent <= reach * 100
     return (
         found.withColumns({"_before": before, "_fit": fit})
@@ -372,9 +384,10 @@ def linked(sets: list[np.ndarray], join: Join) -> list[int]:
     place = np.arange(len(tokens)) - np.repeat(np.cumsum(own) - own, own) + (sizes - own)[owner]
     prefix = np.array([join.prefix(n) for n in sizes])
     keep = order[place < prefix[owner]]
-    at, new = _runs(tokens[keep], sizes[owner[keep]], join)
-    inside = np.flatnonzero(~new)
-    ties = np.stack([owner[keep[at[inside - 1]]], owner[keep[at[inside]]]], axis=1)
+    index = place[place < prefix[owner]] < join.index(sizes[owner[keep]])
+    at, to = _runs(tokens[keep], sizes[owner[keep]], index, join)
+    inside = np.flatnonzero(to >= 0)
+    ties = np.stack([owner[keep[at[to[inside]]]], owner[keep[at[inside]]]], axis=1)
     cluster = forest(len(sets), np.unique(ties, axis=0))
     # Common n-grams first: neighbours in the trie then share long paths.
     rank = np.empty(len(counts), np.int32)

@@ -428,6 +428,24 @@ def test_near_copies_stage_against_brute_force(spark, small):
     assert len(alike(5, 80) - alike(4, 85)) >= 3 and not alike(4, 85) - alike(5, 80)
 
 
+def test_ties_need_the_index_part_of_the_smaller_set():
+    """Sets that share n-grams late in both prefixes only cannot link; all that may link are connected."""
+    join = jaccard_join.Join()
+    grams, sizes = np.array([7, 7, 7, 7, 7, 9, 9], np.int64), np.array([100, 104, 108, 110, 200, 100, 104])
+    at, to = jaccard_join._runs(grams, sizes, np.array([False, True, False, True, False, False, False]), join)
+    assert at.tolist() == list(range(7)) and to.tolist() == [-1, -1, 1, 1, -1, -1, -1]
+    none = np.zeros(0, np.int64)
+    assert [len(x) for x in jaccard_join._runs(none, none, none.astype(bool), join)] == [0, 0]
+    rng = random.Random(3)
+    for _ in range(300):
+        sets = [frozenset(rng.sample(range(30), rng.randint(1, 25))) for _ in range(2)]
+        for join in (jaccard_join.Join(), jaccard_join.Join(5, 80), jaccard_join.Join(5, 40)):
+            small, large = sorted(sets, key=len)
+            if 100 * len(small & large) >= join.percent * len(small | large):
+                first = min(small & large)
+                assert sorted(small).index(first) < join.index(len(small)) and sorted(large).index(first) < join.prefix(len(large))
+
+
 ROWS_AT_ONCE = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
