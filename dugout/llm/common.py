@@ -40,6 +40,7 @@ ARROW = {"long": pa.int64(), "double": pa.float64(), "boolean": pa.bool_(), "str
 ROWS = 512
 
 BATCH_KEY = "spark.sql.execution.arrow.maxRecordsPerBatch"
+READ_KEY = "spark.sql.parquet.columnarReaderBatchSize"
 
 Work = Callable[[list[str | None]], list[tuple]]
 
@@ -63,6 +64,20 @@ def by_few_rows(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(BATCH_KEY, before)
 
 
+@contextmanager
+def read_by_few_rows(spark: SparkSession) -> Iterator[None]:
+    """As ``by_few_rows``, and Parquet files are read by at most ``ROWS`` rows at a time too, as the texts of the
+    usual 4,096 rows are one array, which grows by doubling."""
+    before = spark.conf.get(READ_KEY)
+    if int(before) > ROWS:
+        spark.conf.set(READ_KEY, str(ROWS))
+    try:
+        with by_few_rows(spark):
+            yield
+    finally:
+        spark.conf.set(READ_KEY, before)
+
+
 class PerText:
     """Results of a function of a text beside the rows' own columns, which pass through as Arrow.
 

@@ -13,8 +13,8 @@ not depend on the number of documents, and Spark then puts every piece in its pl
 4. Small pieces, longest first, go where they leave the least room; new sequences are opened only
    when none has room.
 
-A piece finds its place by its number within its length (``numbered``), so no length and no
-sequence is worked on in one task.
+A piece finds its place by its number within its length: its rank in a block of the length's
+pieces and the pieces in the blocks before, so no length and no sequence is worked on in one task.
 
 Defined results: a NULL text is an empty one, which is one token (the end mark) long; repeated
 rows are packed each; an empty table gives an empty table; other columns are dropped.
@@ -33,15 +33,16 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from dugout.llm.common import numbered, written
+from dugout.llm.common import ROWS, read_by_few_rows, written
 from dugout.llm.token_counts import byte_names
 
 GROUPS = 1024
 SMALL = 3  # a piece is small if that many fit into one sequence
 BLOCKS = 256
+COUNTS = 4096  # of so many parts of all pieces, a block has about one
 KEPT_WORDS = 300_000
 # Letters and then marks, both maybe missing. An apostrophe or an angle bracket may start more.
 SIMPLE = re.compile(r"([^\W\d_]*)([!\"#$%&()*+,\-./:;=?@\[\\\]^_`{|}~]+)")
@@ -122,25 +123,26 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int, with_ids: bool = Fal
     A document is its ids and the end mark 0. ``with_ids`` adds the ids themselves.
     """
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"][: 5 + with_ids]
+    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())][: 5 + with_ids]
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _ids(vocabulary)
         step = 4 * capacity
         for batch in batches:
-            rows = []
-            for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
-                ids = (words.text(text) if isinstance(text, str) else b"") + b"\0\0\0\0"
-                for k, at in enumerate(range(0, len(ids), step)):
-                    part = ids[at : at + step]
-                    row = (doc_id, k, k * capacity, len(part) // 4, zlib.crc32(part))
-                    rows.append((*row, np.frombuffer(part, "<u4").tolist()) if with_ids else row)
-            names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"][: 5 + with_ids]
-            yield pd.DataFrame(rows, columns=names)
-
-    # Ids travel as text: beside a NULL, pandas would make long ids floats.
-    found = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text").mapInPandas(
-        cut, PIECES.replace("doc_id long", "doc_id string") + ", ids array<long>" * with_ids
-    )
-    return found.withColumn("doc_id", F.col("doc_id").cast("long"))
+            for first in range(0, batch.num_rows, ROWS):
+                part = batch.slice(first, ROWS)
+                rows = []
+                for doc_id, text in zip(*(part.column(c).to_pylist() for c in ("doc_id", "text")), strict=True):
+                    ids = (b"" if text is None else words.text(text)) + b"\0\0\0\0"
+                    for k, at in enumerate(range(0, len(ids), step)):
+                        own = ids[at : at + step]
+                        row = (doc_id, k, k * capacity, len(own) // 4, zlib.crc32(own))
+                        rows.append((*row, np.frombuffer(own, "<u4").tolist()) if with_ids else row)
+                arrays = [pa.array(column, kind) for column, kind in zip(zip(*rows, strict=True), kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays(arrays, names=names)
+
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(cut, PIECES + ", ids array<long>" * with_ids)
 
 
 @dataclass
@@ -293,29 +295,60 @@ def places(runs: list[_Run]) -> pd.DataFrame:
     return table.sort_values(["length", "first"], ignore_index=True)
 
 
+def _blocks(histogram: dict[int, int]) -> pa.Table:
+    """Lengths whose pieces go to more than one block, fewer than ``COUNTS``, and how many blocks."""
+    total = sum(histogram.values())
+    many = {n: min(BLOCKS, -(-count * COUNTS // total)) for n, count in histogram.items() if count * COUNTS > total}
+    return pa.table({"_of": pa.array(many.keys(), pa.int64()), "_blocks": pa.array(many.values(), pa.int64())})
+
+
+def _starts(counts: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """From counts per length and block: a sorted key of both, and how many pieces of the length are
+    in blocks before."""
+    length, block, n = (counts.column(c).to_numpy() for c in ("length", "_block", "count"))
+    order = np.lexsort((block, length))
+    length, block, n = length[order], block[order], n[order]
+    _, at, of = np.unique(length, return_index=True, return_inverse=True)
+    before = np.cumsum(n) - n
+    return length * BLOCKS + block, before - before[at][of]
+
+
 def place(cut: DataFrame, capacity: int, groups: int = GROUPS) -> DataFrame:
     """Adds sequence_id and offset to pieces (doc_id, piece, length, ids_crc32 and any others).
 
-    Runs two jobs at once: pieces are written to the shared folder, then counted per length. Only
-    that histogram of at most ``capacity`` rows reaches the driver, and the plan, bounded by it, goes back.
+    Runs three jobs at once: pieces are written to the shared folder, then counted per length, then
+    per length and block. Only these counts, at most ``capacity`` plus ``COUNTS``, reach the driver;
+    they and the plan, bounded by them, go back. Pieces are then shuffled and sorted once.
     """
     spark = cut.sparkSession
-    cut = written(cut, "pieces")
+    with read_by_few_rows(spark):
+        cut = written(cut, "pieces")
     histogram = {r["length"]: r["count"] for r in cut.groupBy("length").count().collect()}
-    table = spark.sparkContext.broadcast(places(plan(histogram, capacity, groups)))
-    block = F.pmod(F.xxhash64("doc_id", "piece"), F.lit(BLOCKS))
-    order = [F.col("doc_id"), F.col("piece"), F.col("ids_crc32")]
-    ranked = numbered(cut, ["length"], block, order, "_number")
+    # A block is a stretch of a length's buckets, so numbers do not depend on the blocks.
+    bucket = F.pmod(F.xxhash64("doc_id", "piece"), F.lit(BLOCKS))
+    of = F.broadcast(spark.createDataFrame(_blocks(histogram)))
+    held = (
+        cut.join(of, F.col("length") == F.col("_of"), "left")
+        .withColumn("_bucket", bucket)
+        .withColumn("_block", F.floor(F.col("_bucket") * F.coalesce("_blocks", F.lit(1)) / BLOCKS))
+        .drop("_of", "_blocks")
+    )
+    starts, before = _starts(held.groupBy("length", "_block").count().toArrow())
+    table = spark.sparkContext.broadcast((starts, before, places(plan(histogram, capacity, groups))))
+    # Numbers of a length are apart from those of others, so one sorted list serves all.
+    wide = max(histogram.values(), default=0) + 1
+    own = Window.partitionBy("length", "_block").orderBy("_bucket", "doc_id", "piece", "ids_crc32")
+    ranked = held.withColumn("_in", F.row_number().over(own) - 1)
 
     columns = cut.columns
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        t = {c: table.value[c].to_numpy() for c in table.value.columns}
-        # Numbers of a length are apart from those of others, so one sorted list serves all.
-        wide = max(histogram.values(), default=0) + 1
+        starts, before, planned = table.value
+        t = {c: planned[c].to_numpy() for c in planned.columns}
         keys = t["length"] * wide + t["first"]
         for batch in batches:
-            length, number = (batch.column(c).to_numpy() for c in ("length", "_number"))
+            length, block, inside = (batch.column(c).to_numpy() for c in ("length", "_block", "_in"))
+            number = before[np.searchsorted(starts, length * BLOCKS + block)] + inside
             at = np.searchsorted(keys, length * wide + number, side="right") - 1
             gone, each = number - t["first"][at], t["each"][at]
             found = (t["sequence"][at] + gone // each, t["offset"][at] + gone % each * t["length"][at])

@@ -121,6 +121,48 @@ def test_packing_odd_rows(spark, odd, none):
     assert packing.pack(none, WORDS).count() == 0
 
 
+READ_AT_ONCE = "spark.sql.parquet.columnarReaderBatchSize"
+
+
+@pytest.mark.parametrize("before, inside", [(("10000", "4096"), ("512", "512")), (("100", "100"), ("100", "100"))])
+def test_packing_reads_few_texts_at_once(spark, odd, monkeypatch, before, inside):
+    """With thousands of texts at once, an executor's heap grew until a copy of it, for a moment, passed 3000 MB."""
+    keys, seen, write = (ROWS_AT_ONCE, READ_AT_ONCE), [], packing.written
+    monkeypatch.setattr(packing, "written", lambda df, label: [seen.append(tuple(map(spark.conf.get, keys))), write(df, label)][1])
+    usual = [spark.conf.get(k) for k in keys]
+    try:
+        for k, v in zip(keys, before, strict=True):
+            spark.conf.set(k, v)
+        packing.pack(odd, WORDS)
+        assert seen == [inside] and tuple(map(spark.conf.get, keys)) == before
+    finally:
+        for k, v in zip(keys, usual, strict=True):
+            spark.conf.set(k, v)
+
+
+def test_packing_shuffles_and_sorts_pieces_once(spark, odd):
+    plan = packing.pack(odd, WORDS)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and plan.count("Exchange hashpartitioning") == 1 and plan.count("Sort [") == 1
+
+
+def test_numbers_of_pieces_do_not_depend_on_blocks(spark, monkeypatch):
+    """A length that most pieces have, keys that repeat or are NULL, and ids over 2^53."""
+    ids, found = [None, 7, 2**53 + 1, *range(700)], []
+    docs = spark.createDataFrame([(i, t) for i in ids for t in ("the", "the", None)], "doc_id long, text string").repartition(3)
+    for counts, blocks in ((packing.COUNTS, 256), (16, 11), (1, 1)):
+        monkeypatch.setattr(packing, "COUNTS", counts)
+        assert max(packing._blocks({1: len(ids), 2: 2 * len(ids)})["_blocks"].to_pylist(), default=1) == blocks
+        found.append(sorted(map(tuple, packing.pack(docs, WORDS, 8).collect()), key=repr))
+    assert found[0] == found[1] == found[2]
+    assert Counter(r[0] for r in found[0]) == Counter(i for i in ids for _ in range(3))
+    held = defaultdict(list)
+    for *_, length, _, sequence, offset in found[0]:
+        held[sequence].append((offset, length))
+    for inside in held.values():
+        assert [o for o, _ in sorted(inside)] == [sum(n for _, n in sorted(inside)[:k]) for k in range(len(inside))]
+    assert len(held) == -(-sum(r[3] for r in found[0]) // 8)
+
+
 # ------------------------------------------------------------------ sharding
 
 
