@@ -2,8 +2,8 @@
 
 ``STAGES`` lists (name, function); each function takes (spark, docs, sf_dir) and returns a
 DataFrame that is written as Parquet and read again as the next one's docs. All but the last
-return the columns of documents. Stages that hand texts to workers set the session's Arrow batches
-to few rows, and leave it so: their rows are read after they return.
+return the columns of documents. Stages have the session read Parquet files and hand texts to workers
+by few rows, and leave it so: their rows are read after they return.
 """
 
 from __future__ import annotations
@@ -34,11 +34,13 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of similar ones, by the rule for stages: wider than the op 7 query's."""
+    few_rows(spark)
     return jaccard_join.keep_one(docs, NEAR)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as their source's target asks for."""
+    few_rows(spark)
     return mixing.apply_mix(docs)
 
 

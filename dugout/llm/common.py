@@ -45,12 +45,14 @@ READ_KEY = "spark.sql.parquet.columnarReaderBatchSize"
 Work = Callable[[list[str | None]], list[tuple]]
 
 
-def few_rows(spark: SparkSession) -> str:
-    """Has Spark hand workers at most ``ROWS`` rows at a time from now on, so that neither side holds more
-    texts; a lower setting stays. Returns the setting before; rows are the same with any."""
-    before = spark.conf.get(BATCH_KEY)
-    if not 0 < int(before) <= ROWS:
-        spark.conf.set(BATCH_KEY, str(ROWS))
+def few_rows(spark: SparkSession) -> dict[str, str]:
+    """Has Spark read Parquet files and hand workers at most ``ROWS`` rows at a time from now on, so that neither
+    side holds more texts (those of the usual 4,096 rows are one array, which grows by doubling); lower settings
+    stay. Returns the settings before; rows are the same with any."""
+    before = {key: spark.conf.get(key) for key in (BATCH_KEY, READ_KEY)}
+    for key, rows in before.items():
+        if not 0 < int(rows) <= ROWS:
+            spark.conf.set(key, str(ROWS))
     return before
 
 
@@ -61,21 +63,8 @@ def by_few_rows(spark: SparkSession) -> Iterator[None]:
     try:
         yield
     finally:
-        spark.conf.set(BATCH_KEY, before)
-
-
-@contextmanager
-def read_by_few_rows(spark: SparkSession) -> Iterator[None]:
-    """As ``by_few_rows``, and Parquet files are read by at most ``ROWS`` rows at a time too, as the texts of the
-    usual 4,096 rows are one array, which grows by doubling."""
-    before = spark.conf.get(READ_KEY)
-    if int(before) > ROWS:
-        spark.conf.set(READ_KEY, str(ROWS))
-    try:
-        with by_few_rows(spark):
-            yield
-    finally:
-        spark.conf.set(READ_KEY, before)
+        for key, rows in before.items():
+            spark.conf.set(key, rows)
 
 
 class PerText:

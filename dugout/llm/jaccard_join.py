@@ -52,6 +52,8 @@ CLUSTER_GRAMS = 3 << 20
 KEPT_WORDS = 50_000
 # Prefix n-grams that a task holds before it ties their sets.
 TIED = 1 << 19
+# N-grams of a group that are sorted at once.
+RANGE = 1 << 19
 MARKS = 1 << 24
 _MIX = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB], np.uint64)
 
@@ -374,36 +376,72 @@ def linked(sets: list[np.ndarray], join: Join) -> list[int]:
     if not sets:
         return []
     sizes = np.array([len(s) for s in sets])
-    _, tokens, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    tokens = tokens.astype(np.int32)
-    owner = np.repeat(np.arange(len(sets), dtype=np.int32), sizes)
-    tokens, owner, counts = _shared(tokens, owner, counts, sizes, join)
+    tokens, counts = _numbered(sets)
+    # Held no longer where the caller has handed over its list.
+    del sets
+    _shared(tokens, counts, sizes, join)
     # Places in each set by rising count, after the n-grams of that set only, which tie nothing.
-    order = np.lexsort((tokens, counts[tokens], owner))
-    own = np.bincount(owner, minlength=len(sets))
-    place = np.arange(len(tokens)) - np.repeat(np.cumsum(own) - own, own) + (sizes - own)[owner]
-    prefix = np.array([join.prefix(n) for n in sizes])
-    keep = order[place < prefix[owner]]
-    index = place[place < prefix[owner]] < join.index(sizes[owner[keep]])
-    at, to = _runs(tokens[keep], sizes[owner[keep]], index, join)
+    alone = sizes - np.array([len(own) for own in tokens])
+    take = np.maximum(np.array([join.prefix(n) for n in sizes]) - alone, 0)
+    first = [own[np.argsort(counts[own], kind="stable")[:n]] for own, n in zip(tokens, take, strict=True)]
+    take = np.array([len(own) for own in first])
+    owner = np.repeat(np.arange(len(sizes), dtype=np.int32), take)
+    place = np.arange(len(owner)) + np.repeat(alone - (np.cumsum(take) - take), take)
+    at, to = _runs(np.concatenate(first), sizes[owner], place < join.index(sizes[owner]), join)
     inside = np.flatnonzero(to >= 0)
-    ties = np.stack([owner[keep[at[to[inside]]]], owner[keep[at[inside]]]], axis=1)
-    cluster = forest(len(sets), np.unique(ties, axis=0))
+    ties = np.stack([owner[at[to[inside]]], owner[at[inside]]], axis=1)
+    cluster = forest(len(sizes), np.unique(ties, axis=0))
+    del first, owner, place, at, to, inside, ties
     # Common n-grams first: neighbours in the trie then share long paths.
     rank = np.empty(len(counts), np.int32)
     rank[np.argsort(-counts, kind="stable")] = np.arange(len(counts), dtype=np.int32)
-    ends = np.cumsum(own)
-    out = np.arange(len(sets))
+    out = np.arange(len(sizes))
     for members in _groups(cluster):
         if len(members) > 1:
-            ranks = [rank[tokens[ends[x] - own[x] : ends[x]]] for x in members]
+            ranks = [rank[tokens[x]] for x in members]
             for k, first in enumerate(_join_by_trie(ranks, sizes[members].tolist(), join)):
                 out[members[k]] = members[first]
     return out.tolist()
 
 
-def _shared(tokens: np.ndarray, owner: np.ndarray, counts: np.ndarray, sizes: np.ndarray, join: Join):
-    """Without n-grams that only one set has and sets that have too few others to link with any.
+def _numbered(sets: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
+    """For each of the sorted ``sets`` those n-grams that another one has too, ascending and numbered from 0
+    over all sets, and how many sets have each number.
+
+    N-grams are put in order by ranges of about ``RANGE``, so that little is held beside the sets and numbers.
+    """
+    # Ranges cut the longest set evenly; n-grams are hashes, so they cut the others about as evenly.
+    n_ranges = 1 + sum(map(len, sets)) // RANGE
+    longest = max(sets, key=len)
+    cuts = longest[np.arange(1, n_ranges) * len(longest) // n_ranges]
+    bounds = [np.concatenate([[0], np.searchsorted(s, cuts), [len(s)]]) for s in sets]
+    parts: list[list[np.ndarray]] = [[] for _ in sets]
+    counts, known = [], 0
+    for k in range(n_ranges):
+        own = [s[b[k] : b[k + 1]] for s, b in zip(sets, bounds, strict=True)]
+        every = np.concatenate(own)
+        grams, times = _repeated(every.copy())
+        at = np.searchsorted(grams, every)
+        hit = grams[np.minimum(at, len(grams) - 1)] == every if len(grams) else np.zeros(len(every), bool)
+        ends = np.append(0, np.cumsum(hit, dtype=np.int32))[np.cumsum([len(part) for part in own])]
+        for part, numbers in zip(parts, np.split((at[hit] + known).astype(np.int32), ends[:-1]), strict=True):
+            part.append(numbers)
+        counts.append(times)
+        known += len(grams)
+    return [np.concatenate(p) for p in parts], np.concatenate(counts)
+
+
+def _repeated(grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Values that occur more than once, ascending, and how often. Sorts ``grams`` in place."""
+    grams.sort()
+    same = grams[1:] == grams[:-1]
+    starts = np.flatnonzero(np.append(same, False) & ~np.append(False, same))
+    ends = np.flatnonzero(np.append(False, same) & ~np.append(same, False))
+    return grams[starts], (ends - starts + 1).astype(np.int32)
+
+
+def _shared(tokens: list[np.ndarray], counts: np.ndarray, sizes: np.ndarray, join: Join) -> None:
+    """Takes out n-grams that only one set has, and all of sets that have too few others to link with any.
 
     Each removal may leave other n-grams alone, so it goes on until nothing changes. What is left
     of a set bounds its overlaps; its size stays what it was.
@@ -412,13 +450,17 @@ def _shared(tokens: np.ndarray, owner: np.ndarray, counts: np.ndarray, sizes: np
     smallest = np.unique(sizes)
     first = smallest[np.searchsorted(100 * smallest, join.percent * sizes)]
     need = -(-join.percent * (sizes + first) // (100 + join.percent))
-    while True:
-        keep = (counts > 1)[tokens]
-        keep &= (np.bincount(owner[keep], minlength=len(sizes)) >= need)[owner]
-        if keep.all():
-            return tokens, owner, counts
-        tokens, owner = tokens[keep], owner[keep]
-        counts = np.bincount(tokens, minlength=len(counts))
+    changed = True
+    while changed:
+        changed = False
+        for x, own in enumerate(tokens):
+            left = own[counts[own] > 1]
+            if len(left) < need[x]:
+                left = np.zeros(0, np.int32)
+            if len(left) < len(own):
+                counts[own] -= 1
+                counts[left] += 1
+                tokens[x], changed = left, True
 
 
 def _groups(labels: np.ndarray) -> list[np.ndarray]:
@@ -432,7 +474,9 @@ def _join_by_trie(sets: list[np.ndarray], sizes: list[int], join: Join) -> list[
 
     ``sizes`` counts the n-grams left out of ``sets`` too.
     """
-    used = np.unique(np.concatenate(sets))
+    used = np.concatenate(sets)
+    used.sort()
+    used = used[np.append(True, used[1:] != used[:-1])]
     trie = Trie(join, sizes, len(used))
     for x in sorted(range(len(sets)), key=lambda i: sizes[i]):
         own = np.sort(np.searchsorted(used, sets[x]).astype(np.int32))
@@ -470,7 +514,8 @@ def _walk(join: Join):
     def edges(sets: dict[tuple[int, int], np.ndarray]) -> pa.RecordBatch:
         own = sorted(sets)
         ids = [rep for rep, _ in own]
-        found = [(ids[root], ids[x]) for x, root in enumerate(linked([sets[k] for k in own], join)) if root != x]
+        # Handed over, so that the sets go as soon as they are numbered.
+        found = [(ids[root], ids[x]) for x, root in enumerate(linked([sets.pop(k) for k in own], join)) if root != x]
         a, b = zip(*found, strict=True) if found else ((), ())
         return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from dugout.llm.common import ROWS, read_by_few_rows, written
+from dugout.llm.common import ROWS, by_few_rows, written
 from dugout.llm.token_counts import byte_names
 
 GROUPS = 1024
@@ -321,7 +321,7 @@ def place(cut: DataFrame, capacity: int, groups: int = GROUPS) -> DataFrame:
     they and the plan, bounded by them, go back. Pieces are then shuffled and sorted once.
     """
     spark = cut.sparkSession
-    with read_by_few_rows(spark):
+    with by_few_rows(spark):
         cut = written(cut, "pieces")
     histogram = {r["length"]: r["count"] for r in cut.groupBy("length").count().collect()}
     # A block is a stretch of a length's buckets, so numbers do not depend on the blocks.

@@ -4,6 +4,7 @@ import bisect
 import random
 import re
 import time
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -510,6 +511,60 @@ def test_workers_get_few_texts_at_once(spark, odd, small, monkeypatch, before, i
         spark.conf.set(ROWS_AT_ONCE, usual)
 
 
+def test_stages_read_few_texts_at_once(spark, odd, small, monkeypatch):
+    """With 4,096 texts at once, executors' heaps grew until near_copies took over 3000 MB."""
+    seen, whole = [], jaccard_join.components
+    monkeypatch.setattr(jaccard_join, "components", lambda edges: [seen.append(spark.conf.get(READ_AT_ONCE)), whole(edges)][1])
+    keys = (ROWS_AT_ONCE, READ_AT_ONCE)
+    usual = [spark.conf.get(k) for k in keys]
+    try:
+        for before, inside in (("4096", "512"), ("100", "100")):
+            seen.clear()
+            spark.conf.set(READ_AT_ONCE, before)
+            jaccard_join.similar_groups(odd)
+            assert seen == [inside] * 2 and spark.conf.get(READ_AT_ONCE) == before
+            for _, stage in corpus_pipeline.STAGES:
+                spark.conf.set(READ_AT_ONCE, before)
+                stage(spark, odd, small)
+                assert spark.conf.get(READ_AT_ONCE) == inside
+    finally:
+        for k, v in zip(keys, usual, strict=True):
+            spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("own", [0.05, 0.3])
+def test_links_hold_little_beside_the_sets(own):
+    """Sorting all n-grams of a group at once held 6 to 7 times the sets; two workers of an executor do so."""
+    rng = np.random.default_rng(5)
+    families = [rng.integers(0, 2**63, 1000, np.uint64) for _ in range(40)]
+    sets = []
+    for k in range(1600):
+        grams = families[k % 40].copy()
+        grams[rng.choice(1000, int(1000 * own), replace=False)] = rng.integers(0, 2**63, int(1000 * own), np.uint64)
+        sets.append(jaccard_join.distinct(grams))
+    tracemalloc.start()
+    try:
+        got = jaccard_join.linked(sets, jaccard_join.Join(5, 80))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert got == ([k % 40 for k in range(1600)] if own < 0.1 else list(range(1600)))
+    assert peak < 4 * sum(s.nbytes for s in sets)
+
+
+@given(st.lists(st.frozensets(st.integers(0, 12)), min_size=1, max_size=9), st.integers(1, 12))
+@settings(max_examples=200, deadline=None)
+def test_numbers_of_shared_grams(plain, at_once):
+    sets = [np.array(sorted(s), np.uint64) for s in plain]
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(jaccard_join, "RANGE", at_once)
+        tokens, counts = jaccard_join._numbered(sets)
+    times = Counter(x for s in plain for x in s)
+    common = sorted(x for x, n in times.items() if n > 1)
+    assert [[common[t] for t in own] for own in tokens] == [sorted(s & set(common)) for s in plain]
+    assert counts.tolist() == [times[x] for x in common]
+
+
 def test_plan_of_the_mix_holds_no_level_twice(spark, small):
     decided = mixing.decide(queries.documents(spark, small))
     assert "collect_list" not in decided._jdf.queryExecution().optimizedPlan().toString()
