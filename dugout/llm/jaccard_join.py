@@ -4,8 +4,9 @@
    equal by digest are one class.
 2. All n-grams have one global order: those that the sketch finds heavy last, the others by how
    rare their words are, then by hash. Two sets that are similar enough share an n-gram among the
-   first few (the prefix) of both. Sets of fitting sizes are tied through shared prefix n-grams, and
-   components of these ties are the clusters within which links can lie. The sketches set
+   first few (the prefix) of both. Sets of fitting sizes are tied through shared prefix n-grams: where
+   few sets share one, every two of them, and two whose bits differ too much to link part again; else each to one
+   before it. Components of these ties are the clusters within which links can lie. The sketches set
    the order only, so their errors cost time, not links.
 3. Per cluster the same filter runs again, with exact counts; what it leaves together goes into a
    trie, common n-grams first, so that sets share partial overlaps. Each set walks the trie with its
@@ -15,7 +16,7 @@
 
 Clusters over ``CLUSTER`` sets or ``CLUSTER_GRAMS`` n-grams are cut into bands of sizes, and bands that are still over it into
 slices, every two of which meet in a task of their own: no cluster is capped or held whole. A hot n-gram is combined batch by batch before the
-shuffle, so it is a few rows per task.
+shuffle, so it is a few rows per task. Prefix n-grams are shuffled in packed runs, one per batch and range of hashes.
 
 Defined results: NULL and empty texts, and texts without words, have the empty set and link
 with nothing; under n words the whole sequence is the one member; repeated rows are copies; rows that share
@@ -34,9 +35,10 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dugout.llm.common import by_few_rows, written
@@ -50,8 +52,13 @@ FOLD = 256
 CLUSTER = 3000
 CLUSTER_GRAMS = 3 << 20
 KEPT_WORDS = 50_000
-# Prefix n-grams that a task holds before it ties their sets.
+# Prefix n-grams that a task holds before it ties their sets, and those of a range of hashes (up to twice as many).
 TIED = 1 << 19
+RANGED = 1 << 17
+# Bits of an n-gram's hash that ties go by; two n-grams with the same ones cost a tie, no link.
+TIE_BITS = 48
+# As many sets with one n-gram are tied each with each, more in a row.
+FEW = 32
 # N-grams of a group that are sorted at once.
 RANGE = 1 << 19
 MARKS = 1 << 24
@@ -162,10 +169,37 @@ def _sid(grams: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh64_intdigest(grams.tobytes())).view(np.int64))
 
 
+def parity(grams: np.ndarray) -> bytes:
+    """A bit per slot of a set's n-grams, whether their number is odd; slots are a power of two, at least as many as n-grams.
+
+    Bits in which two sets differ are never more than the n-grams that only one of them has.
+    """
+    slots = 1 << max(6, (len(grams) - 1).bit_length())
+    return np.packbits((np.bincount(slot(grams, slots), minlength=slots) & 1).astype(np.uint8)).tobytes()
+
+
+def may_link(a: bytes, n: int, b: bytes, m: int, join: Join) -> bool:
+    """Whether sets of ``n`` and ``m`` n-grams with bits ``a`` and ``b`` can be similar enough."""
+    small, large = sorted((np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)), key=len)
+    while len(large) > len(small):
+        large = large[: len(large) // 2] ^ large[len(large) // 2 :]
+    return int(np.bitwise_count(small ^ large).sum()) <= n + m - 2 * join.overlap(n, m)
+
+
+def _pack(counts: np.ndarray) -> bytes:
+    """Counts compressed, a byte each if they are small."""
+    return zlib.compress(counts.astype(np.uint8 if counts.max() < 256 else np.uint32).tobytes(), 1)
+
+
+def _unpack(packed: bytes) -> np.ndarray:
+    raw = zlib.decompress(packed)
+    return np.frombuffer(raw, np.uint8 if len(raw) == CHUNK else np.uint32)
+
+
 def _first(docs: DataFrame, join: Join) -> DataFrame:
-    """Rows of documents (doc_id, n_shingles, digest, sid) and, per task, the chunks of its sketches:
+    """Rows of documents (doc_id, n_shingles, digest, sid, bits) and, per task, the chunks of its sketches:
     words first, then n-grams."""
-    names = ["doc_id", "n_shingles", "digest", "sid", "chunk", "task", "counts"]
+    names = ["doc_id", "n_shingles", "digest", "sid", "bits", "chunk", "task", "counts"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counts = np.zeros(WORD_SLOTS + SLOTS, np.uint32)
@@ -177,39 +211,38 @@ def _first(docs: DataFrame, join: Join) -> DataFrame:
                 np.add.at(counts[:WORD_SLOTS], slot(h, WORD_SLOTS), np.uint32(1))
                 np.add.at(counts[WORD_SLOTS:], slot(grams), np.uint32(1))
                 digest = hashlib.blake2b(grams.tobytes(), digest_size=16).digest() if len(grams) else None
-                rows.append((doc_id, len(grams), digest, _sid(grams), None, None, None))
+                bits = parity(grams) if len(grams) else None
+                rows.append((doc_id, len(grams), digest, _sid(grams), bits, None, None, None))
             yield pd.DataFrame(rows, columns=names)
         task = TaskContext.get().partitionId()
         for at in range(0, len(counts), CHUNK):
             part = counts[at : at + CHUNK]
             if part.any():
-                packed = zlib.compress(part.tobytes(), 1)
-                yield pd.DataFrame([(None, None, None, None, at // CHUNK, task, packed)], columns=names)
+                yield pd.DataFrame([(None, None, None, None, None, at // CHUNK, task, _pack(part))], columns=names)
 
     # Ids travel as text: beside a NULL, pandas would make long ids floats.
-    schema = "doc_id string, n_shingles long, digest binary, sid long, chunk int, task int, counts binary"
+    schema = "doc_id string, n_shingles long, digest binary, sid long, bits binary, chunk int, task int, counts binary"
     found = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text").mapInPandas(run, schema)
     return found.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 def _sketch(parts: DataFrame) -> np.ndarray:
-    """The sketches over all tasks: chunks are added in two steps, one chunk at a time."""
+    """The sketches over all tasks: chunks are added in two steps, one chunk and ``FOLD`` tasks at a time."""
 
     def work(frame: pd.DataFrame) -> Iterator[pd.DataFrame]:
         for (chunk, fold), own in frame.groupby(["chunk", "fold"]):
             total = np.zeros(CHUNK, np.uint64)
             for c in own["counts"]:
-                total += np.frombuffer(zlib.decompress(c), np.uint32)
-            packed = zlib.compress(np.minimum(total, 2**32 - 1).astype(np.uint32).tobytes(), 1)
-            yield pd.DataFrame({"chunk": [chunk], "fold": [fold], "counts": [packed]})
+                total += _unpack(c)
+            yield pd.DataFrame({"chunk": [chunk], "fold": [fold], "counts": [_pack(np.minimum(total, 2**32 - 1))]})
 
     schema = "chunk int, fold int, counts binary"
-    folded = parts.select("chunk", (F.col("task") % FOLD).alias("fold"), "counts")
+    folded = parts.select("chunk", F.floor(F.col("task") / FOLD).cast("int").alias("fold"), "counts")
     once = in_groups(folded, ["chunk", "fold"], work, schema)
     twice = in_groups(once.withColumn("fold", F.lit(0)), ["chunk", "fold"], work, schema)
     sketch = np.zeros(WORD_SLOTS + SLOTS, np.uint32)
     for row in twice.collect():
-        sketch[row["chunk"] * CHUNK : (row["chunk"] + 1) * CHUNK] = np.frombuffer(zlib.decompress(row["counts"]), np.uint32)
+        sketch[row["chunk"] * CHUNK : (row["chunk"] + 1) * CHUNK] = _unpack(row["counts"])
     return sketch
 
 
@@ -229,33 +262,94 @@ def _runs(grams: np.ndarray, sizes: np.ndarray, index: np.ndarray, join: Join) -
     return order, np.where(tied, last, -1)
 
 
-def _ties(docs: DataFrame, order, join: Join) -> DataFrame:
-    """Pairs (a, b) of set ids that share a prefix n-gram, enough of them to connect all that may link.
+def _packed_runs(g: np.ndarray, low: np.ndarray, high: np.ndarray, s: np.ndarray) -> bytes:
+    """Runs in order of their n-gram: steps between n-grams byte by byte, so that they compress well, sizes and set ids."""
+    steps = np.diff(g, prepend=0).view(np.uint8).reshape(-1, 8).T
+    raw = b"".join(x.tobytes() for x in (steps, low.astype(np.uint32).view(np.uint8).reshape(-1, 4).T, high.astype(np.uint32).view(np.uint8).reshape(-1, 4).T, s))
+    return pa.Codec("zstd", 1).compress(raw, asbytes=True)
+
+
+def _unpacked_runs(packed: bytes, n: int) -> tuple[np.ndarray, ...]:
+    raw = np.frombuffer(pa.Codec("zstd").decompress(packed, 24 * n, asbytes=True), np.uint8)
+    g = np.ascontiguousarray(raw[: 8 * n].reshape(8, n).T).view(np.int64).ravel()
+    low, high = (np.ascontiguousarray(raw[at * n : (at + 4) * n].reshape(4, n).T).view(np.uint32).ravel().astype(np.int64) for at in (8, 12))
+    return np.cumsum(g), low, high, raw[16 * n :].view(np.int64)
+
 
-    A task ties its own sets, ``TIED`` prefix n-grams at a time, and passes on one row per run: an
-    n-gram, the least size and the largest one of index rows (0: none), and a set.
+def _tied_runs(g: np.ndarray, low: np.ndarray, high: np.ndarray, many: np.ndarray, s: np.ndarray, join: Join) -> np.ndarray:
+    """Rows (a, b, 1 if the tie is sure) for runs of n-grams: the least size, the largest one of index rows (0: none),
+    whether it holds several sets, and a set.
+
+    Of the runs of an n-gram in order of their lowest size, one may link with those before it whose index rows it fits.
+    Up to ``FEW`` runs are tied each with each, surely if one holds several sets. Of more, one that fits is surely tied
+    to the last run before it with index rows.
+    """
+    order = np.lexsort((s, high, low, g))
+    same = g[order][1:] == g[order][:-1]
+    order = order[np.append(same, False) | np.append(False, same)]
+    g, low, high, many, s = g[order], low[order], high[order], many[order], s[order]
+    at = np.arange(len(g))
+    begins = np.append(True, g[1:] != g[:-1])[: len(g)]
+    start = np.maximum.accumulate(np.where(begins, at, 0))
+    few = np.bincount(start, minlength=len(g))[start] <= FEW
+    found = []
+    for d in range(1, FEW):
+        later = np.flatnonzero(few & (at - start >= d))
+        earlier = later - d
+        fit = (high[earlier] > 0) & join.fits(high[earlier], low[later])
+        earlier, later = earlier[fit], later[fit]
+        found.append((s[earlier], s[later], many[earlier] | many[later]))
+    # The largest size before it, made to start anew with each n-gram.
+    shift = start << 32
+    reach = np.append(0, np.maximum.accumulate(shift + high))[: len(g)] - shift
+    before = np.append(-1, np.maximum.accumulate(np.where(high > 0, at, -1)))[: len(g)]
+    later = np.flatnonzero(~few & (before >= start) & join.fits(reach, low))
+    found.append((s[before[later]], s[later], np.ones(len(later), bool)))
+    a, b, sure = (np.concatenate(x) for x in zip(*found, strict=True))
+    ties = np.stack([np.minimum(a, b), np.maximum(a, b), sure.astype(np.int64)], axis=1)[a != b]
+    return np.unique(ties, axis=0)
+
+
+def _ties(docs: DataFrame, order, join: Join, n_grams: int) -> DataFrame:
+    """Pairs (a, b) of set ids that share a prefix n-gram, enough of them to connect all that may link, and whether the
+    tie is sure: of the others, only those that may link are needed.
+
+    A task ties its own sets where more than ``FEW`` of them share an n-gram, ``TIED`` prefix n-grams at a time, and
+    passes on one run for these and one for each other set: an n-gram, the least size and the largest one of index rows
+    (0: none), and a set. Runs travel packed, by ranges of hashes; ``n_grams`` is about how many there are.
     """
+    bits = max(0, (n_grams // RANGED).bit_length() - 1)
 
     def tied(found: list[tuple[np.ndarray, int, int]]) -> Iterator[pa.RecordBatch]:
         own = np.array([len(first) for first, _, _ in found])
-        g = np.concatenate([first for first, _, _ in found]).view(np.int64)
+        g = (np.concatenate([first for first, _, _ in found]) >> np.uint64(64 - TIE_BITS)).view(np.int64)
         s = np.repeat(np.array([sid for _, sid, _ in found], np.int64), own)
         n = np.repeat(np.array([size for _, _, size in found], np.int64), own)
         index = np.arange(len(g)) - np.repeat(np.cumsum(own) - own, own) < join.index(n)
         at, to = _runs(g, n, index, join)
         g, s, n, index = g[at], s[at], n[at], index[at]
+        begins = np.flatnonzero(np.append(True, g[1:] != g[:-1]))
+        times = np.diff(np.append(begins, len(g)))
+        to = np.where(np.repeat(times, times) > FEW, to, -1)
         starts = np.flatnonzero(to < 0)
         high = np.maximum.reduceat(np.where(index, n, 0), starts)
-        yield from rows(g[starts], n[starts], high, s[starts], pa.nulls(len(starts), pa.int64()))
+        many = np.diff(np.append(starts, len(g))) > 1
+        yield from ranges(g[starts], n[starts], 2 * high + many, s[starts])
         inside = np.flatnonzero(to >= 0)
         pairs = np.unique(np.stack([s[to[inside]], s[inside]], axis=1), axis=0)
-        none = np.zeros(len(pairs), np.int64)
-        yield from rows(pairs[:, 0] ^ pairs[:, 1], none, none, pairs[:, 0], pa.array(pairs[:, 1]))
+        yield from rows((pairs[:, 0] ^ pairs[:, 1]) & ((1 << bits) - 1), pa.nulls(len(pairs), pa.int32()), pa.nulls(len(pairs), pa.binary()), pairs[:, 0], pairs[:, 1])
+
+    def ranges(g, low, high, s) -> Iterator[pa.RecordBatch]:
+        part = g >> (TIE_BITS - bits)
+        cuts = np.append(np.flatnonzero(np.append(True, part[1:] != part[:-1])), len(g)).tolist()
+        spans = [slice(x, y) for x, y in zip(cuts, cuts[1:], strict=False)]
+        none = pa.nulls(len(spans), pa.int64())
+        yield from rows(part[cuts[:-1]], np.diff(cuts), [_packed_runs(g[x], low[x], high[x], s[x]) for x in spans], none, none)
 
     def rows(*columns) -> Iterator[pa.RecordBatch]:
-        kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64())
+        kinds = (pa.int32(), pa.int32(), pa.binary(), pa.int64(), pa.int64())
         arrays = [pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)]
-        batch = pa.RecordBatch.from_arrays(arrays, names=["gram", "low", "high", "a", "b"])
+        batch = pa.RecordBatch.from_arrays(arrays, names=["part", "n", "runs", "a", "b"])
         for start in range(0, batch.num_rows, CHUNK):
             yield batch.slice(start, CHUNK)
 
@@ -278,21 +372,47 @@ def _ties(docs: DataFrame, order, join: Join) -> DataFrame:
         if found:
             yield from tied(found)
 
-    found = docs.select("text").mapInArrow(run, "gram long, low int, high int, a long, b long")
-    # Among the runs of an n-gram in order of their lowest size, one that fits index rows before it
-    # is tied to the last run with one. Ties that are already made pass through.
-    by_size = Window.partitionBy("gram", F.col("b").isNull()).orderBy("low", "high", "a")
-    earlier = by_size.rowsBetween(Window.unboundedPreceding, -1)
-    reach = F.max("high").over(earlier)
-    before = F.last(F.when(F.col("high") > 0, F.col("a")), ignorenulls=True).over(earlier)
-    fit = F.col("low") * join.percent <= reach * 100
-    return (
-        found.withColumns({"_before": before, "_fit": fit})
-        .withColumn("b", F.coalesce("b", F.when(F.col("_fit"), F.col("_before"))))
-        .filter("a <> b")
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        .distinct()
-    )
+    def ties(found: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for start in range(0, len(found), CHUNK):
+            a, b, sure = found[start : start + CHUNK].T
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(sure == 1)], names=["a", "b", "sure"])
+
+    def meet(held: list[tuple[np.ndarray, ...]]) -> np.ndarray:
+        g, low, high, s = (np.concatenate(x) for x in zip(*held, strict=True))
+        return _tied_runs(g, low, high >> 1, (high & 1) == 1, s, join)
+
+    def met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = None, []
+        for batch in batches:
+            made = batch.filter(pc.is_valid(batch.column("a")))
+            a, b = (made.column(c).to_numpy() for c in ("a", "b"))
+            yield from ties(np.stack([np.minimum(a, b), np.maximum(a, b), np.ones(len(a), np.int64)], axis=1))
+            for part, n, runs in zip(*(batch.column(c) for c in ("part", "n", "runs")), strict=True):
+                if part.as_py() != now:
+                    if held:
+                        yield from ties(meet(held))
+                    now, held = part.as_py(), []
+                if runs.is_valid:
+                    held.append(_unpacked_runs(runs.as_py(), n.as_py()))
+        if held:
+            yield from ties(meet(held))
+
+    found = docs.select("text").mapInArrow(run, "part int, n int, runs binary, a long, b long")
+    by_part = found.repartition("part").sortWithinPartitions("part")
+    return by_part.mapInArrow(met, "a long, b long, sure boolean").filter("a <> b").distinct()
+
+
+def _kept(ties: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
+    """Pairs (a, b) of ``ties`` that are sure or whose ``sets`` (sid, size, bits) may link."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = zip(*(batch.column(c).to_pylist() for c in ("_bits_a", "_size_a", "_bits_b", "_size_b")), strict=True)
+            yield batch.filter(pa.array([may_link(*x, join) for x in own], pa.bool_())).select(["a", "b"])
+
+    sides = [sets.select(F.col("sid").alias(c), F.col("size").alias(f"_size_{c}"), F.col("bits").alias(f"_bits_{c}")) for c in ("a", "b")]
+    asked = ties.filter("not sure").select("a", "b").join(sides[0], "a").join(sides[1], "b")
+    return ties.filter("sure").select("a", "b").unionByName(asked.mapInArrow(run, "a long, b long"))
 
 
 class _Node:
@@ -543,24 +663,25 @@ def _walk(join: Join):
     return run
 
 
-def _likely(docs: DataFrame, asked: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose id may be in ``asked``, so that few other texts are shuffled.
+def _likely(docs: DataFrame, asked: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows of ``docs`` whose id may be one of the ids ``rep`` in ``asked``, so that few other texts are shuffled, and the others.
 
     A bit per hashed id, ``MARKS`` of them: the broadcast table holds 2 MB at most, whatever the
-    size of ``asked``. With very many ids asked for, all rows pass.
+    size of ``asked``. With very many ids asked for, all rows may be.
     """
 
-    def mark(c):
-        return F.pmod(F.xxhash64(c), F.lit(MARKS))
+    def mark(c) -> Column:
+        return F.pmod(F.xxhash64(F.col(c).cast("long")), F.lit(MARKS))
 
-    bits = asked.groupBy(F.bitmap_bucket_number(mark("rep")).alias("_bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position(mark("rep"))).alias("_bits")
+    bits = asked.groupBy(F.bitmap_bucket_number(mark("rep")).alias("_jaccard_bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(mark("rep"))).alias("_jaccard_bits")
     )
     at = F.bitmap_bit_position(mark("doc_id"))
-    byte = F.conv(F.hex(F.substring("_bits", F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    marked = F.floor(byte / F.pow(F.lit(2), at % 8)) % 2 == 1
-    joined = docs.join(F.broadcast(bits), F.bitmap_bucket_number(mark("doc_id")) == F.col("_bucket"))
-    return joined.filter(marked).select(*docs.columns)
+    byte = F.conv(F.hex(F.substring("_jaccard_bits", F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    marked = F.coalesce(F.floor(byte / F.pow(F.lit(2), at % 8)) % 2 == 1, F.lit(False))
+    joined = docs.join(F.broadcast(bits), F.bitmap_bucket_number(mark("doc_id")) == F.col("_jaccard_bucket"), "left")
+    likely, others = (joined.filter(rows).drop("_jaccard_bucket", "_jaccard_bits") for rows in (marked, ~marked))
+    return likely, others
 
 
 def _sliced(asked: DataFrame, join: Join) -> DataFrame:
@@ -605,22 +726,22 @@ def similar_groups(docs: DataFrame, join: Join = Join()) -> DataFrame:
 
 def _similar_groups(docs: DataFrame, join: Join) -> DataFrame:
     first = written(_first(docs, join), "grams")
-    rows = first.filter("chunk is null").select("doc_id", "n_shingles", "digest", "sid")
+    rows = first.filter("chunk is null").select("doc_id", "n_shingles", "digest", "sid", "bits")
     sketch = _sketch(first.filter("chunk is not null"))
     order = docs.sparkSession.sparkContext.broadcast(Order(sketch[:WORD_SLOTS], sketch[WORD_SLOTS:]))
-    clusters = components(written(_ties(docs, order, join), "ties"))
-    classes = (
-        rows.filter("digest is not null and doc_id is not null")
-        .groupBy("digest")
-        .agg(F.min("doc_id").alias("rep"), F.min("sid").alias("sid"), F.min("n_shingles").alias("size"))
-    )
+    known = rows.filter("digest is not null and doc_id is not null").groupBy("digest")
+    numbers = [F.min("doc_id").alias("rep"), F.min("sid").alias("sid"), F.min("n_shingles").alias("size")]
+    classes = known.agg(*numbers)
+    n_grams = rows.agg(F.coalesce(F.sum("n_shingles"), F.lit(0))).first()[0] * (100 - join.percent) // 100
+    ties = written(_ties(docs, order, join, n_grams), "ties")
+    clusters = components(_kept(ties, known.agg(*numbers, F.first("bits").alias("bits")), join))
     asked = classes.join(clusters.select(F.col("node").alias("sid"), F.col("component").alias("cluster")), "sid")
     asked = written(asked.select("rep", "sid", "size", "cluster"), "clusters")
     sliced = _sliced(asked, join)
     # Who is asked for grows with the documents, so the join is a merge at every size. Texts
     # travel, not sets: they compress better than hashes.
     members = (
-        _compressed(_likely(docs.select("doc_id", "text"), asked))
+        _compressed(_likely(docs.select("doc_id", "text"), asked)[0])
         .join(sliced.hint("merge"), F.col("doc_id") == F.col("rep"))
         .withColumn("_with", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
         .withColumns({"left": F.least("_slot", "_with"), "right": F.greatest("_slot", "_with")})

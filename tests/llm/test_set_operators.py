@@ -489,6 +489,116 @@ def test_ties_need_the_index_part_of_the_smaller_set():
                 assert sorted(small).index(first) < join.index(len(small)) and sorted(large).index(first) < join.prefix(len(large))
 
 
+def shared_and_counted(monkeypatch, spark):
+    """Rows of the tables that the join writes, by label."""
+    rows, whole = {}, jaccard_join.written
+    monkeypatch.setattr(jaccard_join, "written", lambda df, label: [t := whole(df, label), rows.update({label: t.count()})][0])
+    return rows
+
+
+def test_sets_that_only_share_an_ngram_form_no_cluster(spark, monkeypatch):
+    """Texts in a chain of rare shared n-grams were one cluster, which grew faster than the tables and was walked in slices."""
+    texts, rng = [], random.Random(4)
+    for i in range(30):
+        own = rng.choices([f"w{k}" for k in range(40)], k=60)
+        texts.append(" ".join([f"s{i}y{k}" for k in range(4)] + own + [f"s{i + 1}y{k}" for k in range(4)]))
+    texts.append(texts[7] + " end")
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    rows = shared_and_counted(monkeypatch, spark)
+    groups = {r["doc_id"]: r["component_id"] for r in jaccard_join.similar_groups(docs).collect()}
+    assert groups == {i: i for i in range(30)} | {30: 7}
+    assert rows["ties"] >= 20 and rows["clusters"] == 2
+
+
+def test_bits_part_no_sets_that_may_link():
+    rng = random.Random(11)
+    for join in (jaccard_join.Join(), jaccard_join.Join(5, 80)):
+        parted = 0
+        for _ in range(400):
+            n = rng.choice([1, 5, 60, 64, 65, 120, 128, 130, 500, 1020, 1030])
+            whole = [rng.getrandbits(64) for _ in range(n + n // 2 + 2)]
+            small, large = (jaccard_join.distinct(np.array(rng.sample(whole, k), np.uint64)) for k in (n, min(len(whole), n + rng.randint(0, n // 5 + 1))))
+            edited = jaccard_join.distinct(np.append(small[: len(small) - rng.randint(0, n // 9)], np.array(whole[: rng.randint(0, n // 9)], np.uint64)))
+            for a, b in ((small, large), (small, edited), (edited, large)):
+                same = len(np.intersect1d(a, b))
+                bits = jaccard_join.parity(a), len(a), jaccard_join.parity(b), len(b)
+                if 100 * same >= join.percent * (len(a) + len(b) - same):
+                    assert jaccard_join.may_link(*bits, join)
+                parted += not jaccard_join.may_link(*bits, join)
+        assert parted > 300
+
+
+def test_runs_travel_packed():
+    rng = np.random.default_rng(2)
+    for n in (0, 1, 1000):
+        g = np.sort(rng.integers(0, 1 << jaccard_join.TIE_BITS, n))
+        low, high, s = rng.integers(1, 1 << 24, n), rng.integers(0, 1 << 25, n), rng.integers(-(2**63), 2**63 - 1, n)
+        packed = jaccard_join._packed_runs(g, low, high, s)
+        assert [x.tolist() for x in jaccard_join._unpacked_runs(packed, n)] == [x.tolist() for x in (g, low, high, s)]
+        assert len(packed) < 20 * n + 60
+
+
+@pytest.mark.parametrize("few", [2, 4, 32])
+def test_ties_connect_all_that_may_link(monkeypatch, few):
+    """By every two of few sets with an n-gram, or in a row; sets of one run count as connected."""
+    monkeypatch.setattr(jaccard_join, "FEW", few)
+    rng, join, sure_ones = random.Random(few), jaccard_join.Join(4, 70), 0
+    for _ in range(150):
+        base = [sorted(rng.sample(range(400), rng.randint(3, 14))) for _ in range(2)]
+        sets = []
+        for _ in range(rng.randint(2, 14)):
+            copy = set(rng.choice(base)) | set(rng.sample(range(400), rng.randint(0, 1)))
+            copy.discard(rng.choice(sorted(copy)))
+            sets.append(sorted(copy))
+        rows = [(g, len(x), k < join.index(len(x)), i) for i, x in enumerate(sets) for k, g in enumerate(x[: join.prefix(len(x))])]
+        # Two batches; in the first, n-grams of three sets or more go as runs.
+        runs, joined = [], []
+        for half in (0, 1):
+            own = [r for r in rows if r[3] % 2 == half]
+            g, n, index, s = (np.array([r[k] for r in own], t) for k, t in enumerate((np.int64, np.int64, bool, np.int64)))
+            at, to = jaccard_join._runs(g, n, index, join)
+            times = np.array([(g == x).sum() for x in g[at]], int)
+            to = np.where((times > 2) & (half == 0), to, -1)
+            starts = [*np.flatnonzero(to < 0), len(at)]
+            for a, b in zip(starts, starts[1:], strict=False):
+                of = at[a:b]
+                runs.append((g[of[0]], n[of[0]], max((n[of] * index[of]).tolist()), len(of) > 1, s[of[0]]))
+            joined += [(int(s[at[t]]), int(s[at[k]])) for k, t in enumerate(to) if t >= 0]
+        g, low, high, many, s = (np.array([r[k] for r in runs], bool if k == 3 else np.int64) for k in range(5))
+        ties = jaccard_join._tied_runs(g, low, high, many, s, join).tolist()
+        plain = [set(x) for x in sets]
+        alike = [(i, j) for i in range(len(sets)) for j in range(i) if 100 * len(plain[i] & plain[j]) >= 70 * len(plain[i] | plain[j])]
+        kept = joined + [(a, b) for a, b, sure in ties if sure or (b, a) in alike]
+        sure_ones += sum(sure for _, _, sure in ties)
+        root = roots(range(len(sets)), kept)
+        assert all(root[i] == root[j] for i, j in alike)
+    assert sure_ones
+
+
+def test_sketches_of_many_tasks(spark, monkeypatch):
+    """Counts of a byte or more; the sums of ``FOLD`` tasks are shuffled, which were those of every ``FOLD``th, nearly all."""
+    monkeypatch.setattr(jaccard_join, "FOLD", 2)
+    chunks = [(c, t, np.random.default_rng(c + t).integers(0, top, jaccard_join.CHUNK).astype(np.uint32)) for c, t, top in ((0, 0, 9), (0, 1, 255), (0, 5, 70_000), (7, 2, 3), (159, 3, 2))]
+    parts = spark.createDataFrame([(c, t, bytearray(jaccard_join._pack(n))) for c, t, n in chunks], "chunk int, task int, counts binary")
+    asked, whole = [], jaccard_join.in_groups
+    monkeypatch.setattr(jaccard_join, "in_groups", lambda df, *a: [asked.append(df.select("chunk", "fold").distinct().count()), whole(df, *a)][1])
+    sketch = jaccard_join._sketch(parts)
+    want = np.zeros_like(sketch)
+    for c, _, n in chunks:
+        want[c * jaccard_join.CHUNK : (c + 1) * jaccard_join.CHUNK] += n
+    assert (sketch == want).all() and asked == [4, 3]
+    assert len(jaccard_join._pack(chunks[0][2])) < 0.7 * jaccard_join.CHUNK
+
+
+def test_likely_rows_and_others_are_all_rows(spark):
+    """Ids of any whole type, NULL and columns of any name."""
+    docs = spark.createDataFrame([(i, f"t{i}", i) for i in range(1000)] + [(None, "n", 0)], "doc_id int, text string, _bits int")
+    asked = spark.createDataFrame([(i,) for i in (3, 500, 999, 4000)], "rep long")
+    likely, others = ([tuple(r) for r in df.collect()] for df in jaccard_join._likely(docs, asked))
+    assert {3, 500, 999} <= {r[0] for r in likely} and len(likely) < 20
+    assert Counter(likely + others) == Counter(tuple(r) for r in docs.collect())
+
+
 ROWS_AT_ONCE = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
