@@ -767,10 +767,12 @@ def keep_one(docs: DataFrame, join: Join = Join()) -> DataFrame:
     no group. An id with several texts stays if any of them is not a copy.
     """
     groups = similar_groups(docs, join).filter("doc_id is not null").groupBy("doc_id")
-    copies = groups.agg(F.bool_and(F.col("doc_id") != F.col("component_id")).alias("_copy")).filter("_copy")
-    others = docs.filter("doc_id is not null").join(
-        copies.select(F.col("doc_id").alias("_jaccard_gone")), F.col("doc_id") == F.col("_jaccard_gone"), "left_anti"
-    )
-    hashed = others.withColumn("_jaccard_text", F.xxhash64("text"))
+    rows = groups.agg(F.bool_and(F.col("doc_id") != F.col("component_id")).alias("_copy"), F.count(F.lit(1)).alias("_rows"))
+    asked = written(rows.filter("_copy or _rows > 1").select(F.col("doc_id").alias("rep"), "_copy"), "copies")
+    # Only rows of an id that is a copy or comes more than once are shuffled, and few others.
+    likely, others = _likely(docs.filter("doc_id is not null"), asked)
+    copies = asked.filter("_copy").select(F.col("rep").alias("_jaccard_gone"))
+    stay = likely.join(copies, F.col("doc_id") == F.col("_jaccard_gone"), "left_anti")
+    hashed = stay.withColumn("_jaccard_text", F.xxhash64("text"))
     single = hashed.dropDuplicates(["doc_id", "_jaccard_text"]).drop("_jaccard_text")
-    return single.unionByName(docs.filter("doc_id is null"))
+    return others.unionByName(single).unionByName(docs.filter("doc_id is null"))

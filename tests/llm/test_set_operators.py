@@ -590,13 +590,17 @@ def test_sketches_of_many_tasks(spark, monkeypatch):
     assert len(jaccard_join._pack(chunks[0][2])) < 0.7 * jaccard_join.CHUNK
 
 
-def test_likely_rows_and_others_are_all_rows(spark):
-    """Ids of any whole type, NULL and columns of any name."""
+def test_few_texts_are_shuffled_to_keep_one(spark):
+    """All texts were; rows whose id is no copy and comes once stay where they are."""
     docs = spark.createDataFrame([(i, f"t{i}", i) for i in range(1000)] + [(None, "n", 0)], "doc_id int, text string, _bits int")
     asked = spark.createDataFrame([(i,) for i in (3, 500, 999, 4000)], "rep long")
     likely, others = ([tuple(r) for r in df.collect()] for df in jaccard_join._likely(docs, asked))
     assert {3, 500, 999} <= {r[0] for r in likely} and len(likely) < 20
     assert Counter(likely + others) == Counter(tuple(r) for r in docs.collect())
+    text = " ".join(f"w{i}" for i in range(50))
+    rows = [(1, text, "a"), (2, text + " end", "b"), (3, "x y z", "c"), (3, "x y z", "c"), (3, "other words", "d"), (3, text, "e"), (None, text, "f"), (4, None, "g"), (4, None, "g"), (5, "p q", "h")]
+    kept = jaccard_join.keep_one(spark.createDataFrame(rows, "doc_id int, text string, own string"), corpus_pipeline.NEAR)
+    assert Counter(r["own"] for r in kept.collect()) == Counter("acdefgh")
 
 
 ROWS_AT_ONCE = "spark.sql.execution.arrow.maxRecordsPerBatch"
